@@ -30,6 +30,12 @@ def plus_seconds(moment: Column, seconds: Column) -> Column:
     return moment + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
+def span_start(moment: Column, seconds: int) -> Column:
+    """Start of the span of that many seconds, counted from year one, which the moment lies in."""
+    origin = F.lit(_YEAR_ONE).cast("timestamp_ntz")
+    return plus_seconds(origin, clock_seconds(moment) - F.pmod(clock_seconds(moment), F.lit(seconds)))
+
+
 def share_of_seconds(total: Column, part: Column, whole: Column) -> Column:
     """``total * part / whole`` rounded half up, in integers so that no engine can differ.
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from contrail.functions.arrays import padded, total, unquoted, zeros
 from contrail.functions.times import PERIOD_DAYS, period_slot, year_start
 
-STATE_SCHEMA = "hex string, year_start date, metric_array array<bigint>"
+STATE_SCHEMA = StructType().add("hex", "string").add("year_start", "date").add("metric_array", ArrayType(LongType()))
 SLOTS_PER_YEAR = 366 // PERIOD_DAYS + 1
 
 

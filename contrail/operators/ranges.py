@@ -24,14 +24,18 @@ def range_breaks(df: DataFrame, column: str, fractions: list[float]) -> DataFram
     return ends.select(F.posexplode(cuts).alias("position", "value"))
 
 
+def range_bucket(value: Column, ends: Column, fractions: list[float]) -> Column:
+    """How many breaks between ``ends`` (struct low, high) the value has reached."""
+    return sum(
+        (F.when(value >= _cut(ends["low"], ends["high"], f), 1).otherwise(0) for f in fractions),
+        F.lit(0),
+    )
+
+
 def with_range_bucket(df: DataFrame, column: str, fractions: list[float], name: str = "bucket") -> DataFrame:
-    """Add how many breaks each value has reached.
+    """Add the bucket of each value between the column's extremes.
 
     The two extremes enter as one scalar subquery, so no row is joined or shuffled.
     """
     ends = df.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high")).alias("ends")).scalar()
-    reached = [
-        F.when(F.col(column) >= _cut(F.col("_ends.low"), F.col("_ends.high"), f), 1).otherwise(0)
-        for f in fractions
-    ]
-    return df.withColumn("_ends", ends).withColumn(name, sum(reached, F.lit(0))).drop("_ends")
+    return df.withColumn("_ends", ends).withColumn(name, range_bucket(F.col(column), F.col("_ends"), fractions)).drop("_ends")

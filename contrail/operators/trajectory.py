@@ -74,9 +74,13 @@ def legs(events: DataFrame, hot: DataFrame | None = None, segment_seconds: int =
     in_order = Window.partitionBy("flight_id", "segment").orderBy(
         "rank", F.asc_nulls_last("event_time"), F.asc_nulls_last("id")
     )
+    # The window would shuffle by the same keys. Naming the partition count keeps AQE from merging the
+    # partitions by their size here: what follows, paths and interpolation, multiplies the rows.
+    partitions = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         tagged.withColumn("rank", F.lit(1))
         .unionByName(entering)
+        .repartition(partitions, "flight_id", "segment")
         .select("*", *(F.lag(name).over(in_order).alias(f"prev_{name}") for name in CARRIED))
         .where(F.col("rank") == 1)
         .drop("rank")

@@ -6,7 +6,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from contrail.operators.ranges import ALTITUDE_FRACTIONS, OVERVIEW_FRACTIONS, with_range_bucket
+from contrail.functions.times import span_start
+from contrail.operators.ranges import ALTITUDE_FRACTIONS, OVERVIEW_FRACTIONS, range_bucket, with_range_bucket
 
 # Fixed values.
 OVERVIEW_ROWS = 80_000
@@ -17,7 +18,11 @@ MIN_CONNECTION_FLIGHTS = 10
 def hex_heatmap(totals: DataFrame, rows: int = OVERVIEW_ROWS) -> DataFrame:
     """The busiest cells with the bucket of their count."""
     top = totals.orderBy(F.desc("count"), "hex").limit(rows)
-    return with_range_bucket(top, "count", OVERVIEW_FRACTIONS).where(F.col("count") > 0)
+    # The limit has brought these rows into one partition already.
+    whole = Window.partitionBy(F.lit(0))
+    ends = F.struct(F.min("count").over(whole).alias("low"), F.max("count").over(whole).alias("high"))
+    bucket = range_bucket(F.col("count"), F.col("ends"), OVERVIEW_FRACTIONS).alias("bucket")
+    return top.withColumn("ends", ends).where(F.col("count") > 0).select("hex", "count", bucket)
 
 
 def current_airports(airports: DataFrame) -> DataFrame:
@@ -204,17 +209,18 @@ def filter_points(points: DataFrame, aircraft: DataFrame, first: date, last: dat
     return points.where(in_range).dropna(subset=["altitude"]).join(aircraft, "icao24", "left_semi")
 
 
-def aircraft_paths(points: DataFrame, segment: str | None = None) -> DataFrame:
+def aircraft_paths(points: DataFrame, segment_seconds: int | None = None) -> DataFrame:
     """One row per aircraft, day and route with time-ordered lists of its points.
 
     A path is a list by definition, as long as the aircraft's points of one day on one route.
-    ``segment`` ('HOUR', 'MINUTE', ...) cuts longer ones into consecutive rows.
+    ``segment_seconds`` cuts longer ones into consecutive rows, one per time span that has points, so
+    that no row grows with the data.
     """
     keys = ["icao24", "dof", "adep", "ades"]
     listed = ["longitude", "latitude", "time_passed", "altitude", "bucket"]
     bucketed = with_range_bucket(points, "altitude", ALTITUDE_FRACTIONS).dropna(subset=keys)
-    if segment is not None:
-        bucketed = bucketed.withColumn("segment", F.date_trunc(segment, "event_time"))
+    if segment_seconds is not None:
+        bucketed = bucketed.withColumn("segment", span_start(F.col("event_time"), segment_seconds))
         keys.append("segment")
     ordered = F.sort_array(F.collect_list(F.struct("event_time", "id", *listed)))
     return (

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contrail.operators import enrich, staging, trajectory
 from contrail.operators.incremental import scd2_columns, snapshot_airports
+from contrail.session import empty_frame
 
 
 class Marts:
@@ -99,7 +100,7 @@ class Marts:
     @cached_property
     def scd_airports(self) -> DataFrame:
         """The snapshot's first run: every airport opens a version."""
-        nothing = self.spark.createDataFrame([], scd2_columns(self.stg_airports.schema))
+        nothing = empty_frame(self.spark, scd2_columns(self.stg_airports.schema))
         return snapshot_airports(nothing, self.raw("src_airports"), self.now)
 
     @cached_property

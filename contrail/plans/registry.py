@@ -17,7 +17,7 @@ from contrail.functions import geo
 from contrail.operators import accumulate, enrich, hexagons, incremental, quality, ranges, staging, trajectory
 from contrail.plans import dashboards, model_tests
 from contrail.plans.marts import Marts
-from contrail.session import shared_folder
+from contrail.session import empty_frame, shared_folder
 from contrail.sources import schemas
 from contrail.sources.adapters import StarSchema
 from contrail.sources.files import conform
@@ -202,7 +202,7 @@ def interpolated_steps(m):
 
     return trajectory.interpolated_points(m.legs).groupBy("flight_id").agg(
         F.count("*").alias("points"),
-        F.count_distinct("id").alias("legs"),
+        F.count_if(F.col("n") == 0).alias("legs"),
         F.sum("n").alias("sum_n"),
         F.sum("steps").alias("sum_steps"),
         F.sum(micro(point["lat"])).alias("sum_lat"),
@@ -259,7 +259,7 @@ def _period(m, index: int, cumulative: bool = False) -> DataFrame:
 
 
 def _no_state(m) -> DataFrame:
-    return m.spark.createDataFrame([], accumulate.STATE_SCHEMA)
+    return empty_frame(m.spark, accumulate.STATE_SCHEMA)
 
 
 def _metric_arrays(m) -> DataFrame:
@@ -441,10 +441,10 @@ def default_aircraft(m):
     return dashboards.default_aircraft(dashboards.busiest_points(m.fct_flights, m.fct_events, FIRST, LAST))
 
 
-def _paths(m, segment=None):
+def _paths(m, segment_seconds=None):
     points = dashboards.busiest_points(m.fct_flights, m.fct_events, FIRST, LAST)
     chosen = dashboards.filter_points(points, dashboards.busiest_top(m.fct_flights, FIRST, LAST), FIRST, PATHS_UNTIL)
-    paths = dashboards.aircraft_paths(chosen, segment)
+    paths = dashboards.aircraft_paths(chosen, segment_seconds)
     decimals = "array<decimal(18,6)>"
     pairs = F.transform("coordinates", lambda p: F.concat_ws(" ", *(p[c].cast("decimal(18,6)") for c in ("lon", "lat"))))
     return paths.withColumns({c: F.col(c).cast(decimals) for c in ("longitude", "latitude", "time_passed")}).withColumn(
@@ -460,7 +460,7 @@ def aircraft_paths(m):
 @query
 def aircraft_path_segments(m):
     """The same paths cut into one row per hour."""
-    return _paths(m, "HOUR")
+    return _paths(m, segment_seconds=3600)
 
 
 # Quality

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 # What the jobs are tuned for. AQE picks broadcast joins from measured sizes, splits skewed
 # sort-merge joins and sizes the reducers, so the shuffle partition count is only an upper bound.
@@ -29,8 +30,12 @@ def local_session(cores: str | int = 8, app: str = "contrail") -> SparkSession:
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
+        # Small test data still uses every core.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.driver.memory", "8g")
+        # No call-site capture per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.log.level", "ERROR")
     )
     return builder.getOrCreate()
@@ -54,3 +59,8 @@ def ensure_checkpoints(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark, "checkpoints"))
+
+
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """A typed frame without rows that the optimizer knows to be empty."""
+    return spark.range(1).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema)).limit(0)

@@ -7,6 +7,7 @@ of a query and of its oracle.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,22 @@ class Adapter:
     where: str | None = None
 
 
+# The columns of the star-schema tables that the adapters read. Declared, so that no job
+# has to look into the files for them.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+    " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,"
+    " l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,"
+    " l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
 # The mapping of the star-schema columns.
 ADAPTERS = {
     "src_flights": Adapter(
@@ -162,14 +179,15 @@ class StarSchema:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.raw = cache(self._raw)
 
     def table(self, name: str) -> DataFrame:
         if name == "event_kinds":
             # Two measurement kinds per event: a narrow expansion, no join.
             return self.table("events").selectExpr("*", "explode(array(0, 1)) AS k")
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
-    def raw(self, name: str) -> DataFrame:
+    def _raw(self, name: str) -> DataFrame:
         adapter = ADAPTERS[name]
         if " on " in adapter.tables:
             tables, condition = adapter.tables.split(" on ")

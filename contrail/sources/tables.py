@@ -17,14 +17,26 @@ from pyspark.sql.types import StructType
 
 from contrail.operators.accumulate import STATE_SCHEMA, accumulate
 from contrail.operators.incremental import assert_same_schema, merge_upsert
-from contrail.session import ensure_checkpoints
+from contrail.session import empty_frame, ensure_checkpoints
 
 
-def read_or_empty(spark: SparkSession, table: str, schema: StructType | str) -> DataFrame:
+def _next_name(table: str) -> str:
+    return f"{table}__next"
+
+
+def _finish_swap(spark: SparkSession, table: str) -> None:
+    """Complete a replacement that ended between dropping the old table and naming the new one."""
+    exists = spark.catalog.tableExists
+    if not exists(table) and exists(_next_name(table)):
+        spark.sql(f"ALTER TABLE {_next_name(table)} RENAME TO {table}")
+
+
+def read_or_empty(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
     """The stored table or, before the first run, an empty frame of its schema."""
+    _finish_swap(spark, table)
     if spark.catalog.tableExists(table):
         return spark.table(table)
-    return spark.createDataFrame([], schema)
+    return empty_frame(spark, schema)
 
 
 @contextmanager
@@ -71,9 +83,12 @@ def _stored_days(spark: SparkSession, table: str) -> list[date]:
     return [date.fromisoformat(value) for value in found]
 
 
-def store_range(batch: DataFrame, table: str, column: str = "dof") -> None:
-    """Replace the stored rows from the batch's first to its last day by the batch."""
-    days = distinct_days(batch, column)
+def store_range(batch: DataFrame, table: str, column: str = "dof", days: list[date] | None = None) -> None:
+    """Replace the stored rows from the batch's first to its last day by the batch.
+
+    ``days`` are the batch's distinct days where the caller knows them already.
+    """
+    days = distinct_days(batch, column) if days is None else days
     if not days:
         return
     _overwrite_partitions(batch, table, column)
@@ -121,8 +136,15 @@ def store_period(current: DataFrame, table: str, year: date, slot: int | None =
 
 
 def store_snapshot(versions: DataFrame, table: str) -> None:
-    """Replace a snapshot table by its next state, which was computed from it."""
-    settled = _settled(versions)
-    if settled.sparkSession.catalog.tableExists(table):
-        assert_same_schema(settled.schema, settled.sparkSession.table(table).schema)
-    settled.write.mode("overwrite").format("parquet").saveAsTable(table)
+    """Replace a snapshot table by its next state, which may be computed from it.
+
+    The next state is written beside the table before the two are swapped.
+    """
+    spark = versions.sparkSession
+    _finish_swap(spark, table)
+    if spark.catalog.tableExists(table):
+        assert_same_schema(versions.schema, spark.table(table).schema)
+    spark.sql(f"DROP TABLE IF EXISTS {_next_name(table)}")
+    versions.write.format("parquet").saveAsTable(_next_name(table))
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    _finish_swap(spark, table)

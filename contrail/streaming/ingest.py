@@ -71,7 +71,8 @@ def event_batches(
         days = distinct_days(known)
         if not days:
             raise QualityError("no event matches a flight: load the flights of the period first")
-        store_range(fct_events(known, int_measurements(stg_measurements(measurements))), facts_table)
+        facts = fct_events(known, int_measurements(stg_measurements(measurements)))
+        store_range(facts, facts_table, days=days)
         if arrays_table is not None:
             stored = raw.sparkSession.table(facts_table)
             advance_arrays(stored, arrays_table, days, resolution)
