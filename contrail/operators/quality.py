@@ -168,4 +168,5 @@ def profile(df: DataFrame, key: list[str], exact: bool = True) -> DataFrame:
         counts = F.broadcast(distinct.select(named, F.col("count").alias("distinct_values")))
         report = report.join(counts, "column", "left").fillna(0, "distinct_values")
     repeated = df.groupBy(*key).count().agg(F.sum(F.col("count") - 1)).scalar()
-    return report.withColumn("repeated_keys", F.coalesce(repeated, F.lit(0).cast("bigint")))
+    report = report.withColumn("repeated_keys", F.coalesce(repeated, F.lit(0).cast("bigint")))
+    return report.select("column", "rows", "missing", "distinct_values", "low", "high", "repeated_keys")

@@ -436,7 +436,10 @@ def _statements() -> dict[str, str]:
         "stream_replace": f"SELECT * REPLACE (CASE WHEN CAST(dof AS DATE) BETWEEN {_JAN.format(11)} AND {_JAN.format(20)}"
         f" THEN altitude + 1 ELSE altitude END AS altitude) FROM (SELECT {_FACT_OUT} FROM fct_events)",
         "stream_arrays": _arrays(
-            _slots(*(f"coalesce(max(count) FILTER (slot = {i}), 0)" for i in range(3))), "day_traffic"
+            "list_slice("
+            + _slots(*(f"coalesce(max(count) FILTER (slot = {i}), 0)" for i in range(3)))
+            + ", 1, (SELECT max(slot) + 1 FROM day_traffic))",
+            "day_traffic",
         )
         + " GROUP BY q, r",
     }

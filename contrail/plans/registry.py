@@ -21,6 +21,7 @@ from contrail.session import empty_frame, shared_folder
 from contrail.sources import schemas
 from contrail.sources.adapters import StarSchema
 from contrail.sources.files import conform
+from contrail.sources.tables import read
 from contrail.streaming import ingest
 
 AIRPORT, LAT, LON = "AP0", 47.0, 5.0
@@ -573,7 +574,7 @@ def stream_ingest(m):
     deliveries = _Deliveries(m)
     deliveries.deliver("all", 1, 30)
     deliveries.run()
-    return m.spark.table(deliveries.facts)
+    return read(m.spark, deliveries.facts)
 
 
 @query
@@ -583,7 +584,7 @@ def stream_replace(m):
     deliveries.deliver("first", 1, 10)
     deliveries.deliver("second", 11, 30)
     deliveries.deliver("second_again", 11, 20, correct=True)
-    return m.spark.table(deliveries.facts)
+    return read(m.spark, deliveries.facts)
 
 
 @query
@@ -592,4 +593,4 @@ def stream_arrays(m):
     deliveries = _Deliveries(m, with_arrays=True)
     for first in (1, 11, 21):
         deliveries.deliver(f"from_{first}", first, first + 9)
-    return m.spark.table(deliveries.arrays)
+    return read(m.spark, deliveries.arrays)

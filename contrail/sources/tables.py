@@ -31,12 +31,16 @@ def _finish_swap(spark: SparkSession, table: str) -> None:
         spark.sql(f"ALTER TABLE {_next_name(table)} RENAME TO {table}")
 
 
+def read(spark: SparkSession, table: str) -> DataFrame:
+    """The stored table as it is now, also where another session (a stream's, say) has written it."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def read_or_empty(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
     """The stored table or, before the first run, an empty frame of its schema."""
     _finish_swap(spark, table)
-    if spark.catalog.tableExists(table):
-        return spark.table(table)
-    return empty_frame(spark, schema)
+    return read(spark, table) if spark.catalog.tableExists(table) else empty_frame(spark, schema)
 
 
 @contextmanager

@@ -21,7 +21,7 @@ from contrail.operators.quality import QualityError, enforce_gate
 from contrail.operators.staging import stg_events, stg_measurements
 from contrail.operators.trajectory import airborne, legs
 from contrail.sources.schemas import GATED_COLUMNS
-from contrail.sources.tables import distinct_days, store_period, store_range
+from contrail.sources.tables import distinct_days, read, store_period, store_range
 
 
 def arrivals(
@@ -74,8 +74,7 @@ def event_batches(
         facts = fct_events(known, int_measurements(stg_measurements(measurements)))
         store_range(facts, facts_table, days=days)
         if arrays_table is not None:
-            stored = raw.sparkSession.table(facts_table)
-            advance_arrays(stored, arrays_table, days, resolution)
+            advance_arrays(read(raw.sparkSession, facts_table), arrays_table, days, resolution)
 
     return handle
 

@@ -1,0 +1,96 @@
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType
+
+from contrail.operators import quality
+
+
+def frame(spark, *entries):
+    return spark.createDataFrame(list(entries), "id string, kind string, size int")
+
+
+def test_gate_reports_and_raises(spark):
+    good = frame(spark, ("a", "x", 1))
+    assert quality.load_gate(good, ["id", "kind"]).first().asDict() == {
+        "id_is_not_null_check": True,
+        "kind_is_not_null_check": True,
+        "is_there_data_check": True,
+    }
+    quality.enforce_gate(good, ["id", "kind"])
+    with pytest.raises(quality.QualityError, match="kind_is_not_null_check"):
+        quality.enforce_gate(frame(spark, ("a", None, 1)), ["id", "kind"])
+    with pytest.raises(quality.QualityError, match="is_there_data_check"):
+        quality.enforce_gate(frame(spark), ["id"])
+
+
+def failing(df, condition):
+    return rows(df.where(condition), "id")
+
+
+def test_row_checks_and_null(spark):
+    df = frame(spark, ("a", "x", 0), ("b", None, None), ("c", "z", 10), (None, "x", 5))
+    assert failing(df, quality.not_null("kind")) == [("b",)]
+    assert failing(df, quality.accepted_values("kind", ["x", "y"])) == [("c",)]
+    assert failing(df, quality.between("size", 0, 10)) == []
+    assert failing(df, quality.between("size", 0, 10, strictly=True)) == [("a",), ("c",)]
+    assert failing(df, quality.between("size", high=5)) == [("c",)]
+    assert failing(df, quality.between("size", low=1)) == [("a",)]
+    assert failing(df, quality.between("size", low=1, where=F.col("kind") == "z")) == []
+
+
+def test_unique_skips_nulls(spark):
+    df = frame(spark, ("a", "x", 1), ("a", "y", 1), ("b", None, 1), ("b", None, 1), (None, "x", 1), (None, "x", 1))
+    assert rows(quality.unique(df, "id")) == [("a", 2), ("b", 2)]
+    assert rows(quality.unique(df, "id", "kind")) == []
+
+
+def test_relationships_skip_nulls(spark):
+    child = frame(spark, ("a", "x", 1), ("b", None, 1), ("c", "q", 1))
+    parent = spark.createDataFrame([("x",)], "code string")
+    assert rows(quality.relationships(child, "kind", parent, "code"), "id") == [("c",)]
+
+
+def test_checks_are_counted_together(spark):
+    df = frame(spark, ("a", "x", 1), ("a", None, 20))
+    parent = spark.createDataFrame([("y",)], "code string")
+    checks = [
+        quality.Check("not_null", ("kind",), quality.not_null("kind")),
+        quality.Check("between", ("size",), quality.between("size", 0, 10)),
+        quality.Check("type", ("size",), types=(IntegerType(),)),
+        quality.Check("type", ("kind",), types=(IntegerType(),)),
+        quality.Check("unique", ("id",)),
+        quality.Check("relationships", ("kind",), parent=(parent, "code")),
+    ]
+    assert [tuple(r) for r in quality.run_checks(df, checks).collect()] == [
+        ("not_null(kind)", 1),
+        ("between(size)", 1),
+        ("type(size)", 0),
+        ("type(kind)", 1),
+        ("unique(id)", 1),
+        ("relationships(kind)", 1),
+    ]
+    assert quality.of_type(df.schema, "kind", StringType())
+    with pytest.raises(quality.QualityError, match="between"):
+        quality.enforce_checks(df, checks)
+    quality.enforce_checks(df, checks[2:3])
+
+
+def test_checks_of_an_empty_frame_pass(spark):
+    checks = [quality.Check("not_null", ("kind",), quality.not_null("kind")), quality.Check("type", ("size",), types=(IntegerType(),))]
+    quality.enforce_checks(frame(spark), checks)
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_profile(spark, exact):
+    df = frame(spark, ("a", "x", 3), ("a", None, 3), ("b", None, 20))
+    report = {r["column"]: tuple(r)[1:] for r in quality.profile(df, ["id"], exact).collect()}
+    assert {k: len(v) for k, v in report.items()} == {"id": 6, "kind": 6, "size": 6}
+    rows_, missing, distinct, low, high, repeated = report["size"]
+    assert (rows_, missing, distinct, low, high, repeated) == (3, 0, 2, "3", "20", 1)
+    assert report["kind"][1:3] == (2, 1)
+
+
+def test_profile_of_a_column_without_values(spark):
+    report = quality.profile(frame(spark, ("a", None, None)), ["id"]).where(F.col("column") == "kind").first()
+    assert (report.missing, report.distinct_values, report.low) == (1, 0, None)
