@@ -56,8 +56,13 @@ def _overwriting_partitions(spark: SparkSession) -> Iterator[None]:
 
 
 def _overwrite_partitions(batch: DataFrame, table: str, column: str) -> None:
-    """Store the batch; partitions it has rows for are replaced, the others stay."""
+    """Store the batch; partitions it has rows for are replaced, the others stay.
+
+    Rebalancing by the partition column gives files of the advisory size: one task per day, several for
+    a large day, and not one small file per task and day.
+    """
     spark = batch.sparkSession
+    batch = batch.hint("rebalance", column)
     if not spark.catalog.tableExists(table):
         batch.write.format("parquet").partitionBy(column).saveAsTable(table)
         return
@@ -139,16 +144,16 @@ def store_period(current: DataFrame, table: str, year: date, slot: int | None =
     _overwrite_partitions(_settled(accumulate(state, current, year, slot)), table, "year_start")
 
 
-def store_snapshot(versions: DataFrame, table: str) -> None:
-    """Replace a snapshot table by its next state, which may be computed from it.
+def replace(df: DataFrame, table: str) -> None:
+    """Replace a whole table by rows that may be computed from it, such as a snapshot's next state.
 
-    The next state is written beside the table before the two are swapped.
+    The new rows are written beside the table before the two are swapped.
     """
-    spark = versions.sparkSession
+    spark = df.sparkSession
     _finish_swap(spark, table)
     if spark.catalog.tableExists(table):
-        assert_same_schema(versions.schema, spark.table(table).schema)
+        assert_same_schema(df.schema, spark.table(table).schema)
     spark.sql(f"DROP TABLE IF EXISTS {_next_name(table)}")
-    versions.write.format("parquet").saveAsTable(_next_name(table))
+    df.hint("rebalance").write.format("parquet").saveAsTable(_next_name(table))
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     _finish_swap(spark, table)

@@ -1,0 +1,85 @@
+from datetime import date, datetime
+
+import pytest
+from conftest import SF_DIR
+from helpers import rows
+from pyspark.sql import functions as F
+
+from contrail.operators.quality import QualityError
+from contrail.plans import dashboards
+from contrail.plans.marts import Marts
+from contrail.plans.runs import Warehouse
+from contrail.sources.adapters import StarSchema
+
+T0, T1 = datetime(2024, 1, 1), datetime(2024, 1, 11)
+
+
+@pytest.fixture
+def files(spark, tmp_path):
+    """Raw files as they are delivered, derived from the star schema."""
+    m = Marts(spark, StarSchema(spark, SF_DIR).raw, T0)
+
+    class Files:
+        models = m
+        countries = m.raw("country_codes")
+
+        def parquet(self, name, df):
+            df.write.parquet(f"{tmp_path}/{name}.parquet")
+            return f"{tmp_path}/{name}.parquet"
+
+        def csv(self, name, df, **options):
+            df.write.options(header=True, **options).csv(f"{tmp_path}/{name}")
+            return f"{tmp_path}/{name}"
+
+        def events(self, first, last):
+            days = m.fct_flights.where(F.dayofmonth("dof").between(first, last)).select(F.col("id").alias("flight_id"))
+            return m.raw("src_events").join(days, "flight_id", "left_semi")
+
+    return Files()
+
+
+def test_runs_build_the_marts(spark, database, files):
+    m = files.models
+    warehouse = Warehouse(spark, database, csv_formats={"aircrafts": {"quote": "'", "separator": ";"}})
+    flights = files.parquet("flight_list_202401", m.raw("src_flights"))
+    aircrafts = files.csv("aircrafts", m.raw("src_aircrafts"), quote="'", sep=";", emptyValue="")
+    types = files.csv("aircraft_types", m.raw("src_aircraft_types"))
+    measurements = files.parquet("measurements", m.raw("src_measurements"))
+    for _ in range(2):
+        warehouse.monthly_run(flights, aircrafts, types)
+    assert rows(warehouse.table("fct_flights"), *m.fct_flights.columns) == rows(m.fct_flights)
+    # An empty text is a NULL once it has gone through a CSV file.
+    assert rows(warehouse.table("dim_aircrafts")) == rows(m.dim_aircrafts.replace("", None, "operatoricao"))
+
+    airports = files.csv("airports", m.raw("src_airports"))
+    first = files.parquet("flight_events_20240101_20240111", files.events(1, 10))
+    warehouse.period_run(first, measurements, airports, files.countries, T0)
+    raised = m.raw("src_airports").withColumn("elevation_ft", F.col("elevation_ft") + F.when(F.col("id") == 0, 1).otherwise(0))
+    second = files.parquet("flight_events_20240111_20240121", files.events(11, 20))
+    for _ in range(2):
+        warehouse.period_run(second, measurements, files.csv(f"airports_{_}", raised), files.countries, T1)
+
+    expected = m.fct_events.where(F.dayofmonth("dof") <= 20)
+    assert rows(warehouse.table("fct_events"), *expected.columns) == rows(expected)
+    versions = warehouse.table("scd_airports")
+    assert versions.count() == m.stg_airports.count() + 1
+    assert dashboards.current_airports(warehouse.table("dim_airports")).count() == m.dim_airports.count()
+
+    warehouse.create_views()
+    assert spark.table("view_events_lagged").count() == expected.count()
+    arrays = warehouse.table("agg_yearly_metric_array")
+    assert rows(arrays.select(F.size("metric_array"), "year_start").distinct()) == [(2, date(2024, 1, 1))]
+    totals = spark.table("sum_yearly_metric_array")
+    assert totals.agg(F.sum("count")).first()[0] == arrays.select(F.explode("metric_array").alias("c")).agg(F.sum("c")).first()[0]
+    hours = dashboards.hourly_traffic(warehouse.table("fct_flights"), warehouse.table("fct_events"), "AP0")
+    assert rows(hours) == rows(dashboards.hourly_traffic(m.fct_flights, expected, "AP0"))
+
+
+def test_failed_gate_stores_nothing(spark, database, files):
+    m = files.models
+    broken = files.parquet("flights", m.raw("src_flights").withColumn("icao24", F.lit(None).cast("string")))
+    aircrafts = files.csv("aircrafts", m.raw("src_aircrafts"))
+    types = files.csv("aircraft_types", m.raw("src_aircraft_types"))
+    with pytest.raises(QualityError, match="icao24_is_not_null_check"):
+        Warehouse(spark, database).monthly_run(broken, aircrafts, types)
+    assert not spark.catalog.tableExists(f"{database}.fct_flights")

@@ -110,7 +110,7 @@ def test_snapshot_is_swapped_and_an_interrupted_swap_completed(spark, database):
     def run(name, moment):
         history = tables.read_or_empty(spark, table, schema)
         now = spark.createDataFrame([(1, name)], "id int, name string")
-        tables.store_snapshot(incremental.scd2(history, now, "id", ["name"], moment), table)
+        tables.replace(incremental.scd2(history, now, "id", ["name"], moment), table)
 
     run("a", datetime(2024, 1, 1))
     run("b", datetime(2024, 1, 11))
