@@ -108,13 +108,17 @@ def agg_by_coordinates(
     misses the one around the circle are left out before the expansion.
     """
     half_lat = radius_km / geo.KM_PER_DEGREE_LAT * 1.01
-    half_lon = radius_km / (geo.KM_PER_DEGREE_LON * max(cos(radians(min(abs(lat) + half_lat, 90.0))), 1e-9)) * 1.01
 
     def reaches(column, center, half):
         low, high = F.least(column, f"prev_{column}"), F.greatest(column, f"prev_{column}")
         return (low <= center + half) & (high >= center - half)
 
-    near = legs.where(reaches("latitude", lat, half_lat) & reaches("longitude", lon, half_lon))
+    near = legs.where(reaches("latitude", lat, half_lat))
+    # A circle that holds a pole or crosses the 180th meridian has no simple range of longitudes.
+    if abs(lat) + half_lat < 90:
+        half_lon = radius_km / (geo.KM_PER_DEGREE_LON * cos(radians(abs(lat) + half_lat))) * 1.01
+        if abs(lon) + half_lon < 180:
+            near = near.where(reaches("longitude", lon, half_lon))
     points = interpolated_points(near)
     segment = F.col("segment") if "segment" in legs.columns else F.lit(None).cast("bigint")
     at, beside = F.col("waypoint.lat"), F.col("waypoint.lon")

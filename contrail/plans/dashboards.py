@@ -15,6 +15,14 @@ TOP_ROWS = 10
 MIN_CONNECTION_FLIGHTS = 10
 
 
+def fetch(df: DataFrame, at_most: int = OVERVIEW_ROWS):
+    """The result as a pandas frame. Fails, and fetches no more, when it has more rows than a page shows."""
+    result = df.limit(at_most + 1).toPandas()
+    if len(result) > at_most:
+        raise ValueError(f"more than {at_most} rows: aggregate or limit the query first")
+    return result
+
+
 def hex_heatmap(totals: DataFrame, rows: int = OVERVIEW_ROWS) -> DataFrame:
     """The busiest cells with the bucket of their count."""
     top = totals.orderBy(F.desc("count"), "hex").limit(rows)

@@ -1,5 +1,6 @@
 from datetime import date
 
+import pytest
 from helpers import at, rows
 from pyspark.sql import functions as F
 
@@ -126,6 +127,12 @@ def test_paths_are_ordered_lists_and_segments_their_pieces(spark):
     assert [p.altitude for p in pieces] == [[50, 100, 0], [80]]
 
 
+def test_fetch_is_bounded(spark):
+    assert len(dashboards.fetch(spark.range(5), 5)) == 5
+    with pytest.raises(ValueError):
+        dashboards.fetch(spark.range(6), 5)
+
+
 def test_heatmap_keeps_the_busiest_and_drops_zero(spark):
     totals = spark.createDataFrame([("a", 100), ("b", 0), ("c", 50), ("d", 1)], "hex string, count bigint")
     assert rows(dashboards.hex_heatmap(totals)) == [("a", 100, 7), ("c", 50, 6), ("d", 1, 1)]

@@ -125,6 +125,15 @@ def test_airport_traffic_agrees_with_every_point(spark):
     assert expected.count() > 20
 
 
+def test_circle_across_the_180th_meridian(spark):
+    df = events(
+        spark,
+        ("a", "f", "landing", at(0), -179.95, 10.0, 100),
+        ("b", "f", "landing", at(9), -179.9, 10.0, 100),
+    )
+    assert hexagons.agg_by_coordinates(trajectory.legs(df), 10.0, 179.95).count() > 0
+
+
 def test_distinct_cells_need_no_shuffle_after_the_window(spark):
     """Between the window and the first grouping of cells there is no exchange."""
     plan = hexagons.hex_traffic(trajectory.legs(tracks(spark, ("f", 1, [(0, 0), (1, 0)]))))
