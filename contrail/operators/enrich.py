@@ -1,13 +1,14 @@
 """Intermediate models and mart tables built from joins and groupings.
 
-No join carries a broadcast hint: dimensions may grow, so Spark decides from their size (statistics
-first, the measured shuffle size under AQE) and splits skewed partitions of a sort-merge join itself.
+No join carries a broadcast hint on a dimension: dimensions may grow, so Spark decides from their size
+(statistics first, the measured shuffle size under AQE).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from contrail.operators.skew import hot_keys, split_join
 from contrail.operators.staging import AIRPORT_TYPES
 
 # Fixed values.
@@ -16,10 +17,14 @@ DISTANCE_FLOWN = "Distance flown (NM)"
 LAND_PLANE = "LandPlane"
 
 
-def int_events(events: DataFrame, flights: DataFrame) -> DataFrame:
-    """Events with the day of flight. Events of unknown flights are left out."""
+def int_events(events: DataFrame, flights: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """Events with the day of flight. Events of unknown flights are left out.
+
+    ``hot`` are the hot flights of the events where the caller knows them.
+    """
+    hot = hot_keys(events, "flight_id") if hot is None else hot
     days = flights.select(F.col("id").alias("flight_key"), "dof")
-    return events.join(days, events["flight_id"] == days["flight_key"]).drop("flight_key")
+    return split_join(events, days, {"flight_id": "flight_key"}, hot, ["id"])
 
 
 def orphan_events(events: DataFrame, flights: DataFrame) -> DataFrame:
@@ -69,17 +74,17 @@ def int_aircraft_types(types: DataFrame) -> DataFrame:
 
 def dim_aircrafts(aircrafts: DataFrame, types: DataFrame) -> DataFrame:
     """Aircraft with every type record of their manufacturer and type code (may fan out)."""
-    same_type = (aircrafts["manufacturericao"] == types["ManufacturerCode"]) & (
-        aircrafts["typecode"] == types["TypeDesignator"]
-    )
-    return aircrafts.join(types, same_type, "left").select(
+    keys = {"manufacturericao": "ManufacturerCode", "typecode": "TypeDesignator"}
+    known = types.withColumn("typedesignator_", F.col("TypeDesignator"))
+    hot = hot_keys(aircrafts, *keys)
+    return split_join(aircrafts, known, keys, hot, ["icao24"], "left").select(
         "icao24",
         "operatoricao",
         "country",
         "registration",
         "manufacturericao",
         "manufacturer",
-        F.col("TypeDesignator").alias("typedesignator"),
+        F.col("typedesignator_").alias("typedesignator"),
         F.col("AircraftType").alias("aircrafttype"),
         F.col("EngineCount").alias("enginecount"),
         F.col("EngineType").alias("enginetype"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from contrail.functions.geo import STEP_KM, haversine_km, step_count
 from contrail.functions.times import clock_seconds, plus_seconds, seconds_between, share_of_seconds
+from contrail.operators.skew import hot_keys
 
 # Fixed values.
 SURFACE_EVENTS = [
@@ -22,24 +23,6 @@ LOW_ALTITUDE = 3000
 CARRIED = ["event_time", "longitude", "latitude", "altitude"]
 EVENT_COLUMNS = ["id", "flight_id", "type", *CARRIED]
 
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
-
-
-def hot_flights(events: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
-    """The flights with more events than one task should sort, at most ``MAX_HOT_KEYS`` of them.
-
-    The set only steers the physical work, results do not depend on it. When there are more such
-    flights, each one left out holds less than 1 / ``MAX_HOT_KEYS`` of all rows.
-    """
-    counts = events.groupBy("flight_id").agg(F.count("*").alias("events"))
-    return (
-        counts.where((F.col("events") > min_rows) & F.col("flight_id").isNotNull())
-        .orderBy(F.desc("events"), "flight_id")
-        .limit(MAX_HOT_KEYS)
-        .select("flight_id")
-    )
-
 
 def legs(events: DataFrame, hot: DataFrame | None = None, segment_seconds: int = 3600) -> DataFrame:
     """Each event with the time and position of the one before it in its flight.
@@ -47,16 +30,17 @@ def legs(events: DataFrame, hot: DataFrame | None = None, segment_seconds: int =
     Events order by time, then id. An ordinary flight is one window group. A hot flight is cut into
     time segments, each a group of its own; the last event of the segment before is put in front of a
     segment, so the first event of it also finds its predecessor. ``segment`` is NULL for ordinary
-    flights; (flight_id, segment) is how the result is partitioned.
+    flights; (flight_id, segment) is how the result is partitioned. ``hot`` names the hot flights where
+    the caller knows them.
     """
-    hot = hot_flights(events) if hot is None else hot
+    hot = hot_keys(events, "flight_id") if hot is None else hot
     is_hot = hot.select("flight_id", F.lit(True).alias("is_hot"))
     # Events without a time come last in a flight, hence in a last segment of their own.
     segment = F.coalesce(F.floor(clock_seconds(F.col("event_time")) / segment_seconds), F.lit(2**62))
 
     tagged = (
         events.select(EVENT_COLUMNS)
-        # At most MAX_HOT_KEYS short rows, see hot_flights.
+        # At most MAX_HOT_KEYS short rows, see hot_keys.
         .join(F.broadcast(is_hot), "flight_id", "left")
         .select(*EVENT_COLUMNS, F.when(F.col("is_hot"), segment).alias("segment"))
     )

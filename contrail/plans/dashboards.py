@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from contrail.functions.times import span_start
 from contrail.operators.ranges import ALTITUDE_FRACTIONS, OVERVIEW_FRACTIONS, range_bucket, with_range_bucket
+from contrail.operators.skew import hot_keys, split_join
 
 # Fixed values.
 OVERVIEW_ROWS = 80_000
@@ -65,9 +66,9 @@ def hourly_traffic(flights: DataFrame, events: DataFrame, icao_code: str) -> Dat
     moves = events.where(F.col("type").isin("take-off", "landing")).select("flight_id", "type", "event_time")
     departs = (F.col("adep") == icao_code) & (F.col("type") == "take-off")
     arrives = (F.col("ades") == icao_code) & (F.col("type") == "landing")
+    joined = split_join(moves, at_airport, {"flight_id": "id"}, hot_keys(moves, "flight_id"), ["event_time", "type"])
     return (
-        moves.join(at_airport, moves["flight_id"] == at_airport["id"])
-        .where(departs | arrives)
+        joined.where(departs | arrives)
         .groupBy(F.hour("event_time").alias("hour"))
         .agg(F.count_distinct("flight_id").alias("count"))
         .orderBy("hour")
@@ -86,7 +87,7 @@ def top_aircraft_types(
     keys = ["enginetype", "enginecount", "manufacturericao", "wtc", "typedesignator"]
     typed = aircrafts.where(F.col("typedesignator").isNotNull()).select("icao24", *keys)
     return (
-        flown.join(typed, flown["flown_by"] == typed["icao24"])
+        split_join(flown, typed, {"flown_by": "icao24"}, hot_keys(flown, "flown_by"), ["id"])
         .groupBy(*keys)
         .agg(F.count_distinct("id").alias("count"))
         .orderBy(F.desc("count"), *keys)
@@ -98,7 +99,7 @@ def top_operators(flights: DataFrame, aircrafts: DataFrame, icao_code: str, rows
     flown = _flights_at(flights, icao_code)
     operated = aircrafts.where(F.col("operatoricao") != "").select("icao24", "operatoricao")
     return (
-        flown.join(operated, flown["flown_by"] == operated["icao24"])
+        split_join(flown, operated, {"flown_by": "icao24"}, hot_keys(flown, "flown_by"), ["id"])
         .groupBy("operatoricao")
         .agg(F.count_distinct("id").alias("count"))
         .orderBy(F.desc("count"), "operatoricao")
@@ -180,10 +181,12 @@ def busiest_points(flights: DataFrame, events: DataFrame, first: date, last: dat
     """Track points of all flights of the busiest aircraft, not only of those in the day range."""
     # TOP_ROWS rows at most.
     top = F.broadcast(busiest_top(flights, first, last).select("icao24"))
-    flight_ids = _routed(flights).join(top, "icao24", "left_semi").select(F.col("id").alias("flight_id"))
-    flown = flights.select(F.col("id").alias("flight_id"), "icao24", "adep", "ades", "dof")
-    points = events.drop("dof").join(flight_ids, "flight_id", "left_semi")
-    return points.join(flown, "flight_id").select(
+    chosen = _routed(flights).join(top, "icao24", "left_semi").select(F.col("id").alias("flight_key"))
+    flown = flights.select(F.col("id").alias("flight_key"), "icao24", "adep", "ades", "dof")
+    flown = flown.join(chosen, "flight_key", "left_semi")
+    points = events.drop("dof")
+    hot = hot_keys(events, "flight_id")
+    return split_join(points, flown, {"flight_id": "flight_key"}, hot, ["id"]).select(
         "icao24",
         "adep",
         "ades",

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from contrail.operators import enrich, staging, trajectory
 from contrail.operators.incremental import scd2_columns, snapshot_airports
+from contrail.operators.skew import hot_keys
 from contrail.session import empty_frame
 
 
@@ -53,9 +54,14 @@ class Marts:
     def fct_flights(self) -> DataFrame:
         return self.stg_flights
 
+    @cached_property
+    def hot_flights(self) -> DataFrame:
+        """A count over one column of the staged events."""
+        return hot_keys(self.stg_events, "flight_id")
+
     @cached_property
     def int_events(self) -> DataFrame:
-        return enrich.int_events(self.stg_events, self.fct_flights)
+        return enrich.int_events(self.stg_events, self.fct_flights, self.hot_flights)
 
     @cached_property
     def int_measurements(self) -> DataFrame:
@@ -67,11 +73,8 @@ class Marts:
 
     @cached_property
     def legs(self) -> DataFrame:
-        """Events with predecessors. Takes positions and times only, which ``int_events`` has.
-
-        Hot flights are looked for in the staged events: a scan of one column, no join.
-        """
-        return trajectory.legs(self.int_events, trajectory.hot_flights(self.stg_events))
+        """Events with predecessors. Takes positions and times only, which ``int_events`` has."""
+        return trajectory.legs(self.int_events, self.hot_flights)
 
     @cached_property
     def airborne_legs(self) -> DataFrame:

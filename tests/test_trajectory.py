@@ -57,11 +57,6 @@ def test_splitting_hot_flights_changes_nothing(spark, moments, segment_seconds,
     assert plain.count() == len(entries)
 
 
-def test_hot_flights_are_found_by_count(spark):
-    df = spark.createDataFrame([("f",)] * 5 + [("g",)] * 2 + [(None,)] * 9, NO_FLIGHT)
-    assert rows(trajectory.hot_flights(df, min_rows=2)) == [("f",)]
-
-
 def leg(spark, lat2, lon2, alt1=100, alt2=200, seconds=100.0):
     return events(
         spark,
