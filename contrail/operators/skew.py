@@ -36,7 +36,11 @@ def _all(conditions) -> Column:
     return reduce(Column.__and__, conditions)
 
 
-def _with_pieces(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+def with_pieces(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    """Add ``_pieces``: the number of pieces of a hot key, NULL for an ordinary one.
+
+    Always the same broadcast, so that Spark computes it once however often a plan asks.
+    """
     names = [f"_hot_{i}" for i in range(len(keys))]
     # At most MAX_HOT_KEYS rows.
     marks = F.broadcast(hot.toDF(*names, "_pieces"))
@@ -62,10 +66,10 @@ def split_join(
     place = F.xxhash64(*spread_by)
     unknown = reduce(Column.__or__, (F.col(k).isNull() for k in left_keys))
     pieces = F.when(unknown, F.lit(NULL_PIECES)).otherwise(F.coalesce("_pieces", F.lit(1)))
-    placed = _with_pieces(left, left_keys, hot).withColumn("_piece", F.pmod(place, pieces)).drop("_pieces")
+    placed = with_pieces(left, left_keys, hot).withColumn("_piece", F.pmod(place, pieces)).drop("_pieces")
     last = F.coalesce("_pieces", F.lit(1).cast("bigint")) - 1
     repeated = (
-        _with_pieces(right.withColumnsRenamed(renamed), list(renamed.values()), hot)
+        with_pieces(right.withColumnsRenamed(renamed), list(renamed.values()), hot)
         .withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
         .drop("_pieces")
     )

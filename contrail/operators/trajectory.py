@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from contrail.functions.geo import STEP_KM, haversine_km, step_count
 from contrail.functions.times import clock_seconds, plus_seconds, seconds_between, share_of_seconds
-from contrail.operators.skew import hot_keys
+from contrail.operators.skew import hot_keys, with_pieces
 
 # Fixed values.
 SURFACE_EVENTS = [
@@ -30,19 +30,15 @@ def legs(events: DataFrame, hot: DataFrame | None = None, segment_seconds: int =
     Events order by time, then id. An ordinary flight is one window group. A hot flight is cut into
     time segments, each a group of its own; the last event of the segment before is put in front of a
     segment, so the first event of it also finds its predecessor. ``segment`` is NULL for ordinary
-    flights; (flight_id, segment) is how the result is partitioned. ``hot`` names the hot flights where
-    the caller knows them.
+    flights; (flight_id, segment) is how the result is partitioned. ``hot`` are the hot flights
+    (``hot_keys``) where the caller knows them.
     """
     hot = hot_keys(events, "flight_id") if hot is None else hot
-    is_hot = hot.select("flight_id", F.lit(True).alias("is_hot"))
     # Events without a time come last in a flight, hence in a last segment of their own.
     segment = F.coalesce(F.floor(clock_seconds(F.col("event_time")) / segment_seconds), F.lit(2**62))
 
-    tagged = (
-        events.select(EVENT_COLUMNS)
-        # At most MAX_HOT_KEYS short rows, see hot_keys.
-        .join(F.broadcast(is_hot), "flight_id", "left")
-        .select(*EVENT_COLUMNS, F.when(F.col("is_hot"), segment).alias("segment"))
+    tagged = with_pieces(events.select(EVENT_COLUMNS), ["flight_id"], hot).select(
+        *EVENT_COLUMNS, F.when(F.col("_pieces").isNotNull(), segment).alias("segment")
     )
     in_segment = (
         tagged.where(F.col("segment").isNotNull())

@@ -55,10 +55,13 @@ def airport_lookup(airports: DataFrame, name: str) -> DataFrame:
     )
 
 
-def hourly_traffic(flights: DataFrame, events: DataFrame, icao_code: str) -> DataFrame:
+def hourly_traffic(
+    flights: DataFrame, events: DataFrame, icao_code: str, hot: DataFrame | None = None
+) -> DataFrame:
     """Distinct flights per hour of day that took off from or landed at the airport.
 
-    Both tables are cut to what can match before the join.
+    Both tables are cut to what can match before the join. ``hot`` are the hot flights of the events
+    where the caller knows them.
     """
     at_airport = flights.where((F.col("adep") == icao_code) | (F.col("ades") == icao_code)).select(
         "id", "adep", "ades"
@@ -66,7 +69,8 @@ def hourly_traffic(flights: DataFrame, events: DataFrame, icao_code: str) -> Dat
     moves = events.where(F.col("type").isin("take-off", "landing")).select("flight_id", "type", "event_time")
     departs = (F.col("adep") == icao_code) & (F.col("type") == "take-off")
     arrives = (F.col("ades") == icao_code) & (F.col("type") == "landing")
-    joined = split_join(moves, at_airport, {"flight_id": "id"}, hot_keys(moves, "flight_id"), ["event_time", "type"])
+    hot = hot_keys(moves, "flight_id") if hot is None else hot
+    joined = split_join(moves, at_airport, {"flight_id": "id"}, hot, ["event_time", "type"])
     return (
         joined.where(departs | arrives)
         .groupBy(F.hour("event_time").alias("hour"))
@@ -177,7 +181,9 @@ def busiest_top(flights: DataFrame, first: date, last: date, rows: int = TOP_ROW
     )
 
 
-def busiest_points(flights: DataFrame, events: DataFrame, first: date, last: date) -> DataFrame:
+def busiest_points(
+    flights: DataFrame, events: DataFrame, first: date, last: date, hot: DataFrame | None = None
+) -> DataFrame:
     """Track points of all flights of the busiest aircraft, not only of those in the day range."""
     # TOP_ROWS rows at most.
     top = F.broadcast(busiest_top(flights, first, last).select("icao24"))
@@ -185,7 +191,7 @@ def busiest_points(flights: DataFrame, events: DataFrame, first: date, last: dat
     flown = flights.select(F.col("id").alias("flight_key"), "icao24", "adep", "ades", "dof")
     flown = flown.join(chosen, "flight_key", "left_semi")
     points = events.drop("dof")
-    hot = hot_keys(events, "flight_id")
+    hot = hot_keys(events, "flight_id") if hot is None else hot
     return split_join(points, flown, {"flight_id": "flight_key"}, hot, ["id"]).select(
         "icao24",
         "adep",
@@ -202,8 +208,10 @@ def busiest_points(flights: DataFrame, events: DataFrame, first: date, last: dat
     )
 
 
-def busiest_aircraft(flights: DataFrame, events: DataFrame, first: date, last: date) -> DataFrame:
-    return busiest_points(flights, events, first, last).orderBy("icao24", "event_time", "id")
+def busiest_aircraft(
+    flights: DataFrame, events: DataFrame, first: date, last: date, hot: DataFrame | None = None
+) -> DataFrame:
+    return busiest_points(flights, events, first, last, hot).orderBy("icao24", "event_time", "id")
 
 
 def default_aircraft(points: DataFrame) -> DataFrame:

@@ -392,7 +392,7 @@ def airport_lookup(m):
 @query
 def hourly_traffic(m):
     # int_events has all the columns of fct_events that the query reads.
-    return dashboards.hourly_traffic(m.fct_flights, m.int_events, AIRPORT)
+    return dashboards.hourly_traffic(m.fct_flights, m.int_events, AIRPORT, m.hot_flights)
 
 
 @query
@@ -434,16 +434,16 @@ def busiest_top10(m):
 
 @query
 def busiest_aircraft(m):
-    return dashboards.busiest_aircraft(m.fct_flights, m.fct_events, FIRST, LAST)
+    return dashboards.busiest_aircraft(m.fct_flights, m.fct_events, FIRST, LAST, m.hot_flights)
 
 
 @query
 def default_aircraft(m):
-    return dashboards.default_aircraft(dashboards.busiest_points(m.fct_flights, m.fct_events, FIRST, LAST))
+    return dashboards.default_aircraft(dashboards.busiest_points(m.fct_flights, m.fct_events, FIRST, LAST, m.hot_flights))
 
 
 def _paths(m, segment_seconds=None):
-    points = dashboards.busiest_points(m.fct_flights, m.fct_events, FIRST, LAST)
+    points = dashboards.busiest_points(m.fct_flights, m.fct_events, FIRST, LAST, m.hot_flights)
     chosen = dashboards.filter_points(points, dashboards.busiest_top(m.fct_flights, FIRST, LAST), FIRST, PATHS_UNTIL)
     paths = dashboards.aircraft_paths(chosen, segment_seconds)
     decimals = "array<decimal(18,6)>"

@@ -101,7 +101,7 @@ def test_counting_agrees_with_count_distinct(spark, visits, hot):
         (f"{i:03}", flight, "landing", at(i, day), centre(q, r, 6)[1], centre(q, r, 6)[0], 0)
         for i, (flight, day, (q, r)) in enumerate(visits)
     ]
-    legs = trajectory.legs(events(spark, *entries), spark.createDataFrame([(h,) for h in hot], "flight_id string"), 3600)
+    legs = trajectory.legs(events(spark, *entries), spark.createDataFrame([(h, 2) for h in hot], "flight_id string, pieces bigint"), 3600)
     cells = hexagons.path_cells(legs, 6)
     plain = cells.groupBy("q", "r").agg(F.count_distinct("flight_id").alias("count"))
     assert rows(hexagons.count_flights(cells, "q", "r")) == rows(plain)

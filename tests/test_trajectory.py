@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from contrail.functions.times import seconds_between, share_of_seconds, span_start
 from contrail.operators import trajectory
 
-NO_FLIGHT = "flight_id string"
+NO_FLIGHT = "flight_id string, pieces bigint"
 
 
 def none_hot(spark):
@@ -50,7 +50,7 @@ def test_splitting_hot_flights_changes_nothing(spark, moments, segment_seconds,
         for i, (flight, second) in enumerate(moments)
     ]
     df = events(spark, *entries)
-    chosen = spark.createDataFrame([(h,) for h in hot], NO_FLIGHT)
+    chosen = spark.createDataFrame([(h, 2) for h in hot], NO_FLIGHT)
     plain = trajectory.legs(df, none_hot(spark)).drop("segment")
     split = trajectory.legs(df, chosen, segment_seconds).drop("segment")
     assert rows(split) == rows(plain)
