@@ -44,7 +44,7 @@ def with_pieces(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
     names = [f"_hot_{i}" for i in range(len(keys))]
     # At most MAX_HOT_KEYS rows.
     marks = F.broadcast(hot.toDF(*names, "_pieces"))
-    return df.join(marks, _all(F.col(k) == F.col(n) for k, n in zip(keys, names)), "left").drop(*names)
+    return df.join(marks, _all(F.col(k) == F.col(n) for k, n in zip(keys, names)), "left")
 
 
 def split_join(
@@ -61,18 +61,14 @@ def split_join(
     of ``right`` with that key are repeated for each piece. Left rows with a NULL key match nothing and
     are spread likewise. The result has the columns of both sides but the right keys.
     """
-    left_keys, right_keys = list(on), list(on.values())
-    renamed = {key: f"_right_{i}" for i, key in enumerate(right_keys)}
-    place = F.xxhash64(*spread_by)
-    unknown = reduce(Column.__or__, (F.col(k).isNull() for k in left_keys))
+    keys, kept = list(on), left.columns
+    others = [c for c in right.columns if c not in on.values()]
+    right_keys = [f"_right_{i}" for i in range(len(on))]
+    unknown = reduce(Column.__or__, (F.col(k).isNull() for k in keys))
     pieces = F.when(unknown, F.lit(NULL_PIECES)).otherwise(F.coalesce("_pieces", F.lit(1)))
-    placed = with_pieces(left, left_keys, hot).withColumn("_piece", F.pmod(place, pieces)).drop("_pieces")
-    last = F.coalesce("_pieces", F.lit(1).cast("bigint")) - 1
-    repeated = (
-        with_pieces(right.withColumnsRenamed(renamed), list(renamed.values()), hot)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        .drop("_pieces")
-    )
-    same_key = _all(F.col(k) == F.col(renamed[r]) for k, r in on.items())
-    joined = placed.join(repeated, same_key & (F.col("_piece") == F.col("_copy")), how)
-    return joined.drop("_piece", "_copy", *renamed.values())
+    placed = with_pieces(left, keys, hot).select(*kept, F.pmod(F.xxhash64(*spread_by), pieces).alias("_piece"))
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_pieces", F.lit(1)) - 1))
+    named = right.select(*others, *(F.col(r).alias(n) for r, n in zip(on.values(), right_keys)))
+    repeated = with_pieces(named, right_keys, hot).select(*others, *right_keys, copies.alias("_copy"))
+    same_key = _all(F.col(k) == F.col(r) for k, r in zip(keys, right_keys))
+    return placed.join(repeated, same_key & (F.col("_piece") == F.col("_copy")), how).select(*kept, *others)

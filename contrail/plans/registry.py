@@ -45,6 +45,8 @@ def flat(df: DataFrame) -> DataFrame:
             value = F.array_join(value.cast("array<string>"), ",", "null")
         return value.alias(field.name)
 
+    if not any(isinstance(field.dataType, DateType | ArrayType) for field in df.schema):
+        return df
     return df.select([column(field) for field in df.schema])
 
 
