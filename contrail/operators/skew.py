@@ -65,8 +65,13 @@ def split_join(
     others = [c for c in right.columns if c not in on.values()]
     right_keys = [f"_right_{i}" for i in range(len(on))]
     unknown = reduce(Column.__or__, (F.col(k).isNull() for k in keys))
-    pieces = F.when(unknown, F.lit(NULL_PIECES)).otherwise(F.coalesce("_pieces", F.lit(1)))
-    placed = with_pieces(left, keys, hot).select(*kept, F.pmod(F.xxhash64(*spread_by), pieces).alias("_piece"))
+    spread = F.xxhash64(*spread_by)
+    piece = (
+        F.when(unknown, F.pmod(spread, F.lit(NULL_PIECES)))
+        .when(F.col("_pieces").isNotNull(), F.pmod(spread, F.col("_pieces")))
+        .otherwise(F.lit(0).cast("bigint"))
+    )
+    placed = with_pieces(left, keys, hot).select(*kept, piece.alias("_piece"))
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_pieces", F.lit(1)) - 1))
     named = right.select(*others, *(F.col(r).alias(n) for r, n in zip(on.values(), right_keys)))
     repeated = with_pieces(named, right_keys, hot).select(*others, *right_keys, copies.alias("_copy"))
