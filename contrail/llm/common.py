@@ -46,8 +46,18 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROW_KEY = ["_id", "_no_id", "_text"]
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``ROW_KEY``: equal, and never null, for rows that are equal in id and text."""
+    known = F.col("`doc_id`")
+    values = F.coalesce(known.cast("long"), F.lit(0)), known.isNull(), F.xxhash64("`text`")
+    return docs.select("*", *(value.alias(name) for name, value in zip(ROW_KEY, values)))
+
+
 def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join with a ``right`` side that has unique keys; ``right`` should be a stored table, as it is counted.
+    """Join with a smaller ``right`` side, which should be a stored table, as it is counted.
 
     Up to ``BROADCAST_ROWS`` rows it is broadcast, beyond that it is repeated ``SALTS`` times and the left
     rows are dealt over the repetitions, so that a hot key does not meet in one task.

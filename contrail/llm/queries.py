@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import minhash, mixing, token_files
+from contrail.llm import decontamination, minhash, mixing, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_decontamination": decontamination.op1_decontamination,
         "op2_mixing": mixing.op2_mixing,
         "op6_minhash": minhash.op6_minhash,
         "op7_token_files": token_files.op7_token_files,

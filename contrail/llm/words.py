@@ -8,15 +8,21 @@ import numpy as np
 import pyarrow as pa
 
 PIECE = 1 << 20  # bytes hashed at a time, which bounds the temporary arrays
-_SEPARATOR = np.zeros(256, bool)
-_SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
-_generator = np.random.default_rng(0x5EED)
-_BYTE = _generator.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BYTE[_SEPARATOR] = 0
-_BYTE[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def byte_values(separators: list[int]) -> np.ndarray:
+    """A random odd number for each byte, 0 for separators, the same for A-Z as for a-z."""
+    values = np.random.default_rng(0x5EED).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
+    values[separators] = 0
+    return values
+
+
+SPACED = byte_values([0x20, *range(0x09, 0x0E)])  # words end at white space
+LETTERED = byte_values([b for b in range(0x80) if not chr(b).isalnum()])  # and at ASCII punctuation
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers whose result bits each depend on all bits."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -44,9 +50,9 @@ def chunks(offsets: np.ndarray, most: int = PIECE) -> Iterator[tuple[int, int]]:
         first = min(last, n)
 
 
-def _piece(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _piece(data: np.ndarray, breaks: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Start and hash of the words; ``breaks`` are places where a new text begins."""
-    inside = ~_SEPARATOR[data]
+    inside = (values != 0)[data]
     start = inside.copy()
     start[1:] &= ~inside[:-1]
     start[breaks] = inside[breaks]
@@ -56,24 +62,26 @@ def _piece(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray
     lengths = np.diff(starts, append=len(data))
     place = np.arange(starts[0], len(data)) - np.repeat(starts, lengths)
     power = np.cumprod(np.full(int(lengths.max()), _BASE))
-    return starts, mix(np.add.reduceat(_BYTE[data[starts[0] :]] * power[place], starts - starts[0]))
+    return starts, mix(np.add.reduceat(values[data[starts[0] :]] * power[place], starts - starts[0]))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, values: np.ndarray = SPACED
+) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word in order, word offsets of the texts), with A-Z like a-z."""
     starts, hashes, at = [], [], 0
     while at < len(data):
         end = min(at + PIECE, len(data))
         while end < len(data):  # move to the next separator or text start, whichever comes first
-            stops = np.flatnonzero(_SEPARATOR[data[end : end + PIECE]])
-            border = offsets[np.searchsorted(offsets, end, "left")]
-            stop = min(end + int(stops[0]) if len(stops) else end + PIECE, int(border))
-            done = len(stops) or stop == border
-            end = min(stop, len(data))
-            if done:
+            stops = np.flatnonzero(values[data[end : end + PIECE]] == 0)
+            border = int(offsets[np.searchsorted(offsets, end, "left")])
+            stop = end + (int(stops[0]) if len(stops) else PIECE)
+            found = len(stops) > 0 or stop >= border
+            end = min(stop, border, len(data))
+            if found:
                 break
         inner = offsets[(offsets >= at) & (offsets < end)] - at
-        s, h = _piece(data[at:end], inner)
+        s, h = _piece(data[at:end], inner, values)
         starts.append(s + at)
         hashes.append(h)
         at = end
