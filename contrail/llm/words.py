@@ -65,11 +65,9 @@ def _piece(data: np.ndarray, breaks: np.ndarray, values: np.ndarray) -> tuple[np
     return starts, mix(np.add.reduceat(values[data[starts[0] :]] * power[place], starts - starts[0]))
 
 
-def word_hashes(
-    data: np.ndarray, offsets: np.ndarray, values: np.ndarray = SPACED
-) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word in order, word offsets of the texts), with A-Z like a-z."""
-    starts, hashes, at = [], [], 0
+def words_of(data: np.ndarray, offsets: np.ndarray, values: np.ndarray = SPACED) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, hash) of each word in order, with A-Z like a-z."""
+    starts, hashes, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
     while at < len(data):
         end = min(at + PIECE, len(data))
         while end < len(data):  # move to the next separator or text start, whichever comes first
@@ -85,9 +83,15 @@ def word_hashes(
         starts.append(s + at)
         hashes.append(h)
         at = end
-    if not starts:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), offsets).astype(np.int64)
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, values: np.ndarray = SPACED
+) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word in order, word offsets of the texts)."""
+    starts, hashes = words_of(data, offsets, values)
+    return hashes, np.searchsorted(starts, offsets).astype(np.int64)
 
 
 _PLACE = mix(np.arange(1, 257, dtype=np.uint64) * _BASE) | np.uint64(1)
