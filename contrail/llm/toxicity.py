@@ -7,7 +7,8 @@ sentences offend (:func:`scored`, :func:`offending`).
 
 The weights are fitted on a bounded sample of labelled documents, at most about ``TRAIN_DOCS`` of each label,
 chosen by a hash of the id and weighed by how many each stands for. Words are hashed to ``BUCKETS`` weights;
-words in fewer than ``LEAST_DOCS`` documents of the sample have none.
+only words whose share of the sample's toxic documents differs from that of the others by ``LEAST_Z`` standard
+errors have one, else the weights would learn the sample by heart.
 
 Defined cases: a null, empty or wordless text has no sentence and score 0; very long texts are scored whole;
 with no labels, or labels of one kind only, the score is that of untrained weights or of that kind; rows with a
@@ -31,8 +32,8 @@ from contrail.llm.words import LETTERED, chunks, utf8, words_of
 
 BUCKETS = 1 << 18
 TRAIN_DOCS = 10_000  # of each label, on average
-LEAST_DOCS = 5
-STEPS, RATE, DECAY = 150, 0.1, 1e-3
+LEAST_DOCS, LEAST_Z = 5, 5.0
+STEPS, RATE, DECAY = 200, 0.1, 1e-3
 START = -5.0  # a sentence's log odds before anything is learned
 
 _END = np.zeros(256, bool)
@@ -94,15 +95,26 @@ def fit(labelled: DataFrame) -> Model:
         return start
     words = [np.frombuffer(w, np.int32) for w in rows["words"]]
     sentences = [np.frombuffer(s, np.int32) for s in rows["sentences"]]
-    frequency = np.bincount(np.concatenate([np.unique(w) for w in words]), minlength=BUCKETS)
+    toxic = rows["toxic"].to_numpy(float)
+    telling = _telling([np.unique(w) for w in words], toxic > 0)
     first = np.concatenate([s + at for s, at in zip(sentences, np.cumsum([0, *map(len, words)]))])
     document = np.cumsum([0, *map(len, sentences)])[:-1]
     words = np.concatenate(words)
     sentence = np.repeat(np.arange(len(first)), np.diff(first, append=len(words)))
-    known = frequency[words] >= LEAST_DOCS
-    return _descend(
-        words[known], sentence[known], len(first), document, rows["toxic"].to_numpy(float), rows["stands_for"].to_numpy()
-    )
+    known = telling[words]
+    return _descend(words[known], sentence[known], len(first), document, toxic, rows["stands_for"].to_numpy())
+
+
+def _telling(sets: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """The buckets whose words are clearly more, or less, common among toxic documents."""
+    kind = np.repeat(toxic, [len(s) for s in sets])
+    bucket = np.concatenate(sets)
+    among = np.bincount(bucket[kind], minlength=BUCKETS), np.bincount(bucket[~kind], minlength=BUCKETS)
+    docs = max(toxic.sum(), 1), max((~toxic).sum(), 1)
+    share = (among[0] + among[1]) / len(sets)
+    error = np.sqrt(share * (1 - share) * (1 / docs[0] + 1 / docs[1]))
+    z = np.abs(among[0] / docs[0] - among[1] / docs[1]) / np.maximum(error, 1e-12)
+    return (among[0] + among[1] >= LEAST_DOCS) & (z >= LEAST_Z)
 
 
 def _descend(
@@ -121,7 +133,7 @@ def _descend(
         offends = np.maximum(-np.expm1(none), 1e-12)
         # d/d odds of the log likelihood: the sentence's probability times this, for toxic and other documents.
         pull = weight * np.where(toxic > 0, np.exp(none) / offends, -1.0)
-        slope = np.repeat(pull, lengths) / (1 + np.exp(-odds))
+        slope = np.repeat(pull, lengths) * np.exp(-np.logaddexp(0, -odds))
         gradient = np.append(np.bincount(word, slope[sentence], len(kinds)), slope.sum())
         gradient[:-1] -= DECAY * values[:-1] / len(values)
         mean = 0.9 * mean + 0.1 * gradient
