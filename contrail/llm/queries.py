@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import decontamination, minhash, mixing, token_files
+from contrail.llm import decontamination, language, minhash, mixing, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,8 +15,10 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": decontamination.op1_decontamination,
         "op2_mixing": mixing.op2_mixing,
+        "op3_language": language.op3_language,
         "op6_minhash": minhash.op6_minhash,
         "op7_token_files": token_files.op7_token_files,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
