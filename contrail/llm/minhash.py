@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from contrail.llm.common import components, documents, ship, stored
+from contrail.llm.common import ROW_KEY, components, documents, join_checked, keyed, ship, stored
 from contrail.llm.words import chunks, mix, shingle_set, utf8, word_hashes
 
 WORDS, PERCENT = 5, 75
@@ -72,21 +72,20 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, f0, f1, signature) of each row."""
+    """(doc_id, text_hash, n_shingles, f0, f1, signature) of each row."""
     ship(docs.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_shingles", "f0", "f1", *SIGNATURE]
         for batch in batches:
-            n, rows = batch.num_rows, np.zeros((batch.num_rows, len(names) - 1), np.int64)
-            for i, shingles in enumerate(sets_of(batch.column(1))):
+            rows = np.zeros((batch.num_rows, len(names) - 2), np.int64)
+            for i, shingles in enumerate(sets_of(batch.column(2))):
                 rows[i] = len(shingles), *fingerprint(shingles), *signature(shingles)
-            if n:
-                columns = [batch.column(0), *(pa.array(rows[:, i]) for i in range(rows.shape[1]))]
-                yield pa.RecordBatch.from_arrays(columns, names)
+            columns = [batch.column(0), batch.column(1), *(pa.array(rows[:, i]) for i in range(rows.shape[1]))]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = ", ".join(f"{c} long" for c in ["doc_id", "n_shingles", "f0", "f1", *SIGNATURE])
-    return docs.select(F.col("`doc_id`").cast("long").alias("doc_id"), "`text`").mapInArrow(sign, schema)
+    names = ["doc_id", "text_hash", "n_shingles", "f0", "f1", *SIGNATURE]
+    rows = docs.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.xxhash64("`text`").alias("text_hash"), "`text`")
+    return rows.mapInArrow(sign, ", ".join(f"{c} long" for c in names))
 
 
 def _symbol(i: int) -> Column:
@@ -181,7 +180,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFram
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of each row of ``docs`` (doc_id, text)."""
+    """(doc_id, text_hash, n_shingles, component_id, kept) of each row of ``docs`` (doc_id, text)."""
     signed = stored(signatures(docs), "signatures")
     named = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["f0", "f1", "n_shingles"]
@@ -210,12 +209,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = stored(components(links), "components")
     classes = classes.join(found, F.col("doc_id") == F.col("node"), "left")
     classes = classes.select(*same, F.coalesce("component", "doc_id").alias("_component"))
-    rows = signed.select("doc_id", *same).join(classes, same, "left")
+    rows = signed.select("doc_id", "text_hash", *same).join(classes, same, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("doc_id"))
-    rows = rows.select("doc_id", "n_shingles", component.alias("component_id"))
+    rows = rows.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return rows.withColumn("kept", kept)
 
 
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """One document of each group of near-duplicates, with all its columns; rows that repeat one stay once."""
+    found = near_duplicates(docs)
+    key = F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), F.col("text_hash")
+    found = stored(found.select(*(c.alias(n) for c, n in zip(key, ROW_KEY)), "kept"), "kept")
+    dropped = stored(found.where("NOT kept").select(*ROW_KEY).distinct(), "dropped")
+    kept = join_checked(keyed(docs), dropped, ROW_KEY, "left_anti")
+    repeated = found.where("kept").groupBy(*ROW_KEY).count().where("count > 1").select(*ROW_KEY)
+    repeated = stored(repeated, "repeated")
+    if not repeated.isEmpty():
+        once = join_checked(kept, repeated, ROW_KEY, "left_semi").dropDuplicates(ROW_KEY)
+        kept = join_checked(kept, repeated, ROW_KEY, "left_anti").unionByName(once)
+    return kept.drop(*ROW_KEY)
+
+
 def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(documents(spark, folder))
+    return near_duplicates(documents(spark, folder)).drop("text_hash")

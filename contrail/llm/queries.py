@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import decontamination, language, minhash, mixing, token_files, toxicity
+from contrail.llm import decontamination, embeddings, language, minhash, mixing, token_files, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,8 @@ def queries() -> dict[str, Query]:
         "op3_language": language.op3_language,
         "op6_minhash": minhash.op6_minhash,
         "op7_token_files": token_files.op7_token_files,
+        "op8_embeddings": embeddings.op8_embeddings,
+        "op9_url_rules": urls.op9_url_rules,
         "op10_toxicity": toxicity.op10_toxicity,
     }
 
