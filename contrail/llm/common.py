@@ -12,7 +12,6 @@ from pyspark.sql.types import LongType, StructField, StructType
 from contrail.session import shared_folder
 
 BROADCAST_ROWS = 50_000  # a side is broadcast only after its rows were counted and are no more than this
-SALTS = 64
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -49,24 +48,32 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 ROW_KEY = ["_id", "_no_id", "_text"]
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``ROW_KEY``: equal, and never null, for rows that are equal in id and text."""
-    known = F.col("`doc_id`")
-    values = F.coalesce(known.cast("long"), F.lit(0)), known.isNull(), F.xxhash64("`text`")
-    return docs.select("*", *(value.alias(name) for name, value in zip(ROW_KEY, values)))
+def keyed(docs: DataFrame, keep: list[str] | None = None, *more: Column) -> DataFrame:
+    """(row, ``ROW_KEY``, more): ``keep``, else all, of each row as a struct, so that no names can clash.
+
+    The key is equal, and never null, for rows that are equal in id and text.
+    """
+    row = F.struct(*(F.col(f"`{c}`") for c in keep or docs.columns)).alias("row")
+    return docs.select(row, *row_key(F.col("`doc_id`"), F.xxhash64("`text`")), *more)
+
+
+def row_key(doc_id: Column, text_hash: Column) -> list[Column]:
+    values = F.coalesce(doc_id.cast("long"), F.lit(0)), doc_id.isNull(), text_hash
+    return [value.alias(name) for name, value in zip(ROW_KEY, values)]
+
+
+def unkeyed(rows: DataFrame, like: DataFrame) -> DataFrame:
+    """The rows of a keyed frame, with the columns of ``like``."""
+    return rows.select(*(F.col(f"row.`{c}`").alias(c) for c in like.columns))
 
 
 def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join with a smaller ``right`` side, which should be a stored table, as it is counted.
 
-    Up to ``BROADCAST_ROWS`` rows it is broadcast, beyond that it is repeated ``SALTS`` times and the left
-    rows are dealt over the repetitions, so that a hot key does not meet in one task.
+    Up to ``BROADCAST_ROWS`` rows it is broadcast. Beyond that both sides are shuffled, and a hot key of the left
+    side is split by adaptive execution.
     """
-    if right.count() <= BROADCAST_ROWS:
-        return left.join(F.broadcast(right), on, how)
-    salted = left.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return left.join(F.broadcast(right) if right.count() <= BROADCAST_ROWS else right, on, how)
 
 
 def components(edges: DataFrame) -> DataFrame:

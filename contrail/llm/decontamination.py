@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contrail.llm.common import ROW_KEY, documents, join_checked, keyed, ship, stored
+from contrail.llm.common import ROW_KEY, documents, join_checked, keyed, row_key, ship, stored, unkeyed
 from contrail.llm.words import LETTERED, chunks, sequence_hash, utf8, word_hashes
 
 WINDOW, SUBSTITUTED, SHORTEST = 12, 2, 5
@@ -172,8 +172,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _by_row(found: DataFrame) -> DataFrame:
     """Overlaps with the key of the rows they are in."""
-    known = F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), F.col("text_hash")
-    return found.select(*(value.alias(name) for name, value in zip(ROW_KEY, known)), "item_id", "start", "end")
+    return found.select(*row_key(F.col("doc_id"), F.col("text_hash")), "item_id", "start", "end")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -187,9 +186,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     by_row = by_row.select(
         *ROW_KEY, "overlaps", F.col("best.n").alias("longest"), (-F.col("best.item")).alias("item_id")
     )
-    rows = keyed(docs.select(F.col("`doc_id`").alias("doc_id"), F.col("`text`").alias("text"))).drop("text")
+    rows = keyed(docs, ["doc_id"])
     return join_checked(rows, stored(by_row, "found"), ROW_KEY, "left").select(
-        "doc_id", F.coalesce("overlaps", F.lit(0)).cast("long").alias("overlaps"),
+        "row.doc_id", F.coalesce("overlaps", F.lit(0)).cast("long").alias("overlaps"),
         F.coalesce("longest", F.lit(0)).cast("int").alias("longest"), "item_id",
         F.col("overlaps").isNotNull().alias("contaminated"),
     )
@@ -198,7 +197,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no passage of the benchmark."""
     found = stored(_by_row(overlaps(docs, benchmark)).select(*ROW_KEY).distinct(), "found")
-    return join_checked(keyed(docs), found, ROW_KEY, "left_anti").drop(*ROW_KEY)
+    return unkeyed(join_checked(keyed(docs), found, ROW_KEY, "left_anti"), docs)
 
 
 def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from contrail.llm.common import ROW_KEY, components, documents, join_checked, keyed, ship, stored
+from contrail.llm.common import ROW_KEY, components, documents, join_checked, keyed, row_key, ship, stored, unkeyed
 from contrail.llm.words import chunks, mix, shingle_set, utf8, word_hashes
 
 WORDS, PERCENT = 5, 75
@@ -219,8 +219,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One document of each group of near-duplicates, with all its columns; rows that repeat one stay once."""
     found = near_duplicates(docs)
-    key = F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), F.col("text_hash")
-    found = stored(found.select(*(c.alias(n) for c, n in zip(key, ROW_KEY)), "kept"), "kept")
+    found = stored(found.select(*row_key(F.col("doc_id"), F.col("text_hash")), "kept"), "kept")
     dropped = stored(found.where("NOT kept").select(*ROW_KEY).distinct(), "dropped")
     kept = join_checked(keyed(docs), dropped, ROW_KEY, "left_anti")
     repeated = found.where("kept").groupBy(*ROW_KEY).count().where("count > 1").select(*ROW_KEY)
@@ -228,7 +227,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     if not repeated.isEmpty():
         once = join_checked(kept, repeated, ROW_KEY, "left_semi").dropDuplicates(ROW_KEY)
         kept = join_checked(kept, repeated, ROW_KEY, "left_anti").unionByName(once)
-    return kept.drop(*ROW_KEY)
+    return unkeyed(kept, docs)
 
 
 def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,7 +18,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from contrail.llm.common import WORD, documents, join_checked, ranked, stored, unit_interval
+from contrail.llm.common import (
+    ROW_KEY,
+    WORD,
+    documents,
+    join_checked,
+    keyed,
+    ranked,
+    row_key,
+    stored,
+    unit_interval,
+    unkeyed,
+)
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3  # copies of a document
@@ -182,16 +193,10 @@ def mix(
 
 def mixed(docs: DataFrame) -> DataFrame:
     """``docs`` with each row as often as the mix takes it, all columns kept."""
-    copies = mix(docs).where("copies > 0").select(F.struct(*UNIT).alias("_unit"), "copies")
-    copies = stored(copies, "copies").select("*", "_unit.*").drop("_unit")
-    named = copies.select(*(F.col(c).alias(f"_{c}") for c in copies.columns))
-    same = (
-        (source_key(docs["`source`"]) == F.col("_key"))
-        & docs["`doc_id`"].eqNullSafe(F.col("_doc_id"))
-        & (F.xxhash64(docs["`text`"]) == F.col("_text_hash"))
-    )
-    joined = docs.join(named, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-    return joined.select(*(docs[f"`{c}`"] for c in docs.columns))
+    copies = mix(docs).where("copies > 0")
+    copies = stored(copies.select("key", *row_key(F.col("doc_id"), F.col("text_hash")), "copies"), "copies")
+    rows = join_checked(keyed(docs, None, source_key("`source`").alias("key")), copies, ["key", *ROW_KEY])
+    return unkeyed(rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))), docs)
 
 
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import decontamination, embeddings, language, minhash, mixing, token_files, toxicity, urls
+from contrail.llm import decontamination, embeddings, language, lines, markup, minhash, mixing, token_files, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,8 @@ def queries() -> dict[str, Query]:
         "op1_decontamination": decontamination.op1_decontamination,
         "op2_mixing": mixing.op2_mixing,
         "op3_language": language.op3_language,
+        "op4_html": markup.op4_html,
+        "op5_lines": lines.op5_lines,
         "op6_minhash": minhash.op6_minhash,
         "op7_token_files": token_files.op7_token_files,
         "op8_embeddings": embeddings.op8_embeddings,
