@@ -16,11 +16,12 @@ texts of any length are encoded whole, word by word, and blocks bound what is he
 
 from __future__ import annotations
 
-import re
+import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +30,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from contrail.llm.common import documents, ship, stored
+from contrail.llm.words import utf8
 from contrail.session import shared_folder
 
 BLOCK = 1 << 16
 TRAILER = struct.Struct("<8sIIQQQQ")  # magic, bits, ids per block, blocks, documents, ids, footer offset
 MAGIC = b"PACKIDS1"
-CACHED_WORDS = 400_000  # per Python worker; beyond it the cache starts anew
+CACHED_WORDS, CACHED_PARTS = 300_000, 900_000  # per Python worker; beyond them the caches start anew
 MANIFEST = "shard int, path string, n_docs long, n_ids long"
-_SPACE = re.compile(r"[ \t\n\r]+")
+_MARKS, _LATIN = b".,;:!?", 0x250
 
 
 def bits_for(vocabulary: int) -> int:
@@ -54,35 +56,72 @@ def unpack(block: bytes, n: int, bits: int) -> np.ndarray:
     return np.packbits(wide, axis=1).view(">u4").ravel().astype("<u4")
 
 
+class _Cache(dict):
+    """Values by a function of their key; it starts anew beyond ``most`` values."""
+
+    def __init__(self, make: Callable, most: int):
+        self.make, self.most = make, most
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(self) >= self.most:
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Encoder:
     """The library's ids of a text as little-endian 32-bit numbers.
 
     The tokenizer's pieces never contain white space, so a text's ids are those of its words in turn, and the
-    ids of a word need to be asked for only once. ``whole`` says that this doesn't hold for a tokenizer.
+    ids of a word need to be asked for only once. Nor does a piece hold a letter and a mark, so marks that end a
+    word are asked for apart from it. It takes letters in lower case, which for ASCII is done at once, unless
+    the text might hold a special token. Words of Latin letters are one piece: they go to the tokenizer's model
+    letter by letter as its normalizer and pre-tokenizer give them. ``whole`` says that all this doesn't hold
+    for a tokenizer.
     """
 
     def __init__(self, path: str, whole: bool = False):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.whole = whole
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def __call__(self, text: str) -> bytes:
+        self.model, self.whole = self.tokenizer.model, whole
+        self.words = _Cache(self._word, CACHED_WORDS)  # as they stand
+        self.parts = _Cache(self._part, CACHED_PARTS)  # words without marks, and marks
+        self.letters = _Cache(self._letter, _LATIN)
+
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _letter(self, code: int) -> str:
+        """A Latin letter as the pieces have it, "" for anything else."""
+        if code >= _LATIN or not chr(code).isalpha():
+            return ""
+        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(chr(code)))
+        return pieces[0][0] if len(pieces) == 1 else ""
+
+    def _part(self, part: bytes) -> bytes:
+        if not part:
+            return b""
+        text = part.decode()
+        if part.isalpha() or all(map(self.letters.__getitem__, map(ord, text))):
+            piece = text if part.isalpha() and part.islower() else text.translate(self.letters)
+            return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+        return self._ids(text)
+
+    def _word(self, word: bytes) -> bytes:
+        core = word.rstrip(_MARKS)
+        if core == word or not core:
+            return self.parts[word]
+        if core[-1:].isalpha() or core[-1] >= 0x80 and self.letters[ord(core.decode()[-1])]:
+            return self.parts[core] + self.parts[word[len(core) :]]
+        return self.parts[word]
+
+    def __call__(self, text: bytes) -> bytes:
         if self.whole:
-            return self._ids([text])[0]
-        words, known = _SPACE.split(text), self.known
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                new = list(set(words))
-            known.update(zip(new, self._ids(new)))
-        return b"".join([known[w] for w in words])
+            return self._ids(text.decode())
+        return b"".join(map(self.words.__getitem__, (text if b"<|" in text else text.lower()).split()))
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
@@ -190,12 +229,13 @@ def write_token_files(
 
         shard, writer, encode = TaskContext.get().partitionId(), None, None
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            data, offsets = utf8(batch.column(1))
+            for i, doc_id in enumerate(batch.column(0).to_pylist()):
                 if writer is None:
                     encode = encoder(tokenizer_path, whole_texts)
                     vocabulary = max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1)
                     writer = Writer(f"{folder}/shard-{shard:07d}.ids", bits_for(vocabulary))
-                writer.add(doc_id, encode(text.as_py() or "") + end)
+                writer.add(doc_id, encode(data[offsets[i] : offsets[i + 1]].tobytes()) + end)
         if writer is not None:
             writer.close()
             row = [[shard], [f"{folder}/shard-{shard:07d}.ids"], [len(writer.starts)], [writer.n]]
