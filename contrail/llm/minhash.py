@@ -7,9 +7,9 @@ and such a pair meets in at least one key. At a similarity of 0.75 a pair is mis
 less above. Links are confirmed on the full shingle sets.
 
 Documents with equal sets are one class, and only class representatives go on. Pairs within a key are not
-listed: first every representative is compared with its best match among the smallest and the largest member of
-its keys, which joins most of a group to a star; only pairs that share a key, are of different components by
-then, and are within ``FAR`` symbols, are compared one by one.
+listed: first every representative is compared with the nearest and the most central of its keys' leads, which
+joins most of a group to stars; only pairs that share a key, are of different components by then, and are within
+``FAR`` symbols, are compared one by one.
 
 Defined cases: null, empty and wordless texts have no shingles and link with nothing; texts of fewer words
 than a shingle are one shingle; very long texts are hashed in pieces and compared whole; rows with a null id
@@ -35,7 +35,7 @@ FAR = 16  # differing symbols beyond which a pair is not compared; at 0.75 the c
 LANES = 4  # symbols in a long
 SIGNATURE = [f"s{i}" for i in range(-(-SYMBOLS // LANES))]
 BROADCAST_IDS = 500_000  # rows of three numbers that may be broadcast after they were counted
-PIECE = 1_000  # members of a group that are compared in one place
+BLOCK = 250  # documents of a family whose sets meet those of another block in one place
 
 _numbers = np.random.default_rng(6).integers(1, 2**63, (2, SYMBOLS), dtype=np.uint64)
 _FACTOR, _SHIFT = _numbers[0] * np.uint64(2) + np.uint64(1), _numbers[1]
@@ -92,91 +92,125 @@ def _symbol(i: int) -> Column:
     return F.shiftrightunsigned(SIGNATURE[i // LANES], BITS * (i % LANES)).bitwiseAND(F.lit((1 << BITS) - 1))
 
 
+def _choices() -> list[tuple[int, ...]]:
+    """Of a chunk's symbols, those that agree."""
+    return list(combinations(range(SYMBOLS // CHUNKS), SYMBOLS // CHUNKS - ERRORS))
+
+
 def _keys() -> Column:
     """For each chunk, each choice of the symbols that agree."""
     size = SYMBOLS // CHUNKS
-    chosen = [c for k in range(CHUNKS) for c in combinations(range(k * size, (k + 1) * size), size - ERRORS)]
+    chosen = [[k * size + i for i in choice] for k in range(CHUNKS) for choice in _choices()]
     return F.array(*(F.xxhash64(F.lit(i), *map(_symbol, c)) for i, c in enumerate(chosen)))
 
 
-def _differing(one: str, other: str) -> Column:
-    """Symbols in which two signatures differ, by columns with these prefixes."""
-    total = F.lit(0)
-    for s in SIGNATURE:
-        x = F.col(f"{one}{s}").bitwiseXOR(F.col(f"{other}{s}"))
-        for shift in (8, 4, 2, 1):  # bit 0 of a lane gathers its bits
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001)))
-    return total
+def _agree(i: int) -> Column:
+    """Whether the signatures of sides a and b have the same i-th symbol."""
+    s = SIGNATURE[i // LANES]
+    both = F.col(f"a{s}").bitwiseXOR(F.col(f"b{s}"))
+    return F.shiftrightunsigned(both, BITS * (i % LANES)).bitwiseAND(F.lit((1 << BITS) - 1)) == 0
+
+
+def _far() -> Column:
+    """The number of symbols in which sides a and b differ."""
+    return sum((F.when(_agree(i), 0).otherwise(1) for i in range(SYMBOLS)), F.lit(0))
+
+
+def _first_key() -> Column:
+    """The number of the first key that sides a and b share, null for none."""
+    size, choices = SYMBOLS // CHUNKS, _choices()
+    table = []
+    for agree in range(1 << size):
+        lowest = tuple(i for i in range(size) if agree >> i & 1)[: size - ERRORS]
+        table.append(choices.index(lowest) if lowest in choices else None)
+    numbers = F.array(*(F.lit(n).cast("int") for n in table))
+    found = []
+    for k in range(CHUNKS):
+        agree = sum((F.when(_agree(k * size + i), 1 << i).otherwise(0) for i in range(size)), F.lit(0))
+        found.append(F.get(numbers, agree) + k * len(choices))
+    return F.coalesce(*found)
+
+
+def _sizes_allow() -> Column:
+    return 100 * F.least("an", "bn") >= PERCENT * F.greatest("an", "bn")
+
+
+def _sided(classes: DataFrame, side: str, *more: str | Column) -> DataFrame:
+    columns = [F.col("doc_id").alias(side), F.col("n_shingles").alias(f"{side}n")]
+    return classes.select(*columns, *(F.col(s).alias(side + s) for s in SIGNATURE), *more)
 
 
 def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sizes allow the similarity and whose signatures are not ``FAR`` apart, with ``far``."""
+    """``pairs`` (a, b, ...) whose sizes allow the similarity and whose signatures are not ``FAR`` apart, with ``far``."""
+    columns = pairs.columns
     for side in "ab":
-        wanted = [F.col("doc_id").alias(side), F.col("n_shingles").alias(f"{side}n")]
-        wanted += [F.col(s).alias(side + s) for s in SIGNATURE]
-        pairs = pairs.join(classes.select(*wanted), side)
-    sizes = 100 * F.least("an", "bn") >= PERCENT * F.greatest("an", "bn")
-    return pairs.where(sizes).withColumn("far", _differing("a", "b")).where(F.col("far") <= FAR).select("a", "b", "far")
+        pairs = pairs.join(_sided(classes, side), side)
+    return pairs.where(_sizes_allow()).select(*columns, _far().alias("far")).where(F.col("far") <= FAR)
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough, each compared once.
+def confirmed(docs: DataFrame, pairs: DataFrame, families: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b), given once each, whose full sets are similar enough.
 
-    Every a makes a group with its partners, cut into pieces of about ``PIECE`` partners; the texts of a
-    group's documents meet in one place, where the partners pass by one at a time.
+    ``families`` (doc_id, family) tells which documents likely have partners in common; it steers the work only. A
+    family is cut into blocks of about ``BLOCK`` documents, and the pairs between two blocks are compared in one
+    place, to which each set comes once however many pairs it is in.
     """
-    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / PIECE).alias("pieces"))
-    placed = pairs.join(sizes, "a").withColumn("piece", F.pmod(F.xxhash64("b"), F.col("pieces")))
-    leads = sizes.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    roles = placed.select(F.col("b").alias("doc_id"), F.col("a").alias("lead"), "piece").unionByName(
-        leads.select(F.col("a").alias("doc_id"), F.col("a").alias("lead"), "piece")
+    pairs = stored(pairs.select("a", "b"), "pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    nodes = nodes.join(families, "doc_id", "left").withColumn("family", F.coalesce("family", "doc_id"))
+    sizes = nodes.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    blocks = nodes.join(sizes, "family").join(classes.select("doc_id", "f0"), "doc_id")
+    blocks = stored(
+        blocks.select("doc_id", "f0", F.xxhash64("family", F.pmod(F.xxhash64("doc_id"), "blocks")).alias("block")), "blocks"
     )
-    roles = roles.join(classes.select("doc_id", F.col("f0").alias("_f0")), "doc_id")
-    roles = stored(roles.withColumnRenamed("doc_id", "_doc_id"), "roles")
+    placed = pairs
+    for side in "ab":
+        placed = placed.join(blocks.select(F.col("doc_id").alias(side), F.col("block").alias(f"{side}_block")), side)
+    placed = stored(placed.select("a", "b", F.xxhash64("a_block", "b_block").alias("place")), "placed")
+    wanted = placed.select("place", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    wanted = stored(wanted.join(blocks.select("doc_id", "f0"), "doc_id").withColumnRenamed("doc_id", "_doc_id"), "wanted")
     texts = docs.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.col("`text`").alias("text"))
-    small = roles.count() <= BROADCAST_IDS
-    texts = texts.join(F.broadcast(roles) if small else roles, F.col("doc_id") == F.col("_doc_id"))
-    texts = texts.select("doc_id", "text", "lead", "piece", "_f0")
+    small = wanted.count() <= BROADCAST_IDS
+    texts = texts.join(F.broadcast(wanted) if small else wanted, F.col("doc_id") == F.col("_doc_id"))
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lead, piece, f0 = (batch.column(i).to_pylist() for i in (2, 3, 4))
-            ids, found = batch.column(0).to_pylist(), []
+            ids, place, f0 = (batch.column(i).to_pylist() for i in (0, 2, 3))
+            found = []
             for i, one in enumerate(sets_of(batch.column(1))):
                 if fingerprint(one)[0] == f0[i]:
-                    found.append((lead[i], piece[i], ids[i] != lead[i], ids[i], one.tobytes()))
+                    found.append((place[i], ids[i], None, one.tobytes()))
                 if found and (len(found) == 256 or i == len(ids) - 1):
-                    yield _rows(found)
+                    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                    columns = [pa.array(v, t) for v, t in zip(zip(*found), types)]
+                    yield pa.RecordBatch.from_arrays(columns, ["place", "a", "b", "shingles"])
                     found = []
-            if found:
-                yield _rows(found)
-
-    def _rows(found: list[tuple]) -> pa.RecordBatch:
-        types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary()]
-        names = ["lead", "piece", "partner", "doc_id", "shingles"]
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*found), types)], names)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, head = None, None
+        place, sets = None, {}
         for batch in batches:
-            lead, piece, partner, ids, sets = batch.columns
             links = []
-            for i in range(batch.num_rows):
-                own = np.frombuffer(sets[i].as_buffer(), np.uint64)
-                if not partner[i].as_py():
-                    group, head = (lead[i], piece[i]), own.copy()
-                elif group == (lead[i], piece[i]):
-                    same = len(np.intersect1d(head, own, assume_unique=True))
-                    if 100 * same >= PERCENT * (len(head) + len(own) - same):
-                        links.append((lead[i].as_py(), ids[i].as_py()))
+            a_side, b_side = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            for i, here in enumerate(batch.column(0).to_pylist()):
+                if here != place:
+                    place, sets = here, {}
+                a, b = a_side[i], b_side[i]
+                if b is None:
+                    sets[a] = np.frombuffer(batch.column(3)[i].as_py(), np.uint64)
+                else:
+                    one, other = sets[a], sets[b]
+                    at = np.searchsorted(one, other)
+                    at[at == len(one)] = 0
+                    same = int((one[at] == other).sum())
+                    if 100 * same >= PERCENT * (len(one) + len(other) - same):
+                        links.append((a, b))
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*links)], ["a", "b"])
 
-    rows = texts.mapInArrow(shingles, "lead long, piece long, partner boolean, doc_id long, shingles binary")
-    rows = rows.repartition("lead", "piece").sortWithinPartitions("lead", "piece", "partner")
-    return rows.mapInArrow(compare, "a long, b long").distinct()
+    sets = texts.select("doc_id", "text", "place", "f0").mapInArrow(shingles, "place long, a long, b long, shingles binary")
+    rows = sets.unionByName(placed.select("place", "a", "b", F.lit(None).cast("binary").alias("shingles")))
+    rows = rows.repartition("place").sortWithinPartitions("place", F.col("b").asc_nulls_first())
+    return rows.mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -187,24 +221,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = [F.first(s).alias(s) for s in SIGNATURE]  # equal for equal sets
     classes = stored(named.groupBy(*same).agg(F.min("doc_id").alias("doc_id"), *first), "classes")
 
-    keys = classes.select("doc_id", F.explode(_keys()).alias("key"))
-    ends = keys.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    shared = stored(keys.join(ends, "key"), "keys")
-    leads = shared.select(F.col("doc_id").alias("b"), F.explode(F.array("low", "high")).alias("a")).where("a <> b")
-    best = _near(leads.distinct(), classes).groupBy("b").agg(F.min_by("a", "far").alias("a"))
-    links = stored(confirmed(docs, best, classes), "links")
-
-    # What is left: pairs that share a key and are not joined yet.
+    keys = classes.select("doc_id", F.posexplode(_keys()).alias("number", "key"))
+    common = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    shared = stored(keys.join(common, "key"), "keys")
+    # A key's lead is the member whose keys have the most members: the middle of its group.
+    central = shared.groupBy("doc_id").agg(F.sum("members").alias("weight"))
+    leads = shared.join(central, "doc_id").groupBy("key").agg(F.max_by("doc_id", "weight").alias("a"))
+    led = shared.join(leads, "key").where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+    led = led.join(central.withColumnRenamed("doc_id", "a"), "a")
+    best = _near(led, classes).groupBy("b").agg(F.min_by("a", "far").alias("a"), F.max_by("a", "weight").alias("c"))
+    best = stored(best, "leads")
+    stars = best.select("a", "b").unionByName(best.select(F.col("c").alias("a"), "b"))
+    stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    families = best.select(F.col("b").alias("doc_id"), F.col("c").alias("family"))
+    links = stored(confirmed(docs, stars, families, classes), "links")
+
+    # What is left: pairs that share a key and are not joined yet, each taken at the first key they share.
     joined = stored(components(links), "components")
-    member = shared.select("key", "doc_id").join(joined, F.col("doc_id") == F.col("node"), "left")
-    member = member.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    member = shared.select("key", "number", "doc_id").join(joined, F.col("doc_id") == F.col("node"), "left")
+    member = member.select("key", "number", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     split = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    member = member.join(split.select("key"), "key").join(classes.drop("f0", "f1"), "doc_id")
-    sides = [member.select("key", *(F.col(c).alias(side + c) for c in member.columns if c != "key")) for side in "ab"]
-    both = sides[0].join(sides[1], "key").where("adoc_id < bdoc_id AND acomponent <> bcomponent")
-    both = both.where(100 * F.least("an_shingles", "bn_shingles") >= PERCENT * F.greatest("an_shingles", "bn_shingles"))
-    rest = both.where(_differing("a", "b") <= FAR).select(F.col("adoc_id").alias("a"), F.col("bdoc_id").alias("b"))
-    links = links.unionByName(stored(confirmed(docs, rest, classes), "links"))
+    member = stored(member.join(split.select("key"), "key").join(classes.drop("f0", "f1"), "doc_id"), "apart")
+    one = _sided(member, "a", "key", "number", F.col("component").alias("ac"))
+    other = _sided(member, "b", "key", F.col("component").alias("bc"))
+    apart = (F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _sizes_allow()
+    apart = apart & (_far() <= FAR) & (_first_key() == F.col("number"))
+    rest = one.join(other, (one["key"] == other["key"]) & apart).select("a", "b")
+    links = links.unionByName(stored(confirmed(docs, rest, families, classes), "links"))
 
     found = stored(components(links), "components")
     classes = classes.join(found, F.col("doc_id") == F.col("node"), "left")
