@@ -95,10 +95,8 @@ def within_edits(one: Column, other: Column) -> Column:
     """
     k, width = EDITS, 2 * EDITS + 1
     full = F.lit((1 << width) - 1)
-    rows = F.length(one)
-    a, b = F.split(one, ""), F.split(other, "")
 
-    def matches(character: Column, column: Column) -> Column:  # column from 0
+    def matches(a: Column, rows: Column, character: Column, column: Column) -> Column:  # column from 0
         word = F.lit(0)
         for bit in range(width):
             row = column + (bit - k)
@@ -106,7 +104,7 @@ def within_edits(one: Column, other: Column) -> Column:
             word = word + F.when(same, 1 << bit).otherwise(0)
         return word
 
-    def step(state: Column, item: Column) -> Column:
+    def step(rows: Column, state: Column, item: Column) -> Column:
         up, down, match, at = state["up"], state["down"], item["match"], item["at"]  # at from 0
 
         def columns(zero: Column) -> Column:
@@ -127,12 +125,16 @@ def within_edits(one: Column, other: Column) -> Column:
         zero = (same + up).bitwiseXOR(up).bitwiseOR(match).bitwiseOR(down).bitwiseAND(full)
         return _let(_let(zero, columns), moved)
 
-    items = F.transform(b, lambda c, at: F.struct(matches(c, at).alias("match"), at.alias("at")))
-    start = F.struct(
-        F.lit((1 << width) - (1 << k)).alias("up"), F.lit(0).alias("down"), F.lit(k).alias("score")
-    )
-    distance = F.aggregate(items, start, step, lambda s: s["score"])
-    return (F.abs(F.length(one) - F.length(other)) <= k) & (distance <= k)
+    def distance(pair: Column) -> Column:
+        a, b, rows = pair["a"], pair["b"], pair["rows"]
+        items = F.transform(b, lambda c, at: F.struct(matches(a, rows, c, at).alias("match"), at.alias("at")))
+        start = F.struct(F.lit((1 << width) - (1 << k)).alias("up"), F.lit(0).alias("down"), F.lit(k).alias("score"))
+        return F.aggregate(items, start, lambda state, item: step(rows, state, item), lambda s: s["score"])
+
+    # Characters are split once, not in every step.
+    pair = F.struct(F.split(one, "").alias("a"), F.split(other, "").alias("b"), F.length(one).alias("rows"))
+    near = F.abs(F.length(one) - F.length(other)) <= k
+    return F.when(near, _let(pair, distance) <= k).otherwise(False)
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
