@@ -28,8 +28,9 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     half_lat = F.sin((F.radians(lat2) - F.radians(lat1)) / 2)
     half_lon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
     chord = half_lat * half_lat + half_lon * half_lon * F.cos(F.radians(lat1)) * F.cos(F.radians(lat2))
-    # Rounding may push antipodal points just above 1, where asin has no value.
-    return F.asin(F.sqrt(F.least(F.lit(1.0), chord))) * (2 * EARTH_RADIUS_KM)
+    # Rounding may push antipodal points just above 1, where asin has no value. An unknown coordinate must
+    # stay unknown, which F.least would hide.
+    return F.asin(F.sqrt(F.when(chord > 1, 1.0).otherwise(chord))) * (2 * EARTH_RADIUS_KM)
 
 
 def step_count(distance_km: Column, step_km: float = STEP_KM) -> Column:

@@ -21,8 +21,12 @@ def hex_cells(points: DataFrame, resolution: int = geo.DEFAULT_RESOLUTION) -> Da
 
 
 def hex_paths(lagged: DataFrame, resolution: int = geo.DEFAULT_RESOLUTION) -> DataFrame:
-    """Per leg with four known coordinates the array of cells from its end back to its start."""
+    """Per leg with four known coordinates the array of cells from its end back to its start.
+
+    A leg that crosses the 180th meridian has no path on the plane and gives NULL.
+    """
     here, there = (geo.hex_cell(F.col(lat), F.col(lon), resolution) for lat, lon in (HERE, THERE))
+    there = F.when(_one_plane(), there)
     return (
         lagged.dropna(subset=HERE + THERE)
         .select("id", "flight_id", here.alias("here"), there.alias("there"))
@@ -30,15 +34,20 @@ def hex_paths(lagged: DataFrame, resolution: int = geo.DEFAULT_RESOLUTION) -> Da
     )
 
 
+def _one_plane():
+    """Legs whose shorter way does not cross the 180th meridian."""
+    return F.abs(F.col("longitude") - F.col("prev_longitude")) <= 180
+
+
 def path_cells(legs: DataFrame, resolution: int, *carried: str) -> DataFrame:
     """One row (flight_id, segment, carried, q, r) per cell of each leg's path.
 
     The same cells as exploding ``hex_paths``, but the hop number is expanded and the cells are
     computed on the expanded rows: generated code instead of an interpreted array lambda. Legs with an
-    unknown or impossible coordinate give no row.
+    unknown or impossible coordinate, or across the 180th meridian, give no row.
     """
     segment = F.col("segment") if "segment" in legs.columns else F.lit(None).cast("bigint")
-    usable = geo.on_earth(*map(F.col, HERE)) & geo.on_earth(*map(F.col, THERE))
+    usable = geo.on_earth(*map(F.col, HERE)) & geo.on_earth(*map(F.col, THERE)) & _one_plane()
     here, there = (geo.hex_cell(F.col(lat), F.col(lon), resolution) for lat, lon in (HERE, THERE))
     keys = ["flight_id", "segment", *carried]
     return (

@@ -73,14 +73,13 @@ def replace_month(
 def _single(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     """(keys, row struct) with one row per key; the job fails on a repeated key.
 
-    Counted with a partial aggregation, so many copies of a key do not meet in one task.
+    Keys are counted by hash aggregation, which sums up many copies of a key before they meet in one task,
+    and the counts are joined to the rows.
     """
     repeated = F.concat(F.lit(f"repeated key in {what}: "), F.to_json(F.struct(keys)))
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("copies"), F.any_value(F.struct(df.columns)).alias("row"))
-        .select(*keys, F.when(F.col("copies") > 1, F.raise_error(repeated)).otherwise(F.col("row")).alias("row"))
-    )
+    copies = df.groupBy(*keys).agg(F.count("*").alias("_copies"))
+    rows = df.select(*keys, F.struct(df.columns).alias("row")).join(copies, keys)
+    return rows.select(*keys, F.when(F.col("_copies") > 1, F.raise_error(repeated)).otherwise(F.col("row")).alias("row"))
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], updated: list[str]) -> DataFrame:

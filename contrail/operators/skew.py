@@ -12,24 +12,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
-NULL_PIECES = 1_000
 
 
 def hot_keys(df: DataFrame, *columns: str, rows: int = HOT_ROWS) -> DataFrame:
-    """(columns, pieces) of the keys with more than ``rows`` rows, the ``MAX_HOT_KEYS`` largest at most.
+    """(columns, pieces) of all keys with more than ``rows`` rows, NULL among them.
 
     ``pieces`` is how many pieces of ``rows`` rows a key makes. The frame only steers the physical work,
-    results never depend on it; so the limit needs no exception handling: a key beyond it holds less
-    than 1 / ``MAX_HOT_KEYS`` of all rows.
+    results never depend on it.
     """
-    counts = df.dropna(subset=list(columns)).groupBy(*columns).agg(F.count("*").alias("rows"))
-    return (
-        counts.where(F.col("rows") > rows)
-        .orderBy(F.desc("rows"), *columns)
-        .limit(MAX_HOT_KEYS)
-        .select(*columns, F.ceil(F.col("rows") / rows).alias("pieces"))
-    )
+    counts = df.groupBy(*columns).agg(F.count("*").alias("rows"))
+    return counts.where(F.col("rows") > rows).select(*columns, F.ceil(F.col("rows") / rows).alias("pieces"))
 
 
 def _all(conditions) -> Column:
@@ -39,12 +31,11 @@ def _all(conditions) -> Column:
 def with_pieces(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
     """Add ``_pieces``: the number of pieces of a hot key, NULL for an ordinary one.
 
-    Always the same broadcast, so that Spark computes it once however often a plan asks.
+    ``hot`` may be about the first of the keys only. Its size follows the data, so Spark chooses the join.
     """
-    names = [f"_hot_{i}" for i in range(len(keys))]
-    # At most MAX_HOT_KEYS rows.
-    marks = F.broadcast(hot.toDF(*names, "_pieces"))
-    return df.join(marks, _all(F.col(k) == F.col(n) for k, n in zip(keys, names)), "left")
+    names = [f"_hot_{i}" for i in range(len(hot.columns) - 1)]
+    marks = hot.toDF(*names, "_pieces")
+    return df.join(marks, _all(F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)), "left")
 
 
 def split_join(
@@ -57,23 +48,18 @@ def split_join(
 ) -> DataFrame:
     """Join ``left`` with ``right`` on equal columns, ``on`` maps left to right names; inner or left.
 
-    Rows of ``left`` with a hot key go to one of the key's pieces by a hash of ``spread_by``; the rows
-    of ``right`` with that key are repeated for each piece. Left rows with a NULL key match nothing and
-    are spread likewise. The result has the columns of both sides but the right keys.
+    Rows of ``left`` with a hot key, NULL included, go to one of the key's pieces by a hash of
+    ``spread_by``; the rows of ``right`` with that key are repeated for each piece. The result has the
+    columns of both sides but the right keys.
     """
     keys, kept = list(on), left.columns
     others = [c for c in right.columns if c not in on.values()]
     right_keys = [f"_right_{i}" for i in range(len(on))]
-    unknown = reduce(Column.__or__, (F.col(k).isNull() for k in keys))
     spread = F.xxhash64(*spread_by)
-    piece = (
-        F.when(unknown, F.pmod(spread, F.lit(NULL_PIECES)))
-        .when(F.col("_pieces").isNotNull(), F.pmod(spread, F.col("_pieces")))
-        .otherwise(F.lit(0).cast("bigint"))
-    )
+    piece = F.when(F.col("_pieces").isNotNull(), F.pmod(spread, F.col("_pieces"))).otherwise(F.lit(0).cast("bigint"))
     placed = with_pieces(left, keys, hot).select(*kept, piece.alias("_piece"))
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_pieces", F.lit(1)) - 1))
-    named = right.select(*others, *(F.col(r).alias(n) for r, n in zip(on.values(), right_keys)))
+    named = right.dropna(subset=list(on.values())).select(*others, *(F.col(r).alias(n) for r, n in zip(on.values(), right_keys)))
     repeated = with_pieces(named, right_keys, hot).select(*others, *right_keys, copies.alias("_copy"))
     same_key = _all(F.col(k) == F.col(r) for k, r in zip(keys, right_keys))
     return placed.join(repeated, same_key & (F.col("_piece") == F.col("_copy")), how).select(*kept, *others)

@@ -17,7 +17,6 @@ SURFACE_EVENTS = [
     "exit-runway",
     "exit-taxiway",
 ]
-MAX_STEPS = 3000
 LOW_ALTITUDE = 3000
 
 CARRIED = ["event_time", "longitude", "latitude", "altitude"]
@@ -43,7 +42,8 @@ def legs(events: DataFrame, hot: DataFrame | None = None, segment_seconds: int =
     in_segment = (
         tagged.where(F.col("segment").isNotNull())
         .groupBy("flight_id", "segment")
-        .agg(F.max_by(F.struct(EVENT_COLUMNS), F.struct("event_time", "id")).alias("last"))
+        # As in the window below: a NULL id comes last.
+        .agg(F.max_by(F.struct(EVENT_COLUMNS), F.struct("event_time", F.col("id").isNull(), "id")).alias("last"))
     )
     by_segment = Window.partitionBy("flight_id").orderBy("segment")
     entering = (
@@ -91,14 +91,15 @@ def with_leg_distance(lagged: DataFrame, step_km: float = STEP_KM) -> DataFrame:
 def interpolated_points(
     lagged: DataFrame,
     max_altitude: int | None = LOW_ALTITUDE,
-    max_steps: int | None = MAX_STEPS,
+    max_steps: int | None = None,
     step_km: float = STEP_KM,
 ) -> DataFrame:
     """One row per interpolated step of each leg, with step number ``n`` and the struct ``waypoint``.
 
-    Step 0 is the previous event's position; the event's own position starts the next leg. A series
-    longer than ``max_steps`` is cut there (None lifts the limit). The low-altitude filter runs before
-    the expansion, and the series is a generator per leg, not a join.
+    Step 0 is the previous event's position; the event's own position starts the next leg. A leg with an
+    unknown end has no length and no steps; the longest possible one has 21,747. ``max_steps``, where given,
+    cuts a longer series there. The low-altitude filter runs before the expansion, and the series is a
+    generator per leg, not a join.
     """
     low = F.lit(True)
     if max_altitude is not None:
@@ -124,7 +125,7 @@ def interpolated_points(
     )
 
 
-def view_interpolated_steps(lagged: DataFrame, max_steps: int | None = MAX_STEPS) -> DataFrame:
+def view_interpolated_steps(lagged: DataFrame, max_steps: int | None = None) -> DataFrame:
     return interpolated_points(lagged, max_steps=max_steps).select(
         "id",
         "flight_id",

@@ -188,11 +188,11 @@ def busiest_points(
     # TOP_ROWS rows at most.
     top = F.broadcast(busiest_top(flights, first, last).select("icao24"))
     chosen = _routed(flights).join(top, "icao24", "left_semi").select(F.col("id").alias("flight_key"))
-    flown = flights.select(F.col("id").alias("flight_key"), "icao24", "adep", "ades", "dof")
+    flown = flights.select(F.col("id").alias("flight_key"), "icao24", "adep", "ades", F.col("dof").alias("flight_day"))
     flown = flown.join(chosen, "flight_key", "left_semi")
-    points = events.drop("dof")
     hot = hot_keys(events, "flight_id") if hot is None else hot
-    return split_join(points, flown, {"flight_id": "flight_key"}, hot, ["id"]).select(
+    # An event carries its flight's day; joining on it too lets a filter on days prune the stored partitions.
+    return split_join(events, flown, {"flight_id": "flight_key", "dof": "flight_day"}, hot, ["id"]).select(
         "icao24",
         "adep",
         "ades",

@@ -46,7 +46,10 @@ def _hex(resolution: int, q: str = "q", r: str = "r") -> str:
 def _path(resolution: int, source: str) -> str:
     """(id, flight_id, event_time, dof, k, q, r): the cells of each leg of ``source``."""
     keep = "id, flight_id, event_time, dof"
-    ends = f"{source} WHERE least(longitude, latitude, prev_longitude, prev_latitude) IS NOT NULL AND prev_latitude IS NOT NULL"
+    ends = (
+        f"{source} WHERE longitude IS NOT NULL AND latitude IS NOT NULL AND prev_longitude IS NOT NULL"
+        " AND prev_latitude IS NOT NULL AND abs(longitude - prev_longitude) <= 180"
+    )
     here = _cell(f"SELECT *, {_point('latitude', 'longitude', resolution)} FROM {ends}", f"{keep}, prev_latitude, prev_longitude")
     there = _cell(
         f"SELECT *, {_point('prev_latitude', 'prev_longitude', resolution)} FROM (SELECT {keep}, prev_latitude,"
@@ -70,14 +73,16 @@ def _points(source: str, low: bool = True) -> str:
       prev_longitude + (longitude - prev_longitude) * n / steps AS lon,
       prev_altitude + (altitude - prev_altitude) * n / steps AS alt,
       prev_event_time + to_seconds((2 * date_diff('second', prev_event_time, event_time) * n + steps) // (2 * steps)) AS ts
-    FROM (SELECT *, unnest(range(0, least(steps, {trajectory.MAX_STEPS}))) AS n
+    FROM (SELECT *, unnest(range(0, steps)) AS n
       FROM ({source}) WHERE steps > 0 AND {altitude if low else 'TRUE'})"""
 
 
-_DISTANCE = (
-    "6371 * 2 * asin(sqrt(least(1.0E0, power(sin((radians({lat2}) - radians({lat1})) / 2), 2)"
-    " + power(sin((radians({lon2}) - radians({lon1})) / 2), 2) * cos(radians({lat1})) * cos(radians({lat2})))))"
+# The square of half the chord; an unknown coordinate makes it NULL, and the CASE keeps it so.
+_CHORD = (
+    "(power(sin((radians({lat2}) - radians({lat1})) / 2), 2)"
+    " + power(sin((radians({lon2}) - radians({lon1})) / 2), 2) * cos(radians({lat1})) * cos(radians({lat2})))"
 )
+_DISTANCE = f"6371 * 2 * asin(sqrt(CASE WHEN {_CHORD} > 1.0E0 THEN 1.0E0 ELSE {_CHORD} END))"
 
 
 def _km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
@@ -190,7 +195,8 @@ _MODELS = {
     "by_hex": "SELECT q, r, coalesce(max(count) FILTER (slot = 0), 0) AS s0, coalesce(max(count) FILTER (slot = 1), 0) AS s1,"
     " coalesce(max(count) FILTER (slot = 2), 0) AS s2 FROM by_period GROUP BY q, r",
     "so_far": "SELECT q, r, count(DISTINCT flight_id) FILTER (event_time < DATE '2024-01-11') AS u0,"
-    " count(DISTINCT flight_id) FILTER (event_time < DATE '2024-01-21') AS u1 FROM path_cells GROUP BY q, r",
+    " count(DISTINCT flight_id) FILTER (event_time < DATE '2024-01-21') AS u1, count(DISTINCT flight_id) AS u2"
+    " FROM path_cells GROUP BY q, r",
     "agg_yearly_metric_array": f"SELECT {_hex(6)} AS hex, DATE '2024-01-01' AS year_start, {_slots('s0', 's1', 's2')}"
     " AS metric_array FROM by_hex",
     "sum_yearly_metric_array": "SELECT hex, CAST(list_sum(metric_array) AS BIGINT) AS count FROM agg_yearly_metric_array",
@@ -338,7 +344,7 @@ def _statements() -> dict[str, str]:
         "stg_airports": "SELECT * FROM stg_airports",
         "int_events": f"SELECT {_EVENT_OUT} FROM int_events",
         "orphan_events": "SELECT * FROM stg_events e WHERE NOT EXISTS"
-        f" (SELECT 1 FROM stg_flights f WHERE f.id = e.flight_id AND {_dof(1, 10)})",
+        " (SELECT 1 FROM stg_flights f WHERE f.id = e.flight_id AND f.adep IS NOT NULL AND f.ades IS NOT NULL)",
         "int_measurements": "SELECT * FROM int_measurements",
         "int_aircraft_types": "SELECT * FROM int_aircraft_types",
         "fct_events": f"SELECT {_FACT_OUT} FROM fct_events",
@@ -361,6 +367,9 @@ def _statements() -> dict[str, str]:
         + "".join(f" CAST(sum(CAST(floor({c} * 1e6) AS BIGINT)) AS BIGINT) AS sum_{c}," for c in ("lat", "lon", "alt"))
         + " min(ts) AS first_ts, max(ts) AS last_ts, max(round(distance_km, 6)) AS longest_km"
         f" FROM ({_points('SELECT * FROM measured')}) GROUP BY flight_id",
+        "interpolated_waypoints": "SELECT id, n, steps, round(distance_km, 6) AS distance_km,"
+        + "".join(f" CAST(floor({c} * 1e6) AS BIGINT) AS {c}," for c in ("lat", "lon", "alt"))
+        + f" ts FROM ({_points('SELECT * FROM measured')})",
         "hex_cells": f"SELECT id, latitude, longitude, {_hex(6)} AS hex FROM ("
         + _cell(f"SELECT *, {_point('latitude', 'longitude', 6)} FROM stg_events", "id, latitude, longitude")
         + ")",
@@ -370,21 +379,21 @@ def _statements() -> dict[str, str]:
         "hex_traffic_res8": f"SELECT {_hex(8)} AS hex, count(DISTINCT flight_id) AS count FROM path_cells_8 GROUP BY q, r",
         "airport_hexes": _airport_hexes(),
         "period_counts": f"SELECT {_hex(6)} AS hex, '2024-01-01' AS year_start, slot, count FROM by_period",
-        "metric_array_step": _arrays(_slots("s0", "s1"), "by_hex") + " WHERE s0 + s1 > 0",
+        "metric_array_step": _arrays(_slots("s0", "s1", "s2"), "by_hex"),
         "metric_array_rerun": _arrays(_slots("coalesce(u1, 0)", "s1", "s2"), "by_hex LEFT JOIN so_far USING (q, r)"),
-        "metric_array_append": _arrays(_slots("u0", "u1"), "so_far") + " WHERE u1 > 0",
+        "metric_array_append": _arrays(_slots("u0", "u1", "u2"), "so_far"),
         "metric_array_full": _arrays(_slots("s0", "s1", "s2"), "by_hex"),
         "hex_year_totals": "SELECT * FROM sum_yearly_metric_array",
         "batch_bounds": "SELECT CAST(min(dof) AS VARCHAR) AS lo, CAST(max(dof) AS VARCHAR) AS hi,"
-        f" CAST(CAST(date_trunc('month', min(dof)) AS DATE) AS VARCHAR) AS month FROM int_events WHERE {_dof(11, 20)}",
-        "replace_range": f"SELECT {_EVENT_OUT} FROM int_events WHERE {_dof(1, 10)} UNION ALL"
+        " CAST(CAST(date_trunc('month', min(dof)) AS DATE) AS VARCHAR) AS month FROM int_events",
+        "replace_range": f"SELECT {_EVENT_OUT} FROM int_events WHERE NOT ({_dof(11, 20)}) UNION ALL"
         f" SELECT * REPLACE (altitude + 1 AS altitude) FROM (SELECT {_EVENT_OUT} FROM int_events"
         f" WHERE {_dof(11, 20)} AND day(dof) <> 13)",
         "replace_month": "WITH moved AS (SELECT * REPLACE (CAST(dof + INTERVAL 20 DAY AS DATE) AS dof) FROM stg_flights)"
         f" SELECT {_FLIGHT_OUT} FROM moved WHERE month(dof) = 2 OR day(dof) % 2 = 0",
         "merge_upsert": "WITH known AS (SELECT * FROM stg_flights WHERE adep IS NOT NULL AND ades IS NOT NULL),"
-        f" old AS (SELECT adep, ades, count(*) AS flights, min(dof) AS first_day FROM known WHERE {_dof(1, 10)} GROUP BY ALL),"
-        f" new AS (SELECT adep, ades, count(*) AS flights, min(dof) AS first_day FROM known WHERE {_dof(11, 20)} GROUP BY ALL)"
+        f" old AS (SELECT adep, ades, count(*) AS flights, min(dof) AS first_day FROM known WHERE {_dof(1, 20)} GROUP BY ALL),"
+        f" new AS (SELECT adep, ades, count(*) AS flights, min(dof) AS first_day FROM known WHERE {_dof(11, 31)} GROUP BY ALL)"
         " SELECT adep, ades, coalesce(new.flights, old.flights) AS flights,"
         " CAST(coalesce(old.first_day, new.first_day) AS VARCHAR) AS first_day FROM old FULL JOIN new USING (adep, ades)",
         "scd2_airports": "SELECT * FROM scd_airports_2",
@@ -435,6 +444,8 @@ def _statements() -> dict[str, str]:
         "stream_ingest": f"SELECT {_FACT_OUT} FROM fct_events",
         "stream_replace": f"SELECT * REPLACE (CASE WHEN CAST(dof AS DATE) BETWEEN {_JAN.format(11)} AND {_JAN.format(20)}"
         f" THEN altitude + 1 ELSE altitude END AS altitude) FROM (SELECT {_FACT_OUT} FROM fct_events)",
+        "stream_backlog": f"SELECT * REPLACE (CASE WHEN CAST(dof AS DATE) BETWEEN {_JAN.format(11)} AND {_JAN.format(20)}"
+        f" THEN altitude + 1 ELSE altitude END AS altitude) FROM (SELECT {_FACT_OUT} FROM fct_events)",
         "stream_arrays": _arrays(
             "list_slice("
             + _slots(*(f"coalesce(max(count) FILTER (slot = {i}), 0)" for i in range(3)))

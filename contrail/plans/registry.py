@@ -21,7 +21,7 @@ from contrail.session import empty_frame, shared_folder
 from contrail.sources import schemas
 from contrail.sources.adapters import StarSchema
 from contrail.sources.files import conform
-from contrail.sources.tables import read
+from contrail.sources.tables import read, settled
 from contrail.streaming import ingest
 
 AIRPORT, LAT, LON = "AP0", 47.0, 5.0
@@ -121,7 +121,8 @@ def int_events(m):
 
 @query
 def orphan_events(m):
-    return enrich.orphan_events(m.stg_events, _batch(m.fct_flights, 1, 10))
+    """Events of no flight with both airports known."""
+    return enrich.orphan_events(m.stg_events, m.fct_flights.dropna(subset=["adep", "ades"]))
 
 
 @query
@@ -217,6 +218,14 @@ def interpolated_steps(m):
     )
 
 
+@query
+def interpolated_waypoints(m):
+    """Every interpolated point, row by row; coordinates in whole millionths, which no engine rounds otherwise."""
+    points = trajectory.interpolated_points(m.legs).select("id", "n", "steps", "distance_km", "waypoint.*")
+    micro = {c: F.floor(F.col(c) * 1e6) for c in ("lat", "lon", "alt")}
+    return _rounded(points, "distance_km").withColumns(micro)
+
+
 # Hexagons
 
 
@@ -273,9 +282,9 @@ def _metric_arrays(m) -> DataFrame:
 
 @query
 def metric_array_step(m):
-    """State after the second period, added to that after the first."""
-    first = accumulate.accumulate(_no_state(m), _period(m, 0), YEAR, 0)
-    return accumulate.accumulate(first, _period(m, 1), YEAR, 1)
+    """State after all periods, added one after the other."""
+    steps = range(len(PERIOD_STARTS) - 1)
+    return reduce(lambda state, i: accumulate.accumulate(state, _period(m, i), YEAR, i), steps, _no_state(m))
 
 
 @query
@@ -287,9 +296,9 @@ def metric_array_rerun(m):
 
 @query
 def metric_array_append(m):
-    """Two appended steps of counts over everything loaded so far."""
-    first = accumulate.accumulate(_no_state(m), _period(m, 0, cumulative=True), YEAR)
-    return accumulate.accumulate(first, _period(m, 1, cumulative=True), YEAR)
+    """Appended steps, one per period, of counts over everything loaded so far."""
+    steps = range(len(PERIOD_STARTS) - 1)
+    return reduce(lambda s, i: accumulate.accumulate(s, _period(m, i, cumulative=True), YEAR), steps, _no_state(m))
 
 
 @query
@@ -307,15 +316,14 @@ def hex_year_totals(m):
 
 @query
 def batch_bounds(m):
-    return incremental.batch_bounds(_batch(m.int_events, 11, 20))
+    return incremental.batch_bounds(m.int_events)
 
 
 @query
 def replace_range(m):
-    """Days 1 to 15 are stored; a corrected batch covers days 11 to 20 without day 13."""
-    stored = _batch(m.int_events, 1, 15)
+    """All days are stored; a corrected batch covers days 11 to 20 without day 13."""
     corrected = _batch(m.int_events, 11, 20).where(F.dayofmonth("dof") != 13)
-    return incremental.replace_range(stored, corrected.withColumn("altitude", F.col("altitude") + 1))
+    return incremental.replace_range(m.int_events, corrected.withColumn("altitude", F.col("altitude") + 1))
 
 
 @query
@@ -328,13 +336,13 @@ def replace_month(m):
 
 @query
 def merge_upsert(m):
-    """Flights per airport pair: days 11 to 20 update or join days 1 to 10, the first day stays."""
+    """Flights per airport pair: days 11 to 31 update or join days 1 to 20, the first day stays."""
 
     def pairs(first, last):
         kept = _batch(m.fct_flights, first, last).dropna(subset=["adep", "ades"])
         return kept.groupBy("adep", "ades").agg(F.count("*").alias("flights"), F.min("dof").alias("first_day"))
 
-    return incremental.merge_upsert(pairs(1, 10), pairs(11, 20), ["adep", "ades"], ["flights"])
+    return incremental.merge_upsert(pairs(1, 20), pairs(11, 31), ["adep", "ades"], ["flights"])
 
 
 def _next_airports(m) -> DataFrame:
@@ -553,7 +561,7 @@ class _Deliveries:
         self.facts = f"{self.database}.fct_events"
         self.arrays = f"{self.database}.metric_arrays" if with_arrays else None
 
-    def deliver(self, name: str, first: int, last: int, correct: bool = False) -> None:
+    def deliver(self, name: str, first: int, last: int, correct: bool = False, run: bool = True) -> None:
         """Land the raw events of flights of the given days, then run."""
         days = _batch(self.m.fct_flights, first, last).select(F.col("id").alias("flight_id"))
         events = self.m.raw("src_events").join(days, "flight_id", "left_semi")
@@ -562,7 +570,14 @@ class _Deliveries:
         if correct:
             events = events.withColumn("altitude", F.col("altitude") + 1)
         conform(events, schemas.EVENTS).write.parquet(f"{self.home}/landing/{name}")
-        self.run()
+        if run:
+            self.run()
+
+    def result(self, table: str) -> DataFrame:
+        """The table's rows, kept in the checkpoint folder while the database goes."""
+        rows = settled(read(self.m.spark, table))
+        self.m.spark.sql(f"DROP DATABASE {self.database} CASCADE")
+        return rows
 
     def run(self) -> int:
         stream = ingest.arrivals(self.m.spark, f"{self.home}/landing", schemas.EVENTS)
@@ -576,7 +591,7 @@ def stream_ingest(m):
     deliveries = _Deliveries(m)
     deliveries.deliver("all", 1, 30)
     deliveries.run()
-    return read(m.spark, deliveries.facts)
+    return deliveries.result(deliveries.facts)
 
 
 @query
@@ -586,7 +601,17 @@ def stream_replace(m):
     deliveries.deliver("first", 1, 10)
     deliveries.deliver("second", 11, 30)
     deliveries.deliver("second_again", 11, 20, correct=True)
-    return read(m.spark, deliveries.facts)
+    return deliveries.result(deliveries.facts)
+
+
+@query
+def stream_backlog(m):
+    """The same deliveries, all waiting when the one run begins."""
+    deliveries = _Deliveries(m)
+    deliveries.deliver("z_first", 1, 10, run=False)
+    deliveries.deliver("second", 11, 30, run=False)
+    deliveries.deliver("again", 11, 20, correct=True)
+    return deliveries.result(deliveries.facts)
 
 
 @query
@@ -595,4 +620,4 @@ def stream_arrays(m):
     deliveries = _Deliveries(m, with_arrays=True)
     for first in (1, 11, 21):
         deliveries.deliver(f"from_{first}", first, first + 9)
-    return read(m.spark, deliveries.arrays)
+    return deliveries.result(deliveries.arrays)

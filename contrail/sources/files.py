@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -27,9 +28,20 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select([column(field) for field in schema])
 
 
+def _united(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def load_parquet(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
-    paths = [path] if isinstance(path, str) else path
-    return conform(spark.read.parquet(*paths), schema)
+    """Read files whose columns may differ in set, order and case, each by its own names.
+
+    Paths with the same columns are read together; inside a folder the files' schemas are merged.
+    """
+    merging = spark.read.option("mergeSchema", True)
+    alike: dict[str, list[str]] = {}
+    for one in [path] if isinstance(path, str) else path:
+        alike.setdefault(merging.parquet(one).schema.json(), []).append(one)
+    return _united([conform(merging.parquet(*paths), schema) for paths in alike.values()])
 
 
 def load_csv(
@@ -42,9 +54,12 @@ def load_csv(
     escape: str = '"',
     null_text: str = "",
 ) -> DataFrame:
-    """Read CSV files with a header; columns are matched by header name, not by position."""
+    """Read CSV files with a header; columns are matched by header name, not by position.
+
+    Every path has a header of its own. Files below one folder must have the same header, else the load fails.
+    """
     # Only the header line is needed for the names, so one line is read, not the file.
-    raw = spark.read.options(
+    reader = spark.read.options(
         header=True,
         sep=separator,
         quote=quote,
@@ -52,8 +67,9 @@ def load_csv(
         nullValue=null_text,
         multiLine=False,
         mode="FAILFAST",
-    ).csv(path)
-    return conform(raw, schema)
+        enforceSchema=False,
+    )
+    return _united([conform(reader.csv(one), schema) for one in ([path] if isinstance(path, str) else path)])
 
 
 def month_file(root: str, month: date, kind: str = "flight_list") -> str:

@@ -118,7 +118,7 @@ def store_months(batch: DataFrame, table: str, column: str = "dof") -> None:
     _drop_partitions(spark, table, column, sorted(stale))
 
 
-def _settled(df: DataFrame) -> DataFrame:
+def settled(df: DataFrame) -> DataFrame:
     """The rows on the shared checkpoint folder: independent of the table about to be overwritten."""
     ensure_checkpoints(df.sparkSession)
     return df.checkpoint()
@@ -135,13 +135,13 @@ def store_merge(batch: DataFrame, table: str, keys: list[str], updated: list[str
     target = read_or_empty(spark, table, batch.schema)
     touched = distinct_days(batch, partition)
     merged = merge_upsert(target.where(F.col(partition).isin(touched)), batch, keys, updated)
-    _overwrite_partitions(_settled(merged), table, partition)
+    _overwrite_partitions(settled(merged), table, partition)
 
 
 def store_period(current: DataFrame, table: str, year: date, slot: int | None = None) -> None:
     """Advance the metric arrays of the year by one period of (hex, count)."""
     state = read_or_empty(current.sparkSession, table, STATE_SCHEMA)
-    _overwrite_partitions(_settled(accumulate(state, current, year, slot)), table, "year_start")
+    _overwrite_partitions(settled(accumulate(state, current, year, slot)), table, "year_start")
 
 
 def replace(df: DataFrame, table: str) -> None:

@@ -21,21 +21,37 @@ from contrail.operators.quality import QualityError, enforce_gate
 from contrail.operators.staging import stg_events, stg_measurements
 from contrail.operators.trajectory import airborne, legs
 from contrail.sources.schemas import GATED_COLUMNS
-from contrail.sources.tables import distinct_days, read, store_period, store_range
+from contrail.sources.tables import distinct_days, read, settled, store_period, store_range
 
 
 def arrivals(
     spark: SparkSession, folder: str, schema: StructType, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Stream of the files that land below ``folder``, oldest first.
+    """Stream of the files that land below ``folder``, oldest first, with the delivery each row came in.
 
-    Where a period is one file, ``files_per_batch=1`` makes every period a batch of its own, also in a
-    backlog. Where a period is a folder of part files, run once per delivery with no limit.
+    A delivery is a file in ``folder`` itself, or a folder of part files in it. ``arrived`` is when its file
+    was written. Deliveries that wait together may come in one batch; see :func:`by_delivery`.
     """
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    parts = F.split("_metadata.file_path", "/")
+    above, root = F.element_at(parts, -2), folder.rstrip("/").rsplit("/", 1)[-1]
+    delivery = F.when(above == root, F.element_at(parts, -1)).otherwise(above)
+    return reader.parquet(folder).select(
+        "*", delivery.alias(DELIVERY[0]), F.col("_metadata.file_modification_time").alias(DELIVERY[1])
+    )
+
+
+DELIVERY = ["delivery", "arrived"]
+
+
+def by_delivery(raw: DataFrame) -> list[DataFrame]:
+    """The batch's deliveries, oldest first; only their names reach the driver."""
+    if DELIVERY[0] not in raw.columns:
+        return [raw]
+    found = raw.groupBy(DELIVERY[0]).agg(F.min(DELIVERY[1]).alias("at")).orderBy("at", DELIVERY[0]).collect()
+    return [raw.where(F.col(DELIVERY[0]) == row[DELIVERY[0]]).drop(*DELIVERY) for row in found]
 
 
 def run_once(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> int:
@@ -43,14 +59,20 @@ def run_once(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkp
 
     An error in ``handle`` ends the run and the batch stays pending.
     """
+    handled = []
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        handle(batch, batch_id)
+        handled.append(batch_id)
+
     query = (
-        stream.writeStream.foreachBatch(handle)
+        stream.writeStream.foreachBatch(counted)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return len({p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0})
+    return len(handled)
 
 
 def event_batches(
@@ -63,21 +85,25 @@ def event_batches(
 ) -> Callable[[DataFrame, int], None]:
     """Batch handler: gate, enrich and store raw events, then bring the metric arrays up to date.
 
-    Fails when no event belongs to a known flight, which means that the flights were not loaded yet.
+    Deliveries of one batch are taken one after the other, so that a correction replaces what it corrects.
+    A delivery is enriched once, into the shared checkpoint folder. Fails when no event belongs to a known flight, which means that the flights were not loaded yet.
     ``gated`` says that the batches have passed the gate already.
     """
 
     def handle(raw: DataFrame, _batch_id: int) -> None:
         if not gated:
             enforce_gate(raw, GATED_COLUMNS["events"])
-        known = int_events(stg_events(raw), flights)
-        days = distinct_days(known)
-        if not days:
-            raise QualityError("no event matches a flight: load the flights of the period first")
-        facts = fct_events(known, int_measurements(stg_measurements(measurements)))
-        store_range(facts, facts_table, days=days)
+        touched: set[date] = set()
+        for delivery in by_delivery(raw):
+            known = int_events(stg_events(delivery), flights)
+            facts = settled(fct_events(known, int_measurements(stg_measurements(measurements))))
+            days = distinct_days(facts)
+            if not days:
+                raise QualityError("no event matches a flight: load the flights of the period first")
+            store_range(facts, facts_table, days=days)
+            touched.update(days)
         if arrays_table is not None:
-            advance_arrays(read(raw.sparkSession, facts_table), arrays_table, days, resolution)
+            advance_arrays(read(raw.sparkSession, facts_table), arrays_table, sorted(touched), resolution)
 
     return handle
 

@@ -1,3 +1,4 @@
+import re
 from datetime import date
 
 import pytest
@@ -100,6 +101,7 @@ def test_busiest_aircraft_take_all_their_flights(spark):
         ("g1", "A", "B", "q", 1),
     )
     track = points(spark, ("1", "f1", 5, 10), ("2", "f3", 3, 20), ("3", "f4", 1, 30), ("4", "g1", 1, 40))
+    track = track.withColumn("dof", F.when(F.col("flight_id") == "f3", F.lit(date(2024, 1, 20))).otherwise(F.col("dof")))
     top = dashboards.busiest_top(df, date(2024, 1, 1), date(2024, 1, 1), rows=1)
     assert rows(top) == [("p", 2)]
     found = dashboards.busiest_aircraft(df, track, date(2024, 1, 1), date(2024, 1, 1)).collect()
@@ -127,6 +129,20 @@ def test_paths_are_ordered_lists_and_segments_their_pieces(spark):
     assert [p.altitude for p in pieces] == [[50, 100, 0], [80]]
 
 
+def test_days_prune_the_stored_track(spark, tmp_path):
+    points(spark, ("a", "f", 10, 0)).write.partitionBy("dof").parquet(f"{tmp_path}/facts")
+    track = spark.read.parquet(f"{tmp_path}/facts")
+    df = flights(spark, ("f", "A", "B", "p", 1))
+    first, last = date(2024, 1, 1), date(2024, 1, 10)
+    chosen = dashboards.filter_points(
+        dashboards.busiest_points(df, track, first, last, hot=spark.createDataFrame([], "flight_id string, pieces bigint")),
+        spark.createDataFrame([("p",)], "icao24 string"), first, last,
+    )
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*dof#\d+ >= 2024-01-01[^\]]*dof#\d+ <= 2024-01-10", plan)
+    assert chosen.count() == 1
+
+
 def test_fetch_is_bounded(spark):
     assert len(dashboards.fetch(spark.range(5), 5)) == 5
     with pytest.raises(ValueError):

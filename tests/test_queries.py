@@ -8,9 +8,9 @@ import pytest
 from conftest import SF_DIR
 
 import __spark_entry__ as contract
-from contrail.plans import model_tests
+from contrail.plans import model_tests, oracles, registry
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = registry.queries(), oracles.oracle_sql()
 DUCKDB_TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
@@ -41,6 +41,8 @@ def comparable(rows, columns):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -1,7 +1,9 @@
 from datetime import date
 
 import pytest
+from helpers import rows
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from contrail.sources import files, schemas
 from contrail.session import empty_frame, shared_folder
@@ -16,6 +18,30 @@ def test_parquet_is_matched_by_name_in_any_case_and_cast(spark, tmp_path):
     assert (row.id, row.altitude, row.longitude, row.latitude) == ("e1", 7, 1.5, None)
 
 
+def test_parquet_files_of_mixed_columns_keep_their_values(spark, tmp_path):
+    first, second, both = (f"{tmp_path}/{n}" for n in ("jan", "feb", "both"))
+    one = spark.sql("SELECT 'a' AS id, 'X' AS adep")
+    two = spark.sql("SELECT 'Y' AS ADES, 'C2' AS Icao24, 'b' AS ID")
+    one.write.parquet(first)
+    two.write.parquet(second)
+    one.write.parquet(both)
+    two.select("Icao24", "ADES", F.col("ID").alias("id")).write.mode("append").parquet(both)
+    want = [("a", "X", None, None), ("b", None, "Y", "C2")]
+    for path in ([first, second], [second, first], [both]):
+        df = files.load_parquet(spark, path, schemas.FLIGHTS)
+        assert rows(df, "id", "adep", "ades", "icao24") == want
+
+
+def test_csv_files_have_headers_of_their_own(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("icao24,country,registration\nA1,CH,HB1\n")
+    (tmp_path / "two.csv").write_text("registration,icao24,country\nHB2,A2,DE\n")
+    paths = [f"{tmp_path}/one.csv", f"{tmp_path}/two.csv"]
+    df = files.load_csv(spark, paths, schemas.AIRCRAFTS)
+    assert rows(df, "icao24", "country", "registration") == [("A1", "CH", "HB1"), ("A2", "DE", "HB2")]
+    with pytest.raises(Exception, match="header does not conform"):
+        files.load_csv(spark, str(tmp_path), schemas.AIRCRAFTS).collect()
+
+
 def test_csv_is_matched_by_header(spark, tmp_path):
     file = tmp_path / "airports.csv"
     file.write_text('"ident";"id";"name";"latitude_deg";"elevation_ft"\n"LSZH";7;"Zürich; ""Kloten""";47.5;\n')

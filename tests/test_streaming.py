@@ -61,6 +61,15 @@ def test_files_are_taken_once_and_late_ones_replace_their_range(spark, landing):
     assert {h: a[0] for h, a in landing.state().items() if a[0]} == expected
 
 
+def test_a_backlog_is_taken_delivery_by_delivery(spark, landing):
+    """A period and its correction wait together: what is corrected is not stored twice."""
+    landing.land("z_first", ("e1", 1, 1, 5.0), ("e2", 1, 2, 5.5), ("e3", 3, 1, 5.0))
+    landing.land("a_again", ("e1", 1, 1, 6.0), ("e2", 1, 2, 5.5))
+    assert landing.run() == 1
+    assert landing.ids() == ["e1", "e2", "e3"]
+    assert read(spark, landing.facts).where("id = 'e1'").first().longitude == 6.0
+
+
 def test_failed_gate_stops_and_the_batch_stays_pending(spark, landing):
     landing.land("p1", ("e1", 1, 1, 5.0))
     assert landing.run() == 1

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from contrail.functions.times import seconds_between, share_of_seconds, span_start
 from contrail.operators import trajectory
+from contrail.operators.skew import hot_keys
 
 NO_FLIGHT = "flight_id string, pieces bigint"
 
@@ -100,12 +101,43 @@ def test_high_short_and_first_legs_give_no_points(spark):
     assert count(leg(spark, 47.02, 5.0, alt2=3000)) > 0
 
 
-def test_series_is_cut_unless_unlimited(spark):
+@pytest.mark.parametrize("altitude", [None, 3000])
+def test_an_unknown_end_gives_no_distance_and_no_steps(spark, altitude):
+    df = events(
+        spark,
+        ("a", "f", "t", at(0), None, 47.0, 100),
+        ("b", "f", "t", at(60), 5.0, 47.1, 100),
+        ("c", "f", "t", at(120), 5.1, None, 100),
+    )
+    legs = trajectory.legs(df)
+    measured = trajectory.with_leg_distance(legs)
+    assert [tuple(r) for r in measured.select("distance_km", "steps").collect()] == [(None, None)] * 3
+    assert trajectory.interpolated_points(legs, max_altitude=altitude).count() == 0
+
+
+def test_splitting_a_flight_keeps_events_of_unknown_id_last(spark):
+    entries = [
+        ("x", "f", "t", at(10), 1.0, 47.0, 100),
+        (None, "f", "t", at(10), 2.0, 47.0, 100),
+        ("y", "f", "t", at(10), 3.0, 47.0, 100),
+        ("z", "f", "t", at(4000), 4.0, 47.0, 100),
+        ("n", None, "t", at(10), 5.0, 47.0, 100),
+        ("o", None, "t", at(4000), 6.0, 47.0, 100),
+    ]
+    df = events(spark, *entries)
+    split = trajectory.legs(df, hot_keys(df, "flight_id", rows=1)).drop("segment")
+    plain = trajectory.legs(df).drop("segment")
+    assert rows(split) == rows(plain)
+    assert plain.where("id = 'z'").first().prev_longitude == 2.0
+
+
+def test_series_is_cut_only_on_demand(spark):
     legs = trajectory.legs(leg(spark, 47.0, 60.0))
     measured = trajectory.with_leg_distance(legs).where("id = 'b'").first()
     assert measured.steps > 3000
-    assert trajectory.interpolated_points(legs).agg(F.max("n"), F.count("*")).first()[:] == (2999, 3000)
-    assert trajectory.interpolated_points(legs, max_steps=None).count() == measured.steps
+    assert trajectory.interpolated_points(legs).count() == measured.steps
+    cut = trajectory.interpolated_points(legs, max_steps=3000)
+    assert cut.agg(F.max("n"), F.count("*")).first()[:] == (2999, 3000)
 
 
 def test_seconds_count_boundaries_and_round_half_up(spark):
