@@ -7,7 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame, Window, functions as F
 
 from contrail.functions.times import span_start
-from contrail.operators.ranges import ALTITUDE_FRACTIONS, OVERVIEW_FRACTIONS, range_bucket, with_range_bucket
+from contrail.operators.hexagons import agg_by_coordinates
+from contrail.operators.ranges import AIRPORT_FRACTIONS, ALTITUDE_FRACTIONS, OVERVIEW_FRACTIONS, range_bucket, with_range_bucket
 from contrail.operators.skew import hot_keys, split_join
 
 # Fixed values.
@@ -34,6 +35,12 @@ def hex_heatmap(totals: DataFrame, rows: int = OVERVIEW_ROWS) -> DataFrame:
     return top.withColumn("ends", ends).where(F.col("count") > 0).select("hex", "count", bucket)
 
 
+def airport_page(legs: DataFrame, lat: float, lon: float, resolution: int) -> DataFrame:
+    """Low traffic per cell around an airport with the bucket of its count."""
+    counts = agg_by_coordinates(legs, lat, lon, resolution)
+    return with_range_bucket(counts, "count", AIRPORT_FRACTIONS).where(F.col("count") > 0)
+
+
 def current_airports(airports: DataFrame) -> DataFrame:
     return airports.where(F.col("dbt_valid_to").isNull())
 

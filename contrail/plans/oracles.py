@@ -322,10 +322,19 @@ def _arrays(array: str, source: str) -> str:
     return f"SELECT {_hex(6)} AS hex, '2024-01-01' AS year_start, {_text(array)} AS metric_array FROM {source}"
 
 
-def _airport_hexes() -> str:
-    near = f"SELECT *, {_point('lat', 'lon', 8)} FROM ({_points('SELECT * FROM measured')})"
+def _airport_hexes(resolution: int) -> str:
+    near = f"SELECT *, {_point('lat', 'lon', resolution)} FROM ({_points('SELECT * FROM measured')})"
     near += f" WHERE {_km('lat', 'lon', _float(registry.LAT), _float(registry.LON))} <= 30"
-    return f"SELECT {_hex(8)} AS hex, count(DISTINCT flight_id) AS count FROM ({_cell(near, 'flight_id')}) GROUP BY q, r"
+    cells = _cell(near, "flight_id")
+    return f"SELECT {_hex(resolution)} AS hex, count(DISTINCT flight_id) AS count FROM ({cells}) GROUP BY q, r"
+
+
+def _airport_page() -> str:
+    return " UNION ALL ".join(
+        f"SELECT hex, count, bucket, CAST({r} AS INT) AS resolution FROM"
+        f" ({_bucket(f'({_airport_hexes(r)})', 'count', [0.01, 0.05, 0.1, 0.25, 0.4, 0.5, 1])}) WHERE count > 0"
+        for r in (6, 7, 8, 9, 10)
+    )
 
 
 def _statements() -> dict[str, str]:
@@ -377,7 +386,8 @@ def _statements() -> dict[str, str]:
         " FROM path_cells GROUP BY id, flight_id",
         "hex_traffic": f"SELECT {_hex(6)} AS hex, count(DISTINCT flight_id) AS count FROM path_cells GROUP BY q, r",
         "hex_traffic_res8": f"SELECT {_hex(8)} AS hex, count(DISTINCT flight_id) AS count FROM path_cells_8 GROUP BY q, r",
-        "airport_hexes": _airport_hexes(),
+        "airport_hexes": _airport_hexes(8),
+        "airport_page": _airport_page(),
         "period_counts": f"SELECT {_hex(6)} AS hex, '2024-01-01' AS year_start, slot, count FROM by_period",
         "metric_array_step": _arrays(_slots("s0", "s1", "s2"), "by_hex"),
         "metric_array_rerun": _arrays(_slots("coalesce(u1, 0)", "s1", "s2"), "by_hex LEFT JOIN so_far USING (q, r)"),

@@ -25,6 +25,7 @@ from contrail.sources.tables import read, settled
 from contrail.streaming import ingest
 
 AIRPORT, LAT, LON = "AP0", 47.0, 5.0
+AIRPORT_RESOLUTIONS = range(6, 11)
 FIRST, LAST = date(2024, 1, 1), date(2024, 2, 1)
 PATHS_UNTIL = date(2024, 1, 10)
 LOADED, RELOADED = datetime(2024, 1, 1), datetime(2024, 1, 11)
@@ -257,6 +258,15 @@ def airport_hexes(m):
     return hexagons.agg_by_coordinates(m.legs, LAT, LON)
 
 
+@query
+def airport_page(m):
+    """The map of an airport at each resolution it offers."""
+    pages = [
+        dashboards.airport_page(m.legs, LAT, LON, r).withColumn("resolution", F.lit(r)) for r in AIRPORT_RESOLUTIONS
+    ]
+    return reduce(DataFrame.unionByName, pages)
+
+
 @query
 def period_counts(m):
     return hexagons.period_counts(m.airborne_legs)
