@@ -30,10 +30,11 @@ from contrail.llm.common import ROW_KEY, components, documents, join_checked, ke
 from contrail.llm.words import chunks, mix, shingle_set, utf8, word_hashes
 
 WORDS, PERCENT = 5, 75
-SYMBOLS, BITS, CHUNKS, ERRORS = 25, 16, 5, 2
+SYMBOLS, BITS, CHUNKS, ERRORS = 25, 15, 5, 2
 FAR = 16  # differing symbols beyond which a pair is not compared; at 0.75 the chance is 5e-6
-LANES = 4  # symbols in a long
-SIGNATURE = [f"s{i}" for i in range(-(-SYMBOLS // LANES))]
+LANES, LANE = 3, 16  # symbols in a long and bits for each, one more than they have
+LONGS = -(-SYMBOLS // CHUNKS // LANES)  # of a chunk
+SIGNATURE = [f"s{i}" for i in range(CHUNKS * LONGS)]
 BROADCAST_IDS = 500_000  # rows of three numbers that may be broadcast after they were counted
 BLOCK = 250  # documents of a family whose sets meet those of another block in one place
 
@@ -59,16 +60,15 @@ def fingerprint(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """The symbols, four to a long."""
+    """The symbols, chunk by chunk, ``LANES`` to a long."""
     least = np.full(SYMBOLS, np.iinfo(np.uint64).max)
     for i in range(0, len(shingles), 4096):
         block = shingles[i : i + 4096, None] * _FACTOR + _SHIFT
         np.minimum(least, block.min(axis=0), out=least)
-    lanes = np.zeros(len(SIGNATURE) * LANES, np.uint64)
-    lanes[:SYMBOLS] = mix(least) >> np.uint64(64 - BITS)
-    return (lanes.reshape(-1, LANES) << (np.arange(LANES, dtype=np.uint64) * np.uint64(BITS))).sum(
-        axis=1, dtype=np.uint64
-    ).view(np.int64)
+    lanes = np.zeros((CHUNKS, LONGS * LANES), np.uint64)
+    lanes[:, : SYMBOLS // CHUNKS] = (mix(least) >> np.uint64(64 - BITS)).reshape(CHUNKS, -1)
+    places = np.arange(LANES, dtype=np.uint64) * np.uint64(LANE)
+    return (lanes.reshape(-1, LANES) << places).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -89,7 +89,9 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _symbol(i: int) -> Column:
-    return F.shiftrightunsigned(SIGNATURE[i // LANES], BITS * (i % LANES)).bitwiseAND(F.lit((1 << BITS) - 1))
+    chunk, place = divmod(i, SYMBOLS // CHUNKS)
+    long = F.col(SIGNATURE[chunk * LONGS + place // LANES])
+    return F.shiftrightunsigned(long, LANE * (place % LANES)).bitwiseAND(F.lit((1 << BITS) - 1))
 
 
 def _choices() -> list[tuple[int, ...]]:
@@ -104,31 +106,32 @@ def _keys() -> Column:
     return F.array(*(F.xxhash64(F.lit(i), *map(_symbol, c)) for i, c in enumerate(chosen)))
 
 
-def _agree(i: int) -> Column:
-    """Whether the signatures of sides a and b have the same i-th symbol."""
-    s = SIGNATURE[i // LANES]
-    both = F.col(f"a{s}").bitwiseXOR(F.col(f"b{s}"))
-    return F.shiftrightunsigned(both, BITS * (i % LANES)).bitwiseAND(F.lit((1 << BITS) - 1)) == 0
+def _differing(chunk: int) -> Column:
+    """The number of a chunk's symbols in which sides a and b differ.
+
+    Adding the largest symbol to a lane carries into its spare bit unless the lane is 0.
+    """
+    most = sum(((1 << BITS) - 1) << (LANE * i) for i in range(LANES))
+    spare = sum(1 << (LANE * i + BITS) for i in range(LANES))
+    total = F.lit(0)
+    for s in SIGNATURE[chunk * LONGS : (chunk + 1) * LONGS]:
+        both = F.col(f"a{s}").bitwiseXOR(F.col(f"b{s}"))
+        total = total + F.bit_count((both + F.lit(most)).bitwiseAND(F.lit(spare)))
+    return total
 
 
 def _far() -> Column:
     """The number of symbols in which sides a and b differ."""
-    return sum((F.when(_agree(i), 0).otherwise(1) for i in range(SYMBOLS)), F.lit(0))
+    return sum((_differing(k) for k in range(CHUNKS)), F.lit(0))
 
 
-def _first_key() -> Column:
-    """The number of the first key that sides a and b share, null for none."""
-    size, choices = SYMBOLS // CHUNKS, _choices()
-    table = []
-    for agree in range(1 << size):
-        lowest = tuple(i for i in range(size) if agree >> i & 1)[: size - ERRORS]
-        table.append(choices.index(lowest) if lowest in choices else None)
-    numbers = F.array(*(F.lit(n).cast("int") for n in table))
-    found = []
-    for k in range(CHUNKS):
-        agree = sum((F.when(_agree(k * size + i), 1 << i).otherwise(0) for i in range(size)), F.lit(0))
-        found.append(F.get(numbers, agree) + k * len(choices))
-    return F.coalesce(*found)
+def _first_chunk() -> Column:
+    """Whether no chunk before that of key ``number`` has few enough differences to be found by."""
+    keys = len(_choices())
+    first = F.lit(True)
+    for k in range(CHUNKS - 1):
+        first = first & ((F.col("number") < keys * (k + 1)) | (_differing(k) > ERRORS))
+    return first
 
 
 def _sizes_allow() -> Column:
@@ -236,7 +239,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     families = best.select(F.col("b").alias("doc_id"), F.col("c").alias("family"))
     links = stored(confirmed(docs, stars, families, classes), "links")
 
-    # What is left: pairs that share a key and are not joined yet, each taken at the first key they share.
+    # What is left: pairs that share a key and are not joined yet, each taken in the first chunk that finds it.
     joined = stored(components(links), "components")
     member = shared.select("key", "number", "doc_id").join(joined, F.col("doc_id") == F.col("node"), "left")
     member = member.select("key", "number", "doc_id", F.coalesce("component", "doc_id").alias("component"))
@@ -245,8 +248,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     one = _sided(member, "a", "key", "number", F.col("component").alias("ac"))
     other = _sided(member, "b", "key", F.col("component").alias("bc"))
     apart = (F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _sizes_allow()
-    apart = apart & (_far() <= FAR) & (_first_key() == F.col("number"))
-    rest = one.join(other, (one["key"] == other["key"]) & apart).select("a", "b")
+    apart = apart & (_far() <= FAR) & _first_chunk()
+    rest = one.join(other, (one["key"] == other["key"]) & apart).select("a", "b").distinct()
     links = links.unionByName(stored(confirmed(docs, rest, families, classes), "links"))
 
     found = stored(components(links), "components")
