@@ -6,12 +6,14 @@ stand. Pairs that meet and whose letter counts don't rule it out are verified wi
 over the band of diagonals that ``EDITS`` edits can reach, one machine word for each column.
 
 Equal lines are one line with a count before anything is compared. Only pairs within the threshold leave the
-comparison; a line gets its number of links and the class that links make.
+comparison; a line gets its number of links and the class that links make. The classes then go back to every place
+at which a line stands, in all documents and repeats included; one place of each class is kept.
 
 Defined cases: null and empty texts have no lines; empty lines are left out; lines under ``SHORTEST`` characters
 are compared for equality only, as few edits turn any into any; very long lines are compared whole; rows with a
-null id hold lines like others; a line that a document repeats counts once for it; an empty table gives no row;
-further columns are ignored.
+null id hold lines like others; a line that a document repeats counts once in ``n_docs`` and stands at several
+places; rows that repeat a row have places of their own; an empty table gives no row; further columns are ignored,
+or kept as they are by ``without_repeats``.
 """
 
 from __future__ import annotations
@@ -153,7 +155,8 @@ def near_lines(docs: DataFrame) -> DataFrame:
 
     ``digest`` is the line's MD5, ``doc_id`` the smallest id of a document with the line and ``place`` the line's
     place among that one's distinct lines; ``n_docs`` rows have the line; ``n_links`` other lines are within
-    ``EDITS`` edits; ``component`` is the smallest digest reachable by links; that line is kept.
+    ``EDITS`` edits; ``component`` is the smallest digest reachable by links; that line is kept. Where the lines
+    stand, exact repeats included, is in ``line_places``.
     """
     one = lines_of(docs).groupBy("line").agg(
         F.min("doc_id").alias("doc_id"), F.min_by("place", "doc_id").alias("place"), F.min("place").alias("_place"),
@@ -190,5 +193,62 @@ def near_lines(docs: DataFrame) -> DataFrame:
     )
 
 
+def _numbered(docs: DataFrame, *more: Column) -> DataFrame:
+    """(_row, doc_id, text, more): a number for each row; to be stored before it is used twice."""
+    return docs.select(
+        F.monotonically_increasing_id().alias("_row"), F.col("`doc_id`").alias("doc_id"), F.col("`text`").alias("text"), *more
+    )
+
+
+def _marked(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """What ``line_places`` gives, and the _row, for ``rows`` (_row, doc_id, text) of ``docs``."""
+    parts = rows.select(
+        "_row", "doc_id", F.xxhash64("text").alias("_hash"), F.posexplode(F.split("text", "\n")).alias("place", "line")
+    )
+    places = parts.where("line <> ''").select("_row", "doc_id", "_hash", "place", F.md5("line").alias("digest"))
+    places = stored(places, "places")
+    # Null ids last; the row's number only decides between rows that are equal.
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_hash", "_row", "place")
+    first = places.groupBy("digest").agg(F.min(order).alias("first"))
+    table = near_lines(docs).select("digest", "n_docs", "n_links", "component", F.col("kept").alias("leads"))
+    table = table.join(first, "digest")
+    table = stored(table.select(*table.columns[:-1], "first._row", "first.place").toDF(*table.columns[:-1], "_at", "_place"), "marks")
+    kept = F.col("leads") & (F.col("_row") == F.col("_at")) & (F.col("place") == F.col("_place"))
+    # A line that very many rows hold is a hot key of the left side.
+    return join_checked(places, table, ["digest"]).select(
+        "_row", "doc_id", "place", "digest", "n_docs", "n_links", "component", kept.alias("kept")
+    )
+
+
+def line_places(docs: DataFrame) -> DataFrame:
+    """(doc_id, place, digest, n_docs, n_links, component, kept) of every line of every row of ``docs``.
+
+    ``place`` counts all lines of the text, from 0, empty ones too. Of each component one place is kept: that of
+    the line named by ``component`` in the smallest doc_id, by the smallest hash of the text if rows share the id,
+    and first in the text. Other columns are those of ``near_lines``.
+    """
+    return _marked(docs, _numbered(docs)).drop("_row")
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with all their columns, and in ``text`` only kept lines and the empty ones.
+
+    Texts without a line that goes stay as they are; a text of which no line is kept is left with its empty lines.
+    """
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = stored(_numbered(docs, row).select("_row", "row"), "rows")
+    marked = _marked(docs, rows.select("_row", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text")))
+    gone = stored(marked.where("NOT kept").groupBy("_row").agg(F.collect_list("place").alias("gone")), "gone")
+
+    def left(parts: Column) -> Column:
+        at = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("gone"))
+        return F.array_join(F.transform(at, lambda i: F.get(parts, i)), "\n")
+
+    cut = _let(F.split("row.text", "\n"), left)
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(cut).alias("text")
+    found = join_checked(rows, gone, ["_row"], "left")
+    return found.select(*(text if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+
+
 def op5_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return near_lines(documents(spark, folder)).drop("place")
+    return line_places(documents(spark, folder))

@@ -65,5 +65,35 @@ def test_links_match_brute_force(spark):
     }
 
 
+def test_every_place_of_a_line_is_marked(spark):
+    passage, near = "a passage that all have", "a passage that all hive"
+    keeps = min([passage, near], key=lambda x: md5(x.encode()).hexdigest())
+    texts = {i: f"{md5(str(i).encode()).hexdigest()} alone\n\n{passage}" for i in range(3, 40)}
+    texts |= {40: f"{passage}\nbetween {'x' * 20}\n{passage}", 2: f"{near}\nshort\nshort", 1: f"{passage}\n{near}\n"}
+    rows = [(i, t, "en", "s") for i, t in texts.items()] + [(None, passage, "en", "s"), (50, None, "en", "s")]
+    rows += [(60, "equal rows with this", "en", "s")] * 2 + [(61, "", "en", "s")]
+    docs = documents(spark, rows)
+    found = lines.line_places(docs).collect()
+    held = [(i, at, x) for i, t, *_ in rows for at, x in enumerate((t or "").split("\n")) if x]
+    same = lambda rows: sorted(rows, key=str)
+    digests = [(i, at, md5(x.encode()).hexdigest()) for i, at, x in held]
+    assert same((r["doc_id"], r["place"], r["digest"]) for r in found) == same(digests)
+    passages = {(r["doc_id"], r["place"]): r["kept"] for r in found if r["component"] == md5(keeps.encode()).hexdigest()}
+    assert len(passages) == len(texts) + 3
+    assert [at for at, kept in passages.items() if kept] == [(1, [passage, near].index(keeps))]
+    component = {r["component"] for r in found}
+    assert sum(r["kept"] for r in found) == len(component)
+
+    cut = lines.without_repeats(docs)
+    assert cut.columns == docs.columns
+    texts_left = {}
+    for r in cut.collect():
+        texts_left.setdefault(r["doc_id"], []).append(r["text"])
+    assert texts_left.pop(60) in (["equal rows with this", ""], ["", "equal rows with this"])
+    want = {i: [f"{md5(str(i).encode()).hexdigest()} alone\n"] for i in range(3, 40)}
+    want |= {40: [f"between {'x' * 20}"], 2: ["short"], 1: [f"{keeps}\n"], None: [""], 50: [None], 61: [""]}
+    assert texts_left == want
+
+
 def test_empty_table(spark):
     assert lines.near_lines(documents(spark, [])).count() == 0
