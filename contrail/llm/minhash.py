@@ -6,15 +6,16 @@ principle two signatures that differ in fewer than ``CHUNKS * (ERRORS + 1)`` sym
 and such a pair meets in at least one key. At a similarity of 0.75 a pair is missed with probability 1.2e-5,
 less above. Links are confirmed on the full shingle sets.
 
-Documents with equal sets are one class, and only class representatives go on. Pairs within a key are not
+Documents with equal sets are one class with a number of its own, and only classes go on. Pairs within a key are not
 listed: first every representative is compared with the nearest and the most central of its keys' leads, which
 joins most of a group to stars; only pairs that share a key, are of different components by then, and are within
 ``FAR`` symbols, are compared one by one.
 
 Defined cases: null, empty and wordless texts have no shingles and link with nothing; texts of fewer words
-than a shingle are one shingle; very long texts are hashed in pieces and compared whole; rows with a null id
-take part only as copies of the same set, without such copies their component is null and they are kept; rows
-with equal ids are judged each by its own text; an empty table gives no row; further columns are ignored.
+than a shingle are one shingle; very long texts are hashed in pieces and compared whole; rows with equal ids are
+judged each by its own text, and so are rows with a null id; a component is named by its smallest id, which is null
+if it has none, and keeps the row with that id, of several texts the one with the smallest hash; rows that are equal
+in id and text are judged alike; an empty table gives no row; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -139,7 +140,7 @@ def _sizes_allow() -> Column:
 
 
 def _sided(classes: DataFrame, side: str, *more: str | Column) -> DataFrame:
-    columns = [F.col("doc_id").alias(side), F.col("n_shingles").alias(f"{side}n")]
+    columns = [F.col("node").alias(side), F.col("n_shingles").alias(f"{side}n")]
     return classes.select(*columns, *(F.col(s).alias(side + s) for s in SIGNATURE), *more)
 
 
@@ -154,34 +155,38 @@ def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def confirmed(docs: DataFrame, pairs: DataFrame, families: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b), given once each, whose full sets are similar enough.
 
-    ``families`` (doc_id, family) tells which documents likely have partners in common; it steers the work only. A
-    family is cut into blocks of about ``BLOCK`` documents, and the pairs between two blocks are compared in one
-    place, to which each set comes once however many pairs it is in.
+    ``classes`` has, for each node, the row key of a row with its set, and f0. ``families`` (node, family) tells which
+    nodes likely have partners in common; it steers the work only. A family is cut into blocks of about ``BLOCK``
+    nodes, and the pairs between two blocks are compared in one place, to which each set comes once however many
+    pairs it is in.
     """
     pairs = stored(pairs.select("a", "b"), "pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    nodes = nodes.join(families, "doc_id", "left").withColumn("family", F.coalesce("family", "doc_id"))
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = nodes.join(families, "node", "left").withColumn("family", F.coalesce("family", "node"))
     sizes = nodes.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    blocks = nodes.join(sizes, "family").join(classes.select("doc_id", "f0"), "doc_id")
+    blocks = nodes.join(sizes, "family").join(classes.select("node", "f0", *ROW_KEY), "node")
     blocks = stored(
-        blocks.select("doc_id", "f0", F.xxhash64("family", F.pmod(F.xxhash64("doc_id"), "blocks")).alias("block")), "blocks"
+        blocks.select("node", "f0", *ROW_KEY, F.xxhash64("family", F.pmod(F.xxhash64("node"), "blocks")).alias("block")),
+        "blocks",
     )
     placed = pairs
     for side in "ab":
-        placed = placed.join(blocks.select(F.col("doc_id").alias(side), F.col("block").alias(f"{side}_block")), side)
+        placed = placed.join(blocks.select(F.col("node").alias(side), F.col("block").alias(f"{side}_block")), side)
     placed = stored(placed.select("a", "b", F.xxhash64("a_block", "b_block").alias("place")), "placed")
-    wanted = placed.select("place", F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    wanted = stored(wanted.join(blocks.select("doc_id", "f0"), "doc_id").withColumnRenamed("doc_id", "_doc_id"), "wanted")
-    texts = docs.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.col("`text`").alias("text"))
+    wanted = placed.select("place", F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = stored(wanted.join(blocks.select("node", "f0", *ROW_KEY), "node"), "wanted")
+    texts = docs.select(*row_key(F.col("`doc_id`"), F.xxhash64("`text`")), F.col("`text`").alias("text"))
     small = wanted.count() <= BROADCAST_IDS
-    texts = texts.join(F.broadcast(wanted) if small else wanted, F.col("doc_id") == F.col("_doc_id"))
+    texts = texts.join(F.broadcast(wanted) if small else wanted, ROW_KEY)
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = set()  # rows may repeat the one whose set is wanted
         for batch in batches:
             ids, place, f0 = (batch.column(i).to_pylist() for i in (0, 2, 3))
             found = []
             for i, one in enumerate(sets_of(batch.column(1))):
-                if fingerprint(one)[0] == f0[i]:
+                if (place[i], ids[i]) not in sent and fingerprint(one)[0] == f0[i]:
+                    sent.add((place[i], ids[i]))
                     found.append((place[i], ids[i], None, one.tobytes()))
                 if found and (len(found) == 256 or i == len(ids) - 1):
                     types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
@@ -210,7 +215,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, families: DataFrame, classes: D
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*links)], ["a", "b"])
 
-    sets = texts.select("doc_id", "text", "place", "f0").mapInArrow(shingles, "place long, a long, b long, shingles binary")
+    sets = texts.select("node", "text", "place", "f0").mapInArrow(shingles, "place long, a long, b long, shingles binary")
     rows = sets.unionByName(placed.select("place", "a", "b", F.lit(None).cast("binary").alias("shingles")))
     rows = rows.repartition("place").sortWithinPartitions("place", F.col("b").asc_nulls_first())
     return rows.mapInArrow(compare, "a long, b long")
@@ -219,32 +224,37 @@ def confirmed(docs: DataFrame, pairs: DataFrame, families: DataFrame, classes: D
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) of each row of ``docs`` (doc_id, text)."""
     signed = stored(signatures(docs), "signatures")
-    named = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["f0", "f1", "n_shingles"]
-    first = [F.first(s).alias(s) for s in SIGNATURE]  # equal for equal sets
-    classes = stored(named.groupBy(*same).agg(F.min("doc_id").alias("doc_id"), *first), "classes")
-
-    keys = classes.select("doc_id", F.posexplode(_keys()).alias("number", "key"))
+    alike = [F.first(s).alias(s) for s in SIGNATURE]  # equal for equal sets
+    # The row that stands for a set: null ids last, so that a component's first row has its smallest id.
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    classes = signed.where("n_shingles > 0").groupBy(*same).agg(F.min(row).alias("first"), *alike)
+    key = row_key(F.col("first.doc_id"), F.col("first.text_hash"))
+    classes = classes.select(F.monotonically_increasing_id().alias("node"), *same, "first", *key, *SIGNATURE)
+    classes = stored(classes, "classes")
+    signs = classes.select("node", *same, *SIGNATURE)
+
+    keys = classes.select("node", F.posexplode(_keys()).alias("number", "key"))
     common = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     shared = stored(keys.join(common, "key"), "keys")
     # A key's lead is the member whose keys have the most members: the middle of its group.
-    central = shared.groupBy("doc_id").agg(F.sum("members").alias("weight"))
-    leads = shared.join(central, "doc_id").groupBy("key").agg(F.max_by("doc_id", "weight").alias("a"))
-    led = shared.join(leads, "key").where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    led = led.join(central.withColumnRenamed("doc_id", "a"), "a")
-    best = _near(led, classes).groupBy("b").agg(F.min_by("a", "far").alias("a"), F.max_by("a", "weight").alias("c"))
+    central = shared.groupBy("node").agg(F.sum("members").alias("weight"))
+    leads = shared.join(central, "node").groupBy("key").agg(F.max_by("node", "weight").alias("a"))
+    led = shared.join(leads, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    led = led.join(central.withColumnRenamed("node", "a"), "a")
+    best = _near(led, signs).groupBy("b").agg(F.min_by("a", "far").alias("a"), F.max_by("a", "weight").alias("c"))
     best = stored(best, "leads")
     stars = best.select("a", "b").unionByName(best.select(F.col("c").alias("a"), "b"))
     stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    families = best.select(F.col("b").alias("doc_id"), F.col("c").alias("family"))
+    families = best.select(F.col("b").alias("node"), F.col("c").alias("family"))
     links = stored(confirmed(docs, stars, families, classes), "links")
 
     # What is left: pairs that share a key and are not joined yet, each taken in the first chunk that finds it.
     joined = stored(components(links), "components")
-    member = shared.select("key", "number", "doc_id").join(joined, F.col("doc_id") == F.col("node"), "left")
-    member = member.select("key", "number", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    member = shared.select("key", "number", "node").join(joined, "node", "left")
+    member = member.select("key", "number", "node", F.coalesce("component", "node").alias("component"))
     split = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    member = stored(member.join(split.select("key"), "key").join(classes.drop("f0", "f1"), "doc_id"), "apart")
+    member = stored(member.join(split.select("key"), "key").join(signs.drop("f0", "f1"), "node"), "apart")
     one = _sided(member, "a", "key", "number", F.col("component").alias("ac"))
     other = _sided(member, "b", "key", F.col("component").alias("bc"))
     apart = (F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _sizes_allow()
@@ -253,13 +263,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = links.unionByName(stored(confirmed(docs, rest, families, classes), "links"))
 
     found = stored(components(links), "components")
-    classes = classes.join(found, F.col("doc_id") == F.col("node"), "left")
-    classes = classes.select(*same, F.coalesce("component", "doc_id").alias("_component"))
+    classes = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    survivors = classes.groupBy("component").agg(F.min("first").alias("survivor"))
+    classes = classes.join(survivors, "component").select(*same, "survivor")
     rows = signed.select("doc_id", "text_hash", *same).join(classes, same, "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("doc_id"))
-    rows = rows.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"))
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
-    return rows.withColumn("kept", kept)
+    shown = F.col("n_shingles") > 0
+    component = F.when(shown, F.col("survivor.doc_id")).otherwise(F.col("doc_id"))
+    first = F.col("survivor.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("survivor.text_hash") == F.col("text_hash"))
+    return rows.select(
+        "doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.when(shown, first).otherwise(True).alias("kept")
+    )
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:

@@ -59,6 +59,32 @@ def test_null_and_repeated_ids(spark):
     assert sorted(str(r["doc_id"]) for r in minhash.deduplicated(docs).collect()) == ["5", "6", "6", "None"]
 
 
+def test_linked_texts_under_equal_and_null_ids(spark):
+    generator = random.Random(8)
+    base = lambda: [f"w{generator.randrange(10**6)}" for _ in range(80)]
+
+    def near(words, at):
+        return " ".join(w if i != at else "other" for i, w in enumerate(words))
+
+    a, b, c, d, e = (base() for _ in range(5))
+    rows = [
+        (3, " ".join(a)), (6, near(a, 79)), (6, " ".join(b)),  # of id 6 one text is near 3, the other stands alone
+        (7, " ".join(c)), (7, near(c, 79)), (8, near(c, 0)),  # near texts under one id
+        (None, near(b, 79)), (None, near(a, 0)),  # near rows with ids
+        (None, " ".join(d)), (None, near(d, 79)), (None, near(d, 0)), (None, " ".join(e)),  # near among themselves
+    ]
+    docs = documents(spark, [(i, t, "en", "s") for i, t in rows])
+    found = minhash.near_duplicates(docs).join(docs.selectExpr("xxhash64(text) AS text_hash", "text"), "text_hash").collect()
+    got = {(r["doc_id"], r["text"]): (r["component_id"], r["kept"]) for r in found}
+    assert {i: c for (i, t), (c, _) in got.items() if i == 3 or t == near(a, 79)} == {3: 3, 6: 3}
+    assert [got[row][0] for row in rows] == [3, 3, 6, 7, 7, 7, 6, 3, None, None, None, None]
+    kept = [got[row][1] for row in rows]
+    assert kept[:3] == [True, False, True] and sum(kept[3:5]) == 1 and not any(kept[5:8])
+    assert sum(kept[8:11]) == 1 and kept[11]
+    left = minhash.deduplicated(docs).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in left) == sorted((str(i), t) for (i, t), k in zip(rows, kept) if k)
+
+
 def test_empty_table(spark):
     assert minhash.near_duplicates(documents(spark, [])).count() == 0
     assert minhash.deduplicated(documents(spark, [])).count() == 0
