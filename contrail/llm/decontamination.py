@@ -3,8 +3,8 @@
 A window of ``WINDOW`` words is cut into blocks. A mask keeps the words of all but ``SUBSTITUTED`` blocks and
 ignores the others, for every choice of blocks; so windows that differ in up to ``SUBSTITUTED`` words agree
 under some mask. Hashes of all windows under all masks are joined between the benchmark and the documents, and
-every window that meets is compared word by word: at most ``SUBSTITUTED`` words may differ. Verified windows
-along one alignment make an overlap.
+every distinct window that meets is compared word by word: at most ``SUBSTITUTED`` words may differ. A verified
+window stands for all items and places that hold it; verified windows along one alignment make an overlap.
 
 Words end at white space and ASCII punctuation, A-Z count as a-z. Benchmark items of fewer words than a window
 are searched as a whole and without substitutions; below ``SHORTEST`` words an item is not searched for, as it
@@ -15,7 +15,7 @@ It only saves work: what it lets pass wrongly, the join drops.
 
 Defined cases: null, empty and short texts hold nothing; very long texts are hashed in pieces, all of them;
 rows that are equal in id and text share their overlaps; a null id is an id of its own; items with equal
-windows are named by the smallest item_id; an empty table on either side gives no overlaps; further columns are
+windows have an overlap each; an empty table on either side gives no overlaps; further columns are
 ignored.
 """
 
@@ -33,6 +33,7 @@ from contrail.llm.words import LETTERED, chunks, sequence_hash, utf8, word_hashe
 
 WINDOW, SUBSTITUTED, SHORTEST = 12, 2, 5
 BLOCKS = 2 * SUBSTITUTED
+PIECE = 1_000  # items and places of one window that meet its hits in one place
 BIT_SET = 24  # 2 ** 24 bits, two for each hash
 
 Mask = tuple[int, list[int]]  # words in the window, places that are kept
@@ -143,15 +144,20 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     counted = items.where("text IS NOT NULL").select(n.alias("n")).where(F.col("n").between(SHORTEST, WINDOW - 1))
     lengths = sorted(r["n"] for r in counted.distinct().collect())
     seeds = _hashed(items, lengths, only=True)
-    # Equal windows of several items are one; place and item are those of the smallest.
-    least = F.min(F.struct("id", "place")).alias("least")
-    seeds = seeds.groupBy("hash", "words").agg(least)
-    seeds = stored(seeds.select("hash", F.col("words").alias("item_words"), "least.*"), "seeds")
-    seeds = seeds.select("hash", "item_words", F.col("id").alias("item_id"), F.col("place").alias("item_place"))
+    seeds = seeds.select("hash", F.col("words").alias("item_words"), F.col("id").alias("item_id"), F.col("place").alias("item_place"))
+    seeds = stored(seeds, "item-windows")
+    # Equal windows are one until they are verified.
+    holders = seeds.select("item_words", "item_id", "item_place").distinct()
+    pieces = F.ceil(F.count("*") / PIECE).alias("pieces")
+    distinct = holders.groupBy("item_words").agg(pieces).withColumn("window", F.monotonically_increasing_id())
+    distinct = stored(distinct, "windows")
+    piece = F.pmod(F.xxhash64("item_id", "item_place"), "pieces").alias("piece")
+    holders = stored(holders.join(distinct, "item_words").select("window", piece, "item_id", "item_place"), "holders")
+    seeds = stored(seeds.select("hash", "item_words").distinct().join(distinct, "item_words"), "seeds")
     bits = spark.sparkContext.broadcast(_bit_set(seeds))
     hits = _hashed(_rows(docs, "doc_id"), lengths, only=False, bits=bits)
     # A hash repeats where windows differ at ignored places only.
-    met = join_checked(hits, stored(seeds, "seeds"), ["hash"])
+    met = join_checked(hits, seeds, ["hash"])
 
     # Word hashes side by side: eight bytes each.
     length = F.length("words") / 8
@@ -162,9 +168,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     most = F.when(length >= WINDOW, SUBSTITUTED).otherwise(0)
     same = met.where((F.length("words") == F.length("item_words")) & (differ <= most))
+    # A window may be verified under several masks, and under one id by several items.
+    found = same.select("id", "text_hash", "place", length.cast("int").alias("length"), "window", "pieces").distinct()
+    found = found.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))).drop("pieces")
     along = (F.col("place") - F.col("item_place")).alias("along")
-    # A window may be verified under several masks.
-    once = same.select("id", "text_hash", "item_id", "place", along, length.cast("int").alias("length")).distinct()
+    once = join_checked(found, holders, ["window", "piece"])
+    once = once.select("id", "text_hash", "item_id", "place", along, "length").distinct()
     return once.groupBy("id", "text_hash", "item_id", "along").agg(
         F.min("place").alias("start"), F.max(F.col("place") + F.col("length")).alias("end"), F.count("*").alias("windows")
     ).select(F.col("id").alias("doc_id"), "text_hash", "item_id", "start", "end", "windows")

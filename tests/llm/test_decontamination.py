@@ -56,6 +56,26 @@ def test_overlaps_and_edge_cases(spark):
     ]
 
 
+def test_items_that_share_windows_have_overlaps_each(spark, monkeypatch):
+    monkeypatch.setattr(d, "PIECE", 2)
+    own = [f"own{i}" for i in range(40)]
+    begins = own[:21] + [f"three{i}" for i in range(15)]
+    chorus = [f"chorus{i}" for i in range(14)]
+    sung = chorus + [f"verse{i}" for i in range(20)] + chorus  # holds its first windows twice
+    texts = {7: own, 3: begins, 8: sung, 9: "short items are found whole".split(), 4: "short items are found whole".split()}
+    benchmark = spark.createDataFrame([("b", i, " ".join(w), "p", "h") for i, w in texts.items()], ODD)
+    pad = [f"pad{i}" for i in range(30)]
+    rows = [(0, pad + own + pad), (1, pad + chorus), (2, pad + texts[4]), (5, pad)]
+    docs = documents(spark, [(i, " ".join(w), "en", "s") for i, w in rows])
+    found = {(r["doc_id"], r["item_id"], r["start"], r["end"], r["windows"]) for r in d.overlaps(docs, benchmark).collect()}
+    # Up to two words beyond a shared passage count as substituted.
+    assert found >= {(0, 7, 30, 70, 29), (2, 4, 30, 35, 1), (2, 9, 30, 35, 1)}
+    assert {x[:2] for x in found} == {(0, 7), (0, 3), (1, 8), (2, 4), (2, 9)}
+    assert sum(x[0] == 1 for x in found) == 2  # one for each place of the chorus
+    whole = {r["doc_id"]: (r["overlaps"], r["longest"], r["item_id"]) for r in d.contamination(docs, benchmark).collect()}
+    assert whole[0] == (2, 40, 7) and whole[1][0] == 2 and whole[2] == (2, 5, 4) and whole[5] == (0, 0, None)
+
+
 def test_empty_tables(spark):
     docs, benchmark = documents(spark, []), spark.createDataFrame([], ODD)
     assert d.contamination(docs, benchmark).count() == 0
