@@ -7,7 +7,8 @@ marked lists with indents, preformatted text as it stands, tables with their cel
 
 Hidden are: metadata, scripts and fallback content, ``hidden`` elements, closed dialogs, closed details but for
 their summary, and what the style attribute or a plain rule (tag, class or id) of a style element sets to
-``display: none`` or ``visibility: hidden``.
+``display: none`` or ``visibility: hidden``; visibility is inherited, so descendants may set it to visible again. Of a
+drawing (svg) the text elements and foreign objects are shown, definitions where they are used.
 
 Defined cases: a null page has null text, an empty one empty text; text is never cut: elements deeper than
 ``DEPTH`` are taken as if they stood there, cells wider than ``CELL`` don't widen their column; broken markup is
@@ -39,7 +40,7 @@ BLOCK = set(
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote figure pre table hr fieldset menu dir listing xmp".split())
 LISTS = {"ul", "ol", "menu", "dir"}
 UNSEEN = set(
-    "head script style template noscript iframe noembed noframes object audio video canvas svg datalist rp title "
+    "head script style template noscript iframe noembed noframes object audio video canvas datalist rp title "
     "area base link meta param source track map".split()
 )
 KEPT_SPACE = {"pre", "textarea", "listing", "xmp", "plaintext"}
@@ -60,6 +61,12 @@ CLOSES = {
     "rp": ({"rt", "rp"}, {"ruby"}),
 }
 SCOPES = {"table", "td", "th", "caption", "html", "template", "button", "object"}
+# Parts of a drawing that show no text where they stand, and start tags that end a drawing.
+UNDRAWN = set("defs symbol clippath mask marker pattern lineargradient radialgradient filter desc title metadata".split())
+ENDS_SVG = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 IN_HEAD = set("base link meta title style script noscript template head".split())
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
@@ -69,7 +76,7 @@ _SPACE = re.compile(r"[ \t\n\r\f]+")
 _RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 _AT_RULE = re.compile(r"@[^{};]*\{(?:[^{}]*\{[^{}]*\})*[^{}]*\}|/\*.*?\*/", re.S)
 _NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
-_INVISIBLE = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
+_VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(hidden|collapse|visible)(\s*!\s*important)?", re.I)
 
 
 class Node:
@@ -80,8 +87,11 @@ class Node:
 
 
 def tokens(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
-    """(kind, tag or text, attributes): kind is "text", "raw", "start" or "end"."""
-    at, end = 0, len(html)
+    """(kind, tag or text, attributes): kind is "text", "raw", "start" or "end".
+
+    A start tag that ends in a slash has the attribute "/", which no name in a page can be.
+    """
+    at, end, svg = 0, len(html), 0
     while at < end:
         less = html.find("<", at)
         if less < 0:
@@ -106,6 +116,8 @@ def tokens(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
         while True:
             attribute = _ATTRIBUTE.match(html, at)
             if not attribute:
+                if html.startswith("/", at):
+                    attributes["/"] = ""
                 stop = html.find(">", at)
                 at = end if stop < 0 else stop + 1
                 break
@@ -120,7 +132,9 @@ def tokens(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
                     value, at = bare.group(), bare.end()
             attributes.setdefault(attribute.group(1).lower(), unescape(value))
         yield "end" if closing else "start", tag, attributes
-        if tag in RAW and not closing:
+        if tag == "svg" and "/" not in attributes:
+            svg = max(0, svg - 1) if closing else svg + 1
+        if tag in RAW and not closing and not (svg and "/" in attributes):
             stop = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(html, at)
             stop = stop.start() if stop else end
             raw = html[at:stop]
@@ -130,7 +144,7 @@ def tokens(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
 
 def tree(html: str) -> Node:
     root = Node("html", {})
-    stack, too_deep = [root], []
+    stack, too_deep, drawings = [root], [], False
 
     def close(tags: set[str], until: set[str]) -> None:
         for i in range(len(stack) - 1, 0, -1):
@@ -152,6 +166,13 @@ def tree(html: str) -> Node:
                 continue
             if stack[-1].tag == "head" and name not in IN_HEAD:
                 stack.pop()
+            drawing = 0
+            if drawings:
+                at = max((i for i, n in enumerate(stack) if n.tag in ("svg", "foreignobject")), default=0)
+                drawing = at if stack[at].tag == "svg" else 0
+                if drawing and name in ENDS_SVG and stack[-1].tag not in ("desc", "title"):
+                    del stack[drawing:]
+                    drawing = 0
             if name in CLOSES:
                 close(*CLOSES[name])
             if name in ("tr", "thead", "tbody", "tfoot"):
@@ -163,8 +184,9 @@ def tree(html: str) -> Node:
                 stack.pop()
             node = Node(name, attributes)
             stack[-1].children.append(node)
-            if name in VOID:
+            if name in VOID or "/" in attributes and (drawing or name == "svg"):
                 continue
+            drawings |= name == "svg"
             if len(stack) < DEPTH:
                 stack.append(node)
             else:
@@ -182,18 +204,38 @@ def tree(html: str) -> Node:
     return root
 
 
-def _hiding_rules(root: Node) -> set[str]:
-    """Simple selectors (tag, .class, #id) that the page's style elements hide."""
-    found, nodes = set(), [root]
-    while nodes:
-        node = nodes.pop()
-        if node.tag == "style":
-            css = _AT_RULE.sub("", "".join(c for c in node.children if isinstance(c, str)))
-            for selectors, body in _RULE.findall(css):
-                if _NOT_SHOWN.search(body) or (m := _INVISIBLE.search(body)) and m[1].lower() != "visible":
-                    found |= {s.strip() for s in selectors.split(",") if re.fullmatch(r"\s*[.#]?[\w-]+\s*", s)}
-        nodes += [c for c in node.children if isinstance(c, Node)]
-    return found
+Rank = tuple[bool, int, int]  # whether it is important, how specific, and how late a rule is
+
+
+class Rules:
+    """What a page's style elements say of simple selectors (tag, .class, #id), and its elements by id."""
+
+    def __init__(self, root: Node):
+        self.hidden: set[str] = set()
+        self.visible: dict[str, tuple[Rank, bool]] = {}
+        self.ids: dict[str, Node] = {}
+        nodes, styles = [root], []
+        while nodes:  # in the order of the page
+            node = nodes.pop()
+            if node.tag == "style":
+                styles.append("".join(c for c in node.children if isinstance(c, str)))
+            if "id" in node.attributes:
+                self.ids.setdefault(node.attributes["id"], node)
+            nodes += [c for c in reversed(node.children) if isinstance(c, Node)]
+        for i, (selectors, body) in enumerate(r for css in styles for r in _RULE.findall(_AT_RULE.sub("", css))):
+            names = {s.strip() for s in selectors.split(",") if re.fullmatch(r"\s*[.#]?[\w-]+\s*", s)}
+            if _NOT_SHOWN.search(body):
+                self.hidden |= names
+            if state := _stated(body):
+                for name in names:
+                    rank = state[0], 2 if name[0] == "#" else int(name[0] == "."), i
+                    self.visible[name] = max(self.visible.get(name, (rank, state[1])), (rank, state[1]))
+
+
+def _stated(style: str) -> tuple[bool, bool] | None:
+    """Whether declarations set the visibility with importance, and to visible; of several the last one."""
+    stated = [(bool(m[2]), i, m[1].lower() == "visible") for i, m in enumerate(_VISIBILITY.finditer(style))]
+    return (max(stated)[0], max(stated)[2]) if stated else None
 
 
 class Page:
@@ -246,8 +288,8 @@ class Page:
 
 
 class Renderer:
-    def __init__(self, hidden: set[str]):
-        self.hidden = hidden
+    def __init__(self, rules: Rules):
+        self.rules = rules
 
     def shown(self, node: Node) -> bool:
         a = node.attributes
@@ -255,9 +297,46 @@ class Renderer:
             return False
         if _NOT_SHOWN.search(a.get("style", "")):
             return False
-        return not self.hidden or self.hidden.isdisjoint(
-            [node.tag, "#" + a.get("id", ""), *("." + c for c in a.get("class", "").split())]
-        )
+        return not self.rules.hidden or self.rules.hidden.isdisjoint(self.names(node))
+
+    def names(self, node: Node) -> list[str]:
+        a = node.attributes
+        return [node.tag, "#" + a.get("id", ""), *("." + c for c in a.get("class", "").split())]
+
+    def seen(self, node: Node, visible: bool) -> bool:
+        """The visibility of a node whose parent's is ``visible``."""
+        stated = _stated(node.attributes["style"]) if "style" in node.attributes else None
+        if not stated and not self.rules.visible:
+            return visible
+        found = [self.rules.visible[n] for n in self.names(node) if n in self.rules.visible]
+        if stated:
+            found.append(((stated[0], 3, 0), stated[1]))
+        return max(found)[1] if found else visible
+
+    def svg(self, node: Node, page: Page, visible: bool, used: frozenset[str] = frozenset()) -> None:
+        for child in node.children:
+            if isinstance(child, str) or child.tag in UNDRAWN or not self.shown(child):
+                continue
+            a = child.attributes
+            if a.get("display", "").strip() == "none":
+                continue
+            plain = a.get("visibility", "").strip()
+            seen = self.seen(child, plain == "visible" if plain in ("visible", "hidden", "collapse") else visible)
+            if child.tag in ("text", "foreignobject"):
+                text = Node(child.tag, a)
+                text.children = [c for c in child.children if isinstance(c, str) or c.tag not in UNDRAWN]
+                page.text(" ")
+                self.children(text, page, seen, False, 0)
+                page.text(" ")
+            elif child.tag == "use":
+                name = a.get("href", a.get("xlink:href", "")).strip().removeprefix("#")
+                if name in self.rules.ids and name not in used:  # a definition may use itself
+                    drawn = Node("g", {})
+                    target = self.rules.ids[name]
+                    drawn.children = target.children if target.tag == "symbol" else [target]
+                    self.svg(drawn, page, seen, used | {name})
+            else:
+                self.svg(child, page, seen, used)
 
     def children(self, node: Node, page: Page, visible: bool, kept: bool, depth: int) -> None:
         for child in node.children:
@@ -265,13 +344,17 @@ class Renderer:
                 self.node(child, page, visible, kept, depth)
             elif visible:
                 page.as_it_is(child) if kept else page.text(child)
+            elif child and not kept:  # takes room
+                page.text(" ")
 
     def node(self, node: Node, page: Page, visible: bool, kept: bool, depth: int) -> None:
         tag = node.tag
         if not self.shown(node):
             return
-        if state := _INVISIBLE.search(node.attributes.get("style", "")):
-            visible = state[1].lower() == "visible"
+        visible = self.seen(node, visible)
+        if tag == "svg":
+            self.svg(node, page, visible)
+            return
         kept = kept or tag in KEPT_SPACE
         if tag == "br":
             if visible:
@@ -328,7 +411,8 @@ class Renderer:
             elif self.shown(child):
                 number = _whole(child.attributes.get("value"), number)
                 marker = f"{_numeral(number, a.get('type', '1'))}. " if node.tag == "ol" else "- "
-                self.item(child, page, marker, visible, kept, depth + 1)
+                seen = self.seen(child, visible)
+                self.item(child, page, marker if seen else " " * len(marker), seen, kept, depth + 1)
                 number += -1 if back else 1
 
     def item(self, node: Node, page: Page, marker: str, visible: bool, kept: bool, depth: int) -> None:
@@ -349,17 +433,23 @@ class Renderer:
             if isinstance(part, str):
                 if seen and part.strip():
                     page.text(part)
-            elif part.tag in ("thead", "tbody", "tfoot"):
+            elif part.tag in ("thead", "tbody", "tfoot", "colgroup"):
                 if self.shown(part):
-                    groups += [(c, seen) for c in part.children if isinstance(c, Node)]
+                    inside = self.seen(part, seen)
+                    for child in part.children:
+                        if isinstance(child, Node):
+                            groups.append((child, inside))
+                        elif inside and child.strip():  # stands before the table, as text in table does
+                            page.text(child)
             elif part.tag in ("tr", "td", "th"):
                 groups.append((part, seen))
-            elif part.tag not in ("colgroup", "col"):
+            elif part.tag != "col":
                 self.node(part, page, visible, False, 0)
         page.block(False)
         for row, seen in groups:
-            if not self.shown(row):
+            if not self.shown(row) or row.tag == "col":
                 continue
+            seen = self.seen(row, seen)
             column, cells = 0, []
             for cell in row.children if row.tag == "tr" else [row]:
                 if not isinstance(cell, Node) or not self.shown(cell):
@@ -369,11 +459,10 @@ class Renderer:
                 while taken.get(column, 0) > 0:
                     column += 1
                 inner = Page()
-                if state := _INVISIBLE.search(cell.attributes.get("style", "")):
-                    seen_here = state[1].lower() == "visible"
+                if cell.tag == "svg":
+                    self.svg(cell, inner, self.seen(cell, seen))
                 else:
-                    seen_here = seen
-                self.children(cell, inner, seen_here, False, 0)
+                    self.children(cell, inner, self.seen(cell, seen), False, 0)
                 cells.append((column, inner.finished()))
                 wide = max(1, min(SPAN, _whole(cell.attributes.get("colspan"), 1)))
                 high = max(1, min(SPAN, _whole(cell.attributes.get("rowspan"), 1)))
@@ -427,7 +516,7 @@ def _numeral(number: int, kind: str) -> str:
 def render(html: str) -> str:
     root = tree(html)
     page = Page()
-    Renderer(_hiding_rules(root)).children(root, page, True, False, 0)
+    Renderer(Rules(root)).children(root, page, True, False, 0)
     return "\n".join(page.finished())
 
 

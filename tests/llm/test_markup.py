@@ -48,6 +48,31 @@ def test_render(html, text):
     assert render(html).strip() == text.strip()
 
 
+@pytest.mark.parametrize("group", ["thead", "tbody", "tfoot"])
+def test_text_in_row_groups_stands_before_the_table(group):
+    html = f"<table><{group}><tr><td>a</td></tr>visible text</{group}></table>"
+    assert render(html).split("\n") == ["visible text", "a"]
+    assert render(html.replace("<table>", '<table style="visibility: hidden">')) == ""
+
+
+def test_text_of_drawings():
+    drawing = "<title>tip</title><defs/><style/><path d='M0'/><g><text>one <tspan>two</tspan></text></g>bare<text>three</text>"
+    assert render(f"<p>a <svg>{drawing}</svg> b").split() == ["a", "one", "two", "three", "b"]
+    used = '<defs><text id="t">used</text></defs><symbol id="s"><text>icon</text></symbol><use href="#t"/><use xlink:href="#s"/>'
+    assert render(f"<svg>{used}<text display=none>no</text></svg>after").split() == ["used", "icon", "after"]
+    assert render("<svg><foreignObject><p>html</p></foreignObject><text visibility=hidden>no</text><p>out").split() == ["html", "out"]
+    assert render('<svg><g id="x"><use href="#x"/><text>once</text></g></svg>').split() == ["once", "once"]
+
+
+def test_visibility_is_inherited():
+    style = "<style>.h {visibility: hidden} .v {visibility: visible} #i {visibility: hidden}</style>"
+    assert render(f"{style}<div class=h>no <b class=v>yes</b> no <b style='visibility: visible'>too</b></div>").split() == ["yes", "too"]
+    assert render(f"{style}<div class='h v'>later</div><p id=i class=v>no</p>") == "later"
+    assert render(f"{style}<ul><li class=h>no<p class=v>yes</p></ul>").split() == ["yes"]
+    assert render(f"{style}<table><tr class=h><td>no<td class=v>yes</table>").split() == ["yes"]
+    assert render("<style>.h {visibility: hidden !important}</style><p class=h style='visibility: visible'>no</p>") == ""
+
+
 def test_nothing_is_cut():
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000 + "after"
     assert render(deep).split() == ["deep", "after"]
