@@ -3,7 +3,8 @@
 A model holds, for each language, the probability of hashed byte 4-grams, counted over labelled texts. A
 document's grams are seen as drawn from a mixture of languages; expectation-maximisation estimates the
 proportions. The set of languages is chosen by penalised likelihood: a further language must raise the log
-likelihood by more than half the logarithm of the number of grams. As neighbouring grams overlap, likelihoods
+likelihood by more than half the logarithm of the number of grams. Every learned language is tried, those with the
+largest proportions first, and sets may have any size. As neighbouring grams overlap, likelihoods
 and counts are divided by the gram length. The prediction is the language with the largest proportion.
 
 Labels: at most about ``TRAIN_DOCS`` texts for each language, chosen by a hash of the id. Text counts in lower
@@ -32,8 +33,9 @@ from contrail.llm.words import PIECE, chunks, utf8
 GRAM, BUCKETS = 4, 1 << 16
 TRAIN_DOCS = 20_000  # for each language, on average
 SMOOTHING = 0.5
-CANDIDATES, MOST = 6, 3  # languages tried for a document, languages in a set
+CELLS = 1 << 24  # grams x languages that are looked at in one go, unless a single text has more
 STEPS = 8
+TANGENT = 0.05  # a proportion, at which the gain of a second language is bounded
 UNKNOWN = "und"
 
 _LETTER = np.full(256, 0x20, np.uint8)
@@ -127,9 +129,9 @@ def train(labelled: DataFrame) -> Model:
     return Model(languages, log_p, share / max(share.sum(), 1))
 
 
-def _sums(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
+def _sums(values: np.ndarray, begin: np.ndarray, dtype=None) -> np.ndarray:
     """Sums of the rows of each text; ``begin`` are their first rows."""
-    return np.add.reduceat(values, begin, axis=0)
+    return np.add.reduceat(values, begin, axis=0, dtype=dtype)
 
 
 def _mixture(
@@ -144,59 +146,118 @@ def _mixture(
         weighed = p * theta[text]
         weighed *= (n / weighed.sum(axis=1))[:, None]
         theta = _sums(weighed, begin) / total[:, None]
-    return theta, _sums(n * np.log((p * theta[text]).sum(axis=1)), begin)
+    return theta, _sums(n * np.log((p * theta[text]).sum(axis=1)), begin, np.float64)
 
 
 def infer(model: Model, text: np.ndarray, bucket: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(chosen languages, texts x MOST, -1 for none; their proportions; certainty of the first) from all grams."""
-    chosen = np.full((texts, MOST), -1)
-    share, sure = np.zeros((texts, MOST)), np.zeros(texts)
+    """(chosen languages, texts x languages, -1 for none; their proportions; certainty of the first) from all grams."""
+    width = len(model.languages)
+    chosen = np.full((texts, width), -1)
+    share, sure = np.zeros((texts, width)), np.zeros(texts)
     both, n = np.unique(text.astype(np.int64) * BUCKETS + bucket, return_counts=True)
     if not len(both):
         return chosen, share, sure
     gram_text, gram = both // BUCKETS, both % BUCKETS
     n = n.astype(np.float32)
     begin = np.flatnonzero(np.diff(gram_text, prepend=-1))
-    present = gram_text[begin]
-    row = np.repeat(np.arange(len(begin)), np.diff(begin, append=len(both)))
+    present, ends = gram_text[begin], np.append(begin[1:], len(both))
+    at = 0
+    while at < len(begin):
+        to = max(at + 1, int(np.searchsorted(ends, begin[at] + CELLS // width, side="right")))
+        some = slice(begin[at], ends[to - 1])
+        found = _chosen(model, gram[some], n[some], begin[at:to] - begin[at])
+        for result, values in zip((chosen, share, sure), found):
+            result[present[at:to]] = values
+        at = to
+    return chosen, share, sure
+
+
+def _may_gain(
+    log_p: np.ndarray, n: np.ndarray, begin: np.ndarray, row: np.ndarray, best: np.ndarray, least: np.ndarray
+) -> np.ndarray:
+    """Whether a second language beside ``best`` might raise a text's log likelihood by more than ``least``.
+
+    The likelihood is concave in the second one's proportion, so its tangents at 0 and at ``TANGENT`` bound it.
+    """
+    may = np.zeros(len(begin), bool)
+    first = np.take_along_axis(log_p, best[row][:, None], axis=1)[:, 0]
+    for second in range(log_p.shape[1]):
+        more = np.exp(log_p[:, second] - first) - np.float32(1)
+        at_zero = _sums(n * more, begin, np.float64)
+        there = 1 + np.float32(TANGENT) * more
+        height, slope = _sums(n * np.log(there), begin, np.float64), _sums(n * more / there, begin, np.float64)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            crossing = at_zero * (height - slope * TANGENT) / (at_zero - slope)
+        bound = np.where(slope > 0, height + slope * (1 - TANGENT), crossing)
+        may |= (best != second) & (at_zero > 0) & ~(bound <= 0.99 * least)
+    return may
+
+
+def _chosen(model: Model, gram: np.ndarray, n: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`infer`, for texts whose grams begin at ``begin``."""
+    docs = np.arange(len(begin))
+    row = np.repeat(docs, np.diff(begin, append=len(gram)))
+    total = _sums(n, begin)
+    log_p = model.log_p.T[gram]
+    alone = _sums(n[:, None] * log_p, begin, np.float64)
+    best = alone.argmax(axis=1)
+    if alone.shape[1] > 1:
+        two = -np.partition(-alone, 1, axis=1)[:, :2]
+        sure = 1 / (1 + np.exp(np.clip((two[:, 1] - two[:, 0]) / GRAM, -50, 0)))
+    else:
+        sure = np.ones(len(docs))
+    chosen, share = np.full(alone.shape, -1), np.zeros(alone.shape)
+    chosen[:, 0], share[:, 0] = best, 1
+    cost = 0.5 * np.log(np.maximum(total / GRAM, 2))  # of each further language
+    open_ = np.flatnonzero(_may_gain(log_p, n, begin, row, best, GRAM * cost))
+    if len(open_):
+        number = np.full(len(docs), -1)
+        number[open_] = np.arange(len(open_))
+        mine = np.flatnonzero(number[row] >= 0)
+        chosen[open_], share[open_] = _sets(log_p[mine], n[mine], number[row[mine]], alone[open_], cost[open_])
+    return chosen, share, sure
+
+
+def _sets(log_p: np.ndarray, n: np.ndarray, row: np.ndarray, alone: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(chosen languages, their proportions) of texts, ``row`` being the text of a gram."""
+    docs = np.arange(len(alone))
+    begin = np.flatnonzero(np.diff(row, prepend=-1))
     total = _sums(n, begin)
-    alone = np.stack([_sums(n * lp[gram], begin) for lp in model.log_p], axis=1)
-    tried = np.argsort(-alone, axis=1, kind="stable")[:, : min(CANDIDATES, alone.shape[1])]
-    log_p = model.log_p[tried[row], gram[:, None]]
     top = log_p.max(axis=1)
     p = np.exp(log_p - top[:, None])
-    base = _sums(n * top, begin)
+    base = _sums(n * top, begin, np.float64)
     order = np.argsort(-_mixture(p, n, begin, row, total)[0], axis=1, kind="stable")
-
-    # Sets of one, two and three languages in the order of their proportions; the best so far is kept.
-    effective = np.maximum(total / GRAM, 2)
-    single = np.take_along_axis(alone, tried, axis=1)
-    best_one = single.argmax(axis=1)
-    ranked = np.argsort(-single, axis=1, kind="stable")
-    score = single[np.arange(len(begin)), best_one] / GRAM
-    if tried.shape[1] > 1:
-        gap = np.diff(np.take_along_axis(single, ranked[:, :2], axis=1), axis=1)[:, 0] / GRAM
-        certain = 1 / (1 + np.exp(np.clip(gap, -50, 0)))
-    else:
-        certain = np.ones(len(begin))
-    chosen[present, 0], share[present, 0], sure[present] = tried[np.arange(len(begin)), best_one], 1, certain
-    open_ = np.arange(len(begin))
-    for size in range(2, min(MOST, tried.shape[1]) + 1):
-        mine = np.isin(row, open_)
-        rows, numbers = row[mine], np.searchsorted(open_, row[mine])
-        first = np.flatnonzero(np.diff(numbers, prepend=-1))
-        some = np.take_along_axis(p[mine], order[rows][:, :size], axis=1)
-        theta, likely = _mixture(some, n[mine], first, numbers, total[open_])
-        value = (likely + base[open_]) / GRAM - (size - 1) * 0.5 * np.log(effective[open_])
-        better = value > score[open_]
-        won, at = open_[better], np.argsort(-theta[better], axis=1, kind="stable")
-        names = np.take_along_axis(np.take_along_axis(tried[won], order[won][:, :size], axis=1), at, axis=1)
-        chosen[present[won], :size], share[present[won], :size] = names, np.take_along_axis(theta[better], at, axis=1)
-        score[won] = value[better]
-        open_ = won
-        if not len(open_):
-            break
-    return chosen, share, sure
+    best = alone.argmax(axis=1)
+    score = alone[docs, best] / GRAM
+    member = np.zeros(alone.shape, bool)
+    member[docs, best] = True
+    share = member.astype(float)
+
+    # Each language in turn joins the set, or leaves it, where that raises the score; sets that changed are tried again.
+    todo = docs
+    while len(todo):
+        changed = np.zeros(len(docs), bool)
+        for language in order[todo].T:
+            sizes = member[todo].sum(axis=1) + np.where(member[todo, language], -1, 1)
+            for size in np.unique(sizes[sizes > 0]):
+                some, turned = todo[sizes == size], language[sizes == size]
+                sets = member[some]
+                sets[np.arange(len(some)), turned] ^= True
+                names = np.argsort(~sets, axis=1, kind="stable")[:, :size]
+                number = np.full(len(docs), -1)
+                number[some] = np.arange(len(some))
+                mine = np.flatnonzero(number[row] >= 0)
+                numbers = number[row[mine]]
+                first = np.flatnonzero(np.diff(numbers, prepend=-1))
+                theta, likely = _mixture(p[mine[:, None], names[numbers]], n[mine], first, numbers, total[some])
+                value = (likely + base[some]) / GRAM - (size - 1) * cost[some]
+                better = value > score[some]
+                won = some[better]
+                score[won], member[won], changed[won], share[won] = value[better], sets[better], True, 0
+                share[won[:, None], names[better]] = theta[better]
+        todo = np.flatnonzero(changed)
+    at = np.argsort(np.where(member, -share, 1), axis=1, kind="stable")
+    return np.where(np.take_along_axis(member, at, axis=1), at, -1), np.take_along_axis(share, at, axis=1)
 
 
 def identified(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:

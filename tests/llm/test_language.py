@@ -1,3 +1,5 @@
+import random
+
 from cases import documents
 from conftest import SF_DIR
 
@@ -37,6 +39,34 @@ def test_held_out_accuracy_and_mixtures(spark):
     assert found[1]["row"].asDict().keys() == dict.fromkeys(docs.columns).keys()
 
 
+def test_sets_have_any_size_and_all_languages_are_tried(spark, monkeypatch):
+    rows = sample(spark)
+    by_lang = {}
+    for i, text, la, _ in rows:
+        if len(text) > 3000:
+            by_lang.setdefault(la, text[:3000])
+    model = language.learned(documents(spark, rows))
+    text = "\n".join(by_lang[la] for la in ("de", "en", "es", "fr"))
+    found = language.identified(documents(spark, [(0, text, None, None)]), model).first()["languages"]
+    assert set(found) == {"de", "en", "es", "fr"} and all(abs(x - 0.25) < 0.1 for x in found.values())
+
+    # Nine relatives of each other, and one language of its own letters.
+    generator = random.Random(5)
+    coin = lambda letters: "".join(generator.choice(letters) for _ in range(generator.randrange(4, 9)))
+    latin = [coin("abcdefghijklmnop") for _ in range(300)]
+    words = {f"r{k}": latin[:270] + [coin("abcdefghijklmnop") for _ in range(60)] for k in range(9)}
+    words["el"] = [coin("αβγδεζηθικλμ") for _ in range(300)]
+    said = lambda la, n: " ".join(generator.choice(words[la]) for _ in range(n))
+    rows = [(i * 10 + k, said(la, 200), la, "s") for k, la in enumerate(words) for i in range(30)]
+    model = language.train(documents(spark, rows))
+    monkeypatch.setattr(language, "CELLS", 1)  # each text is looked at by itself
+    text = f"{said('r4', 950)} {said('el', 40)}"
+    found = language.identified(documents(spark, [(0, text, None, None), (1, said("r7", 300), None, None)]), model)
+    one, other = sorted(found.collect(), key=lambda r: r["row"]["doc_id"])
+    assert one["lang_pred"] == "r4" and 0.01 < one["languages"]["el"] < 0.15
+    assert other["lang_pred"] == "r7" and "el" not in other["languages"]
+
+
 def test_without_labels_or_rows(spark):
     docs = documents(spark, [(1, "some text", None, "s"), (2, None, None, None)])
     model = language.learned(docs)
