@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import decontamination, embeddings, language, lines, markup, minhash, mixing, token_files, toxicity, urls
+from contrail.llm import (
+    alignment,
+    decontamination,
+    embeddings,
+    language,
+    lines,
+    markup,
+    minhash,
+    mixing,
+    spelling,
+    token_files,
+    toxicity,
+    urls,
+    winnowing,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +37,9 @@ def queries() -> dict[str, Query]:
         "op8_embeddings": embeddings.op8_embeddings,
         "op9_url_rules": urls.op9_url_rules,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op11_alignment": alignment.op11_alignment,
+        "op12_spelling": spelling.op12_spelling,
+        "op13_winnowing": winnowing.op13_winnowing,
     }
 
 
