@@ -30,7 +30,8 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     chord = half_lat * half_lat + half_lon * half_lon * F.cos(F.radians(lat1)) * F.cos(F.radians(lat2))
     # Rounding may push antipodal points just above 1, where asin has no value. An unknown coordinate must
     # stay unknown, which F.least would hide.
-    return F.asin(F.sqrt(F.when(chord > 1, 1.0).otherwise(chord))) * (2 * EARTH_RADIUS_KM)
+    known = lat1.isNotNull() & lon1.isNotNull() & lat2.isNotNull() & lon2.isNotNull()
+    return F.when(known, F.asin(F.sqrt(F.least(F.lit(1.0), chord))) * (2 * EARTH_RADIUS_KM))
 
 
 def step_count(distance_km: Column, step_km: float = STEP_KM) -> Column:
@@ -96,6 +97,41 @@ def path_cell(a: Column, b: Column, hops: Column, k: Column) -> Column:
     )
 
 
+def turn(lon: Column, prev_lon: Column) -> Column:
+    """What to add to ``prev_lon`` so that the way to ``lon`` is the short one, which may cross the 180th meridian."""
+    ahead = lon - prev_lon
+    return F.when(ahead > 180, 360.0).when(ahead < -180, -360.0).otherwise(0.0)
+
+
+def turned_cell(lat: Column, lon: Column, by: Column, resolution: int = DEFAULT_RESOLUTION) -> Column:
+    """Cell of a point on the plane continued beyond the 180th meridian; NULL off the globe."""
+    qx, qy, ry = axial_scale(resolution)
+    return F.when(on_earth(lat, lon), nearest_cell((lon + by) * F.lit(qx) - lat * F.lit(qy), lat * F.lit(ry)))
+
+
+def centre(q: Column, r: Column, resolution: int = DEFAULT_RESOLUTION) -> tuple[Column, Column]:
+    """Latitude and longitude of a cell's centre; the longitude may lie beyond the 180th meridian."""
+    qx, qy, ry = axial_scale(resolution)
+    lat = r / F.lit(ry)
+    return lat, (q + lat * F.lit(qy)) / F.lit(qx)
+
+
+def near_side(lon: Column) -> Column:
+    """A longitude beyond the 180th meridian as one on the globe; NULL for any other."""
+    return F.when(lon > 180, lon - 360.0).when(lon < -180, lon + 360.0)
+
+
+def leg_ends(lat: Column, lon: Column, prev_lat: Column, prev_lon: Column, resolution: int) -> dict[str, Column]:
+    """``here`` and ``there``, the cells of a leg's ends, ``turned``, that of its start as seen from its end, and ``by``."""
+    by = turn(lon, prev_lon)
+    return {
+        "here": hex_cell(lat, lon, resolution),
+        "there": hex_cell(prev_lat, prev_lon, resolution),
+        "turned": turned_cell(prev_lat, prev_lon, by, resolution),
+        "by": by,
+    }
+
+
 def hex_path(a: Column, b: Column) -> Column:
     """All cells from ``a`` to ``b``, both included, as an array; NULL when an end is NULL."""
     hops = hex_distance(a, b)
@@ -103,3 +139,19 @@ def hex_path(a: Column, b: Column) -> Column:
         a.isNotNull() & b.isNotNull(),
         F.transform(F.sequence(F.lit(0).cast("bigint"), hops), lambda k: path_cell(a, b, hops, k)),
     )
+
+
+def leg_path(ends: dict[str, Column], resolution: int = DEFAULT_RESOLUTION) -> Column:
+    """All cells of a leg from its end back to its start as an array; NULL when an end is NULL.
+
+    A leg across the 180th meridian goes to ``turned``, and its cells are brought back to the ones that hold their
+    centres; both ends stay the cells that they are.
+    """
+    cells = hex_path(ends["here"], ends["turned"])
+
+    def brought_back(cell: Column, k: Column) -> Column:
+        lat, lon = centre(cell["q"], cell["r"], resolution)
+        inner = F.coalesce(hex_cell(lat, near_side(lon), resolution), cell)
+        return F.when(k == 0, ends["here"]).when(k == F.size(cells) - 1, ends["there"]).otherwise(inner)
+
+    return F.when(ends["by"] == 0, cells).otherwise(F.transform(cells, brought_back))

@@ -39,9 +39,9 @@ def accumulate(previous: DataFrame, current: DataFrame, year: date, slot: int |
 
 
 def loaded_periods(events: DataFrame) -> DataFrame:
-    """Number of period slots per year: up to the last one that has events."""
-    return events.groupBy(year_start(F.col("event_time")).alias("year_start")).agg(
-        (F.max(period_slot(F.col("event_time"))) + 1).alias("periods")
+    """Number of period slots per year: up to the last one whose flights have events."""
+    return events.groupBy(year_start(F.col("dof")).alias("year_start")).agg(
+        (F.max(period_slot(F.col("dof"))) + 1).alias("periods")
     )
 
 
@@ -63,5 +63,24 @@ def metric_arrays(counts: DataFrame, periods: DataFrame) -> DataFrame:
     )
 
 
+def recounted(state: DataFrame, counts: DataFrame, periods: DataFrame) -> DataFrame:
+    """The state after counting some cells of some periods anew.
+
+    ``counts`` is (hex, year_start, slot, count), ``periods`` (year_start, periods) says how many slots years have by
+    now. All arrays of a year are as long as the longest of them or its periods, and cells without any flight
+    have no row, so that the result is what ``metric_arrays`` gives for all counts.
+    """
+    entry = F.struct("slot", "count")
+    # At most as many entries as a year has slots.
+    new = counts.groupBy("hex", "year_start").agg(F.map_from_entries(F.collect_list(entry)).alias("new"))
+    lengths = state.select("year_start", F.size("metric_array").alias("periods")).unionByName(periods)
+    lengths = lengths.groupBy("year_start").agg(F.max("periods").alias("periods"))
+    # A row for each year.
+    both = state.join(new, ["hex", "year_start"], "full_outer").join(F.broadcast(lengths), "year_start")
+    whole = padded(F.col("metric_array"), F.col("periods"))
+    array = F.transform(whole, lambda old, slot: F.coalesce(F.try_element_at(F.col("new"), slot), old))
+    return both.select("hex", "year_start", array.alias("metric_array")).where(F.exists("metric_array", lambda n: n > 0))
+
+
 def sum_yearly_metric_array(state: DataFrame) -> DataFrame:
     return state.select(unquoted(F.col("hex")).alias("hex"), total(F.col("metric_array")).alias("count"))

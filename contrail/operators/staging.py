@@ -20,7 +20,8 @@ def stg_flights(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_events(raw: DataFrame) -> DataFrame:
+def stg_events(raw: DataFrame, *more: str) -> DataFrame:
+    """Staged events; ``more`` names further columns to keep."""
     return raw.select(
         "id",
         "flight_id",
@@ -30,6 +31,7 @@ def stg_events(raw: DataFrame) -> DataFrame:
         "latitude",
         "altitude",
         "info",
+        *more,
     )
 
 

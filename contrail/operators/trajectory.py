@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from contrail.functions.geo import STEP_KM, haversine_km, step_count
@@ -23,33 +25,36 @@ CARRIED = ["event_time", "longitude", "latitude", "altitude"]
 EVENT_COLUMNS = ["id", "flight_id", "type", *CARRIED]
 
 
-def legs(events: DataFrame, hot: DataFrame | None = None, segment_seconds: int = 3600) -> DataFrame:
+def legs(
+    events: DataFrame, hot: DataFrame | None = None, segment_seconds: int = 3600, carried: Sequence[str] = ()
+) -> DataFrame:
     """Each event with the time and position of the one before it in its flight.
 
     Events order by time, then id. An ordinary flight is one window group. A hot flight is cut into
     time segments, each a group of its own; the last event of the segment before is put in front of a
     segment, so the first event of it also finds its predecessor. ``segment`` is NULL for ordinary
     flights; (flight_id, segment) is how the result is partitioned. ``hot`` are the hot flights
-    (``hot_keys``) where the caller knows them.
+    (``hot_keys``) where the caller knows them. ``carried`` names further columns to keep.
     """
+    columns = [*EVENT_COLUMNS, *carried]
     hot = hot_keys(events, "flight_id") if hot is None else hot
     # Events without a time come last in a flight, hence in a last segment of their own.
     segment = F.coalesce(F.floor(clock_seconds(F.col("event_time")) / segment_seconds), F.lit(2**62))
 
-    tagged = with_pieces(events.select(EVENT_COLUMNS), ["flight_id"], hot).select(
-        *EVENT_COLUMNS, F.when(F.col("_pieces").isNotNull(), segment).alias("segment")
+    tagged = with_pieces(events.select(columns), ["flight_id"], hot).select(
+        *columns, F.when(F.col("_pieces").isNotNull(), segment).alias("segment")
     )
     in_segment = (
         tagged.where(F.col("segment").isNotNull())
         .groupBy("flight_id", "segment")
         # As in the window below: a NULL id comes last.
-        .agg(F.max_by(F.struct(EVENT_COLUMNS), F.struct("event_time", F.col("id").isNull(), "id")).alias("last"))
+        .agg(F.max_by(F.struct(columns), F.struct("event_time", F.col("id").isNull(), "id")).alias("last"))
     )
     by_segment = Window.partitionBy("flight_id").orderBy("segment")
     entering = (
         in_segment.select("flight_id", "segment", F.lag("last").over(by_segment).alias("last"))
         .where(F.col("last").isNotNull())
-        .select(*(F.col(f"last.{name}") for name in EVENT_COLUMNS), "segment", F.lit(0).alias("rank"))
+        .select(*(F.col(f"last.{name}") for name in columns), "segment", F.lit(0).alias("rank"))
     )
     in_order = Window.partitionBy("flight_id", "segment").orderBy(
         "rank", F.asc_nulls_last("event_time"), F.asc_nulls_last("id")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from contrail.functions.times import span_start
-from contrail.operators.hexagons import agg_by_coordinates
+from contrail.operators.hexagons import agg_by_resolutions
 from contrail.operators.ranges import AIRPORT_FRACTIONS, ALTITUDE_FRACTIONS, OVERVIEW_FRACTIONS, range_bucket, with_range_bucket
 from contrail.operators.skew import hot_keys, split_join
 
@@ -35,10 +36,16 @@ def hex_heatmap(totals: DataFrame, rows: int = OVERVIEW_ROWS) -> DataFrame:
     return top.withColumn("ends", ends).where(F.col("count") > 0).select("hex", "count", bucket)
 
 
-def airport_page(legs: DataFrame, lat: float, lon: float, resolution: int) -> DataFrame:
-    """Low traffic per cell around an airport with the bucket of its count."""
-    counts = agg_by_coordinates(legs, lat, lon, resolution)
-    return with_range_bucket(counts, "count", AIRPORT_FRACTIONS).where(F.col("count") > 0)
+def airport_page(legs: DataFrame, lat: float, lon: float, resolutions: Sequence[int]) -> DataFrame:
+    """Low traffic per cell around an airport, at each resolution, with the bucket of its count among them.
+
+    The circle bounds the number of cells, so one task can look over those of a resolution.
+    """
+    counts = agg_by_resolutions(legs, lat, lon, resolutions)
+    alike = Window.partitionBy("resolution")
+    ends = F.struct(F.min("count").over(alike).alias("low"), F.max("count").over(alike).alias("high"))
+    bucket = range_bucket(F.col("count"), F.col("ends"), AIRPORT_FRACTIONS).alias("bucket")
+    return counts.withColumn("ends", ends).where(F.col("count") > 0).select("hex", "count", bucket, "resolution")
 
 
 def current_airports(airports: DataFrame) -> DataFrame:

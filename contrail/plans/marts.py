@@ -73,8 +73,8 @@ class Marts:
 
     @cached_property
     def legs(self) -> DataFrame:
-        """Events with predecessors. Takes positions and times only, which ``int_events`` has."""
-        return trajectory.legs(self.int_events, self.hot_flights)
+        """Events with predecessors and the day of flight. Reads nothing that ``int_events`` lacks."""
+        return trajectory.legs(self.int_events, self.hot_flights, carried=["dof"])
 
     @cached_property
     def airborne_legs(self) -> DataFrame:
@@ -82,11 +82,11 @@ class Marts:
 
     @cached_property
     def view_events_lagged(self) -> DataFrame:
-        return self.legs.drop("segment")
+        return self.legs.drop("segment", "dof")
 
     @cached_property
     def view_events_filtered(self) -> DataFrame:
-        return self.airborne_legs.drop("segment")
+        return self.airborne_legs.drop("segment", "dof")
 
     @cached_property
     def view_interpolated_steps(self) -> DataFrame:

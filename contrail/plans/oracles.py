@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
+from math import cos, radians, sqrt
 
-from contrail.functions import geo
-from contrail.operators import ranges, staging, trajectory
+from contrail.operators import ranges, staging
 from contrail.plans import model_tests, registry
 from contrail.sources import schemas
 from contrail.sources.adapters import ADAPTERS, duckdb_view
@@ -34,8 +34,15 @@ def _cell(source: str, keep: str) -> str:
         FROM ({source})))"""
 
 
+def _scale(resolution: int) -> list[str]:
+    """Axial coordinates for a degree: of longitude along q, of latitude against q, of latitude along r."""
+    edge = 0.9204 / sqrt(3) * sqrt(7) ** (8 - resolution)
+    east, north = 111.32 * cos(radians(47.0)), 110.57
+    return [_float(v) for v in (east * sqrt(3) / 3 / edge, north / 3 / edge, north * 2 / 3 / edge)]
+
+
 def _point(lat: str, lon: str, resolution: int) -> str:
-    qx, qy, ry = map(_float, geo.axial_scale(resolution))
+    qx, qy, ry = _scale(resolution)
     return f"{lon} * {qx} - {lat} * {qy} AS qf, {lat} * {ry} AS rf"
 
 
@@ -44,30 +51,55 @@ def _hex(resolution: int, q: str = "q", r: str = "r") -> str:
 
 
 def _path(resolution: int, source: str) -> str:
-    """(id, flight_id, event_time, dof, k, q, r): the cells of each leg of ``source``."""
+    """(id, flight_id, event_time, dof, k, q, r): the cells of each leg of ``source``.
+
+    A start more than half the globe away is taken from the other side of the 180th meridian, and cells whose
+    centre lies beyond that are those that hold the centre on the near side; the last cell is the start's own.
+    """
     keep = "id, flight_id, event_time, dof"
+    qx, qy, ry = _scale(resolution)
     ends = (
         f"{source} WHERE longitude IS NOT NULL AND latitude IS NOT NULL AND prev_longitude IS NOT NULL"
-        " AND prev_latitude IS NOT NULL AND abs(longitude - prev_longitude) <= 180"
+        " AND prev_latitude IS NOT NULL"
     )
-    here = _cell(f"SELECT *, {_point('latitude', 'longitude', resolution)} FROM {ends}", f"{keep}, prev_latitude, prev_longitude")
-    there = _cell(
-        f"SELECT *, {_point('prev_latitude', 'prev_longitude', resolution)} FROM (SELECT {keep}, prev_latitude,"
+    here = _cell(f"SELECT *, {_point('latitude', 'longitude', resolution)} FROM {ends}", f"{keep}, longitude, prev_latitude, prev_longitude")
+    own = _cell(
+        f"SELECT *, {_point('prev_latitude', 'prev_longitude', resolution)} FROM (SELECT {keep}, longitude, prev_latitude,"
         f" prev_longitude, q AS aq, r AS ar FROM ({here}))",
-        f"{keep}, aq, ar",
+        f"{keep}, longitude, prev_latitude, prev_longitude, aq, ar",
+    )
+    by = "CASE WHEN longitude - prev_longitude > 180 THEN 360.0E0 WHEN longitude - prev_longitude < -180 THEN -360.0E0 ELSE 0.0E0 END"
+    there = _cell(
+        f"SELECT *, {_point('prev_latitude', '(prev_longitude + by_)', resolution)} FROM (SELECT {keep}, prev_latitude,"
+        f" prev_longitude, aq, ar, q AS tq, r AS tr, {by} AS by_ FROM ({own}))",
+        f"{keep}, aq, ar, tq, tr, by_",
     )
     hops = f"SELECT *, CAST((abs(q - aq) + abs(r - ar) + abs(q - aq + r - ar)) / 2 AS BIGINT) AS hops FROM ({there})"
     steps = f"SELECT *, unnest(range(0, hops + 1)) AS k FROM ({hops})"
     line = (
-        f"SELECT {keep}, k, aq + (q - aq) * (CAST(k AS DOUBLE) / greatest(hops, 1)) + {geo.NUDGE_Q!r} AS qf,"
-        f" ar + (r - ar) * (CAST(k AS DOUBLE) / greatest(hops, 1)) + {geo.NUDGE_R!r} AS rf FROM ({steps})"
+        f"SELECT {keep}, k, hops, aq, ar, tq, tr, by_, aq + (q - aq) * (CAST(k AS DOUBLE) / greatest(hops, 1)) + 1e-6 AS qf,"
+        f" ar + (r - ar) * (CAST(k AS DOUBLE) / greatest(hops, 1)) + 2e-6 AS rf FROM ({steps})"
+    )
+    straight = _cell(line, f"{keep}, k, hops, aq, ar, tq, tr, by_")
+    centre = f"SELECT *, r / {ry} AS clat, (q + r / {ry} * {qy}) / {qx} AS clon FROM ({straight}) WHERE by_ <> 0"
+    near = "CASE WHEN clon > 180 THEN clon - 360.0E0 WHEN clon < -180 THEN clon + 360.0E0 END"
+    back = _cell(
+        f"SELECT * RENAME (q AS sq, r AS sr), {_point('clat', 'near_', resolution)} FROM (SELECT *, {near} AS near_ FROM ({centre}))",
+        f"{keep}, k, hops, aq, ar, tq, tr, sq, sr, near_",
+    )
+
+    def crossing(first, own_, far, straight_):
+        return f"CASE WHEN k = 0 THEN {first} WHEN k = hops THEN {own_} WHEN near_ IS NULL THEN {straight_} ELSE {far} END"
+
+    return (
+        f"SELECT {keep}, k, q, r FROM ({straight}) WHERE by_ = 0 UNION ALL SELECT {keep}, k,"
+        f" {crossing('aq', 'tq', 'q', 'sq')}, {crossing('ar', 'tr', 'r', 'sr')} FROM ({back})"
     )
-    return _cell(line, f"{keep}, k")
 
 
 def _points(source: str, low: bool = True) -> str:
     """Interpolated points of the legs of ``source``."""
-    altitude = f"prev_altitude <= {trajectory.LOW_ALTITUDE} AND altitude <= {trajectory.LOW_ALTITUDE}"
+    altitude = "prev_altitude <= 3000 AND altitude <= 3000"
     return f"""
     SELECT *, prev_latitude + (latitude - prev_latitude) * n / steps AS lat,
       prev_longitude + (longitude - prev_longitude) * n / steps AS lon,
@@ -89,6 +121,10 @@ def _km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return _DISTANCE.format(lat1=lat1, lon1=lon1, lat2=lat2, lon2=lon2)
 
 
+# Events on the ground.
+_SURFACE = (
+    "('entry-parking_position', 'entry-runway', 'entry-taxiway', 'exit-parking_position', 'exit-runway', 'exit-taxiway')"
+)
 _LOADED, _RELOADED = "TIMESTAMP '2024-01-01'", "TIMESTAMP '2024-01-11'"
 _AIRPORT_VALUES = "id, icao_code, type, iso_country, airport, latitude, longitude, elevation, municipality"
 _STAGE_AIRPORTS = (
@@ -122,6 +158,25 @@ def _next_snapshot(close_missing: bool) -> str:
     FROM next_airports n LEFT JOIN stg_airports o ON o.id = n.id WHERE o.id IS NULL OR NOT ({_SAME_AIRPORT})"""
 
 
+def _dated(events: str) -> str:
+    """Events with the time, position and altitude of the one before in the flight."""
+    before = ", ".join(
+        f"lag({c}) OVER (PARTITION BY flight_id ORDER BY event_time, id) AS prev_{c}"
+        for c in ("event_time", "longitude", "latitude", "altitude")
+    )
+    return f"SELECT id, flight_id, type, event_time, longitude, latitude, altitude, dof, {before} FROM {events}"
+
+
+def _counted(cells: str) -> str:
+    """Distinct flights per cell and period of the day of flight."""
+    return f"SELECT q, r, CAST((dayofyear(dof) - 1) // 10 AS INT) AS slot, count(DISTINCT flight_id) AS count FROM {cells} GROUP BY ALL"
+
+
+def _by_slot(counts: str) -> str:
+    slots = ", ".join(f"coalesce(max(count) FILTER (slot = {i}), 0) AS s{i}" for i in range(3))
+    return f"SELECT q, r, {slots} FROM {counts} GROUP BY q, r"
+
+
 def _dim_airports(versions: str) -> str:
     return (
         "SELECT a.*, c.code AS country_code, c.name AS country, c.continent"
@@ -175,13 +230,9 @@ _MODELS = {
     "fact_orders": "SELECT o.id, o.user_id, o.order_date, o.status, p.payment_methods, p.amount"
     " FROM stg_orders o LEFT JOIN payment_methods_agg p ON o.id = p.order_id",
     "agg_orders": "SELECT order_date, status, sum(amount) AS total_amount FROM fact_orders GROUP BY order_date, status",
-    "events_dated": "SELECT id, flight_id, type, event_time, longitude, latitude, altitude, dof,"
-    + ", ".join(
-        f" lag({c}) OVER (PARTITION BY flight_id ORDER BY event_time, id) AS prev_{c}" for c in trajectory.CARRIED
-    )
-    + " FROM int_events",
+    "events_dated": _dated("int_events"),
     "view_events_lagged": "SELECT * EXCLUDE (dof) FROM events_dated",
-    "filtered_dated": f"SELECT * FROM events_dated WHERE type NOT IN {_list(trajectory.SURFACE_EVENTS)}",
+    "filtered_dated": f"SELECT * FROM events_dated WHERE type NOT IN {_SURFACE}",
     "view_events_filtered": "SELECT * EXCLUDE (dof) FROM filtered_dated",
     "measured": "SELECT *, CAST(ceil(distance_km / 0.9204) AS BIGINT) AS steps FROM (SELECT *, "
     + _km("prev_latitude", "prev_longitude", "latitude", "longitude")
@@ -190,12 +241,22 @@ _MODELS = {
     f" FROM ({_points('SELECT * FROM measured')})",
     "path_cells": _path(6, "filtered_dated"),
     "path_cells_8": _path(8, "filtered_dated"),
-    "by_period": "SELECT q, r, CAST((dayofyear(event_time) - 1) // 10 AS INT) AS slot,"
-    " count(DISTINCT flight_id) AS count FROM path_cells GROUP BY ALL",
-    "by_hex": "SELECT q, r, coalesce(max(count) FILTER (slot = 0), 0) AS s0, coalesce(max(count) FILTER (slot = 1), 0) AS s1,"
-    " coalesce(max(count) FILTER (slot = 2), 0) AS s2 FROM by_period GROUP BY q, r",
-    "so_far": "SELECT q, r, count(DISTINCT flight_id) FILTER (event_time < DATE '2024-01-11') AS u0,"
-    " count(DISTINCT flight_id) FILTER (event_time < DATE '2024-01-21') AS u1, count(DISTINCT flight_id) AS u2"
+    "by_period": _counted("path_cells"),
+    "by_hex": _by_slot("by_period"),
+    "moved_events": "SELECT * REPLACE (CASE WHEN dof BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' THEN longitude + 0.25E0"
+    " ELSE longitude END AS longitude) FROM int_events",
+    "moved_dated": _dated("moved_events"),
+    "moved_filtered": f"SELECT * FROM moved_dated WHERE type NOT IN {_SURFACE}",
+    "moved_cells": _path(6, "moved_filtered"),
+    "moved_period": _counted("moved_cells"),
+    "moved_hex": _by_slot("moved_period"),
+    "meridian_events": "SELECT * REPLACE (CASE WHEN longitude + 174.5E0 > 180 THEN longitude + 174.5E0 - 360.0E0"
+    " ELSE longitude + 174.5E0 END AS longitude) FROM int_events",
+    "meridian_dated": _dated("meridian_events"),
+    "meridian_filtered": f"SELECT * FROM meridian_dated WHERE type NOT IN {_SURFACE}",
+    "meridian_cells": _path(6, "meridian_filtered"),
+    "so_far": "SELECT q, r, count(DISTINCT flight_id) FILTER (dof < DATE '2024-01-11') AS u0,"
+    " count(DISTINCT flight_id) FILTER (dof < DATE '2024-01-21') AS u1, count(DISTINCT flight_id) AS u2"
     " FROM path_cells GROUP BY q, r",
     "agg_yearly_metric_array": f"SELECT {_hex(6)} AS hex, DATE '2024-01-01' AS year_start, {_slots('s0', 's1', 's2')}"
     " AS metric_array FROM by_hex",
@@ -218,8 +279,6 @@ _MODELS = {
     "heat_top": "SELECT * FROM sum_yearly_metric_array ORDER BY count DESC, hex LIMIT 80000",
     "chosen_points": "SELECT * FROM busiest_aircraft WHERE dof BETWEEN DATE '2024-01-01' AND DATE '2024-01-10'"
     " AND altitude IS NOT NULL",
-    "day_traffic": "SELECT q, r, (dayofyear(dof) - 1) // 10 AS slot, count(DISTINCT flight_id) AS count"
-    " FROM path_cells GROUP BY ALL",
 }
 
 
@@ -318,6 +377,11 @@ def _dof(first: int, last: int) -> str:
     return f"dof BETWEEN {_JAN.format(first)} AND {_JAN.format(last)}"
 
 
+def _loaded(*counts: str) -> str:
+    """The slots up to the last period whose flights have events."""
+    return f"list_slice({_slots(*counts)}, 1, (SELECT max((dayofyear(dof) - 1) // 10) + 1 FROM int_events))"
+
+
 def _arrays(array: str, source: str) -> str:
     return f"SELECT {_hex(6)} AS hex, '2024-01-01' AS year_start, {_text(array)} AS metric_array FROM {source}"
 
@@ -390,9 +454,9 @@ def _statements() -> dict[str, str]:
         "airport_page": _airport_page(),
         "period_counts": f"SELECT {_hex(6)} AS hex, '2024-01-01' AS year_start, slot, count FROM by_period",
         "metric_array_step": _arrays(_slots("s0", "s1", "s2"), "by_hex"),
-        "metric_array_rerun": _arrays(_slots("coalesce(u1, 0)", "s1", "s2"), "by_hex LEFT JOIN so_far USING (q, r)"),
+        "metric_array_rerun": _arrays(_loaded("coalesce(u1, 0)", "s1", "s2"), "by_hex LEFT JOIN so_far USING (q, r)"),
         "metric_array_append": _arrays(_slots("u0", "u1", "u2"), "so_far"),
-        "metric_array_full": _arrays(_slots("s0", "s1", "s2"), "by_hex"),
+        "metric_array_full": _arrays(_loaded("s0", "s1", "s2"), "by_hex"),
         "hex_year_totals": "SELECT * FROM sum_yearly_metric_array",
         "batch_bounds": "SELECT CAST(min(dof) AS VARCHAR) AS lo, CAST(max(dof) AS VARCHAR) AS hi,"
         " CAST(CAST(date_trunc('month', min(dof)) AS DATE) AS VARCHAR) AS month FROM int_events",
@@ -456,13 +520,22 @@ def _statements() -> dict[str, str]:
         f" THEN altitude + 1 ELSE altitude END AS altitude) FROM (SELECT {_FACT_OUT} FROM fct_events)",
         "stream_backlog": f"SELECT * REPLACE (CASE WHEN CAST(dof AS DATE) BETWEEN {_JAN.format(11)} AND {_JAN.format(20)}"
         f" THEN altitude + 1 ELSE altitude END AS altitude) FROM (SELECT {_FACT_OUT} FROM fct_events)",
-        "stream_arrays": _arrays(
-            "list_slice("
-            + _slots(*(f"coalesce(max(count) FILTER (slot = {i}), 0)" for i in range(3)))
-            + ", 1, (SELECT max(slot) + 1 FROM day_traffic))",
-            "day_traffic",
-        )
-        + " GROUP BY q, r",
+        "stream_arrays": _arrays(_loaded("s0", "s1", "s2"), "by_hex"),
+        "stream_arrays_corrected": _arrays(_loaded("s0", "s1", "s2"), "moved_hex"),
+        "flight_set_counts": f"SELECT {_hex(6)} AS hex, '2024-01-01' AS year_start, slot, count FROM by_period",
+        "meridian_paths": f"SELECT id, flight_id, CAST(count(*) AS INT) AS cells, string_agg({_hex(6)}, ',' ORDER BY k) AS path"
+        " FROM meridian_cells GROUP BY id, flight_id",
+        "meridian_traffic": f"SELECT {_hex(6)} AS hex, count(DISTINCT flight_id) AS count FROM meridian_cells GROUP BY q, r",
+        "stored_months": "WITH moved AS (SELECT * REPLACE (CAST(dof + INTERVAL 20 DAY AS DATE) AS dof) FROM stg_flights)"
+        f" SELECT {_FLIGHT_OUT} FROM moved WHERE month(dof) = 2 OR day(dof) % 2 = 0",
+        "stored_merge": "SELECT adep, count(*) * CASE WHEN day(dof) >= 11 THEN 2 ELSE 1 END AS flights,"
+        " min(first_seen) AS earliest, CAST(dof AS VARCHAR) AS dof FROM stg_flights WHERE adep IS NOT NULL GROUP BY adep, dof",
+        "monthly_run_flights": f"SELECT {_FLIGHT_OUT} FROM stg_flights",
+        # An empty text is a NULL once it has gone through a CSV file.
+        "monthly_run_aircrafts": "SELECT * REPLACE (nullif(operatoricao, '') AS operatoricao) FROM dim_aircrafts",
+        "period_run_events": f"SELECT {_FACT_OUT} FROM fct_events",
+        "period_run_arrays": _arrays(_loaded("s0", "s1", "s2"), "by_hex"),
+        "period_run_airports": "SELECT * FROM dim_airports_2",
     }
     for model, tests in model_tests.DECLARED.items():
         statements[f"tests_{model}"] = " UNION ALL ".join(_failures(model, test) for test in tests)

@@ -10,18 +10,19 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, DateType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, DateType, StructType
 
 from contrail.functions import geo
-from contrail.operators import accumulate, enrich, hexagons, incremental, quality, ranges, staging, trajectory
+from contrail.operators import accumulate, enrich, flight_sets, hexagons, incremental, quality, ranges, staging, trajectory
 from contrail.plans import dashboards, model_tests
 from contrail.plans.marts import Marts
+from contrail.plans.runs import Warehouse
 from contrail.session import empty_frame, shared_folder
 from contrail.sources import schemas
 from contrail.sources.adapters import StarSchema
 from contrail.sources.files import conform
-from contrail.sources.tables import read, settled
+from contrail.sources.tables import read, settled, store_merge, store_months
 from contrail.streaming import ingest
 
 AIRPORT, LAT, LON = "AP0", 47.0, 5.0
@@ -261,10 +262,27 @@ def airport_hexes(m):
 @query
 def airport_page(m):
     """The map of an airport at each resolution it offers."""
-    pages = [
-        dashboards.airport_page(m.legs, LAT, LON, r).withColumn("resolution", F.lit(r)) for r in AIRPORT_RESOLUTIONS
-    ]
-    return reduce(DataFrame.unionByName, pages)
+    return dashboards.airport_page(m.legs, LAT, LON, AIRPORT_RESOLUTIONS)
+
+
+def _at_the_180th_meridian(m) -> DataFrame:
+    """Legs of the events as if they lay on both sides of the 180th meridian."""
+    moved = F.col("longitude") + 174.5
+    turned = F.when(moved > 180, moved - 360).otherwise(moved)
+    return trajectory.airborne(trajectory.legs(m.int_events.withColumn("longitude", turned), m.hot_flights, carried=["dof"]))
+
+
+@query
+def meridian_paths(m):
+    """Paths that cross the 180th meridian, or lie beside it."""
+    paths = hexagons.hex_paths(_at_the_180th_meridian(m))
+    cells = F.transform("grid_array", lambda cell: geo.hex_id(cell))
+    return paths.select("id", "flight_id", F.size("grid_array").alias("cells"), cells.alias("path"))
+
+
+@query
+def meridian_traffic(m):
+    return hexagons.hex_traffic(_at_the_180th_meridian(m))
 
 
 @query
@@ -272,6 +290,14 @@ def period_counts(m):
     return hexagons.period_counts(m.airborne_legs)
 
 
+@query
+def flight_set_counts(m):
+    """The same counts from bitmaps of flights per cell and day."""
+    numbers = flight_sets.new_numbers(m.int_events, empty_frame(m.spark, StructType.fromDDL(flight_sets.NUMBERS)))
+    sets = flight_sets.flight_sets(m.int_events, numbers, m.hot_flights, geo.DEFAULT_RESOLUTION)
+    return hexagons.named(flight_sets.set_counts(sets), geo.DEFAULT_RESOLUTION, "year_start", "slot")
+
+
 # Accumulating arrays
 
 
@@ -286,7 +312,7 @@ def _no_state(m) -> DataFrame:
 
 def _metric_arrays(m) -> DataFrame:
     return accumulate.metric_arrays(
-        hexagons.period_counts(m.airborne_legs), accumulate.loaded_periods(m.stg_events)
+        hexagons.period_counts(m.airborne_legs), accumulate.loaded_periods(m.int_events)
     )
 
 
@@ -571,15 +597,13 @@ class _Deliveries:
         self.facts = f"{self.database}.fct_events"
         self.arrays = f"{self.database}.metric_arrays" if with_arrays else None
 
-    def deliver(self, name: str, first: int, last: int, correct: bool = False, run: bool = True) -> None:
-        """Land the raw events of flights of the given days, then run."""
+    def deliver(self, name: str, first: int, last: int, run: bool = True, **changes: Column) -> None:
+        """Land the raw events of flights of the given days, with changed columns, then run."""
         days = _batch(self.m.fct_flights, first, last).select(F.col("id").alias("flight_id"))
         events = self.m.raw("src_events").join(days, "flight_id", "left_semi")
         if events.isEmpty():
             return
-        if correct:
-            events = events.withColumn("altitude", F.col("altitude") + 1)
-        conform(events, schemas.EVENTS).write.parquet(f"{self.home}/landing/{name}")
+        conform(events.withColumns(changes), schemas.EVENTS).write.parquet(f"{self.home}/landing/{name}")
         if run:
             self.run()
 
@@ -610,7 +634,7 @@ def stream_replace(m):
     deliveries = _Deliveries(m)
     deliveries.deliver("first", 1, 10)
     deliveries.deliver("second", 11, 30)
-    deliveries.deliver("second_again", 11, 20, correct=True)
+    deliveries.deliver("second_again", 11, 20, altitude=F.col("altitude") + 1)
     return deliveries.result(deliveries.facts)
 
 
@@ -620,7 +644,7 @@ def stream_backlog(m):
     deliveries = _Deliveries(m)
     deliveries.deliver("z_first", 1, 10, run=False)
     deliveries.deliver("second", 11, 30, run=False)
-    deliveries.deliver("again", 11, 20, correct=True)
+    deliveries.deliver("again", 11, 20, altitude=F.col("altitude") + 1)
     return deliveries.result(deliveries.facts)
 
 
@@ -631,3 +655,121 @@ def stream_arrays(m):
     for first in (1, 11, 21):
         deliveries.deliver(f"from_{first}", first, first + 9)
     return deliveries.result(deliveries.arrays)
+
+
+@query
+def stream_arrays_corrected(m):
+    """The same, and a correction over the end of one period and the beginning of the next."""
+    deliveries = _Deliveries(m, with_arrays=True)
+    for first in (1, 11, 21):
+        deliveries.deliver(f"from_{first}", first, first + 9)
+    deliveries.deliver("again", 8, 14, longitude=F.col("longitude") + 0.25)
+    return deliveries.result(deliveries.arrays)
+
+
+# Stored runs: the scheduled runs over files in a database of their own
+
+
+class _Stored:
+    """A database, and files as they would be delivered, in the checkpoint folder."""
+
+    def __init__(self, m: Marts):
+        self.m = m
+        self.home = shared_folder(m.spark, "stored")
+        self.database = "contrail_" + self.home.rsplit("-", 1)[1]
+        m.spark.sql(f"CREATE DATABASE {self.database} LOCATION '{self.home}/tables'")
+        self.warehouse = Warehouse(m.spark, self.database)
+
+    def file(self, df: DataFrame, name: str, form: str = "parquet") -> str:
+        df.write.format(form).option("header", True).save(f"{self.home}/{name}")
+        return f"{self.home}/{name}"
+
+    def result(self, table: str) -> DataFrame:
+        """The table's rows, kept in the checkpoint folder while the database goes."""
+        rows = settled(self.warehouse.table(table))
+        self.m.spark.sql(f"DROP DATABASE {self.database} CASCADE")
+        return rows
+
+    def monthly_run(self) -> None:
+        """Flights come in two files, one with other names and another order of columns."""
+        flights, odd = self.m.raw("src_flights"), F.col("id").cast("bigint") % 2 == 1
+        turned = flights.where(odd).toDF(*(c.upper() for c in flights.columns)).select([c.upper() for c in reversed(flights.columns)])
+        files = [self.file(flights.where(~odd), "flights_a"), self.file(turned, "flights_b")]
+        aircrafts = self.file(self.m.raw("src_aircrafts"), "aircrafts", "csv")
+        types = self.file(self.m.raw("src_aircraft_types"), "aircraft_types", "csv")
+        self.warehouse.monthly_run(files, aircrafts, types)
+
+    def period_runs(self) -> None:
+        """Two periods; the airports of the second one have changed."""
+        self.monthly_run()
+        measurements = self.file(self.m.raw("src_measurements"), "measurements")
+        airports = [self.m.raw("src_airports"), _next_airports(self.m)]
+        for i, (first, last, moment) in enumerate([(1, 20, LOADED), (11, 30, RELOADED)]):
+            days = _batch(self.m.fct_flights, first, last).select(F.col("id").alias("flight_id"))
+            events = self.m.raw("src_events").join(days, "flight_id", "left_semi")
+            events = self.file(conform(events, schemas.EVENTS), f"events_{i}")
+            listed = self.file(airports[i], f"airports_{i}", "csv")
+            self.warehouse.period_run(events, measurements, listed, self.m.raw("country_codes"), moment)
+
+
+@query
+def stored_months(m):
+    """The months of ``replace_month``, through a stored table."""
+    stored = _Stored(m)
+    table = stored.warehouse.name("flights")
+    moved = m.fct_flights.withColumn("dof", F.date_add("dof", 20))
+    store_months(moved, table)
+    store_months(moved.where((F.month("dof") == 1) & (F.dayofmonth("dof") % 2 == 0)), table)
+    return stored.result("flights")
+
+
+@query
+def stored_merge(m):
+    """Flights per day and airport; counts of the later half of the month are merged, those of the earlier one stay."""
+    stored = _Stored(m)
+    table = stored.warehouse.name("departures")
+
+    def counted(first, last, factor):
+        known = _batch(m.fct_flights, first, last).dropna(subset=["adep"])
+        flights = (F.count("*") * factor).alias("flights")
+        return known.groupBy("adep", "dof").agg(flights, F.min("first_seen").alias("earliest"))
+
+    store_merge(counted(1, 20, 1), table, ["adep", "dof"], ["flights"], "dof")
+    store_merge(counted(11, 31, 2), table, ["adep", "dof"], ["flights"], "dof")
+    return stored.result("departures")
+
+
+@query
+def monthly_run_flights(m):
+    stored = _Stored(m)
+    stored.monthly_run()
+    return stored.result("fct_flights")
+
+
+@query
+def monthly_run_aircrafts(m):
+    stored = _Stored(m)
+    stored.monthly_run()
+    return stored.result("dim_aircrafts")
+
+
+@query
+def period_run_events(m):
+    stored = _Stored(m)
+    stored.period_runs()
+    return stored.result("fct_events")
+
+
+@query
+def period_run_arrays(m):
+    stored = _Stored(m)
+    stored.period_runs()
+    return stored.result("agg_yearly_metric_array")
+
+
+@query
+def period_run_airports(m):
+    """Airport versions after both runs."""
+    stored = _Stored(m)
+    stored.period_runs()
+    return stored.result("dim_airports")

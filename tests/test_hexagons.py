@@ -76,6 +76,11 @@ def tracks(spark, *flights):
     return events(spark, *entries)
 
 
+def dated_legs(df):
+    """Legs of events whose day is the flight's."""
+    return trajectory.legs(df.withColumn("dof", F.to_date("event_time")), carried=["dof"])
+
+
 def test_a_flight_counts_once_per_cell(spark):
     df = tracks(spark, ("f", 1, [(0, 0), (2, 0), (0, 0)]), ("g", 1, [(1, 0), (1, 1)]))
     traffic = hexagons.hex_traffic(trajectory.legs(df))
@@ -108,7 +113,7 @@ def test_counting_agrees_with_count_distinct(spark, visits, hot):
 
 
 def test_period_counts_agree_with_each_period(spark):
-    legs = trajectory.legs(tracks(spark, ("f", 1, [(0, 0), (2, 0)]), ("f", 12, [(0, 0), (0, 1)]), ("g", 12, [(2, 0), (0, 0)])))
+    legs = dated_legs(tracks(spark, ("f", 1, [(0, 0), (2, 0)]), ("f", 12, [(0, 0), (0, 1)]), ("g", 12, [(2, 0), (0, 0)])))
     counts = hexagons.period_counts(legs)
     for slot, (start, end) in enumerate([(1, 11), (11, 21)]):
         single = hexagons.hex_traffic(legs, start=date(2024, 1, start), end=date(2024, 1, end))
@@ -178,12 +183,12 @@ def test_other_years_are_no_part_of_the_state(spark):
 
 def test_one_pass_equals_the_steps(spark):
     df = tracks(spark, ("f", 1, [(0, 0), (2, 0)]), ("f", 12, [(0, 0), (0, 1)]), ("g", 27, [(2, 0), (0, 0)]))
-    legs = trajectory.legs(df)
+    legs = dated_legs(df)
     state = empty_frame(spark, accumulate.STATE_SCHEMA)
     for slot, (start, end) in enumerate([(1, 11), (11, 21), (21, 31)]):
         period = hexagons.hex_traffic(legs, start=date(2024, 1, start), end=date(2024, 1, end))
         state = spark.createDataFrame(accumulate.accumulate(state, period, YEAR, slot).collect(), accumulate.STATE_SCHEMA)
-    whole = accumulate.metric_arrays(hexagons.period_counts(legs), accumulate.loaded_periods(df))
+    whole = accumulate.metric_arrays(hexagons.period_counts(legs), accumulate.loaded_periods(legs))
     assert state_of(whole) == state_of(state)
     assert {len(a) for a in state_of(whole).values()} == {3}
     totals = {row.hex: row["count"] for row in accumulate.sum_yearly_metric_array(whole).collect()}
@@ -193,3 +198,40 @@ def test_one_pass_equals_the_steps(spark):
 def test_quotes_are_stripped_from_ids(spark):
     state = spark.createDataFrame([('"h6_0_0"', YEAR, [1, 2])], accumulate.STATE_SCHEMA)
     assert rows(accumulate.sum_yearly_metric_array(state)) == [("h6_0_0", 3)]
+
+
+def test_a_leg_takes_the_short_way_over_the_180th_meridian(spark):
+    df = trajectory.legs(
+        events(
+            spark,
+            ("a", "f", "landing", at(0), 179.9, 10.0, 100),
+            ("b", "f", "landing", at(9), -179.9, 10.0, 100),
+            ("c", "f", "landing", at(18), 175.0, 11.0, 100),
+        )
+    )
+    paths = {r.id: [tuple(c) for c in r.grid_array] for r in hexagons.hex_paths(df, 8).collect()}
+    own = {r.id: tuple(r.cell) for r in hexagons.hex_cells(df, 8).collect()}
+    width = 0.2 * geo.KM_PER_DEGREE_LON / geo.STEP_KM
+    assert set(paths) == {"b", "c"} and len(paths["b"]) < 1.2 * width
+    for first, last in (("b", "a"), ("c", "b")):
+        assert paths[first][0] == own[first] and paths[first][-1] == own[last]
+        for q, r in paths[first][1:-1]:
+            lat, lon = centre(q, r, 8)
+            assert abs(lon) <= 180.01 and (lon > 174.9 or lon < -179.8) and 9.9 < lat < 11.1
+    by_row = hexagons.path_cells(df, 8, "id").groupBy("id").count()
+    assert rows(by_row) == [(i, len(p)) for i, p in sorted(paths.items())]
+
+
+def test_all_resolutions_at_once_equal_each_alone(spark):
+    df = trajectory.legs(tracks(spark, ("f", 1, [(0, 0), (9, 2)]), ("g", 1, [(-9, 3), (4, -6)])))
+    whole = hexagons.agg_by_resolutions(df, 0.1, 0.1, [7, 8, 9])
+    for resolution in (7, 8, 9):
+        alone = hexagons.agg_by_coordinates(df, 0.1, 0.1, resolution)
+        assert rows(whole.where(F.col("resolution") == resolution), "hex", "count") == rows(alone)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == 2 + plan.count("WindowGroupLimit")  # the legs are made once
+
+
+def test_legs_without_a_start_are_not_expanded(spark):
+    df = trajectory.legs(events(spark, ("a", "f", "landing", at(0), 0.1, 0.1, 100), ("b", "f", "landing", at(9), None, 0.1, 100)))
+    assert hexagons.points_near(df, 0.1, 0.1, 30).count() == 0

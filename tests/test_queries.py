@@ -19,7 +19,7 @@ DUCKDB_TYPES = {
     "timestamp_ntz": "TIMESTAMP",
     "boolean": "BOOLEAN",
 }
-STREAMS = [name for name in QUERIES if name.startswith("stream_")]
+STREAMS = [name for name in QUERIES if name.startswith(("stream_", "stored_", "monthly_run", "period_run"))]
 
 
 @pytest.fixture(scope="module")

@@ -2,6 +2,7 @@ from datetime import date, datetime
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from contrail.operators import accumulate, incremental
 from contrail.sources import tables
@@ -53,14 +54,6 @@ def test_drift_fails_and_leaves_the_table(spark, database):
     assert stored(spark, table) == [("a", date(2024, 1, 1))]
 
 
-def test_overwrite_mode_of_the_session_is_restored(spark, database):
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    for _ in range(2):
-        tables.store_range(facts(spark, ("a", (1, 1))), f"{database}.facts")
-    assert spark.conf.get(setting) == before
-
-
 def test_day_filter_reads_one_partition(spark, database):
     table = f"{database}.facts"
     tables.store_range(facts(spark, ("a", (1, 1)), ("b", (1, 2))), table)
@@ -102,19 +95,107 @@ def test_before_the_first_run_the_state_is_empty(spark, database):
     assert empty.schema == accumulate.STATE_SCHEMA and empty.isEmpty()
 
 
-def test_snapshot_is_swapped_and_an_interrupted_swap_completed(spark, database):
+def snapshot_run(spark, table, name, moment):
+    current = spark.createDataFrame([(1, name)], "id int, name string")
+    history = tables.read_or_empty(spark, table, incremental.scd2_columns(current.schema))
+    tables.replace(incremental.scd2(history, current, "id", ["name"], moment), table)
+
+
+def test_snapshot_is_replaced_by_rows_computed_from_it(spark, database):
     table = f"{database}.snapshot"
-    current = spark.createDataFrame([(1, "a")], "id int, name string")
-    schema = incremental.scd2_columns(current.schema)
+    snapshot_run(spark, table, "a", datetime(2024, 1, 1))
+    snapshot_run(spark, table, "b", datetime(2024, 1, 11))
+    assert rows(spark.table(table), "name", "dbt_valid_to") == [("a", datetime(2024, 1, 11)), ("b", None)]
+
+
+class Stopped(Exception):
+    pass
+
+
+STEPS = ["_clean", "_append", "_list", "_switch"]
+
+
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("step", STEPS)
+def test_a_run_stopped_at_any_step_leaves_the_old_rows_or_the_new(spark, database, monkeypatch, step, after):
+    table = f"{database}.facts"
+    first = facts(spark, ("a", (1, 1)), ("b", (1, 2)), ("c", (1, 3)), ("d", (1, 4)))
+    batch = facts(spark, ("x", (1, 2)), ("y", (1, 4)), ("z", (1, 5)))
+    tables.store_range(first, table)
+    old, new = rows(first), rows(incremental.replace_range(first, batch))
+    whole = getattr(tables, step)
+
+    def stopping(*given):
+        if after:
+            whole(*given)
+        raise Stopped
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, step, stopping)
+        with pytest.raises(Stopped):
+            tables.store_range(batch, table)
+    done = step == "_switch" and after
+    assert stored(spark, table) == (new if done else old)
+    for _ in range(2):  # the next run is complete, and drops what the stopped one left
+        tables.store_range(batch, table)
+        assert stored(spark, table) == new
+    valid = tables._valid_pairs(spark, table)
+    tables._clean(spark, table, "dof")
+    assert sorted(tables._value(v) for v, _ in tables._stored_pairs(spark, table)) == sorted(v for v, _ in valid)
+    assert len(tables._beside(spark, table, "parts")) == 1
 
-    def run(name, moment):
-        history = tables.read_or_empty(spark, table, schema)
-        now = spark.createDataFrame([(1, name)], "id int, name string")
-        tables.replace(incremental.scd2(history, now, "id", ["name"], moment), table)
 
-    run("a", datetime(2024, 1, 1))
-    run("b", datetime(2024, 1, 11))
+def test_a_stop_while_rows_are_written(spark, database):
+    """Tasks that fail, and a day that is missing, leave the table as it was and don't disturb the next run."""
+    table = f"{database}.facts"
+    first = facts(spark, ("a", (1, 1)), ("b", (1, 2)))
+    tables.store_range(first, table)
+    failing = first.withColumn("id", F.when(F.col("id") == "b", F.raise_error(F.lit("stop"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="stop"):
+        tables.store_range(failing, table)
+    with pytest.raises(ValueError):
+        tables.store_range(facts(spark, ("x", (1, 1)), ("y", None)), table)
+    assert stored(spark, table) == rows(first)
+    tables.store_range(facts(spark, ("z", (1, 2))), table)
+    assert stored(spark, table) == [("a", date(2024, 1, 1)), ("z", date(2024, 1, 2))]
+
+
+@pytest.mark.parametrize("after", [False, True])
+def test_a_stopped_replacement_of_a_whole_table(spark, database, monkeypatch, after):
+    table = f"{database}.snapshot"
+    snapshot_run(spark, table, "a", datetime(2024, 1, 1))
+    whole = tables._switch
+
+    def stopping(*given):
+        if after:
+            whole(*given)
+        raise Stopped
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_switch", stopping)
+        with pytest.raises(Stopped):
+            snapshot_run(spark, table, "b", datetime(2024, 1, 11))
+    assert spark.table(table).count() == 1 + after
+    snapshot_run(spark, table, "b", datetime(2024, 1, 11))
     assert rows(spark.table(table), "name", "dbt_valid_to") == [("a", datetime(2024, 1, 11)), ("b", None)]
-    # As after a crash between dropping the old table and renaming the new one.
-    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__next")
-    assert tables.read_or_empty(spark, table, schema).count() == 2
+    snapshot_run(spark, table, "b", datetime(2024, 1, 12))
+    assert len(tables._beside(spark, table, "whole")) == 2  # the state that readers see and the one before
+
+
+def test_readers_of_the_state_before_can_finish(spark, database):
+    table = f"{database}.facts"
+    tables.store_range(facts(spark, ("a", (1, 1)), ("b", (1, 2))), table)
+    reader = spark.table(table)
+    tables.store_range(facts(spark, ("x", (1, 1)), ("y", (1, 2))), table)
+    assert rows(reader, "id") == [("a",), ("b",)]
+    assert rows(spark.table(table), "id") == [("x",), ("y",)]
+
+
+def test_ranges_and_days_that_get_no_rows(spark, database):
+    table = f"{database}.facts"
+    tables.store_range(facts(spark, *((c, (1, d)) for d, c in enumerate("abcdef", 1))), table)
+    days = tables.store_ranges(facts(spark, ("x", (1, 5))), table, [(date(2024, 1, 1), date(2024, 1, 2)), (date(2024, 1, 5), date(2024, 1, 5))])
+    assert days == [date(2024, 1, d) for d in (1, 2, 5)]
+    assert rows(spark.table(table), "id") == [("c",), ("d",), ("f",), ("x",)]
+    tables.store_days(facts(spark, ("y", (1, 3))), table, [date(2024, 1, 6)])
+    assert rows(spark.table(table), "id") == [("d",), ("x",), ("y",)]
