@@ -7,8 +7,9 @@ and such a pair meets in at least one key. At a similarity of 0.75 a pair is mis
 less above. Links are confirmed on the full shingle sets.
 
 Documents with equal sets are one class with a number of its own, and only classes go on. Pairs within a key are not
-listed: first every representative is compared with the nearest and the most central of its keys' leads, which
-joins most of a group to stars; only pairs that share a key, are of different components by then, and are within
+listed: in each of ``ROUNDS`` rounds a representative is compared with a few leads of its keys, members that have
+the most partners, which joins most of a group to stars. Later rounds take a lead of the component that has most of
+the key, for members outside it. Only pairs that share a key, are of different components by then, and are within
 ``FAR`` symbols, are compared one by one.
 
 Defined cases: null, empty and wordless texts have no shingles and link with nothing; texts of fewer words
@@ -37,6 +38,7 @@ LANES, LANE = 3, 16  # symbols in a long and bits for each, one more than they h
 LONGS = -(-SYMBOLS // CHUNKS // LANES)  # of a chunk
 SIGNATURE = [f"s{i}" for i in range(CHUNKS * LONGS)]
 BROADCAST_IDS = 500_000  # rows of three numbers that may be broadcast after they were counted
+ROUNDS, LEADS = 4, 3  # of joining to stars, and the leads that a document is compared with in each
 BLOCK = 250  # documents of a family whose sets meet those of another block in one place
 
 _numbers = np.random.default_rng(6).integers(1, 2**63, (2, SYMBOLS), dtype=np.uint64)
@@ -221,8 +223,35 @@ def confirmed(docs: DataFrame, pairs: DataFrame, families: DataFrame, classes: D
     return rows.mapInArrow(compare, "a long, b long")
 
 
+def _apart(member: DataFrame, joined: DataFrame) -> DataFrame:
+    """``member`` (key, node, ...) with each node's component, of the keys whose members have several."""
+    placed = member.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
+    return placed.join(split.select("key"), "key")
+
+
+def _led(member: DataFrame, joined: DataFrame, round_: int) -> DataFrame:
+    """(a, b, weight): for each node b that some of its keys could join to another component, up to ``LEADS`` leads a.
+
+    A key's lead is the heaviest of its members in the component that has most of them; later rounds draw one
+    of that component at random, so that they try others.
+    """
+    apart = stored(_apart(member, joined), "split")
+    rank = F.struct("weight", "node") if round_ == 0 else F.struct(F.xxhash64(F.lit(round_), "key", "node").alias("drawn"), "node")
+    own = apart.groupBy("key", "component").agg(F.count("*").alias("members"), F.max_by(F.struct("node", "weight"), rank).alias("lead"))
+    leads = own.groupBy("key").agg(F.max_by(F.struct("component", "lead"), F.struct("members", "lead.weight", "component")).alias("most"))
+    led = apart.select("key", "node", F.col("component").alias("own")).join(leads, "key").where("own <> most.component")
+    # A node has as many keys as choices at most.
+    found = led.groupBy("node").agg(F.collect_set(F.struct(F.col("most.lead.weight").alias("weight"), F.col("most.lead.node").alias("a"))).alias("found"))
+    best = found.select(F.col("node").alias("b"), F.explode(F.slice(F.sort_array("found", asc=False), 1, LEADS)).alias("one"))
+    return best.select("one.a", "b", "one.weight")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id, kept) of each row of ``docs`` (doc_id, text)."""
+    """(doc_id, text_hash, n_shingles, component_id, kept, stays) of each row of ``docs`` (doc_id, text).
+
+    ``kept`` says that the row has the component's id; ``stays`` also that it has the text which stays for the component.
+    """
     signed = stored(signatures(docs), "signatures")
     same = ["f0", "f1", "n_shingles"]
     alike = [F.first(s).alias(s) for s in SIGNATURE]  # equal for equal sets
@@ -237,30 +266,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     keys = classes.select("node", F.posexplode(_keys()).alias("number", "key"))
     common = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     shared = stored(keys.join(common, "key"), "keys")
-    # A key's lead is the member whose keys have the most members: the middle of its group.
+    # The weight of a node: how many members its keys have, so that the middle of a group weighs most.
     central = shared.groupBy("node").agg(F.sum("members").alias("weight"))
-    leads = shared.join(central, "node").groupBy("key").agg(F.max_by("node", "weight").alias("a"))
-    led = shared.join(leads, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    led = led.join(central.withColumnRenamed("node", "a"), "a")
-    best = _near(led, signs).groupBy("b").agg(F.min_by("a", "far").alias("a"), F.max_by("a", "weight").alias("c"))
-    best = stored(best, "leads")
-    stars = best.select("a", "b").unionByName(best.select(F.col("c").alias("a"), "b"))
-    stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    families = best.select(F.col("b").alias("node"), F.col("c").alias("family"))
-    links = stored(confirmed(docs, stars, families, classes), "links")
+    member = stored(shared.select("key", "number", "node").join(central, "node"), "weighed")
+    joined = member.select("node", F.col("node").alias("component")).distinct()
+    links, families = None, None
+    for round_ in range(ROUNDS):
+        led = _led(member, joined, round_)
+        best = _near(led, signs).groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a"), F.max_by("a", F.struct("weight", "a")).alias("c"))
+        best = stored(best, "leads")
+        if best.isEmpty():
+            break
+        if families is None:  # the first round has a lead for every node but the leads themselves
+            families = best.select(F.col("b").alias("node"), F.col("c").alias("family"))
+        stars = best.select("a", "b").unionByName(best.select(F.col("c").alias("a"), "b"))
+        stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        met = confirmed(docs, stars, families, classes)
+        links = stored(met if links is None else links.unionByName(met), "links")
+        joined = stored(components(links), "components")
 
     # What is left: pairs that share a key and are not joined yet, each taken in the first chunk that finds it.
-    joined = stored(components(links), "components")
-    member = shared.select("key", "number", "node").join(joined, "node", "left")
-    member = member.select("key", "number", "node", F.coalesce("component", "node").alias("component"))
-    split = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    member = stored(member.join(split.select("key"), "key").join(signs.drop("f0", "f1"), "node"), "apart")
-    one = _sided(member, "a", "key", "number", F.col("component").alias("ac"))
-    other = _sided(member, "b", "key", F.col("component").alias("bc"))
-    apart = (F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _sizes_allow()
-    apart = apart & (_far() <= FAR) & _first_chunk()
-    rest = one.join(other, (one["key"] == other["key"]) & apart).select("a", "b").distinct()
-    links = links.unionByName(stored(confirmed(docs, rest, families, classes), "links"))
+    if links is not None:
+        member = _apart(member, joined).select("key", "number", "node", "component").join(signs.drop("f0", "f1"), "node")
+        member = stored(member, "apart")
+        one = _sided(member, "a", "key", "number", F.col("component").alias("ac"))
+        other = _sided(member, "b", "key", F.col("component").alias("bc"))
+        apart = (F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _sizes_allow()
+        apart = apart & (_far() <= FAR) & _first_chunk()
+        rest = one.join(other, (one["key"] == other["key"]) & apart).select("a", "b").distinct()
+        links = links.unionByName(stored(confirmed(docs, rest, families, classes), "links"))
+    else:
+        links = member.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
 
     found = stored(components(links), "components")
     classes = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -269,19 +305,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = signed.select("doc_id", "text_hash", *same).join(classes, same, "left")
     shown = F.col("n_shingles") > 0
     component = F.when(shown, F.col("survivor.doc_id")).otherwise(F.col("doc_id"))
-    first = F.col("survivor.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("survivor.text_hash") == F.col("text_hash"))
-    return rows.select(
-        "doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.when(shown, first).otherwise(True).alias("kept")
-    )
+    kept = F.col("survivor.doc_id").eqNullSafe(F.col("doc_id"))
+    stays = kept & (F.col("survivor.text_hash") == F.col("text_hash"))
+    marks = [F.when(shown, mark).otherwise(True).alias(name) for name, mark in (("kept", kept), ("stays", stays))]
+    return rows.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), *marks)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One document of each group of near-duplicates, with all its columns; rows that repeat one stay once."""
     found = near_duplicates(docs)
-    found = stored(found.select(*row_key(F.col("doc_id"), F.col("text_hash")), "kept"), "kept")
-    dropped = stored(found.where("NOT kept").select(*ROW_KEY).distinct(), "dropped")
+    found = stored(found.select(*row_key(F.col("doc_id"), F.col("text_hash")), "stays"), "stays")
+    dropped = stored(found.where("NOT stays").select(*ROW_KEY).distinct(), "dropped")
     kept = join_checked(keyed(docs), dropped, ROW_KEY, "left_anti")
-    repeated = found.where("kept").groupBy(*ROW_KEY).count().where("count > 1").select(*ROW_KEY)
+    repeated = found.where("stays").groupBy(*ROW_KEY).count().where("count > 1").select(*ROW_KEY)
     repeated = stored(repeated, "repeated")
     if not repeated.isEmpty():
         once = join_checked(kept, repeated, ROW_KEY, "left_semi").dropDuplicates(ROW_KEY)
@@ -290,4 +326,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
 
 def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(documents(spark, folder)).drop("text_hash")
+    return near_duplicates(documents(spark, folder)).drop("text_hash", "stays")

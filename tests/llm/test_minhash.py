@@ -75,7 +75,8 @@ def test_linked_texts_under_equal_and_null_ids(spark):
     ]
     docs = documents(spark, [(i, t, "en", "s") for i, t in rows])
     found = minhash.near_duplicates(docs).join(docs.selectExpr("xxhash64(text) AS text_hash", "text"), "text_hash").collect()
-    got = {(r["doc_id"], r["text"]): (r["component_id"], r["kept"]) for r in found}
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
+    got = {(r["doc_id"], r["text"]): (r["component_id"], r["stays"]) for r in found}
     assert {i: c for (i, t), (c, _) in got.items() if i == 3 or t == near(a, 79)} == {3: 3, 6: 3}
     assert [got[row][0] for row in rows] == [3, 3, 6, 7, 7, 7, 6, 3, None, None, None, None]
     kept = [got[row][1] for row in rows]
@@ -85,6 +86,16 @@ def test_linked_texts_under_equal_and_null_ids(spark):
     assert sorted((str(r["doc_id"]), r["text"]) for r in left) == sorted((str(i), t) for (i, t), k in zip(rows, kept) if k)
 
 
+def test_rounds_only_steer_the_work(spark, monkeypatch):
+    texts = variants(random.Random(9))
+    docs = documents(spark, [(i, t, "en", "s") for i, t in texts.items()])
+    want = {i: c for i, (_, c) in near_documents(texts).items()}
+    monkeypatch.setattr(minhash, "LEADS", 1)
+    for rounds in (1, 2):
+        monkeypatch.setattr(minhash, "ROUNDS", rounds)
+        assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs).collect()} == want
+
+
 def test_empty_table(spark):
     assert minhash.near_duplicates(documents(spark, [])).count() == 0
     assert minhash.deduplicated(documents(spark, [])).count() == 0
