@@ -10,8 +10,9 @@ A second pass gives every document the counts of its links. Regular links look t
 irregular pairs the ``HOT_PAIRS`` most frequent ones, a fixed number of rows, go to all tasks, so no pair that many
 documents hold is a hot key; the rare rest is joined by a shuffle. The numbers don't depend on that division.
 
-No token of either side reaches over a space between two visible characters (``CUT``), so a text is cut there and
-equal pieces are encoded and aligned once. ``Aligner`` checks this against B's vocabulary.
+No token of either side reaches over a space between two visible characters, from a letter to a mark after it, or
+over the beginning of a line, so a text is cut there (``CUT``), and equal pieces are encoded and aligned once. ``Aligner``
+checks this against B's vocabulary.
 
 Defined cases: null and empty texts, and texts that either side doesn't reproduce byte by byte, have no tokens and
 only zeros; strings of special tokens are plain text; texts of any length are cut and counted slice by slice; a
@@ -31,14 +32,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contrail.llm.common import documents, ship, stored
 
-# Blank characters other than the ASCII ones lie outside these ranges.
-CUT = re.compile("(?<=[^ ]) (?=[!-~¡-ᙿ、-퟿])")
+_LETTER, _MARK = "A-Za-zÀ-ÖØ-öø-ɏ", ".,;:!?"
+# Blank characters other than the ASCII ones lie outside these ranges, and so do marks.
+_SEEN = r"\"-+\-/-9<->@-~¡-ᙿ、-퟿"
+# A piece that begins with a mark or a line end has no space before it; only a text's first one may, see ``_pieces``.
+CUT = re.compile(f"(?<=[^ ]) (?=[{_SEEN}])|(?<=[{_LETTER}])(?=[{_MARK}])|(?<=[{_SEEN}{_MARK}])(?=\n)")
+_JOINED = tuple(_MARK + "\n")
+_SPACED = "\ud800"  # stands before a first piece of that kind; no text can hold it
 SLICE = 1 << 20  # characters of a text that are cut at a time
-CACHED, LONGEST = 250_000, 64  # pieces that a Python worker keeps, and their length
+CACHED, LONGEST = 500_000, 64  # pieces that a Python worker keeps, and their length
 TASK_PAIRS = 400_000  # distinct irregular pairs that a task adds up before it sends them on
 HOT_PAIRS = 500_000  # irregular pairs that go to all tasks, 17 bytes each
 _SPACE = "▁"  # B's sign for a space
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
+_LETTERS, _MARKS = re.compile(f"[{_LETTER}]+"), re.compile(f"[{_MARK}]+")
 
 
 def byte_level() -> dict[str, int]:
@@ -69,6 +75,8 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         if any(_SPACE in p.lstrip(_SPACE) for p in pieces):
             raise ValueError("a token of B holds a space after another character; texts can't be cut at spaces")
+        if any(re.search(f"[{_LETTER}][{_MARK}]|\n", p) for p in pieces) or len(self.b.encode("a")) != 1:
+            raise ValueError("a token of B holds a letter and a mark, or a line end; texts can't be cut there")
         self.b_bytes = [
             bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)
         ]
@@ -79,27 +87,37 @@ class Aligner:
         #: The B id with the bytes of each A id, or -1.
         self.identity = np.array([same.get(x, -1) for x in self.a_bytes], np.int64)
         self._identity = self.identity.tolist()
-        self.forget()
-
-    def forget(self) -> None:
+        self._a_names, self._b_names = [str(i) for i in range(self.n_a)], [str(i) for i in range(self.n_b)]
         self.index: dict[str, int] = {}
         self.texts: list[bytes | None] = []  # the groups of each piece, None where a side doesn't reproduce it
-        self.sizes = np.zeros((1024, 4), np.int64)  # tokens of A, of B, groups, links
+        self.sizes = np.zeros((0, 4), np.int32)  # tokens of A, of B, groups, links
+        self.uses = np.zeros(0, np.int32)
         self.regular, self.irregular = _Lists(np.int32), _Lists(np.int64)
 
-    def _a_ids(self, piece: str) -> list[int]:
-        plain = _PLAIN.fullmatch(piece)
-        if plain is None:
-            return self.a.encode(" " + piece, add_special_tokens=False).ids
-        # Letters, and marks after them, are one part each for the tokenizer, which its model takes directly.
-        letters, marks = plain.groups()
-        signs = f" {letters}".encode().decode("latin-1").translate(self.signs)
-        ids = [t.id for t in self.a.model.tokenize(signs)]
-        return ids + [t.id for t in self.a.model.tokenize(marks)] if marks else ids
+    def forget(self) -> None:
+        """Keep the pieces that were met more than once, at most half of what may be kept."""
+        least = 2
+        if len(self.uses) > CACHED // 2:
+            least = max(least, int(np.partition(self.uses, -(CACHED // 2))[-(CACHED // 2)]) + 1)
+        kept = [(piece, n) for piece, n in self.index.items() if self.uses[n] >= least]
+        places = np.array([n for _, n in kept], np.int64)
+        self.index = {piece: i for i, (piece, _) in enumerate(kept)}
+        self.texts = [self.texts[n] for n in places.tolist()]
+        self.sizes, self.uses = self.sizes[places], np.ones(len(places), np.int32)
+        self.regular, self.irregular = self.regular.only(places), self.irregular.only(places)
+
+    def _a_ids(self, piece: str, spaced: bool) -> list[int]:
+        # Letters, and marks, are one part for the tokenizer, which its model takes directly.
+        if spaced and _LETTERS.fullmatch(piece):
+            return [t.id for t in self.a.model.tokenize(f" {piece}".encode().decode("latin-1").translate(self.signs))]
+        if not spaced and _MARKS.fullmatch(piece):
+            return [t.id for t in self.a.model.tokenize(piece)]
+        return self.a.encode(f" {piece}" if spaced else piece, add_special_tokens=False).ids
 
     def align(self, a: list[int], b: list[int]) -> tuple[bytes, int, list[int], list[int]]:
         """(groups as text, their number, A ids of regular groups, pairs of irregular links) of tokens of the same bytes."""
         a_size, b_size, identity, n_b = self.a_size, self.b_size, self._identity, self.n_b
+        a_names, b_names = [self._a_names[x] for x in a], [self._b_names[x] for x in b]
         groups, regular, irregular = [], [], []
         i = j = first_i = first_j = 0
         a_end, b_end = a_size[a[0]], b_size[b[0]]
@@ -110,7 +128,7 @@ class Aligner:
                 else:
                     irregular.append(a[i] * n_b + b[j])
                 i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[first_i:i]))}|{','.join(map(str, b[first_j:j]))}")
+                groups.append(f"{','.join(a_names[first_i:i])}|{','.join(b_names[first_j:j])}")
                 if i == len(a):
                     return ";".join(groups).encode(), len(groups), regular, irregular
                 first_i, first_j = i, j
@@ -125,22 +143,28 @@ class Aligner:
                     b_end += b_size[b[j]]
 
     def _learn(self, pieces: list[str]) -> None:
-        for piece, b in zip(pieces, self.b.encode(pieces, num_threads=1)):
-            a, whole = self._a_ids(piece), f" {piece}".encode()
-            n = len(self.texts)
-            if n == len(self.sizes):
-                self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-            joined = b"".join([self.a_bytes[x] for x in a]), b"".join([self.b_bytes[x] for x in b])
-            if joined == (whole, whole):
+        spaced = [not piece.startswith(_JOINED) for piece in pieces]
+        plain = [piece.removeprefix(_SPACED) for piece in pieces]
+        # B puts a space before what it encodes; a piece without one is encoded behind a letter.
+        encoded = self.b.encode([p if s else f"a{p}" for p, s in zip(plain, spaced)], num_threads=1)
+        sizes, all_regular, all_irregular, a_bytes, b_bytes = [], [], [], self.a_bytes, self.b_bytes
+        for key, piece, own_space, b in zip(pieces, plain, spaced, encoded):
+            a, b = self._a_ids(piece, own_space), b if own_space else b[1:]
+            whole = (f" {piece}" if own_space else piece).encode()
+            if b"".join([a_bytes[x] for x in a]) == whole and b"".join([b_bytes[x] for x in b]) == whole:
                 text, n_groups, regular, irregular = self.align(a, b)
-                self.sizes[n] = len(a), len(b), n_groups, len(regular) + len(irregular)
+                sizes.append((len(a), len(b), n_groups, len(regular) + len(irregular)))
             else:
                 text, regular, irregular = None, [], []
-                self.sizes[n] = 0
+                sizes.append((0, 0, 0, 0))
+            self.index[key] = len(self.texts)
             self.texts.append(text)
-            self.regular.append(regular)
-            self.irregular.append(irregular)
-            self.index[piece] = n
+            all_regular.append(regular)
+            all_irregular.append(irregular)
+        self.sizes = _grown(self.sizes, len(self.texts) - len(pieces), np.array(sizes, np.int32))
+        self.uses = _grown(self.uses, len(self.texts) - len(pieces), np.zeros(len(pieces), np.int32))
+        self.regular.extend(all_regular)
+        self.irregular.extend(all_irregular)
 
     def __call__(self, text: str) -> tuple[list[int], str, tuple, tuple]:
         """(sizes, digest of the groups, (A id, times) of regular groups, (pair, times) of irregular links) of a text."""
@@ -148,9 +172,9 @@ class Aligner:
         for n, pieces in enumerate(_pieces(text)):
             new = list(set(pieces).difference(self.index))
             if new:
-                if len(self.index) + len(new) > CACHED or max(map(len, new)) > LONGEST and len(self.index) > CACHED // 2:
+                if len(self.texts) + len(new) > CACHED:
                     self.forget()
-                    new = list(set(pieces))
+                    new = list(set(pieces).difference(self.index))
                 self._learn(new)
             places = list(map(self.index.__getitem__, pieces))
             groups = [self.texts[p] for p in places]
@@ -158,33 +182,49 @@ class Aligner:
                 return [0, 0, 0, 0], "", _NOTHING, _NOTHING
             digest.update(b";" * (n > 0) + b";".join(groups))
             places = np.array(places)
+            np.add.at(self.uses, places, 1)
             sizes += self.sizes[places].sum(axis=0)
             regular.append(_counted([(self.regular.at(places), None)]))
             irregular.append(_counted([(self.irregular.at(places), None)]))
             for piece in new:
-                if len(piece) > LONGEST:  # its place stays unused until all are forgotten
+                if len(piece) > LONGEST:  # its place stays unused until others are forgotten
                     del self.index[piece]
         if not regular:
             return [0, 0, 0, 0], "", _NOTHING, _NOTHING
         return sizes.tolist(), digest.hexdigest(), _counted(regular), _counted(irregular)
 
 
+def _grown(array: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``array`` with ``more`` after its first ``used`` rows, with room for as many again when it must grow."""
+    end = used + len(more)
+    if end > len(array):
+        room = np.zeros((max(2 * end, 1024), *array.shape[1:]), array.dtype)
+        room[:used] = array[:used]
+        array = room
+    array[used:end] = more
+    return array
+
+
 class _Lists:
     """Many short lists of numbers in one array."""
 
     def __init__(self, kind: type):
-        self.values, self.ends, self.n, self.used = np.zeros(4096, kind), np.zeros(1025, np.int64), 0, 0
-
-    def append(self, numbers: list[int]) -> None:
-        while self.used + len(numbers) > len(self.values):
-            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
-        if self.n + 2 > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        if numbers:
-            self.values[self.used : self.used + len(numbers)] = numbers
-            self.used += len(numbers)
-        self.n += 1
-        self.ends[self.n] = self.used
+        self.values, self.ends, self.n = np.zeros(0, kind), np.zeros(1, np.int64), 0
+
+    def extend(self, lists: list[list[int]]) -> None:
+        used = int(self.ends[self.n])
+        values = np.array([v for one in lists for v in one], self.values.dtype)
+        ends = used + np.cumsum([len(one) for one in lists])
+        self.values = _grown(self.values, used, values)
+        self.ends = _grown(self.ends, self.n + 1, ends)
+        self.n += len(lists)
+
+    def only(self, places: np.ndarray) -> _Lists:
+        """The lists at ``places`` alone."""
+        kept = _Lists(self.values.dtype)
+        kept.values, kept.n = self.at(places), len(places)
+        kept.ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(self.ends[places + 1] - self.ends[places])])
+        return kept
 
     def at(self, places: np.ndarray) -> np.ndarray:
         """The numbers of the lists at ``places``, one after the other."""
@@ -212,11 +252,14 @@ def _counted(parts: list[tuple[np.ndarray, np.ndarray | None]]) -> tuple[np.ndar
 
 
 def _pieces(text: str) -> Iterator[list[str]]:
-    """The pieces of a text, a slice of it at a time; without the space before each."""
+    """The pieces of a text, a slice of it at a time; without the space before each, which the first one has too."""
     at = 0
     while at < len(text):
         cut = CUT.search(text, at + SLICE) if len(text) > at + SLICE else None
-        yield CUT.split(text[at : cut.start()] if cut else text[at:])
+        pieces = CUT.split(text[at : cut.start()] if cut else text[at:])
+        if at == 0 and pieces[0].startswith(_JOINED):
+            pieces[0] = _SPACED + pieces[0]
+        yield pieces
         at = cut.end() if cut else len(text)
 
 

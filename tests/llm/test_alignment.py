@@ -65,6 +65,7 @@ COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
 def sample():
     generator = random.Random(11)
     texts = ["".join(generator.choice(ALPHABET) for _ in range(generator.randrange(60))) for _ in range(150)]
+    texts += [".", "! a", "\nx", "\n\n", ".a b", "a.b", "a. b", "x\ny", "x\n y", "x \ny", "x.\n\nY!?", "a .b", "\x00.x .x", "...\n.", "don't.'s"]
     texts += ["<|endoftext|> x", "<s> </s> <unk> <0x41>", "aaaa aaa aa a aaaaa", " lead", "trail  ", "a  b   c", "x▁y"]
     return [*enumerate(texts), (5, "again"), (5, "again"), (None, "no id"), (None, "nor here"), (900, None), (901, "")]
 
