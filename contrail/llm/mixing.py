@@ -195,7 +195,8 @@ def mixed(docs: DataFrame) -> DataFrame:
     """``docs`` with each row as often as the mix takes it, all columns kept."""
     copies = mix(docs).where("copies > 0")
     copies = stored(copies.select("key", *row_key(F.col("doc_id"), F.col("text_hash")), "copies"), "copies")
-    rows = join_checked(keyed(docs, None, source_key("`source`").alias("key")), copies, ["key", *ROW_KEY])
+    # A row for each document that is taken: Spark decides from its bytes, and splits a hot source, which is no key alone.
+    rows = keyed(docs, None, source_key("`source`").alias("key")).join(copies, ["key", *ROW_KEY])
     return unkeyed(rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))), docs)
 
 
