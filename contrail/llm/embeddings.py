@@ -13,9 +13,10 @@ Equal vectors are one class with a count. A crowded cell is cut into pieces of i
 visitors, each pair of which is compared in a place of its own. Links are not listed: a place returns counts, and
 a star for each set of vectors that its links connect.
 
-Defined cases: vectors that are null, empty, zero, of another length than most, or hold null or non-finite
-numbers, and rows with a null id, link with nothing; repeated rows link with each other like any equal vectors;
-an empty table gives no row; further columns are ignored.
+Defined cases: vectors that are null, empty, zero, or hold null or non-finite numbers link with nothing; vectors of
+each length are compared among themselves, with an index of their own; rows with a null id link like others, and
+a component is named by its smallest id, which is null if it has none; repeated rows link with each other like any
+equal vectors; an empty table gives no row; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -192,22 +193,15 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE, recall: float = RECALL
     ship(spark)
     rows = rows.select(F.col("`vec_id`").cast("long").alias("vec_id"), F.col("`embedding`").cast("array<double>").alias("v"))
     odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-    sound = F.col("vec_id").isNotNull() & ~F.exists("v", odd) & F.exists("v", lambda x: x != 0)
+    sound = ~F.exists("v", odd) & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
-    usual = rows.where("sound").groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    dimensions = usual["n"] if usual else 0
-    rows = rows.withColumn("sound", F.col("sound") & (F.size("v") == dimensions))
     classes = rows.where("sound").groupBy("v").agg(F.count("*").alias("n"), F.min("vec_id").alias("first"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    size = classes.count()
-    draw = F.pmod(F.xxhash64("v"), F.lit(1_000_000)) / 1_000_000
-    sample = classes.where(draw < min(1.0, SAMPLE / max(size, 1))).select("v").toPandas()["v"]
-    if len(sample) == 0:
-        sample = classes.select("v").limit(1).toPandas()["v"]
     found = classes.select("node", F.lit(0).cast("long").alias("links"), F.col("node").alias("other")).limit(0)
-    if len(sample):
-        found = stored(_places(classes, fit(np.stack(sample), size, cosine, recall), cosine), "found")
+    for length in sorted(classes.groupBy(F.size("v").alias("length")).count().collect()):  # a row for each length
+        alike = classes.where(F.size("v") == length["length"])
+        found = found.unionByName(stored(_found(alike, length["count"], cosine, recall), "found"))
 
     joined = stored(components(found.select(F.col("node").alias("a"), F.col("other").alias("b"))), "components")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
@@ -222,7 +216,16 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE, recall: float = RECALL
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"),
     )
-    return rows.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    return rows.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+def _found(classes: DataFrame, size: int, cosine: float, recall: float) -> DataFrame:
+    """(node, links, other) of the links among ``size`` classes of one length, by an index of their own."""
+    draw = F.pmod(F.xxhash64("v"), F.lit(1_000_000)) / 1_000_000
+    sample = classes.where(draw < min(1.0, SAMPLE / size)).select("v").toPandas()["v"]
+    if len(sample) == 0:
+        sample = classes.select("v").limit(1).toPandas()["v"]
+    return _places(classes, fit(np.stack(sample), size, cosine, recall), cosine)
 
 
 def _places(classes: DataFrame, index: Index, cosine: float) -> DataFrame:

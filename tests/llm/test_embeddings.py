@@ -30,7 +30,7 @@ def test_links_match_brute_force(spark):
     near = brute(vectors)
     rows = list(enumerate(vectors))
     odd = [None, [], [0.0] * 32, [float("nan")] + [1.0] * 31, [None] + [1.0] * 31, [float("inf")] * 32, [1.0] * 7]
-    rows += [(1000 + i, v) for i, v in enumerate(odd)] + [(None, vectors[0])]
+    rows += [(1000 + i, v) for i, v in enumerate(odd)]
     found = embeddings.near_vectors(frame(spark, rows)).collect()
     assert len(found) == len(rows)
     got = {r["vec_id"]: r for r in found if r["vec_id"] is not None and r["vec_id"] < 1000}
@@ -65,6 +65,22 @@ def test_cells_come_in_multi_sequence_order():
     assert (own == visited[:, 0]).all() and every.shape[1] == k * k
 
 
+def test_null_ids_and_vectors_of_several_lengths_link(spark):
+    many = clustered(4, 120).tolist()
+    rows = list(enumerate(many))
+    rows += [(200, [1.0, 2.0]), (201, [2.0, 4.01]), (202, [-1.0, 2.0]), (203, [3.0]), (204, [5.0]), (205, [-1.0])]
+    rows += [(None, [1.0, 2.0]), (None, [7.0, 1.0, 1.0]), (None, [7.0, 1.0, 1.0]), (None, None), (None, many[5])]
+    found = embeddings.near_vectors(frame(spark, rows)).collect()
+    got = {r["vec_id"]: tuple(r)[1:] for r in found if r["vec_id"] is not None}
+    assert [got[i] for i in range(200, 206)] == [
+        (2, 200, True), (2, 200, False), (0, 202, True), (1, 203, True), (1, 203, False), (0, 205, True),
+    ]
+    nameless = sorted((tuple(r)[1:] for r in found if r["vec_id"] is None), key=repr)
+    five = got[5]
+    assert nameless == sorted([(2, 200, False), (1, None, True), (1, None, True), (0, None, True), (five[0], five[1], False)], key=repr)
+    assert five[0] == brute(many)[5].sum() + 1
+
+
 def test_empty_table(spark):
     assert embeddings.near_vectors(frame(spark, [])).count() == 0
     alone = embeddings.near_vectors(frame(spark, [(4, [1.0, 2.0]), (3, [2.0, 4.0])])).collect()
