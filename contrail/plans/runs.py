@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contrail.functions.geo import DEFAULT_RESOLUTION
 from contrail.operators import enrich, staging
@@ -21,7 +21,7 @@ from contrail.operators.quality import enforce_gate
 from contrail.operators.trajectory import legs, view_events_filtered, view_events_lagged, view_interpolated_steps
 from contrail.sources import schemas
 from contrail.sources.files import load_csv, load_parquet
-from contrail.sources.tables import read, read_or_empty, replace, store_months
+from contrail.sources.tables import open_versions, read, replace, settled, store_months, store_versions
 from contrail.streaming.ingest import event_batches
 
 
@@ -87,8 +87,10 @@ class Warehouse:
     def _version_airports(self, raw_airports: DataFrame, countries: DataFrame, now: datetime) -> None:
         snapshot = self.name("scd_airports")
         schema = scd2_columns(staging.stg_airports(raw_airports).schema)
-        history = read_or_empty(self.spark, snapshot, schema)
-        replace(snapshot_airports(history, raw_airports, now), snapshot)
+        # Versions that ended in earlier runs take no part.
+        versions = settled(snapshot_airports(open_versions(self.spark, snapshot, schema), raw_airports, now))
+        ended = F.col("dbt_valid_to").isNotNull()
+        store_versions(versions.where(ended), versions.where(~ended), snapshot)
         replace(enrich.dim_airports(self.table("scd_airports"), countries), self.name("dim_airports"))
 
     def create_views(self) -> None:

@@ -211,9 +211,9 @@ def store_period(current: DataFrame, table: str, year: date, slot: int | None =
     store_days(accumulate(state, current, year, slot), table, [], "year_start")
 
 
-def replace(df: DataFrame, table: str) -> None:
-    """Replace a whole table by rows that may be computed from it, such as a snapshot's next state."""
-    spark, write = df.sparkSession, uuid.uuid4().hex
+def _write_whole(df: DataFrame, table: str, write: str) -> None:
+    """Store rows where no reader looks yet, and drop such tables of writes before the current one."""
+    spark = df.sparkSession
     current = _current_write(spark, table)
     if current:
         assert_same_schema(df.schema, spark.table(table).schema)
@@ -221,4 +221,38 @@ def replace(df: DataFrame, table: str) -> None:
         if current is None or not old.endswith(current):
             spark.sql(f"DROP TABLE IF EXISTS {old}")
     df.hint("rebalance").write.format("parquet").saveAsTable(_whole(table, write))
+
+
+def replace(df: DataFrame, table: str) -> None:
+    """Replace a whole table by rows that may be computed from it, such as a dimension's next state."""
+    spark, write = df.sparkSession, uuid.uuid4().hex
+    _write_whole(df, table, write)
     _switch(spark, table, f"SELECT * FROM {_whole(table, write)}")
+
+
+CLOSED_ON = "closed_on"
+
+
+def store_versions(closed: DataFrame, current: DataFrame, table: str, ended: str = "dbt_valid_to") -> None:
+    """Append versions that have ended, by the day of their end, and replace the ones that have not.
+
+    A run over ``open_versions`` so reads and writes no version that ended before; readers see all of them.
+    """
+    spark, write = current.sparkSession, uuid.uuid4().hex
+    _clean(spark, table, CLOSED_ON)
+    values = _append(closed.withColumn(CLOSED_ON, F.to_date(ended)), table, CLOSED_ON, write)
+    _list(spark, table, CLOSED_ON, write, _valid_pairs(spark, table) + [(value, write) for value in values])
+    _write_whole(current, table, write)
+    names = ", ".join(f"`{c}`" for c in current.columns)
+    # The list has a row for each day on which a run closed versions.
+    _switch(
+        spark, table,
+        f"SELECT {names} FROM {_whole(table, write)} UNION ALL SELECT /*+ BROADCAST(p) */ {names} FROM {_rows(table)} r"
+        f" LEFT SEMI JOIN {_parts(table, write)} p ON r.{CLOSED_ON} = p.{CLOSED_ON} AND r.written = p.written",
+    )
+
+
+def open_versions(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
+    """What ``store_versions`` stored last as not ended, or an empty frame of the schema before the first run."""
+    write = _current_write(spark, table)
+    return spark.table(_whole(table, write)) if write else empty_frame(spark, schema)

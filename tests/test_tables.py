@@ -5,6 +5,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from contrail.operators import accumulate, incremental
+from contrail.session import empty_frame
 from contrail.sources import tables
 
 
@@ -199,3 +200,47 @@ def test_ranges_and_days_that_get_no_rows(spark, database):
     assert rows(spark.table(table), "id") == [("c",), ("d",), ("f",), ("x",)]
     tables.store_days(facts(spark, ("y", (1, 3))), table, [date(2024, 1, 6)])
     assert rows(spark.table(table), "id") == [("d",), ("x",), ("y",)]
+
+
+def versions_run(spark, table, moment, *airports):
+    now = spark.createDataFrame(list(airports), "id int, name string")
+    schema = incremental.scd2_columns(now.schema)
+    versions = tables.settled(incremental.scd2(tables.open_versions(spark, table, schema), now, "id", ["name"], moment))
+    ended = F.col("dbt_valid_to").isNotNull()
+    tables.store_versions(versions.where(ended), versions.where(~ended), table)
+
+
+def test_versions_equal_the_operator_and_closed_ones_are_not_written_again(spark, database):
+    table = f"{database}.versions"
+    runs = [(1, (1, "a"), (2, "b")), (11, (1, "A"), (2, "b")), (11, (1, "A"), (2, "b")), (21, (1, "A"), (2, "B"), (3, "c")), (31, (1, "x"))]
+    history, seen = None, []
+    for day, *airports in runs:
+        moment = datetime(2024, 1, day)
+        now = spark.createDataFrame(airports, "id int, name string")
+        history = empty_frame(spark, incremental.scd2_columns(now.schema)) if history is None else history
+        rows_now = incremental.scd2(history, now, "id", ["name"], moment).collect()
+        history = spark.createDataFrame(rows_now, history.schema)
+        versions_run(spark, table, moment, *airports)
+        assert rows(tables.read(spark, table)) == rows(history)
+        files = set(spark.table(f"{table}__rows").inputFiles())
+        assert set(seen) <= files  # files of closed versions stay
+        seen = files
+        assert rows(tables.open_versions(spark, table, history.schema)) == rows(history.where("dbt_valid_to IS NULL"))
+
+
+@pytest.mark.parametrize("step", ["_append", "_list", "_write_whole", "_switch"])
+def test_versions_of_a_stopped_run(spark, database, monkeypatch, step):
+    table = f"{database}.versions"
+    versions_run(spark, table, datetime(2024, 1, 1), (1, "a"), (2, "b"))
+    old = rows(tables.read(spark, table))
+
+    def stopping(*given):
+        raise Stopped
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, step, stopping)
+        with pytest.raises(Stopped):
+            versions_run(spark, table, datetime(2024, 1, 11), (1, "A"), (2, "b"))
+    assert rows(tables.read(spark, table)) == old
+    versions_run(spark, table, datetime(2024, 1, 11), (1, "A"), (2, "b"))
+    assert rows(tables.read(spark, table), "name", "dbt_valid_to") == [("A", None), ("a", datetime(2024, 1, 11)), ("b", None)]
