@@ -106,7 +106,7 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
 
         def failures(check):
             if check.types:
-                return F.max(F.lit(0 if of_type(df.schema, check.columns[0], *check.types) else 1).cast("bigint"))
+                return F.max(F.lit(_type_failures(df.schema, check)).cast("bigint"))
             return F.count_if(check.row_fails)
 
         counted = df.agg(*(F.coalesce(failures(c), F.lit(0)).alias(f"c{i}") for i, c in enumerate(by_row)))
@@ -123,6 +123,37 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _type_failures(schema: StructType, check: Check) -> int:
+    return 0 if of_type(schema, check.columns[0], *check.types) else 1
+
+
+def day_failures(df: DataFrame, checks: list[Check], day: str = "dof") -> DataFrame:
+    """(day, test, failures) of the checks that look at single rows: a state that adds up over days.
+
+    A day without rows has no entry; checks of types, uniqueness and references are left to ``added_up`` and
+    ``run_checks``.
+    """
+    by_row = [c for c in checks if c.row_fails is not None]
+    counted = df.groupBy(day).agg(*(F.count_if(c.row_fails).alias(f"c{i}") for i, c in enumerate(by_row)))
+    entries = [F.struct(F.lit(c.label).alias("test"), F.col(f"c{i}").alias("failures")) for i, c in enumerate(by_row)]
+    return counted.select(F.inline(F.array(*entries)), day)
+
+
+def added_up(failures: DataFrame, checks: list[Check], schema: StructType) -> DataFrame:
+    """(test, failures) over all days of ``day_failures``, as ``run_checks`` counts them for a table of this schema.
+
+    Only for checks of rows and types, which need no look at the table.
+    """
+    whole = [c.label for c in checks if c.row_fails is None and not c.types]
+    if whole:
+        raise ValueError(f"checks that don't add up over days: {', '.join(whole)}")
+    spark = failures.sparkSession
+    listed = [(c.label, _type_failures(schema, c) if c.types else 0) for c in checks]
+    known = spark.createDataFrame(listed, "test string, failures bigint")  # a row for each declared check
+    both = known.unionByName(failures.select("test", "failures"))
+    return both.groupBy("test").agg(F.sum("failures").alias("failures"))
+
+
 def enforce_checks(df: DataFrame, checks: list[Check]) -> None:
     failed = run_checks(df, checks).where(F.col("failures") > 0).collect()
     if failed:

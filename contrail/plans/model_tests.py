@@ -175,6 +175,11 @@ def check(test: dict, models) -> quality.Check:
     raise ValueError(f"unknown test {test['kind']}")
 
 
+def declared(name: str) -> list[quality.Check]:
+    """The checks of a model that refer to no other model."""
+    return [check(t, None) for t in DECLARED[name]]
+
+
 def model_report(models, name: str, df: DataFrame | None = None) -> DataFrame:
     """(test, failures) of one model."""
     df = getattr(models, name) if df is None else df

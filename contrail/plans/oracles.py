@@ -536,6 +536,7 @@ def _statements() -> dict[str, str]:
         "period_run_events": f"SELECT {_FACT_OUT} FROM fct_events",
         "period_run_arrays": _arrays(_loaded("s0", "s1", "s2"), "by_hex"),
         "period_run_airports": "SELECT * FROM dim_airports_2",
+        "period_run_checks": " UNION ALL ".join(_failures("fct_events", test) for test in model_tests.DECLARED["fct_events"]),
     }
     for model, tests in model_tests.DECLARED.items():
         statements[f"tests_{model}"] = " UNION ALL ".join(_failures(model, test) for test in tests)

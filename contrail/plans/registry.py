@@ -684,9 +684,9 @@ class _Stored:
         df.write.format(form).option("header", True).save(f"{self.home}/{name}")
         return f"{self.home}/{name}"
 
-    def result(self, table: str) -> DataFrame:
+    def result(self, table: str | DataFrame) -> DataFrame:
         """The table's rows, kept in the checkpoint folder while the database goes."""
-        rows = settled(self.warehouse.table(table))
+        rows = settled(self.warehouse.table(table) if isinstance(table, str) else table)
         self.m.spark.sql(f"DROP DATABASE {self.database} CASCADE")
         return rows
 
@@ -773,3 +773,11 @@ def period_run_airports(m):
     stored = _Stored(m)
     stored.period_runs()
     return stored.result("dim_airports")
+
+
+@query
+def period_run_checks(m):
+    """Failures of the declared tests after both runs, each of which tested only the days it changed."""
+    stored = _Stored(m)
+    stored.period_runs()
+    return stored.result(stored.warehouse.check_report())

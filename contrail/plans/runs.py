@@ -17,12 +17,13 @@ from contrail.functions.geo import DEFAULT_RESOLUTION
 from contrail.operators import enrich, staging
 from contrail.operators.accumulate import sum_yearly_metric_array
 from contrail.operators.incremental import scd2_columns, snapshot_airports
-from contrail.operators.quality import enforce_gate
+from contrail.operators.quality import added_up, enforce_gate
 from contrail.operators.trajectory import legs, view_events_filtered, view_events_lagged, view_interpolated_steps
+from contrail.plans.model_tests import declared
 from contrail.sources import schemas
 from contrail.sources.files import load_csv, load_parquet
 from contrail.sources.tables import open_versions, read, replace, settled, store_months, store_versions
-from contrail.streaming.ingest import event_batches
+from contrail.streaming.ingest import checks_table, event_batches
 
 
 @dataclass
@@ -80,10 +81,16 @@ class Warehouse:
             self.name("agg_yearly_metric_array"),
             self.resolution,
             gated=True,
+            checks=declared("fct_events"),
         )
         handle(raw_events, 0)
         self._version_airports(raw_airports, countries, now)
 
+    def check_report(self) -> DataFrame:
+        """(test, failures) of the stored events, added up from what the runs counted on the days they changed."""
+        facts = self.name("fct_events")
+        return added_up(read(self.spark, checks_table(facts)), declared("fct_events"), self.table("fct_events").schema)
+
     def _version_airports(self, raw_airports: DataFrame, countries: DataFrame, now: datetime) -> None:
         snapshot = self.name("scd_airports")
         schema = scd2_columns(staging.stg_airports(raw_airports).schema)

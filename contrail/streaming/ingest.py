@@ -21,7 +21,7 @@ from contrail.operators.accumulate import STATE_SCHEMA, recounted
 from contrail.operators.enrich import fct_events, int_events, int_measurements
 from contrail.operators.flight_sets import NUMBERS, SETS, changed_cells, flight_sets, new_numbers, set_counts
 from contrail.operators.hexagons import named
-from contrail.operators.quality import QualityError, enforce_gate
+from contrail.operators.quality import Check, QualityError, day_failures, enforce_gate
 from contrail.operators.skew import hot_keys
 from contrail.operators.staging import stg_events, stg_measurements
 from contrail.sources.schemas import GATED_COLUMNS
@@ -110,6 +110,7 @@ def event_batches(
     arrays_table: str | None = None,
     resolution: int = DEFAULT_RESOLUTION,
     gated: bool = False,
+    checks: list[Check] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Batch handler: gate, enrich and store raw events, then bring the metric arrays up to date.
 
@@ -117,7 +118,8 @@ def event_batches(
     change: each day gets the rows of the last delivery that ranges over it, as if they had come one after the
     other. Only the deliveries' names and ranges and the days reach the driver. Fails when a delivery has no
     event of a known flight, which means that the flights were not loaded yet. ``gated`` says that the batches have
-    passed the gate already.
+    passed the gate already. The failures of ``checks`` are counted on the days that changed and kept by day in a
+    table beside the facts.
     """
 
     def handle(raw: DataFrame, _batch_id: int) -> None:
@@ -142,12 +144,20 @@ def event_batches(
         rows = facts.join(F.broadcast(won), ["dof", name], "left_semi").drop(*DELIVERY)
         rows = rows.select([c for c in facts.columns if c not in DELIVERY])
         touched = store_ranges(rows, facts_table, [(d.first, d.last) for d in deliveries])
+        stored = read(raw.sparkSession, facts_table)
+        if checks:
+            failures = day_failures(stored.where(F.col("dof").isin(touched)), checks)
+            store_days(failures, checks_table(facts_table), touched)
         if arrays_table is not None:
-            advance_arrays(read(raw.sparkSession, facts_table), arrays_table, touched, resolution)
+            advance_arrays(stored, arrays_table, touched, resolution)
 
     return handle
 
 
+def checks_table(facts_table: str) -> str:
+    return f"{facts_table}_checks"
+
+
 def advance_arrays(events: DataFrame, table: str, days: list[date], resolution: int = DEFAULT_RESOLUTION) -> None:
     """Bring the metric arrays up to date with the stored events of some days of flight.
 

@@ -94,3 +94,33 @@ def test_profile(spark, exact):
 def test_profile_of_a_column_without_values(spark):
     report = quality.profile(frame(spark, ("a", None, None)), ["id"]).where(F.col("column") == "kind").first()
     assert (report.missing, report.distinct_values, report.low) == (1, 0, None)
+
+
+def test_failures_of_days_add_up(spark, database):
+    """Days tested alone, and tested again after a correction, give what one pass over all rows gives."""
+    from datetime import date
+
+    from contrail.plans.model_tests import declared
+    from contrail.sources.tables import read, store_days, store_range
+
+    columns = (
+        "id string, flight_id string, type string, event_time timestamp_ntz, longitude double, latitude double,"
+        " altitude int, info string, dof date, time_passed double, distance_flown double"
+    )
+    checks = declared("fct_events")
+
+    def day(d, *entries):
+        return spark.createDataFrame([(i, "f", t, None, x, 47.0, 100, None, date(2024, 1, d), 1.0, None) for i, t, x in entries], columns)
+
+    facts, table = f"{database}.facts", f"{database}.facts_checks"
+    batches = [
+        day(1, ("a", "landing", 5.0), (None, "landing", 5.0)).unionByName(day(2, ("b", "nothing", 500.0))).unionByName(day(3, (None, "x", None))),
+        day(2, ("b", "landing", 500.0)),
+        day(1, ("a", "landing", 5.0)).unionByName(day(3, ("c", "landing", 5.0))),
+    ]
+    for batch in batches:
+        days = store_range(batch, facts)
+        changed = read(spark, facts).where(F.col("dof").isin(days))
+        store_days(quality.day_failures(changed, checks), table, days)
+        stored = read(spark, facts)
+        assert rows(quality.added_up(read(spark, table), checks, stored.schema), "test", "failures") == rows(quality.run_checks(stored, checks), "test", "failures")
