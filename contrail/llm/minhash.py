@@ -7,10 +7,11 @@ and such a pair meets in at least one key. At a similarity of 0.75 a pair is mis
 less above. Links are confirmed on the full shingle sets.
 
 Documents with equal sets are one class with a number of its own, and only classes go on. Pairs within a key are not
-listed: in each of ``ROUNDS`` rounds a representative is compared with a few leads of its keys, members that have
-the most partners, which joins most of a group to stars. Later rounds take a lead of the component that has most of
-the key, for members outside it. Only pairs that share a key, are of different components by then, and are within
-``FAR`` symbols, are compared one by one.
+listed: first every representative is compared with the nearest and the most central of its keys' leads, which
+joins most of a group to stars. Members of keys that then still have several components are put into blocks of
+``BLOCK`` in the order of the families that their leads make; two blocks that share a key meet in one place, which
+counts the shingles that each pair has in common by multiplying incidence matrices and returns only the links that
+join components.
 
 Defined cases: null, empty and wordless texts have no shingles and link with nothing; texts of fewer words
 than a shingle are one shingle; very long texts are hashed in pieces and compared whole; rows with equal ids are
@@ -28,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from contrail.llm.common import ROW_KEY, components, documents, join_checked, keyed, row_key, ship, stored, unkeyed
+from contrail.llm.common import ROW_KEY, components, documents, join_checked, keyed, ranked, row_key, ship, stored, unkeyed
 from contrail.llm.words import chunks, mix, shingle_set, utf8, word_hashes
 
 WORDS, PERCENT = 5, 75
@@ -38,7 +39,7 @@ LANES, LANE = 3, 16  # symbols in a long and bits for each, one more than they h
 LONGS = -(-SYMBOLS // CHUNKS // LANES)  # of a chunk
 SIGNATURE = [f"s{i}" for i in range(CHUNKS * LONGS)]
 BROADCAST_IDS = 500_000  # rows of three numbers that may be broadcast after they were counted
-ROUNDS, LEADS = 4, 3  # of joining to stars, and the leads that a document is compared with in each
+COLUMNS = 8192  # shingles that are counted at a time
 BLOCK = 250  # documents of a family whose sets meet those of another block in one place
 
 _numbers = np.random.default_rng(6).integers(1, 2**63, (2, SYMBOLS), dtype=np.uint64)
@@ -128,15 +129,6 @@ def _far() -> Column:
     return sum((_differing(k) for k in range(CHUNKS)), F.lit(0))
 
 
-def _first_chunk() -> Column:
-    """Whether no chunk before that of key ``number`` has few enough differences to be found by."""
-    keys = len(_choices())
-    first = F.lit(True)
-    for k in range(CHUNKS - 1):
-        first = first & ((F.col("number") < keys * (k + 1)) | (_differing(k) > ERRORS))
-    return first
-
-
 def _sizes_allow() -> Column:
     return 100 * F.least("an", "bn") >= PERCENT * F.greatest("an", "bn")
 
@@ -230,21 +222,99 @@ def _apart(member: DataFrame, joined: DataFrame) -> DataFrame:
     return placed.join(split.select("key"), "key")
 
 
-def _led(member: DataFrame, joined: DataFrame, round_: int) -> DataFrame:
-    """(a, b, weight): for each node b that some of its keys could join to another component, up to ``LEADS`` leads a.
+def _joining(sets: list[np.ndarray], component: list[int], side: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of places in ``sets`` that are similar enough, one of either side, as few as join the components that they do.
 
-    A key's lead is the heaviest of its members in the component that has most of them; later rounds draw one
-    of that component at random, so that they try others.
+    ``side`` has bit 1 for the first block and bit 2 for the second.
+    """
+    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    sizes = np.array([len(one) for one in sets])
+    row = np.repeat(np.arange(len(sets)), sizes)
+    first, second = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
+    same = np.zeros((len(first), len(second)), np.float32)  # exact up to 16 million
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for start in range(0, len(values), COLUMNS):
+        lo, hi = np.searchsorted(column, [start, start + COLUMNS])
+        present = np.zeros((len(sets), min(COLUMNS, len(values) - start)), np.float32)
+        present[row[lo:hi], column[lo:hi] - start] = 1
+        same += present[first] @ present[second].T
+    both = sizes[first][:, None] + sizes[second][None, :] - same
+    near = 100 * same.astype(np.float64) >= PERCENT * both.astype(np.float64)
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while parent.setdefault(c, c) != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    found, numbers = [], np.array(component)
+    near &= numbers[first][:, None] != numbers[second][None, :]
+    for i, j in zip(*np.nonzero(near)):
+        x, y = root(component[first[i]]), root(component[second[j]])
+        if x != y:
+            parent[x] = y
+            found.append((int(first[i]), int(second[j])))
+    return found
+
+
+def _left_over(docs: DataFrame, member: DataFrame, families: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): links that join components among nodes that share a key; ``member`` is (key, node, component).
+
+    Every pair that shares a key meets in a place, and no pair is listed.
     """
-    apart = stored(_apart(member, joined), "split")
-    rank = F.struct("weight", "node") if round_ == 0 else F.struct(F.xxhash64(F.lit(round_), "key", "node").alias("drawn"), "node")
-    own = apart.groupBy("key", "component").agg(F.count("*").alias("members"), F.max_by(F.struct("node", "weight"), rank).alias("lead"))
-    leads = own.groupBy("key").agg(F.max_by(F.struct("component", "lead"), F.struct("members", "lead.weight", "component")).alias("most"))
-    led = apart.select("key", "node", F.col("component").alias("own")).join(leads, "key").where("own <> most.component")
-    # A node has as many keys as choices at most.
-    found = led.groupBy("node").agg(F.collect_set(F.struct(F.col("most.lead.weight").alias("weight"), F.col("most.lead.node").alias("a"))).alias("found"))
-    best = found.select(F.col("node").alias("b"), F.explode(F.slice(F.sort_array("found", asc=False), 1, LEADS)).alias("one"))
-    return best.select("one.a", "b", "one.weight")
+    nodes = member.select("node", "component").distinct().join(families, "node", "left")
+    nodes = nodes.select("node", "component", F.coalesce("family", "node").alias("family"))
+    nodes = ranked(stored(nodes, "nodes"), [F.col("family"), F.col("node")], "rank")
+    blocks = stored(nodes.select("node", "component", F.floor(F.col("rank") / BLOCK).alias("block")), "blocks")
+    held = stored(member.select("key", "node").join(blocks.select("node", "block"), "node").select("key", "block").distinct(), "held")
+    p, q = held.withColumnRenamed("block", "p"), held.withColumnRenamed("block", "q")
+    pairs = stored(p.join(q, "key").where("p <= q").select("p", "q").distinct(), "block-pairs")
+    sides = F.array(F.struct(F.col("p").alias("block"), F.lit(1).alias("side")), F.struct(F.col("q").alias("block"), F.lit(2).alias("side")))
+    places = pairs.select(F.xxhash64("p", "q").alias("place"), F.inline(sides))
+    places = places.groupBy("place", "block").agg(F.sum("side").alias("side"))  # 3: a block meets itself
+
+    wanted = stored(blocks.join(classes.select("node", "f0", *ROW_KEY), "node").select("node", "f0", *ROW_KEY), "wanted")
+    texts = docs.select(*row_key(F.col("`doc_id`"), F.xxhash64("`text`")), F.col("`text`").alias("text"))
+    small = wanted.count() <= BROADCAST_IDS
+    texts = texts.join(F.broadcast(wanted) if small else wanted, ROW_KEY).select("node", "text", "f0")
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, f0, found = batch.column(0).to_pylist(), batch.column(2).to_pylist(), []
+            for i, one in enumerate(sets_of(batch.column(1))):
+                if fingerprint(one)[0] == f0[i]:
+                    found.append((ids[i], one.tobytes()))
+                if found and (len(found) == 256 or i == len(ids) - 1):
+                    types = [pa.int64(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], ["node", "shingles"])
+                    found = []
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, here = None, {}
+
+        def met() -> Iterator[pa.RecordBatch]:
+            if len(here) > 1:
+                names, rows = list(here), list(here.values())
+                side = np.array([r[1] for r in rows])
+                links = _joining([r[2] for r in rows], [r[0] for r in rows], side)
+                if links:
+                    ends = [pa.array([names[one[k]] for one in links], pa.int64()) for k in (0, 1)]
+                    yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(4)]
+            for i, of in enumerate(columns[0]):
+                if of != place:
+                    yield from met()
+                    place, here = of, {}
+                # Rows may repeat the one whose set is wanted.
+                here[columns[1][i]] = columns[2][i], columns[3][i], np.frombuffer(batch.column(4)[i].as_py(), np.uint64)
+        yield from met()
+
+    sets = stored(texts.mapInArrow(shingles, "node long, shingles binary"), "sets")
+    rows = places.join(blocks, "block").join(sets, "node").select("place", "node", "component", F.col("side").cast("int").alias("side"), "shingles")
+    return rows.repartition("place").sortWithinPartitions("place").mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -266,37 +336,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     keys = classes.select("node", F.posexplode(_keys()).alias("number", "key"))
     common = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     shared = stored(keys.join(common, "key"), "keys")
-    # The weight of a node: how many members its keys have, so that the middle of a group weighs most.
+    # A key's lead is the member whose keys have the most members: the middle of its group.
     central = shared.groupBy("node").agg(F.sum("members").alias("weight"))
-    member = stored(shared.select("key", "number", "node").join(central, "node"), "weighed")
-    joined = member.select("node", F.col("node").alias("component")).distinct()
-    links, families = None, None
-    for round_ in range(ROUNDS):
-        led = _led(member, joined, round_)
-        best = _near(led, signs).groupBy("b").agg(F.min_by("a", F.struct("far", "a")).alias("a"), F.max_by("a", F.struct("weight", "a")).alias("c"))
-        best = stored(best, "leads")
-        if best.isEmpty():
-            break
-        if families is None:  # the first round has a lead for every node but the leads themselves
-            families = best.select(F.col("b").alias("node"), F.col("c").alias("family"))
-        stars = best.select("a", "b").unionByName(best.select(F.col("c").alias("a"), "b"))
-        stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        met = confirmed(docs, stars, families, classes)
-        links = stored(met if links is None else links.unionByName(met), "links")
-        joined = stored(components(links), "components")
-
-    # What is left: pairs that share a key and are not joined yet, each taken in the first chunk that finds it.
-    if links is not None:
-        member = _apart(member, joined).select("key", "number", "node", "component").join(signs.drop("f0", "f1"), "node")
-        member = stored(member, "apart")
-        one = _sided(member, "a", "key", "number", F.col("component").alias("ac"))
-        other = _sided(member, "b", "key", F.col("component").alias("bc"))
-        apart = (F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _sizes_allow()
-        apart = apart & (_far() <= FAR) & _first_chunk()
-        rest = one.join(other, (one["key"] == other["key"]) & apart).select("a", "b").distinct()
-        links = links.unionByName(stored(confirmed(docs, rest, families, classes), "links"))
-    else:
-        links = member.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    leads = shared.join(central, "node").groupBy("key").agg(F.max_by("node", "weight").alias("a"))
+    led = shared.join(leads, "key").where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    led = led.join(central.withColumnRenamed("node", "a"), "a")
+    best = _near(led, signs).groupBy("b").agg(F.min_by("a", "far").alias("a"), F.max_by("a", "weight").alias("c"))
+    best = stored(best, "leads")
+    stars = best.select("a", "b").unionByName(best.select(F.col("c").alias("a"), "b"))
+    stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    families = best.select(F.col("b").alias("node"), F.col("c").alias("family"))
+    links = stored(confirmed(docs, stars, families, classes), "links")
+
+    # What is left: keys whose members are of several components.
+    joined = stored(components(links), "components")
+    member = stored(_apart(shared.select("key", "node"), joined).select("key", "node", "component"), "apart")
+    kin = components(families.select(F.col("node").alias("a"), F.col("family").alias("b")))
+    kin = stored(kin.withColumnRenamed("component", "family"), "families")
+    links = links.unionByName(stored(_left_over(docs, member, kin, classes), "links"))
 
     found = stored(components(links), "components")
     classes = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from cases import documents, near_documents, shingles
+from cases import classes, documents, near_documents, shingles
 from conftest import SF_DIR
 
 from contrail.llm import minhash
@@ -86,14 +86,30 @@ def test_linked_texts_under_equal_and_null_ids(spark):
     assert sorted((str(r["doc_id"]), r["text"]) for r in left) == sorted((str(i), t) for (i, t), k in zip(rows, kept) if k)
 
 
-def test_rounds_only_steer_the_work(spark, monkeypatch):
+def test_blocks_only_steer_the_work(spark, monkeypatch):
     texts = variants(random.Random(9))
     docs = documents(spark, [(i, t, "en", "s") for i, t in texts.items()])
     want = {i: c for i, (_, c) in near_documents(texts).items()}
-    monkeypatch.setattr(minhash, "LEADS", 1)
-    for rounds in (1, 2):
-        monkeypatch.setattr(minhash, "ROUNDS", rounds)
-        assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs).collect()} == want
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    monkeypatch.setattr(minhash, "COLUMNS", 50)
+    assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs).collect()} == want
+
+
+def test_a_place_joins_what_is_similar():
+    generator = random.Random(10)
+    for _ in range(30):
+        bases = [frozenset(generator.sample(range(300), 40)) for _ in range(4)]
+        sets = [frozenset(x if generator.random() < 0.9 else generator.randrange(300) for x in generator.choice(bases)) for _ in range(20)]
+        side = np.array([generator.choice([1, 2, 3]) for _ in sets])
+        component = [generator.randrange(8) for _ in sets]
+        found = minhash._joining([np.array(sorted(s), np.uint64) for s in sets], component, side)
+        near = [
+            (component[i], component[j])
+            for i in range(20) for j in range(20)
+            if side[i] & 1 and side[j] & 2 and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])
+        ]
+        assert classes(range(8), [(component[i], component[j]) for i, j in found]) == classes(range(8), near)
+        assert len(found) < 8
 
 
 def test_empty_table(spark):
