@@ -81,10 +81,9 @@ def _decontamination() -> str:
     items AS (SELECT item_id, {words} AS w FROM benchmark),
     doc_windows AS ({_windows('docs', 'doc_id', '12')}),
     all_items AS ({_windows('items', 'item_id', '12')}),
-    item_windows AS (SELECT win, least[1] AS item_id, least[2] AS place
-      FROM (SELECT win, min([item_id, place]) AS least FROM all_items GROUP BY win)),
-    short_items AS (SELECT array_to_string(w, ' ') AS words, len(w) AS n, min(item_id) AS item_id FROM items
-      WHERE len(w) BETWEEN 5 AND 11 GROUP BY ALL),
+    item_windows AS (SELECT win, item_id, place FROM all_items),
+    short_items AS (SELECT DISTINCT array_to_string(w, ' ') AS words, len(w) AS n, item_id FROM items
+      WHERE len(w) BETWEEN 5 AND 11),
     short_docs AS (SELECT doc_id, n, place, array_to_string(w[place + 1 : place + n], ' ') AS words FROM
       (SELECT doc_id, w, n, unnest(range(0, len(w) - n + 1)) AS place
         FROM docs JOIN (SELECT DISTINCT n FROM short_items) ON len(w) >= n)),
@@ -154,7 +153,7 @@ def oracle_sql() -> dict[str, str]:
     """Statements of the queries that SQL can express.
 
     It has neither the hash that orders the draws of the mix, nor an edit distance in characters, nor
-    tokenizers, trained models or a renderer of pages; those queries are tested against brute force.
+    tokenizers, checksums, trained models or a renderer of pages; those queries are tested against brute force.
     """
     return {
         "op1_decontamination": _decontamination(),
