@@ -5,13 +5,18 @@ is ``BLOCK`` ids (the last one fewer), each in as many bits as the vocabulary ne
 first, filled up to a whole byte. The footer lists the byte offset of each block, the place of each
 document's first id in the shard, and the document ids with a mark for unknown ones.
 
+Texts are encoded where they are read, and only their ids, in whole bytes, are shuffled to the shards. Each
+shard is a range of (document id, first ``HEAD`` characters, hash of the text); a bounded sample of these keys
+places the edges, and rows that are equal in all three may be dealt over several shards.
+
 Shards are written by Spark tasks into the folder that the cluster shares, under a temporary name, and then
 renamed; a repeated task writes the same bytes to the same name. Nothing but one manifest row per shard
 comes back. Reading opens only the blocks it needs.
 
 Defined cases: a null text is empty and encodes to the end id alone; a null document id comes first; rows
-with equal ids are ordered by text; an empty table gives no shard and no row; further columns are ignored;
-texts of any length are encoded whole, word by word, and blocks bound what is held of them.
+with equal ids are ordered by their first ``HEAD`` characters, then by a hash of the text; an empty table gives no
+shard and no row; further columns are ignored; texts of any length are encoded whole, word by word, and blocks
+bound what is held of them.
 """
 
 from __future__ import annotations
@@ -21,12 +26,13 @@ import struct
 import uuid
 import zlib
 from array import array
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from contrail.llm.common import documents, ship, stored
@@ -37,6 +43,9 @@ BLOCK = 1 << 16
 TRAILER = struct.Struct("<8sIIQQQQ")  # magic, bits, ids per block, blocks, documents, ids, footer offset
 MAGIC = b"PACKIDS1"
 CACHED_WORDS, CACHED_PARTS = 300_000, 900_000  # per Python worker; beyond them the caches start anew
+HEAD = 32
+SHARDS = 4  # for each shuffle partition, so that tasks that get several hold about as much as others
+SAMPLED = 100_000  # keys, at about, that place the edges of the shards
 MANIFEST = "shard int, path string, n_docs long, n_ids long"
 _MARKS, _LATIN = b".,;:!?", 0x250
 
@@ -45,12 +54,21 @@ def bits_for(vocabulary: int) -> int:
     return max(1, (vocabulary - 1).bit_length())
 
 
+def whole_bytes(bits: int) -> np.dtype:
+    """The smallest type of whole bytes for ids of so many bits, most significant byte first."""
+    return np.dtype(">u1" if bits <= 8 else ">u2" if bits <= 16 else ">u4")
+
+
 def pack(ids: np.ndarray, bits: int) -> bytes:
+    if bits == 8 * whole_bytes(bits).itemsize:
+        return ids.astype(whole_bytes(bits)).tobytes()
     wide = np.unpackbits(ids.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
     return np.packbits(wide[:, 32 - bits :].ravel()).tobytes()
 
 
 def unpack(block: bytes, n: int, bits: int) -> np.ndarray:
+    if bits == 8 * whole_bytes(bits).itemsize:
+        return np.frombuffer(block, whole_bytes(bits), n).astype("<u4")
     wide = np.zeros((n, 32), np.uint8)
     wide[:, 32 - bits :] = np.unpackbits(np.frombuffer(block, np.uint8), count=n * bits).reshape(n, bits)
     return np.packbits(wide, axis=1).view(">u4").ravel().astype("<u4")
@@ -143,10 +161,9 @@ class Writer:
         self.waiting, self.n_waiting, self.size = [], 0, 0
         self.blocks, self.starts, self.doc_ids, self.n = [], [], [], 0
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.starts.append(self.n)
         self.doc_ids.append(doc_id)
-        ids = np.frombuffer(ids, "<u4")
         self.n += len(ids)
         self.waiting.append(ids)
         self.n_waiting += len(ids)
@@ -215,39 +232,95 @@ class Reader:
         return np.concatenate([np.zeros(0, "<u4"), *self.pieces(i)])
 
 
+Key = tuple[bool, int, str, int]  # whether the id is known, the id, the text's first characters and hash
+
+
+def _key(doc_id: int | None, head: str, text_hash: int) -> Key:
+    return doc_id is not None, doc_id or 0, head, text_hash
+
+
+class Dealer:
+    """The shard of a key, given the edges between shards in ascending order.
+
+    A key that is an edge may stand on either side of it, so its rows take turns; they are equal in id and text.
+    """
+
+    def __init__(self, edges: list[Key]):
+        self.edges, self.turns = edges, Counter()
+
+    def __call__(self, key: Key) -> int:
+        first = bisect_left(self.edges, key)
+        last = bisect_right(self.edges, key, first)
+        if first == last:
+            return first
+        self.turns[key] += 1
+        return first + self.turns[key] % (last - first + 1)
+
+
+def _edges(rows: DataFrame, shards: int) -> list[Key]:
+    """Keys that cut ``rows`` (doc_id, text, head, hash) into about equal ranges."""
+    fraction = min(1.0, SAMPLED / max(1, rows.select("doc_id").count()))
+    sample = rows.select("doc_id", "head", "hash").sample(fraction, seed=1).toLocalIterator()
+    keys = sorted(_key(*row) for row in sample)
+    return [keys[len(keys) * i // shards] for i in range(1, shards)] if keys else []
+
+
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2, whole_texts: bool = False
 ) -> DataFrame:
     """Write ``docs`` (doc_id, text) in ascending order of doc_id; the manifest, one row per shard."""
+    from tokenizers import Tokenizer
+
     spark = docs.sparkSession
     ship(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    end = np.array([end_id], "<u4").tobytes()
+    bits = bits_for(max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1))
+    text = F.coalesce("`text`", F.lit(""))
+    rows = docs.select(
+        F.col("`doc_id`").cast("long").alias("doc_id"), text.alias("text"),
+        F.substring(text, 1, HEAD).alias("head"), F.xxhash64(text).alias("hash"),
+    )
+    edges = spark.sparkContext.broadcast(_edges(rows, SHARDS * parts))  # one key per shard
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, deal, kind = encoder(tokenizer_path, whole_texts), Dealer(edges.value), whole_bytes(bits)
+        end = np.array([end_id], kind).tobytes()
+        for batch in batches:
+            data, offsets = utf8(batch.column(1))
+            keys = zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)))
+            shard = pa.array([deal(_key(*key)) for key in keys], pa.int32())
+            ids = [
+                np.frombuffer(encode(data[at:to].tobytes()), "<u4").astype(kind).tobytes() + end
+                for at, to in zip(offsets[:-1], offsets[1:])
+            ]
+            columns = [shard, batch.column(0), batch.column(2), batch.column(3), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "doc_id", "head", "hash", "ids"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
+        shard, writer, rows = -1, None, []
+
+        def close() -> None:
+            if writer is not None:
+                writer.close()
+                rows.append((shard, f"{folder}/shard-{shard:07d}.ids", len(writer.starts), writer.n))
 
-        shard, writer, encode = TaskContext.get().partitionId(), None, None
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            for i, doc_id in enumerate(batch.column(0).to_pylist()):
-                if writer is None:
-                    encode = encoder(tokenizer_path, whole_texts)
-                    vocabulary = max(Tokenizer.from_file(tokenizer_path).get_vocab_size(), end_id + 1)
-                    writer = Writer(f"{folder}/shard-{shard:07d}.ids", bits_for(vocabulary))
-                writer.add(doc_id, encode(data[offsets[i] : offsets[i + 1]].tobytes()) + end)
-        if writer is not None:
-            writer.close()
-            row = [[shard], [f"{folder}/shard-{shard:07d}.ids"], [len(writer.starts)], [writer.n]]
+            for to, doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if to != shard:
+                    close()
+                    shard, writer = to, Writer(f"{folder}/shard-{to:07d}.ids", bits)
+                writer.add(doc_id, np.frombuffer(ids.as_buffer(), whole_bytes(bits)))
+        close()
+        if rows:
             types = [pa.int32(), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(row, types)], ["shard", "path", "n_docs", "n_ids"]
+                [pa.array(v, t) for v, t in zip(zip(*rows), types)], ["shard", "path", "n_docs", "n_ids"]
             )
 
-    ordered = docs.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.col("`text`").alias("text"))
-    ordered = ordered.repartitionByRange(parts, F.col("doc_id").asc_nulls_first())
-    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    return stored(ordered.mapInArrow(write, MANIFEST), "manifest")
+    ids = rows.mapInArrow(encoded, "shard int, doc_id long, head string, hash long, ids binary")
+    order = ["shard", F.col("doc_id").asc_nulls_first(), "head", "hash"]
+    dealt = ids.repartition(parts, "shard").sortWithinPartitions(*order).select("shard", "doc_id", "ids")
+    return stored(dealt.mapInArrow(write, MANIFEST), "manifest")
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ def test_files_give_random_access(tmp_path):
     docs = [generator.integers(0, 5000, n).astype("<u4") for n in (3, 0, 70_000, 1, 140_000, 5)]
     writer = t.Writer(f"file://{tmp_path}/one.ids", 13)
     for i, ids in enumerate(docs):
-        writer.add(None if i == 1 else i * 10, ids.tobytes())
+        writer.add(None if i == 1 else i * 10, ids)
     writer.close()
     reader = t.Reader(f"file://{tmp_path}/one.ids")
     assert reader.doc_ids == [0, None, 20, 30, 40, 50]
@@ -63,5 +63,30 @@ def test_table_matches_the_library(spark):
         start += len(ids)
 
 
+def test_hot_ids_are_dealt_over_shards(spark, tmp_path):
+    rows = [(None, f"text {i}", "en", "s") for i in range(600)] + [(i, "own id", "en", "s") for i in range(300)]
+    rows += [(7, "the same row", "en", "s")] * 900
+    manifest = t.write_token_files(documents(spark, rows), f"file://{tmp_path}", PATH)
+    sizes = [r["n_docs"] for r in manifest.orderBy("shard").collect()]
+    assert sum(sizes) == len(rows)
+    assert max(sizes) < 3 * len(rows) / (t.SHARDS * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = t.read_token_files(manifest).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
+    assert sum(r["n_tokens"] for r in found[:600]) == sum(len(library(r[1])) + 1 for r in rows[:600])
+    same = {(r["n_tokens"], r["ids_crc32"]) for r in found if r["doc_id"] == 7}
+    assert len(same) == 2
+
+
+def test_edges_keep_the_order():
+    generator = random.Random(4)
+    keys = sorted((True, generator.randrange(9), "", generator.randrange(3)) for _ in range(500))
+    deal = t.Dealer([keys[i] for i in range(25, 500, 25)])
+    shards = {}
+    for key in keys:
+        shards.setdefault(deal(key), []).append(key)
+    assert sum((shards[i] for i in sorted(shards)), []) == keys
+    assert max(map(len, shards.values())) <= 60
+
+
 def test_empty_table(spark):
     assert t.token_table(documents(spark, [])).count() == 0
