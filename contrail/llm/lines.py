@@ -23,13 +23,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from contrail.llm.common import components, documents, join_checked, stored
 
 EDITS, SHORTEST = 2, 10
-COUNTED = "eatnoirs"  # letters whose counts are compared first, eight bits each
+COUNTED = "eatnoirs"  # letters whose counts are compared first, four bits each
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, line): the distinct lines of each row of ``docs``, in their order."""
+def lines_of(docs: DataFrame, *more: Column) -> DataFrame:
+    """(doc_id, more, place, line): the distinct lines of each row of ``docs``, in their order."""
     parts = F.array_distinct(F.split("`text`", "\n"))
-    return docs.select(F.col("`doc_id`").alias("doc_id"), F.posexplode(parts).alias("place", "line")).where("line <> ''")
+    found = docs.select(F.col("`doc_id`").alias("doc_id"), *more, F.posexplode(parts).alias("place", "line"))
+    return found.where("line <> ''")
+
+
+def _row_keys() -> list[Column]:
+    """Numbers that lead back to a row's text: null ids are told apart by the text, too."""
+    known = F.coalesce(F.col("`doc_id`").cast("long"), F.lit((1 << 63) - 1))
+    return [known.alias("_id"), F.xxhash64("`text`").alias("_hash")]
 
 
 def _segment(length: Column, i: int) -> tuple[Column, Column]:
@@ -39,37 +46,48 @@ def _segment(length: Column, i: int) -> tuple[Column, Column]:
     return base * i + F.greatest(F.lit(0), longer - (n - i)), base + (F.lit(i) >= n - longer).cast("int")
 
 
-def _index_keys(line: str) -> Column:
-    length = F.length(line)
-    keys = []
-    for i in range(EDITS + 1):
-        start, size = _segment(length, i)
-        keys.append(F.xxhash64(F.lit(i), length, F.col(line).substr(start + 1, size)))
-    return F.array(*keys)
+def _zone_start(i: int) -> Column:
+    return F.greatest(F.lit(0), F.floor(F.col("length") / (EDITS + 1)).cast("int") * i - 2 * EDITS)
+
+
+def _zones() -> list[Column]:
+    """The parts of a line in which its i-th segment, and what a shorter line's can match, stands: cut once each."""
+    size = F.floor(F.col("length") / (EDITS + 1)).cast("int") + 6 * EDITS
+    return [F.col("line").substr(_zone_start(i) + 1, size).alias(f"zone_{i}") for i in range(EDITS + 1)]
+
 
+def _key(i: int, length: Column, start: Column, size: Column) -> Column:
+    return F.xxhash64(F.lit(i), length, F.col(f"zone_{i}").substr(start - _zone_start(i) + 1, size))
 
-def _probe_keys(line: str) -> Column:
+
+def _index_keys() -> Column:
+    length = F.col("length")
+    return F.array(*(_key(i, length, *_segment(length, i)) for i in range(EDITS + 1)))
+
+
+def _probe_keys() -> Column:
     """Where segments of lines as long, or shorter by up to ``EDITS``, can stand in this one.
 
     With the i-th segment come at most i edits before and ``EDITS - i`` after it, which bounds its shift.
     """
     keys = []
     for shorter in range(EDITS + 1):
-        length = F.length(line) - shorter
+        length = F.col("length") - shorter
         for i in range(EDITS + 1):
             start, size = _segment(length, i)
             for shift in range(max(-i, shorter - (EDITS - i)), min(i, shorter + EDITS - i) + 1):
                 fits = (length >= SHORTEST) & (start + shift >= 0)
-                keys.append(F.when(fits, F.xxhash64(F.lit(i), length, F.col(line).substr(start + shift + 1, size))))
+                keys.append(F.when(fits, _key(i, length, start + shift, size)))
     return F.array_compact(F.array(*keys))
 
 
 def _counts(line: str) -> Column:
-    """Counts of some letters, modulo 256, in one number."""
-    total = F.lit(0).cast("long")
+    """Counts of some letters, modulo 16, in one number; a letter is one byte, so sizes in bytes give its count."""
+    total, rest = F.lit(0), F.col(line)
     for i, letter in enumerate(COUNTED):
-        n = F.length(line) - F.length(F.replace(F.col(line), F.lit(letter), F.lit("")))
-        total = total.bitwiseOR(F.shiftleft((n % 256).cast("long"), 8 * i))
+        less = F.replace(rest, F.lit(letter), F.lit(""))
+        n = F.octet_length(rest) - F.octet_length(less)
+        total, rest = total.bitwiseOR(F.shiftleft(n % 16, 4 * i)), less
     return total
 
 
@@ -77,9 +95,9 @@ def _apart(one: str, other: str) -> Column:
     """How far two sets of counts are apart; an edit changes the sum by two at most."""
     total = F.lit(0)
     for i in range(len(COUNTED)):
-        a, b = (F.shiftrightunsigned(c, 8 * i).bitwiseAND(F.lit(255)).cast("int") for c in (one, other))
+        a, b = (F.shiftrightunsigned(c, 4 * i).bitwiseAND(F.lit(15)) for c in (one, other))
         far = F.abs(a - b)
-        total = total + F.least(far, 256 - far)
+        total = total + F.least(far, 16 - far)
     return total
 
 
@@ -140,12 +158,12 @@ def within_edits(one: Column, other: Column) -> Column:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, line) of the lines in ``wanted`` (node, doc_id, place, digest)."""
-    known = F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull()
-    named = wanted.select(*(c.alias(n) for c, n in zip(known, ["_id", "_no_id"])), "node", "place", "digest")
-    ids = F.coalesce(F.col("`doc_id`").cast("long"), F.lit(0)), F.col("`doc_id`").isNull()
-    texts = docs.select(*(c.alias(n) for c, n in zip(ids, ["_id", "_no_id"])), F.col("`text`").alias("text"))
-    found = join_checked(texts, stored(named, "wanted"), ["_id", "_no_id"])
+    """(node, line) of the lines in ``wanted`` (node, _id, _hash, place, digest).
+
+    A row of ``docs`` meets only lines of its own text, so no more rows arise than the documents have lines.
+    """
+    texts = docs.select(*_row_keys(), F.col("`text`").alias("text"))
+    found = join_checked(texts, stored(wanted, "wanted"), ["_id", "_hash"])
     line = F.get(F.array_distinct(F.split("text", "\n")), F.col("place"))
     return found.select("node", line.alias("line"), "digest").where("md5(line) = digest").select("node", "line").distinct()
 
@@ -158,17 +176,18 @@ def near_lines(docs: DataFrame) -> DataFrame:
     ``EDITS`` edits; ``component`` is the smallest digest reachable by links; that line is kept. Where the lines
     stand, exact repeats included, is in ``line_places``.
     """
-    one = lines_of(docs).groupBy("line").agg(
-        F.min("doc_id").alias("doc_id"), F.min_by("place", "doc_id").alias("place"), F.min("place").alias("_place"),
-        F.count("*").alias("n_docs"),
+    one = lines_of(docs, *_row_keys()).groupBy("line").agg(
+        F.min("doc_id").alias("doc_id"), F.min("_id").alias("_id"), F.min_by("_hash", "_id").alias("_hash"),
+        F.min_by("place", "_id").alias("place"), F.count("*").alias("n_docs"),
     )
-    long_enough = F.length("line") >= SHORTEST
+    # Lengths and zones are columns of their own, so that they are computed once and not within every key.
+    about = ["doc_id", "_id", "_hash", "place", F.md5("line").alias("digest"), "n_docs", _counts("line").alias("counts")]
+    sized = one.select("*", F.length("line").alias("length")).select(*about, "length", *_zones())
+    long_enough = F.col("length") >= SHORTEST
     table = stored(
-        one.select(
-            F.monotonically_increasing_id().alias("node"), "doc_id", F.coalesce("place", "_place").alias("place"),
-            F.md5("line").alias("digest"), "n_docs", _counts("line").alias("counts"),
-            F.when(long_enough, _index_keys("line")).alias("index"),
-            F.when(long_enough, _probe_keys("line")).alias("probes"),
+        sized.select(
+            F.monotonically_increasing_id().alias("node"), *sized.columns[: len(about)],
+            F.when(long_enough, _index_keys()).alias("index"), F.when(long_enough, _probe_keys()).alias("probes"),
         ),
         "lines",
     )
@@ -178,7 +197,7 @@ def near_lines(docs: DataFrame) -> DataFrame:
     pairs = stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
 
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = stored(_texts(docs, nodes.join(table.select("node", "doc_id", "place", "digest"), "node")), "texts")
+    texts = stored(_texts(docs, nodes.join(table.select("node", "_id", "_hash", "place", "digest"), "node")), "texts")
     both = pairs.join(texts.toDF("a", "one"), "a").join(texts.toDF("b", "other"), "b")
     links = stored(both.where(within_edits(F.col("one"), F.col("other"))).select("a", "b"), "links")
 
@@ -186,7 +205,7 @@ def near_lines(docs: DataFrame) -> DataFrame:
     joined = stored(components(links).join(degree, "node"), "classes")
     names = joined.join(table.select("node", "digest"), "node").groupBy("component").agg(F.min("digest").alias("name"))
     joined = stored(joined.join(names, "component").select("node", "n_links", "name"), "classes")
-    rows = join_checked(table.drop("counts", "index", "probes"), joined, ["node"], "left")
+    rows = join_checked(table.drop("_id", "_hash", "counts", "index", "probes"), joined, ["node"], "left")
     return rows.select(
         "doc_id", "place", "digest", "n_docs", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("name", "digest").alias("component"), F.coalesce(F.col("name") == F.col("digest"), F.lit(True)).alias("kept"),

@@ -2,6 +2,7 @@ import random
 from hashlib import md5
 from itertools import combinations
 
+import pytest
 from cases import classes, distance, documents
 from pyspark.sql import functions as F
 
@@ -95,5 +96,38 @@ def test_every_place_of_a_line_is_marked(spark):
     assert texts_left == want
 
 
+def test_null_ids_meet_only_their_own_texts(spark, monkeypatch):
+    rows = [(None, f"line number {i} of a row without id\n{md5(str(i).encode()).hexdigest()}", "en", "s") for i in range(200)]
+    met = []
+    join = lines.join_checked
+
+    def counted(left, right, on, how="inner"):
+        joined = join(left, right, on, how)
+        if on == ["_id", "_hash"]:
+            met.append(joined.count())
+        return joined
+
+    monkeypatch.setattr(lines, "join_checked", counted)
+    found = lines.near_lines(documents(spark, rows)).collect()
+    assert len(found) == 400 and all(r["doc_id"] is None for r in found)
+    assert met == [200]  # the numbered lines, which are near each other
+    numbered = [r for r in found if r["n_links"]]
+    assert len(numbered) == 200 and len({r["component"] for r in numbered}) == 1
+
+
+@pytest.mark.parametrize("length", range(lines.SHORTEST, 48))
+def test_zones_hold_all_that_keys_are_cut_from(length):
+    third = length // (lines.EDITS + 1)
+    for shorter in range(lines.EDITS + 1):
+        n = lines.EDITS + 1
+        base, longer = divmod(length - shorter, n)
+        for i in range(n):
+            start, size = base * i + max(0, longer - (n - i)), base + (i >= n - longer)
+            zone = max(0, third * i - 2 * lines.EDITS)
+            for shift in range(max(-i, shorter - (lines.EDITS - i)), min(i, shorter + lines.EDITS - i) + 1):
+                if start + shift >= 0:
+                    assert zone <= start + shift and start + shift + size <= zone + third + 6 * lines.EDITS
+
+
 def test_empty_table(spark):
     assert lines.near_lines(documents(spark, [])).count() == 0
