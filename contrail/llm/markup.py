@@ -7,8 +7,9 @@ marked lists with indents, preformatted text as it stands, tables with their cel
 
 Hidden are: metadata, scripts and fallback content, ``hidden`` elements, closed dialogs, closed details but for
 their summary, and what the style attribute or a plain rule (tag, class or id) of a style element sets to
-``display: none`` or ``visibility: hidden``; visibility is inherited, so descendants may set it to visible again. Of a
-drawing (svg) the text elements and foreign objects are shown, definitions where they are used.
+``display: none`` or ``visibility: hidden``. Of several such declarations the important, the more specific, the later
+one holds; visibility is inherited, so descendants may set it to visible again. Rules within at-rules and rules with
+other selectors are left out. Of a drawing (svg) the text elements and foreign objects are shown, definitions where they are used.
 
 Defined cases: a null page has null text, an empty one empty text; text is never cut: elements deeper than
 ``DEPTH`` are taken as if they stood there, cells wider than ``CELL`` don't widen their column; broken markup is
@@ -41,7 +42,15 @@ SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote figure pre table hr fields
 LISTS = {"ul", "ol", "menu", "dir"}
 UNSEEN = set(
     "head script style template noscript iframe noembed noframes object audio video canvas datalist rp title "
-    "area base link meta param source track map".split()
+    "area base link meta param source track map progress meter".split()
+)
+# Inputs whose value is no text on the page.
+MUTE = set("hidden checkbox radio password file image range color".split())
+# The keywords of the display property.
+DISPLAYS = set(
+    "none block inline inline-block flow flow-root flex inline-flex grid inline-grid table inline-table table-row "
+    "table-cell table-caption table-column table-column-group table-row-group table-header-group table-footer-group "
+    "list-item contents ruby ruby-base ruby-text run-in math inherit initial unset revert revert-layer".split()
 )
 KEPT_SPACE = {"pre", "textarea", "listing", "xmp", "plaintext"}
 # What a start tag closes, and the elements beyond which it doesn't look.
@@ -73,10 +82,11 @@ _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)(\s*=\s*)?")
 _BARE = re.compile(r"[^\s>]*")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_AT_RULE = re.compile(r"@[^{};]*\{(?:[^{}]*\{[^{}]*\})*[^{}]*\}|/\*.*?\*/", re.S)
-_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
-_VISIBILITY = re.compile(r"(?<![\w-])visibility\s*:\s*(hidden|collapse|visible)(\s*!\s*important)?", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_QUOTED = re.compile(r"\"[^\"\n]*\"|'[^'\n]*'")
+_SIGN = re.compile(r"[{};]")
+_AT = re.compile(r"\s*@")
+_SIMPLE = re.compile(r"[.#]?[\w-]+")
 
 
 class Node:
@@ -132,6 +142,9 @@ def tokens(html: str) -> Iterator[tuple[str, str, dict[str, str]]]:
                     value, at = bare.group(), bare.end()
             attributes.setdefault(attribute.group(1).lower(), unescape(value))
         yield "end" if closing else "start", tag, attributes
+        if tag == "plaintext" and not closing:  # nothing ends it
+            yield "raw", html[at:], {}
+            return
         if tag == "svg" and "/" not in attributes:
             svg = max(0, svg - 1) if closing else svg + 1
         if tag in RAW and not closing and not (svg and "/" in attributes):
@@ -211,8 +224,7 @@ class Rules:
     """What a page's style elements say of simple selectors (tag, .class, #id), and its elements by id."""
 
     def __init__(self, root: Node):
-        self.hidden: set[str] = set()
-        self.visible: dict[str, tuple[Rank, bool]] = {}
+        self.stated: dict[str, dict[str, Stated]] = {"display": {}, "visibility": {}}  # by property and selector
         self.ids: dict[str, Node] = {}
         nodes, styles = [root], []
         while nodes:  # in the order of the page
@@ -222,20 +234,70 @@ class Rules:
             if "id" in node.attributes:
                 self.ids.setdefault(node.attributes["id"], node)
             nodes += [c for c in reversed(node.children) if isinstance(c, Node)]
-        for i, (selectors, body) in enumerate(r for css in styles for r in _RULE.findall(_AT_RULE.sub("", css))):
-            names = {s.strip() for s in selectors.split(",") if re.fullmatch(r"\s*[.#]?[\w-]+\s*", s)}
-            if _NOT_SHOWN.search(body):
-                self.hidden |= names
-            if state := _stated(body):
-                for name in names:
-                    rank = state[0], 2 if name[0] == "#" else int(name[0] == "."), i
-                    self.visible[name] = max(self.visible.get(name, (rank, state[1])), (rank, state[1]))
-
-
-def _stated(style: str) -> tuple[bool, bool] | None:
-    """Whether declarations set the visibility with importance, and to visible; of several the last one."""
-    stated = [(bool(m[2]), i, m[1].lower() == "visible") for i, m in enumerate(_VISIBILITY.finditer(style))]
-    return (max(stated)[0], max(stated)[2]) if stated else None
+        for i, (selectors, body) in enumerate(rule for css in styles for rule in _rules(css)):
+            declared = _declared(body)
+            for name in {s.strip() for s in selectors.split(",")} if declared else ():
+                if not _SIMPLE.fullmatch(name):
+                    continue
+                for of, (important, shows) in declared.items():
+                    rank = important, 2 if name[0] == "#" else int(name[0] == "."), i
+                    held = self.stated[of]
+                    held[name] = max(held.get(name, (rank, shows)), (rank, shows))
+
+    def shows(self, of: str, node: Node) -> bool | None:
+        """Whether the page's styles show a node by the property ``of``; None if they don't say."""
+        a, held = node.attributes, self.stated[of]
+        found = []
+        if held:
+            names = [node.tag, "#" + a.get("id", ""), *("." + c for c in a.get("class", "").split())]
+            found = [held[n] for n in names if n in held]
+        if "style" in a and (own := _declared(_QUOTED.sub("", _COMMENT.sub("", a["style"]))).get(of)):
+            found.append(((own[0], 3, 0), own[1]))
+        return max(found)[1] if found else None
+
+
+Stated = tuple[Rank, bool]  # and whether it shows what it is about
+
+
+def _rules(css: str) -> Iterator[tuple[str, str]]:
+    """(selectors, declarations) of the rules outside at-rules, in one pass over the braces."""
+    css = _QUOTED.sub("", _COMMENT.sub("", css))
+    depth, begin, selectors, skipped = 0, 0, "", bool(_AT.match(css))
+    for sign in _SIGN.finditer(css):
+        at = sign.start()
+        if sign[0] == "{":
+            depth += 1
+            if depth == 1:
+                selectors, begin = css[begin:at], at + 1
+            continue
+        if sign[0] == "}":
+            if depth == 1 and not skipped:
+                yield selectors, css[begin:at]
+            depth = max(0, depth - 1)
+        if depth == 0 and (skipped or sign[0] == "}"):
+            begin, skipped = at + 1, bool(_AT.match(css, at + 1))
+    if depth and not skipped:  # the end of the page ends a rule
+        yield selectors, css[begin:]
+
+
+def _declared(body: str) -> dict[str, tuple[bool, bool]]:
+    """What declarations say of display and visibility: whether with importance, and whether they show."""
+    found: dict[str, tuple[bool, bool]] = {}
+    for part in body.split(";"):
+        name, _, value = part.partition(":")
+        name, words = name.strip().lower(), value.lower().replace("!", " !").split()
+        important = words[-1:] == ["!important"] or words[-2:] == ["!", "important"]
+        if important:
+            words = words[: -1 if words[-1] == "!important" else -2]
+        if name == "display" and words and DISPLAYS.issuperset(words):
+            shows = words != ["none"]
+        elif name == "visibility" and words in (["visible"], ["hidden"], ["collapse"]):
+            shows = words == ["visible"]
+        else:
+            continue
+        if important or not found.get(name, (False, False))[0]:
+            found[name] = important, shows
+    return found
 
 
 class Page:
@@ -293,25 +355,15 @@ class Renderer:
 
     def shown(self, node: Node) -> bool:
         a = node.attributes
-        if node.tag in UNSEEN or "hidden" in a or node.tag == "dialog" and "open" not in a:
-            return False
-        if _NOT_SHOWN.search(a.get("style", "")):
+        if node.tag in UNSEEN:
             return False
-        return not self.rules.hidden or self.rules.hidden.isdisjoint(self.names(node))
-
-    def names(self, node: Node) -> list[str]:
-        a = node.attributes
-        return [node.tag, "#" + a.get("id", ""), *("." + c for c in a.get("class", "").split())]
+        stated = self.rules.shows("display", node)
+        return not ("hidden" in a or node.tag == "dialog" and "open" not in a) if stated is None else stated
 
     def seen(self, node: Node, visible: bool) -> bool:
         """The visibility of a node whose parent's is ``visible``."""
-        stated = _stated(node.attributes["style"]) if "style" in node.attributes else None
-        if not stated and not self.rules.visible:
-            return visible
-        found = [self.rules.visible[n] for n in self.names(node) if n in self.rules.visible]
-        if stated:
-            found.append(((stated[0], 3, 0), stated[1]))
-        return max(found)[1] if found else visible
+        stated = self.rules.shows("visibility", node)
+        return visible if stated is None else stated
 
     def svg(self, node: Node, page: Page, visible: bool, used: frozenset[str] = frozenset()) -> None:
         for child in node.children:
@@ -361,7 +413,7 @@ class Renderer:
                 page.newline(always=True)
             return
         if tag == "input":
-            if visible and node.attributes.get("type", "").lower() in ("submit", "button", "reset"):
+            if visible and node.attributes.get("type", "").strip().lower() not in MUTE:
                 page.text(node.attributes.get("value", ""))
             return
         if tag in ("table",):
@@ -426,7 +478,7 @@ class Renderer:
 
     def table(self, node: Node, page: Page, visible: bool) -> None:
         rows: list[list[tuple[int, list[str]]]] = []  # (column, lines) of each cell
-        taken: dict[int, int] = {}  # columns that a cell above still fills, for how many rows
+        taken: list[tuple[int, int, int]] = []  # (from, to, last row) of columns that cells above fill, in order
         parts = [(c, visible) for c in node.children]
         groups: list[tuple[Node, bool]] = []
         for part, seen in parts:
@@ -450,14 +502,17 @@ class Renderer:
             if not self.shown(row) or row.tag == "col":
                 continue
             seen = self.seen(row, seen)
-            column, cells = 0, []
+            column, cells, passed, n = 0, [], 0, len(rows)
+            taken = [span for span in taken if span[2] >= n]
+            below = []
             for cell in row.children if row.tag == "tr" else [row]:
                 if not isinstance(cell, Node) or not self.shown(cell):
                     if isinstance(cell, str) and seen and cell.strip():
                         page.text(cell)
                     continue
-                while taken.get(column, 0) > 0:
-                    column += 1
+                while passed < len(taken) and taken[passed][0] <= column:
+                    column = max(column, taken[passed][1])
+                    passed += 1
                 inner = Page()
                 if cell.tag == "svg":
                     self.svg(cell, inner, self.seen(cell, seen))
@@ -467,9 +522,9 @@ class Renderer:
                 wide = max(1, min(SPAN, _whole(cell.attributes.get("colspan"), 1)))
                 high = max(1, min(SPAN, _whole(cell.attributes.get("rowspan"), 1)))
                 if high > 1:
-                    taken.update((c, high) for c in range(column, column + wide))
+                    below.append((column, column + wide, n + high - 1))
                 column += wide
-            taken = {c: n - 1 for c, n in taken.items() if n > 1}
+            taken = sorted(taken + below) if below else taken
             rows.append(cells)
         width: dict[int, int] = {}
         for cells in rows:

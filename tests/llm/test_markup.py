@@ -1,4 +1,5 @@
 import re
+import time
 from html.parser import HTMLParser
 
 import pyarrow.parquet as pq
@@ -73,6 +74,57 @@ def test_visibility_is_inherited():
     assert render("<style>.h {visibility: hidden !important}</style><p class=h style='visibility: visible'>no</p>") == ""
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<style>p{display:none} p{display:block}</style><p>v", "v"),
+        ("<style>p{display:block} p{display:none}</style><p>no", ""),
+        ("<style>p{display:none}</style><p style='display:block'>v", "v"),
+        ("<style>p{display:none!important}</style><p style='display:block'>no", ""),
+        ("<style>.a{display:none} p{display:block}</style><p class=a>no<p>v", "v"),
+        ("<style>p{display:none} #i{display:flex}</style><p id=i>v<p>no", "v"),
+        ("<style>p{display:none;display:bogus}</style><p>no", ""),
+        ("<style>/* p{display:none} */ b{content:'}';display:none}</style><p>v<b>no</b>", "v"),
+        ("<style>@import 'x'; @media print{p{display:none}} b{display:none}</style><p>v<b>no", "v"),
+        ("<style>b{display:none</style><p>v<b>no", "v"),
+        ('<div style="x-display:none">v', "v"),
+        ("<div style=\"font-family:'display:none'\">v", "v"),
+        ("<p hidden style='display:block'>v<dialog style='display:block'>w", "v\nw"),
+        ("<plaintext>a<b>c", "a<b>c"),
+        ("<input value=typed><input type=hidden value=no><input type=password value=no>", "typed"),
+        ("a<progress>no</progress><meter>no</meter>b", "ab"),
+    ],
+)
+def test_display_follows_the_cascade(html, text):
+    assert re.sub(r"\n+", "\n", render(html).strip()) == text
+
+
+def test_cells_over_rows_and_columns():
+    html = "<table><tr><td rowspan=3>a<td colspan=2>b<td rowspan=2>c<tr><td>d<td>e<td>f<tr><td>g<td>h<td>i</table>"
+    assert [line.split() for line in render(html).split("\n")] == [["a", "b", "c"], ["d", "e", "f"], ["g", "h", "i"]]
+    rows = [line.index(line.strip()[0]) for line in render(html).split("\n")]
+    assert rows[0] == 0 and rows[1] == rows[2] == 3
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<table>" + "<tr><td rowspan=1000 colspan=1000>x" * 3000,
+        "<style>" + "a" * 300_000 + "</style>x",
+        "<style>" + "@" * 300_000 + "</style>x",
+        "<style>" + "a;" * 150_000 + "</style>x",
+        "<style>" + "{" * 300_000 + "</style>x",
+        "<style>" + "/*" * 150_000 + "</style>x",
+        "<style>" + "p{display:none}" * 20_000 + "p{display:block}</style><p>x",
+        "<p style='" + "display:none;" * 20_000 + "display:block'>x",
+    ],
+)
+def test_time_grows_with_the_page(html):
+    begin = time.process_time()
+    assert "x" in render(html)
+    assert time.process_time() - begin < 8  # with the square of the page these take minutes
+
+
 def test_nothing_is_cut():
     deep = "<div>" * 5000 + "deep" + "</div>" * 5000 + "after"
     assert render(deep).split() == ["deep", "after"]
