@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
-from cases import near_documents, words
+from cases import documents as odd_documents, near_documents, words
 from conftest import SF_DIR
 from tokenizers import Tokenizer
 
@@ -50,3 +50,20 @@ def test_each_stage_works_on_what_the_one_before_kept(spark):
         want.append((r["doc_id"], start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
     assert sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in tokens) == want
+
+
+def test_odd_rows_pass_all_stages(spark, tmp_path):
+    texts = [r["text"] for r in documents(spark, SF_DIR).limit(12).collect()]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(0, texts[0], "en", "s")] * 2
+    rows += [(50, None, "en", "s"), (51, "", "en", "s"), (52, "1 2 3", None, None), (None, texts[1], None, "s")]
+    odd_documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, None), (2, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = documents(spark, str(tmp_path))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = stored(stage(spark, docs, str(tmp_path)), name.replace(" ", "-"))
+        assert docs.columns == columns
+        assert {r["text"] for r in docs.select("text").collect()} <= set(texts)
+        assert docs.count() > 0
+    tokens = corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path))
+    assert tokens.count() == docs.count()
