@@ -3,6 +3,10 @@
 Language ID drops texts in no language, near-deduplication keeps one document of each group, decontamination
 drops documents with benchmark passages, mixing repeats and leaves out documents so that sources meet their
 targets, and the token output encodes what is left. Every stage but the last returns the columns of its input.
+
+Defined cases: null and empty texts and those without letters go in the first stage; rows with a null id stay and
+are judged like others; of rows that are equal, one is left before the mix, which may repeat it; further columns
+are kept, whatever their names, up to the token output.
 """
 
 from __future__ import annotations
