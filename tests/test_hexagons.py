@@ -222,6 +222,24 @@ def test_a_leg_takes_the_short_way_over_the_180th_meridian(spark):
     assert rows(by_row) == [(i, len(p)) for i, p in sorted(paths.items())]
 
 
+def test_paths_over_the_180th_meridian_agree_with_their_rows(spark):
+    places = [(179.99, 10.0), (-179.99, 10.0), (-179.99, 10.0), (178.3, 12.5), (-170.0, -89.9), (169.0, 90.0), (0.0, 90.5)]
+    df = trajectory.legs(
+        events(spark, *((f"e{i}", "f", "landing", at(i), lon, lat, 100) for i, (lon, lat) in enumerate(places)))
+    )
+    for resolution in (3, 6):
+        by_array = hexagons.hex_paths(df, resolution).select("id", F.explode("grid_array").alias("c")).select("id", "c.q", "c.r")
+        assert rows(hexagons.path_cells(df, resolution, "id").select("id", "q", "r")) == rows(by_array)
+    assert {r.id: r.grid_array for r in hexagons.hex_paths(df).collect()}["e6"] is None
+
+
+def test_a_path_is_computed_once(spark):
+    df = trajectory.legs(events(spark, ("a", "f", "landing", at(0), 179.9, 10.0, 1), ("b", "f", "landing", at(9), -179.9, 10.0, 1)))
+    plan = hexagons.hex_paths(df)._jdf.queryExecution().analyzed().toString()
+    # Lambdas compute what they repeat each time: one series of hops in the straight path and one in the one brought back.
+    assert plan.count("sequence(") <= 2 and len(plan) < 40_000
+
+
 def test_all_resolutions_at_once_equal_each_alone(spark):
     df = trajectory.legs(tracks(spark, ("f", 1, [(0, 0), (9, 2)]), ("g", 1, [(-9, 3), (4, -6)])))
     whole = hexagons.agg_by_resolutions(df, 0.1, 0.1, [7, 8, 9])
