@@ -9,7 +9,9 @@ less above. Links are confirmed on the full shingle sets.
 Documents with equal sets are one class with a number of its own, and only classes go on. Pairs within a key are not
 listed: first every representative is compared with the nearest and the most central of its keys' leads, which
 joins most of a group to stars; only pairs that share a key, are of different components by then, and are within
-``FAR`` symbols, are compared one by one.
+``FAR`` symbols, are compared one by one. Beside its signature a set has an odd sketch, ``MARKS`` parities of how
+many of its shingles fall to a place: two sketches differ in no more places than the sets in shingles, so that pairs
+of short texts below the threshold meet no further, without a loss; in long texts places coincide and a margin is left.
 
 Defined cases: null, empty and wordless texts have no shingles and link with nothing; texts of fewer words
 than a shingle are one shingle; very long texts are hashed in pieces and compared whole; rows with equal ids are
@@ -33,9 +35,12 @@ from contrail.llm.words import chunks, mix, shingle_set, utf8, word_hashes
 WORDS, PERCENT = 5, 75
 SYMBOLS, BITS, CHUNKS, ERRORS = 25, 15, 5, 2
 FAR = 16  # differing symbols beyond which a pair is not compared; at 0.75 the chance is 5e-6
+MARKS, MARGIN = 1024, 6.0  # parities of a sketch; standard deviations beyond which a pair of sketches is not compared
 LANES, LANE = 3, 16  # symbols in a long and bits for each, one more than they have
 LONGS = -(-SYMBOLS // CHUNKS // LANES)  # of a chunk
 SIGNATURE = [f"s{i}" for i in range(CHUNKS * LONGS)]
+SKETCH = [f"z{i}" for i in range(MARKS // 64)]
+AT_ONCE = 1 << 18  # bytes of texts hashed together, which bounds a Python worker's temporary arrays
 BROADCAST_IDS = 500_000  # rows of three numbers that may be broadcast after they were counted
 BLOCK = 250  # documents of a family whose sets meet those of another block in one place
 
@@ -46,7 +51,7 @@ _FACTOR, _SHIFT = _numbers[0] * np.uint64(2) + np.uint64(1), _numbers[1]
 def sets_of(texts: pa.Array) -> Iterator[np.ndarray]:
     """The sorted distinct shingles of each text."""
     data, offsets = utf8(texts)
-    for first, last in chunks(offsets):
+    for first, last in chunks(offsets, AT_ONCE):
         part = offsets[first : last + 1]
         words, at = word_hashes(data[part[0] : part[-1]], part - part[0])
         for i in range(last - first):
@@ -72,19 +77,25 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (lanes.reshape(-1, LANES) << places).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls to each of ``MARKS`` places, 64 to a long."""
+    places = (mix(shingles ^ _SHIFT[1]) >> np.uint64(32)).astype(np.int64) % MARKS
+    return np.packbits(np.bincount(places, minlength=MARKS).astype(np.uint8) & 1).view(np.int64)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, f0, f1, signature) of each row."""
+    """(doc_id, text_hash, n_shingles, f0, f1, signature, sketch) of each row."""
     ship(docs.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.zeros((batch.num_rows, len(names) - 2), np.int64)
             for i, shingles in enumerate(sets_of(batch.column(2))):
-                rows[i] = len(shingles), *fingerprint(shingles), *signature(shingles)
+                rows[i] = len(shingles), *fingerprint(shingles), *signature(shingles), *sketch(shingles)
             columns = [batch.column(0), batch.column(1), *(pa.array(rows[:, i]) for i in range(rows.shape[1]))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["doc_id", "text_hash", "n_shingles", "f0", "f1", *SIGNATURE]
+    names = ["doc_id", "text_hash", "n_shingles", "f0", "f1", *SIGNATURE, *SKETCH]
     rows = docs.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.xxhash64("`text`").alias("text_hash"), "`text`")
     return rows.mapInArrow(sign, ", ".join(f"{c} long" for c in names))
 
@@ -135,21 +146,74 @@ def _first_chunk() -> Column:
     return first
 
 
+def _own(side: str) -> list[Column]:
+    """The longs of the chunk of key ``number``."""
+    chunk = F.floor(F.col("number") / len(_choices())).cast("int")
+    return [F.get(F.array(*(F.col(s) for s in SIGNATURE[i::LONGS])), chunk).alias(f"{side}own{i}") for i in range(LONGS)]
+
+
+def _earlier() -> list[Column]:
+    """Of key ``number``, the spare bits of the symbols that it leaves out before its last one."""
+    left_out = [[p for p in range(choice[-1]) if p not in choice] for choice in _choices()]
+    bits = [[sum(1 << (LANE * (p % LANES) + BITS) for p in c if p // LANES == i) for c in left_out] for i in range(LONGS)]
+    place = (F.col("number") % len(left_out)).cast("int")
+    return [F.get(F.array(*(F.lit(b).cast("long") for b in row)), place).alias(f"earlier{i}") for i, row in enumerate(bits)]
+
+
+def _first_choice() -> Column:
+    """Whether no choice before that of key ``number`` finds the pair in this chunk: what it leaves out differs."""
+    most = sum(((1 << BITS) - 1) << (LANE * i) for i in range(LANES))
+    first = F.lit(True)
+    for i in range(LONGS):
+        both = F.col(f"aown{i}").bitwiseXOR(F.col(f"bown{i}"))
+        first = first & ((both + F.lit(most)).bitwiseAND(F.col(f"earlier{i}")) == F.col(f"earlier{i}"))
+    return first
+
+
 def _sizes_allow() -> Column:
     return 100 * F.least("an", "bn") >= PERCENT * F.greatest("an", "bn")
 
 
+def _most_differing() -> list[tuple[float, float]]:
+    """(slope, start) of lines over the differing shingles of two sets; their sketches differ in fewer places than each.
+
+    The first is the number of shingles itself, the others touch the mean and ``MARGIN`` deviations, which is concave.
+    """
+
+    def bound(differing: float) -> float:
+        odd = (1 - (1 - 2 / MARKS) ** differing) / 2  # the chance of a place's parity to change
+        return MARKS * odd + MARGIN * (MARKS * odd * (1 - odd)) ** 0.5
+
+    lines = [(1.0, 0.0), (0.0, MARKS / 2 + MARGIN * MARKS**0.5 / 2)]
+    for at in (MARKS / 4, MARKS / 2, MARKS):
+        slope = bound(at + 0.5) - bound(at - 0.5)
+        lines.append((slope, bound(at) - slope * at + 0.01))
+    return lines
+
+
+def _sketches_allow() -> Column:
+    """Whether the sketches of sides a and b differ in as few places as those of similar sets do.
+
+    Of two sets of the least similarity a seventh of the shingles differ, and each of these changes one parity.
+    """
+    differing = sum((F.bit_count(F.col(f"a{z}").bitwiseXOR(F.col(f"b{z}"))) for z in SKETCH), F.lit(0))
+    share = (100 - PERCENT) / (100 + PERCENT)
+    return differing <= F.least(*((F.col("an") + F.col("bn")) * (slope * share) + start + 1e-6 for slope, start in _most_differing()))
+
+
 def _sided(classes: DataFrame, side: str, *more: str | Column) -> DataFrame:
-    columns = [F.col("node").alias(side), F.col("n_shingles").alias(f"{side}n")]
-    return classes.select(*columns, *(F.col(s).alias(side + s) for s in SIGNATURE), *more)
+    # None is null; that it says so keeps the generated code of a join short enough to be compiled.
+    columns = [F.coalesce(c, F.lit(0)).alias(side + name) for c, name in (("n_shingles", "n"), *((s, s) for s in SIGNATURE + SKETCH))]
+    return classes.select(F.col("node").alias(side), *columns, *more)
 
 
 def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, ...) whose sizes allow the similarity and whose signatures are not ``FAR`` apart, with ``far``."""
+    """``pairs`` (a, b, ...) whose sizes and sketches allow the similarity and whose signatures are not ``FAR`` apart, with ``far``."""
     columns = pairs.columns
     for side in "ab":
         pairs = pairs.join(_sided(classes, side), side)
-    return pairs.where(_sizes_allow()).select(*columns, _far().alias("far")).where(F.col("far") <= FAR)
+    pairs = pairs.where(_sizes_allow() & (_far() <= FAR) & _sketches_allow())
+    return pairs.select(*columns, _far().alias("far"))
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, families: DataFrame, classes: DataFrame) -> DataFrame:
@@ -228,14 +292,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     signed = stored(signatures(docs), "signatures")
     same = ["f0", "f1", "n_shingles"]
-    alike = [F.first(s).alias(s) for s in SIGNATURE]  # equal for equal sets
+    alike = [F.first(s).alias(s) for s in SIGNATURE + SKETCH]  # equal for equal sets
     # The row that stands for a set: null ids last, so that a component's first row has its smallest id.
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     classes = signed.where("n_shingles > 0").groupBy(*same).agg(F.min(row).alias("first"), *alike)
     key = row_key(F.col("first.doc_id"), F.col("first.text_hash"))
-    classes = classes.select(F.monotonically_increasing_id().alias("node"), *same, "first", *key, *SIGNATURE)
+    classes = classes.select(F.monotonically_increasing_id().alias("node"), *same, "first", *key, *SIGNATURE, *SKETCH)
     classes = stored(classes, "classes")
-    signs = classes.select("node", *same, *SIGNATURE)
+    signs = classes.select("node", *same, *SIGNATURE, *SKETCH)
 
     keys = classes.select("node", F.posexplode(_keys()).alias("number", "key"))
     common = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
@@ -252,16 +316,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     families = best.select(F.col("b").alias("node"), F.col("c").alias("family"))
     links = stored(confirmed(docs, stars, families, classes), "links")
 
-    # What is left: pairs that share a key and are not joined yet, each taken in the first chunk that finds it.
+    # What is left: pairs that share a key and are not joined yet, each taken by the first key that finds it.
     joined = stored(components(links), "components")
     member = shared.select("key", "number", "node").join(joined, "node", "left")
     member = member.select("key", "number", "node", F.coalesce("component", "node").alias("component"))
     split = member.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     member = stored(member.join(split.select("key"), "key").join(signs.drop("f0", "f1"), "node"), "apart")
-    one = _sided(member, "a", "key", "number", F.col("component").alias("ac"))
-    other = _sided(member, "b", "key", F.col("component").alias("bc"))
+    one = _sided(member, "a", "key", "number", F.col("component").alias("ac"), *_own("a"), *_earlier())
+    other = _sided(member, "b", "key", F.col("component").alias("bc"), *_own("b"))
     apart = (F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _sizes_allow()
-    apart = apart & (_far() <= FAR) & _first_chunk()
+    apart = apart & _first_choice() & (_far() <= FAR) & _first_chunk() & _sketches_allow()
     rest = one.join(other, (one["key"] == other["key"]) & apart).select("a", "b").distinct()
     links = links.unionByName(stored(confirmed(docs, rest, families, classes), "links"))
 

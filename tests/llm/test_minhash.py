@@ -3,6 +3,7 @@ import random
 import numpy as np
 from cases import documents, near_documents, shingles
 from conftest import SF_DIR
+from pyspark.sql import functions as F
 
 from contrail.llm import minhash
 
@@ -91,6 +92,51 @@ def test_empty_table(spark):
     assert minhash.deduplicated(documents(spark, [])).count() == 0
 
 
+def test_sketches_keep_every_pair_that_may_link():
+    lines = minhash._most_differing()
+    generator = np.random.default_rng(5)
+    for size in (4, 20, 150, 600, 3000, 20_000):
+        for _ in range(30):
+            both = generator.integers(1, 2**63, size, dtype=np.uint64)
+            more = generator.integers(1, 2**63, size // 3, dtype=np.uint64)  # the least similarity that links
+            at = generator.integers(0, len(more) + 1)
+            one, two = np.concatenate([both, more[:at]]), np.concatenate([both, more[at:]])
+            differing = int(np.bitwise_count((minhash.sketch(one) ^ minhash.sketch(two)).view(np.uint64)).sum())
+            most = (len(one) + len(two)) / 7
+            assert differing <= min(slope * most + start + 1e-6 for slope, start in lines)
+
+
+def test_a_family_below_the_threshold_lists_few_pairs(spark, monkeypatch):
+    generator = random.Random(8)
+    base, asked = [f"w{i}" for i in range(150)], []
+    plain = minhash.confirmed
+
+    def counted(docs, pairs, *more):
+        asked.append(pairs.count())
+        return plain(docs, pairs, *more)
+
+    texts = {}
+    for i in range(120):  # each pair is at a similarity of about 0.55
+        copy = list(base)
+        for at in generator.sample(range(150), 5):
+            copy[at] = f"x{generator.randrange(10**6)}"
+        texts[i] = " ".join(copy)
+    monkeypatch.setattr(minhash, "confirmed", counted)
+    found = minhash.near_duplicates(documents(spark, [(i, t, "en", "s") for i, t in texts.items()])).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == near_documents(texts)
+    assert sum(asked) < 800  # of 7,140 pairs
+
+
+def test_a_pair_of_many_keys_is_met_once(spark):
+    rows = [(i, " ".join(f"w{j}" if j != 30 + i else "x" for j in range(400)), "en", "s") for i in range(2)]
+    signed = minhash.signatures(documents(spark, rows)).withColumn("node", F.monotonically_increasing_id())
+    keys = signed.select("node", "n_shingles", *minhash.SIGNATURE, *minhash.SKETCH, F.posexplode(minhash._keys()).alias("number", "key"))
+    one = minhash._sided(keys, "a", "key", "number", *minhash._own("a"), *minhash._earlier())
+    met = one.join(minhash._sided(keys, "b", "key", *minhash._own("b")), "key").where("a < b")
+    assert met.count() > 10
+    assert met.where(minhash._first_choice() & minhash._first_chunk()).count() == 1
+
+
 def test_signatures_agree_as_sets_do():
     generator = np.random.default_rng(4)
     one = generator.integers(1, 2**63, 4000, dtype=np.uint64)
