@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from contrail.llm.common import components, documents, join_checked, stored
 
 EDITS, SHORTEST = 2, 10
-COUNTED = "eatnoirs"  # letters whose counts are compared first, four bits each
+COUNTED = "eatnoirslhdcump"  # characters whose counts are compared first, two bits each and no sign
+MORE = "fgbvywkqxj ,.ET"  # further ones, whose counts are compared before the texts are
 
 
 def lines_of(docs: DataFrame, *more: Column) -> DataFrame:
@@ -60,13 +61,13 @@ def _key(i: int, length: Column, start: Column, size: Column) -> Column:
     return F.xxhash64(F.lit(i), length, F.col(f"zone_{i}").substr(start - _zone_start(i) + 1, size))
 
 
-def _index_keys() -> Column:
+def _index_keys() -> list[Column]:
     length = F.col("length")
-    return F.array(*(_key(i, length, *_segment(length, i)) for i in range(EDITS + 1)))
+    return [F.when(length >= SHORTEST, _key(i, length, *_segment(length, i))) for i in range(EDITS + 1)]
 
 
-def _probe_keys() -> Column:
-    """Where segments of lines as long, or shorter by up to ``EDITS``, can stand in this one.
+def _probe_keys() -> list[tuple[int, Column]]:
+    """(how much shorter, key): where segments of lines as long, or shorter by up to ``EDITS``, can stand in this one.
 
     With the i-th segment come at most i edits before and ``EDITS - i`` after it, which bounds its shift.
     """
@@ -77,28 +78,27 @@ def _probe_keys() -> Column:
             start, size = _segment(length, i)
             for shift in range(max(-i, shorter - (EDITS - i)), min(i, shorter + EDITS - i) + 1):
                 fits = (length >= SHORTEST) & (start + shift >= 0)
-                keys.append(F.when(fits, _key(i, length, start + shift, size)))
-    return F.array_compact(F.array(*keys))
+                keys.append((shorter, F.when(fits, _key(i, length, start + shift, size))))
+    return keys
 
 
-def _counts(line: str) -> Column:
-    """Counts of some letters, modulo 16, in one number; a letter is one byte, so sizes in bytes give its count."""
+def _counts(line: str, letters: str) -> Column:
+    """Counts of some characters, modulo 4, in one number; each is one byte, so sizes in bytes give its count.
+
+    A count is a Gray code: the codes of two counts differ in as many bits as the counts are apart, modulo 4.
+    """
     total, rest = F.lit(0), F.col(line)
-    for i, letter in enumerate(COUNTED):
+    for i, letter in enumerate(letters):
         less = F.replace(rest, F.lit(letter), F.lit(""))
-        n = F.octet_length(rest) - F.octet_length(less)
-        total, rest = total.bitwiseOR(F.shiftleft(n % 16, 4 * i)), less
+        n = (F.octet_length(rest) - F.octet_length(less)).bitwiseAND(F.lit(3))
+        code = n.bitwiseXOR(F.shiftright(n, 1))
+        total, rest = total.bitwiseOR(F.shiftleft(code, 2 * i)), less
     return total
 
 
-def _apart(one: str, other: str) -> Column:
-    """How far two sets of counts are apart; an edit changes the sum by two at most."""
-    total = F.lit(0)
-    for i in range(len(COUNTED)):
-        a, b = (F.shiftrightunsigned(c, 4 * i).bitwiseAND(F.lit(15)) for c in (one, other))
-        far = F.abs(a - b)
-        total = total + F.least(far, 16 - far)
-    return total
+def _counts_allow(*counts: tuple[str, str]) -> Column:
+    """Whether two lines' counts are no further apart than ``EDITS`` make them; an edit changes two by one at most."""
+    return sum((F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in counts), F.lit(0)) <= 2 * EDITS
 
 
 def _let(value: Column, body) -> Column:
@@ -151,10 +151,28 @@ def within_edits(one: Column, other: Column) -> Column:
         start = F.struct(F.lit((1 << width) - (1 << k)).alias("up"), F.lit(0).alias("down"), F.lit(k).alias("score"))
         return F.aggregate(items, start, lambda state, item: step(rows, state, item), lambda s: s["score"])
 
+    def same(a: Column, b: Column, most: Column) -> Column:  # at their start
+        at = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), False).cast("int")
+        return F.when(at == 0, most).otherwise(F.least(at - 1, most))
+
+    def ends(pair: Column) -> Column:  # what both begin or end with doesn't count
+        a, b, most = pair["a"], pair["b"], F.least(F.size(pair["a"]), F.size(pair["b"])) - k
+        return F.struct(a.alias("a"), b.alias("b"), same(a, b, most).alias("start"), most.alias("most"))
+
+    def between(pair: Column) -> Column:
+        a, b, start = pair["a"], pair["b"], pair["start"]
+        end = same(F.reverse(a), F.reverse(b), pair["most"] - start)
+
+        def cut(end: Column) -> Column:
+            parts = [F.slice(c, start + 1, F.size(c) - start - end).alias(name) for c, name in ((a, "a"), (b, "b"))]
+            return F.struct(*parts, (F.size(a) - start - end).alias("rows"))
+
+        return _let(end, cut)
+
     # Characters are split once, not in every step.
-    pair = F.struct(F.split(one, "").alias("a"), F.split(other, "").alias("b"), F.length(one).alias("rows"))
+    pair = F.struct(F.split(one, "").alias("a"), F.split(other, "").alias("b"))
     near = F.abs(F.length(one) - F.length(other)) <= k
-    return F.when(near, _let(pair, distance) <= k).otherwise(False)
+    return F.when(near, _let(_let(_let(pair, ends), between), distance) <= k).otherwise(False)
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -165,50 +183,68 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     texts = docs.select(*_row_keys(), F.col("`text`").alias("text"))
     found = join_checked(texts, stored(wanted, "wanted"), ["_id", "_hash"])
     line = F.get(F.array_distinct(F.split("text", "\n")), F.col("place"))
-    return found.select("node", line.alias("line"), "digest").where("md5(line) = digest").select("node", "line").distinct()
-
-
-def near_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, digest, n_docs, n_links, component, kept) of each distinct line of ``docs``.
-
-    ``digest`` is the line's MD5, ``doc_id`` the smallest id of a document with the line and ``place`` the line's
-    place among that one's distinct lines; ``n_docs`` rows have the line; ``n_links`` other lines are within
-    ``EDITS`` edits; ``component`` is the smallest digest reachable by links; that line is kept. Where the lines
-    stand, exact repeats included, is in ``line_places``.
-    """
-    one = lines_of(docs, *_row_keys()).groupBy("line").agg(
+    return found.select("node", line.alias("line"), "digest").where("unhex(md5(line)) = digest").select("node", "line").distinct()
+
+
+def _classed(docs: DataFrame) -> DataFrame:
+    """(doc_id, place, digest, n_docs, n_links, name) of each distinct line, digests as bytes; no links, no name."""
+    # Lengths and zones are columns of their own, so that they are computed once and not within every key. Keys are
+    # cut where texts are read: they, not the lines, are shuffled to find equal lines.
+    about = ["doc_id", "_id", "_hash", "place", F.unhex(F.md5("line")).alias("digest"), _counts("line", COUNTED).alias("counts")]
+    sized = lines_of(docs, *_row_keys()).select("*", F.length("line").alias("length")).select(*about, "length", *_zones())
+    index, probes = _index_keys(), sorted(_probe_keys(), key=lambda x: x[0])
+    as_long = sum(shorter == 0 for shorter, _ in probes)
+    keys = [f"k{i}" for i in range(len(index) + len(probes))]
+    cut = sized.select(*sized.columns[: len(about)], *(k.alias(x) for x, k in zip(keys, [*index, *(k for _, k in probes)])))
+    one = cut.groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.min("_id").alias("_id"), F.min_by("_hash", "_id").alias("_hash"),
-        F.min_by("place", "_id").alias("place"), F.count("*").alias("n_docs"),
-    )
-    # Lengths and zones are columns of their own, so that they are computed once and not within every key.
-    about = ["doc_id", "_id", "_hash", "place", F.md5("line").alias("digest"), "n_docs", _counts("line").alias("counts")]
-    sized = one.select("*", F.length("line").alias("length")).select(*about, "length", *_zones())
-    long_enough = F.col("length") >= SHORTEST
-    table = stored(
-        sized.select(
-            F.monotonically_increasing_id().alias("node"), *sized.columns[: len(about)],
-            F.when(long_enough, _index_keys()).alias("index"), F.when(long_enough, _probe_keys()).alias("probes"),
-        ),
-        "lines",
+        F.min_by("place", "_id").alias("place"), F.count("*").alias("n_docs"), *(F.max(x).alias(x) for x in ["counts", *keys]),
     )
-    index = table.select(F.explode("index").alias("key"), F.col("node").alias("a"), F.col("counts").alias("_a"))
-    probes = table.select(F.explode("probes").alias("key"), F.col("node").alias("b"), F.col("counts").alias("_b"))
-    met = index.join(probes, (index["key"] == probes["key"]) & (F.col("a") != F.col("b")) & (_apart("_a", "_b") <= 2 * EDITS))
-    pairs = stored(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    table = stored(one.select(F.monotonically_increasing_id().alias("node"), *one.columns), "lines")
+    index, probes = F.array(*keys[: len(index)]), F.array(*keys[len(index) :])
+    # Lines of one length find each other from either side; a number below 0 says that only the smaller one is to.
+    probing = F.when(F.col("at") < as_long, -1 - F.col("node")).otherwise(F.col("node"))
+    index = table.select(F.explode(index).alias("key"), F.col("node").alias("a"), F.col("counts").alias("_a"))
+    probes = table.select(F.posexplode(probes).alias("at", "key"), "node", "counts")
+    probes = probes.select("key", probing.alias("b"), F.col("counts").alias("_b"))
+    b = F.when(F.col("b") < 0, -1 - F.col("b")).otherwise(F.col("b"))
+    once = (F.col("a") < b) | ((F.col("a") != b) & (F.col("b") >= 0))
+    met = index.where("key IS NOT NULL").join(
+        probes.where("key IS NOT NULL"), (index["key"] == probes["key"]) & once & _counts_allow(("_a", "_b"))
+    )
+    pairs = stored(met.select(F.least("a", b).alias("a"), F.greatest("a", b).alias("b")).distinct(), "pairs")
 
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = stored(_texts(docs, nodes.join(table.select("node", "_id", "_hash", "place", "digest"), "node")), "texts")
-    both = pairs.join(texts.toDF("a", "one"), "a").join(texts.toDF("b", "other"), "b")
+    texts = _texts(docs, nodes.join(table.select("node", "_id", "_hash", "place", "digest"), "node"))
+    texts = stored(texts.select("node", "line", _counts("line", COUNTED).alias("c"), _counts("line", MORE).alias("m")), "texts")
+    both = pairs.join(texts.toDF("a", "one", "_a", "_c"), "a").join(texts.toDF("b", "other", "_b", "_d"), "b")
+    both = both.where(_counts_allow(("_a", "_b"), ("_c", "_d")))
     links = stored(both.where(within_edits(F.col("one"), F.col("other"))).select("a", "b"), "links")
 
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     joined = stored(components(links).join(degree, "node"), "classes")
     names = joined.join(table.select("node", "digest"), "node").groupBy("component").agg(F.min("digest").alias("name"))
     joined = stored(joined.join(names, "component").select("node", "n_links", "name"), "classes")
-    rows = join_checked(table.drop("_id", "_hash", "counts", "index", "probes"), joined, ["node"], "left")
-    return rows.select(
-        "doc_id", "place", "digest", "n_docs", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("name", "digest").alias("component"), F.coalesce(F.col("name") == F.col("digest"), F.lit(True)).alias("kept"),
+    rows = join_checked(table.select("node", "doc_id", "place", "digest", "n_docs"), joined, ["node"], "left")
+    return rows.select("doc_id", "place", "digest", "n_docs", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "name")
+
+
+def _shown(digest: str | Column) -> Column:
+    return F.lower(F.hex(digest))
+
+
+def near_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, place, digest, n_docs, n_links, component, kept) of each distinct line of ``docs``.
+
+    ``digest`` is the line's MD5, ``doc_id`` the smallest id of a document with the line and ``place`` the line's
+    place among that one's distinct lines; ``n_docs`` rows have the line; ``n_links`` other lines are within
+    ``EDITS`` edits; ``component`` is the smallest digest reachable by links; that line is kept. Where the lines
+    stand, exact repeats included, is in ``line_places``.
+    """
+    name = F.coalesce("name", "digest")
+    return _classed(docs).select(
+        "doc_id", "place", _shown("digest").alias("digest"), "n_docs", "n_links", _shown(name).alias("component"),
+        (name == F.col("digest")).alias("kept"),
     )
 
 
@@ -221,22 +257,27 @@ def _numbered(docs: DataFrame, *more: Column) -> DataFrame:
 
 def _marked(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """What ``line_places`` gives, and the _row, for ``rows`` (_row, doc_id, text) of ``docs``."""
+    classed = _classed(docs).select("digest", "n_docs", "n_links", "name")
     parts = rows.select(
         "_row", "doc_id", F.xxhash64("text").alias("_hash"), F.posexplode(F.split("text", "\n")).alias("place", "line")
     )
-    places = parts.where("line <> ''").select("_row", "doc_id", "_hash", "place", F.md5("line").alias("digest"))
+    places = parts.where("line <> ''").select("_row", "doc_id", "_hash", "place", F.unhex(F.md5("line")).alias("digest"))
     places = stored(places, "places")
     # Null ids last; the row's number only decides between rows that are equal.
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_hash", "_row", "place")
-    first = places.groupBy("digest").agg(F.min(order).alias("first"))
-    table = near_lines(docs).select("digest", "n_docs", "n_links", "component", F.col("kept").alias("leads"))
-    table = table.join(first, "digest")
-    table = stored(table.select(*table.columns[:-1], "first._row", "first.place").toDF(*table.columns[:-1], "_at", "_place"), "marks")
-    kept = F.col("leads") & (F.col("_row") == F.col("_at")) & (F.col("place") == F.col("_place"))
+    first = places.groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("n_places"))
+    # A line that stands at one place and has no link is kept there, and needs no mark.
+    table = classed.join(first, "digest").where("n_places > 1 OR n_links > 0")
+    table = table.select("digest", "n_docs", "n_links", "name", F.col("first._row").alias("_at"), F.col("first.place").alias("_place"))
+    marks = stored(table, "marks")
     # A line that very many rows hold is a hot key of the left side.
-    return join_checked(places, table, ["digest"]).select(
-        "_row", "doc_id", "place", "digest", "n_docs", "n_links", "component", kept.alias("kept")
-    )
+    found = join_checked(places, marks, ["digest"], "left")
+    name, alone = F.coalesce("name", "digest"), F.col("_at").isNull()
+    kept = alone | ((name == F.col("digest")) & (F.col("_row") == F.col("_at")) & (F.col("place") == F.col("_place")))
+    return found.select(
+        "_row", "doc_id", "place", _shown("digest").alias("digest"), F.coalesce("n_docs", F.lit(1)).cast("long").alias("n_docs"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), _shown(name).alias("component"), kept.alias("kept"),
+    )
 
 
 def line_places(docs: DataFrame) -> DataFrame:

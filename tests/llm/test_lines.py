@@ -131,3 +131,56 @@ def test_zones_hold_all_that_keys_are_cut_from(length):
 
 def test_empty_table(spark):
     assert lines.near_lines(documents(spark, [])).count() == 0
+
+
+def test_counts_never_rule_out_a_link(spark):
+    generator = random.Random(5)
+    letters = lines.COUNTED + lines.MORE + "zé"
+    rows = []
+    for _ in range(2000):
+        line = "".join(generator.choice(letters) for _ in range(generator.randrange(10, 80)))
+        other = list(line)
+        for _ in range(generator.randrange(lines.EDITS + 1)):
+            at, kind = generator.randrange(len(other)), generator.randrange(3)
+            other[at : at + (kind != 1)] = [generator.choice(letters)] * (kind != 2)
+        rows.append((line, "".join(other)))
+    both = spark.createDataFrame(rows, "one string, other string").select(
+        "*", *(lines._counts(x, some).alias(x + some[0]) for x in ("one", "other") for some in (lines.COUNTED, lines.MORE))
+    )
+    allowed = lines._counts_allow(*(("one" + some[0], "other" + some[0]) for some in (lines.COUNTED, lines.MORE)))
+    assert both.where(~allowed).count() == 0
+
+
+def kept_back(monkeypatch):
+    """What the operator stores, by purpose."""
+    tables, plain = {}, lines.stored
+
+    def stored(df, purpose):
+        tables[purpose] = plain(df, purpose)
+        return tables[purpose]
+
+    monkeypatch.setattr(lines, "stored", stored)
+    return tables
+
+
+def test_a_family_beyond_the_threshold_lists_few_pairs(spark, monkeypatch):
+    generator = random.Random(9)
+    base = " ".join("".join(generator.choice("etaoinshr") for _ in range(5)) for _ in range(50))
+    family = []
+    for _ in range(150):  # with four letters more each, of all letters, so that most pairs are six to eight edits apart
+        at = generator.randrange(len(base))
+        family.append(base[:at] + "".join(generator.choice("abcdefghiklmnoprstuvw") for _ in range(4)) + base[at:])
+    tables = kept_back(monkeypatch)
+    found = lines.near_lines(documents(spark, [(i, x, "en", "s") for i, x in enumerate(family)])).collect()
+    near = [(a, b) for a, b in combinations(set(family), 2) if distance(a, b) <= lines.EDITS]
+    assert sum(r["n_links"] for r in found) == 2 * len(near)
+    assert tables["pairs"].count() < 4500  # of 11,175
+
+
+def test_only_lines_that_repeat_or_link_are_marked(spark, monkeypatch):
+    alone = [md5(str(i).encode()).hexdigest() for i in range(100)]
+    rows = [(i, f"{x}\na line of all", "en", "s") for i, x in enumerate(alone)] + [(200, "twice here\ntwice here", "en", "s")]
+    tables = kept_back(monkeypatch)
+    found = lines.line_places(documents(spark, rows)).collect()
+    assert len(found) == 202 and sum(r["kept"] for r in found) == 102
+    assert tables["marks"].count() == 2
