@@ -12,6 +12,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 from contrail.session import shared_folder
 
 BROADCAST_ROWS = 50_000  # a side is broadcast only after its rows were counted and are no more than this
+SMALL_EDGES = 10_000  # so many pairs of numbers are no work for more than one task
+
+BATCH_ROWS = 1_000  # texts that Spark and a Python worker hold at once, unless the session says otherwise
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -34,6 +37,15 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches have ``BATCH_ROWS`` rows where the session has Spark's default of 10,000.
+
+    An executor holds several copies of a batch for each task, outside its heap.
+    """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
@@ -81,7 +93,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps until nothing changes. Every step is a partially aggregated
     minimum and a join with unique keys on one side, and its result is stored, so a hub's rows are spread by
-    adaptive skew handling and lost executors cost one step. Only two numbers reach the driver.
+    adaptive skew handling and lost executors cost one step. Only two numbers reach the driver. Up to ``SMALL_EDGES``
+    edges are one partition, where the steps need no shuffles.
     """
     now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     now, before = stored(now, "edges"), None
@@ -90,21 +103,28 @@ def components(edges: DataFrame) -> DataFrame:
         if seen[0] == 0 or seen == before:
             break
         before = seen
-        now = stored(_star(_star(now, large=True), large=False), "edges")
+        small = seen[0] <= SMALL_EDGES
+        now = now.coalesce(1) if small else now
+        now = stored(_star(_star(now, True, small), False, small), "edges")
     heads = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(heads)
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step on edges a > b; large: neighbours above a node go to its smallest neighbour, else those below."""
+def _star(edges: DataFrame, large: bool, small: bool) -> DataFrame:
+    """One step on edges a > b; large: neighbours above a node go to its smallest neighbour, else those below.
+
+    ``small``: the edges are one partition and stay so.
+    """
     if large:
         both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = both.coalesce(1) if small else both
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         moved = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         return moved.where("a <> b").distinct()
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
     moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
+    moved = moved.unionAll(least.select("a", F.col("m").alias("b")))
+    return (moved.coalesce(1) if small else moved).distinct()
 
 
 def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:

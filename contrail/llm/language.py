@@ -27,12 +27,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pyspark.sql.types import DoubleType, MapType, StringType
 
-from contrail.llm.common import documents, join_checked, ship, stored
+from contrail.llm.common import documents, join_checked, ship, small_batches, stored
 from contrail.llm.words import PIECE, chunks, utf8
 
 GRAM, BUCKETS = 4, 1 << 16
 TRAIN_DOCS = 20_000  # for each language, on average
 SMOOTHING = 0.5
+AT_ONCE = 1 << 18  # bytes of texts whose languages are found together, which bounds a worker's temporary arrays
 CELLS = 1 << 24  # grams x languages that are looked at in one go, unless a single text has more
 STEPS = 8
 TANGENT = 0.05  # a proportion, at which the gain of a second language is bounded
@@ -94,6 +95,7 @@ def train(labelled: DataFrame) -> Model:
     Counts are summed by task, then by Spark; the driver gets ``BUCKETS`` numbers for each language at most.
     """
     ship(labelled.sparkSession)
+    small_batches(labelled.sparkSession)
     known = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = stored(known.groupBy("lang").agg(F.count("*").alias("docs")), "languages")
     draw = F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(1_000_000)) / 1_000_000
@@ -268,6 +270,7 @@ def identified(docs: DataFrame, model: Model, keep: list[str] | None = None) ->
     """
     spark = docs.sparkSession
     ship(spark)
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     row = F.struct(*(F.col(f"`{c}`") for c in keep or docs.columns)).alias("row")
     ready = docs.select(
@@ -282,7 +285,7 @@ def identified(docs: DataFrame, model: Model, keep: list[str] | None = None) ->
             letters = batch.column(2).to_pylist()
             names, scores, sets = [], [], []
             data, offsets = utf8(batch.column(1))
-            for first, last in chunks(offsets):
+            for first, last in chunks(offsets, AT_ONCE):
                 part = offsets[first : last + 1]
                 pieces = list(zip(*_pieces(data[part[0] : part[-1]], part - part[0])))
                 text, bucket = (np.concatenate(x) for x in pieces)

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from contrail.llm.common import ROW_KEY, components, documents, join_checked, keyed, row_key, ship, stored, unkeyed
+from contrail.llm.common import ROW_KEY, components, documents, join_checked, keyed, row_key, ship, small_batches, stored, unkeyed
 from contrail.llm.words import chunks, mix, shingle_set, utf8, word_hashes
 
 WORDS, PERCENT = 5, 75
@@ -86,6 +86,7 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, n_shingles, f0, f1, signature, sketch) of each row."""
     ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,24 +217,24 @@ def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.select(*columns, _far().alias("far"))
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, families: DataFrame, classes: DataFrame) -> DataFrame:
+def _blocks(families: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, f0, ``ROW_KEY``, block) for ``families`` (node, family), each cut into blocks of about ``BLOCK`` nodes.
+
+    A family's nodes likely have partners in common; it steers the work only.
+    """
+    sizes = families.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    block = F.xxhash64("family", F.pmod(F.xxhash64("node"), "blocks")).alias("block")
+    found = families.join(sizes, "family").join(classes.select("node", "f0", *ROW_KEY), "node")
+    return stored(found.select("node", "f0", *ROW_KEY, block), "blocks")
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame, blocks: DataFrame) -> DataFrame:
     """The pairs (a, b), given once each, whose full sets are similar enough.
 
-    ``classes`` has, for each node, the row key of a row with its set, and f0. ``families`` (node, family) tells which
-    nodes likely have partners in common; it steers the work only. A family is cut into blocks of about ``BLOCK``
-    nodes, and the pairs between two blocks are compared in one place, to which each set comes once however many
-    pairs it is in.
+    ``blocks`` has, for each node, the row key of a row with its set, f0, and its block. The pairs between two blocks
+    are compared in one place, to which each set comes once however many pairs it is in.
     """
-    pairs = stored(pairs.select("a", "b"), "pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    nodes = nodes.join(families, "node", "left").withColumn("family", F.coalesce("family", "node"))
-    sizes = nodes.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    blocks = nodes.join(sizes, "family").join(classes.select("node", "f0", *ROW_KEY), "node")
-    blocks = stored(
-        blocks.select("node", "f0", *ROW_KEY, F.xxhash64("family", F.pmod(F.xxhash64("node"), "blocks")).alias("block")),
-        "blocks",
-    )
-    placed = pairs
+    placed = pairs.select("a", "b")
     for side in "ab":
         placed = placed.join(blocks.select(F.col("node").alias(side), F.col("block").alias(f"{side}_block")), side)
     placed = stored(placed.select("a", "b", F.xxhash64("a_block", "b_block").alias("place")), "placed")
@@ -313,10 +314,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     best = stored(best, "leads")
     stars = best.select("a", "b").unionByName(best.select(F.col("c").alias("a"), "b"))
     stars = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    families = best.select(F.col("b").alias("node"), F.col("c").alias("family"))
-    links = stored(confirmed(docs, stars, families, classes), "links")
+    families = central.select("node").join(best.select(F.col("b").alias("node"), F.col("c").alias("family")), "node", "left")
+    blocks = _blocks(families.select("node", F.coalesce("family", "node").alias("family")), classes)
+    links = stored(confirmed(docs, stars, blocks), "links")
 
-    # What is left: pairs that share a key and are not joined yet, each taken by the first key that finds it.
+    # What is left: pairs that share a key and are not joined yet, each taken by the first key that finds it. Of those
+    # between two components the nearest goes first, as most others need no comparison after it.
     joined = stored(components(links), "components")
     member = shared.select("key", "number", "node").join(joined, "node", "left")
     member = member.select("key", "number", "node", F.coalesce("component", "node").alias("component"))
@@ -326,10 +329,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     other = _sided(member, "b", "key", F.col("component").alias("bc"), *_own("b"))
     apart = (F.col("a") < F.col("b")) & (F.col("ac") != F.col("bc")) & _sizes_allow()
     apart = apart & _first_choice() & (_far() <= FAR) & _first_chunk() & _sketches_allow()
-    rest = one.join(other, (one["key"] == other["key"]) & apart).select("a", "b").distinct()
-    links = links.unionByName(stored(confirmed(docs, rest, families, classes), "links"))
-
-    found = stored(components(links), "components")
+    met = one.join(other, (one["key"] == other["key"]) & apart)
+    ends = [f(F.col("ac"), F.col("bc")).alias(name) for f, name in ((F.least, "x"), (F.greatest, "y"))]
+    rest = stored(met.select("a", "b", *ends, _far().alias("far")).distinct(), "rest")
+    nearest = rest.groupBy("x", "y").agg(F.min_by(F.struct("a", "b"), "far").alias("pair")).select("pair.a", "pair.b")
+    nearest = stored(nearest, "nearest")
+    more = stored(confirmed(docs, nearest, blocks), "links")
+    among = components(rest.select("x", "y", "a", "b").join(more, ["a", "b"]).select(F.col("x").alias("a"), F.col("y").alias("b")))
+    among = stored(among, "among")  # components of components
+    for side in "xy":
+        now = among.select(F.col("node").alias(side), F.col("component").alias(f"{side}_now"))
+        rest = rest.join(now, side, "left").withColumn(f"{side}_now", F.coalesce(f"{side}_now", side))
+    rest = rest.where("x_now <> y_now").join(nearest, ["a", "b"], "left_anti")
+    more = more.unionByName(stored(confirmed(docs, rest, blocks), "links"))
+
+    joined = joined.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    found = stored(components(joined.unionByName(more)), "components")
     classes = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     survivors = classes.groupBy("component").agg(F.min("first").alias("survivor"))
     classes = classes.join(survivors, "component").select(*same, "survivor")

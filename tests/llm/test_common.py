@@ -39,3 +39,11 @@ def test_join_checked_gives_the_same_either_way(spark, monkeypatch):
 def test_one_query_for_each_operator():
     assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 11))
     assert set(queries.oracle_sql()) <= set(queries.queries())
+
+
+def test_small_components_are_those_of_shuffled_steps(spark, monkeypatch):
+    generator = random.Random(3)
+    edges = spark.createDataFrame([(generator.randrange(300), generator.randrange(300)) for _ in range(170)], "a long, b long")
+    small = sorted(map(tuple, common.components(edges).collect()))
+    monkeypatch.setattr(common, "SMALL_EDGES", 0)
+    assert sorted(map(tuple, common.components(edges).collect())) == small

@@ -155,3 +155,18 @@ def test_shingles_are_those_of_words():
     import pyarrow as pa
 
     assert [len(s) for s in minhash.sets_of(pa.array([*texts, None]))] == [len(shingles(t)) for t in [*texts, None]]
+
+
+def test_the_nearest_pair_of_two_components_goes_first(spark, monkeypatch):
+    generator, asked, plain = random.Random(4), [], minhash.confirmed
+    words = [f"w{generator.randrange(10**6)}" for _ in range(400)]
+    texts = {i: " ".join(words[3 * i : 3 * i + 150]) for i in range(80)}  # each near those up to six places away
+
+    def counted(docs, pairs, *more):
+        asked.append(pairs.count())
+        return plain(docs, pairs, *more)
+
+    monkeypatch.setattr(minhash, "confirmed", counted)
+    found = minhash.near_duplicates(documents(spark, [(i, t, "en", "s") for i, t in texts.items()])).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == near_documents(texts)
+    assert sum(asked[1:]) < 100
