@@ -87,12 +87,11 @@ def _counts(line: str, letters: str) -> Column:
 
     A count is a Gray code: the codes of two counts differ in as many bits as the counts are apart, modulo 4.
     """
-    total, rest = F.lit(0), F.col(line)
+    total = F.lit(0)
     for i, letter in enumerate(letters):
-        less = F.replace(rest, F.lit(letter), F.lit(""))
-        n = (F.octet_length(rest) - F.octet_length(less)).bitwiseAND(F.lit(3))
-        code = n.bitwiseXOR(F.shiftright(n, 1))
-        total, rest = total.bitwiseOR(F.shiftleft(code, 2 * i)), less
+        n = F.octet_length(line) - F.octet_length(F.replace(F.col(line), F.lit(letter), F.lit("")))
+        code = F.call_function("shiftright", F.lit(0b10110100), 2 * n.bitwiseAND(F.lit(3))).bitwiseAND(F.lit(3))
+        total = total.bitwiseOR(F.shiftleft(code, 2 * i))
     return total
 
 
@@ -189,13 +188,18 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def _classed(docs: DataFrame) -> DataFrame:
     """(doc_id, place, digest, n_docs, n_links, name) of each distinct line, digests as bytes; no links, no name."""
     # Lengths and zones are columns of their own, so that they are computed once and not within every key. Keys are
-    # cut where texts are read: they, not the lines, are shuffled to find equal lines.
-    about = ["doc_id", "_id", "_hash", "place", F.unhex(F.md5("line")).alias("digest"), _counts("line", COUNTED).alias("counts")]
-    sized = lines_of(docs, *_row_keys()).select("*", F.length("line").alias("length")).select(*about, "length", *_zones())
+    # cut where texts are read: they, not the lines, are shuffled to find equal lines. The lambda around the place
+    # keeps this projection out of whole-stage code, as one method of which it is too long for the JVM to compile.
+    found = lines_of(docs, *_row_keys())
+    sized = found.select("*", F.length("line").alias("length")).select(*found.columns, "length", *_zones())
     index, probes = _index_keys(), sorted(_probe_keys(), key=lambda x: x[0])
     as_long = sum(shorter == 0 for shorter, _ in probes)
     keys = [f"k{i}" for i in range(len(index) + len(probes))]
-    cut = sized.select(*sized.columns[: len(about)], *(k.alias(x) for x, k in zip(keys, [*index, *(k for _, k in probes)])))
+    cut = sized.select(
+        "doc_id", "_id", "_hash", _let(F.col("place"), lambda place: place).alias("place"),
+        F.unhex(F.md5("line")).alias("digest"), _counts("line", COUNTED).alias("counts"),
+        *(k.alias(x) for x, k in zip(keys, [*index, *(k for _, k in probes)])),
+    )
     one = cut.groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.min("_id").alias("_id"), F.min_by("_hash", "_id").alias("_hash"),
         F.min_by("place", "_id").alias("place"), F.count("*").alias("n_docs"), *(F.max(x).alias(x) for x in ["counts", *keys]),
