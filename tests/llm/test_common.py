@@ -37,7 +37,7 @@ def test_join_checked_gives_the_same_either_way(spark, monkeypatch):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.queries()) == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(queries.queries())
 
 
@@ -47,3 +47,15 @@ def test_small_components_are_those_of_shuffled_steps(spark, monkeypatch):
     small = sorted(map(tuple, common.components(edges).collect()))
     monkeypatch.setattr(common, "SMALL_EDGES", 0)
     assert sorted(map(tuple, common.components(edges).collect())) == small
+
+
+def test_small_batches_leave_a_choice_of_the_session(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, wanted in (("10000", str(common.BATCH_ROWS)), ("300", "300")):
+            spark.conf.set(name, given)
+            common.small_batches(spark)
+            assert spark.conf.get(name) == wanted
+    finally:
+        spark.conf.set(name, before)
