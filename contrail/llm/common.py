@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import shutil
 import tempfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -46,6 +50,26 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(function: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``function``, for ``mapInArrow``, after which a Python worker returns to the system what it holds no longer.
+
+    Spark keeps the workers for later tasks, also beside stages that run in the JVM alone.
+    """
+
+    def run(batches: Batches) -> Batches:
+        yield from function(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 

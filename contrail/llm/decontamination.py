@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from contrail.llm.common import ROW_KEY, documents, join_checked, keyed, row_key, ship, stored, unkeyed
+from contrail.llm.common import ROW_KEY, documents, join_checked, keyed, lean, row_key, ship, stored, unkeyed
 from contrail.llm.words import LETTERED, chunks, sequence_hash, utf8, word_hashes
 
 WINDOW, SUBSTITUTED, SHORTEST = 12, 2, 5
@@ -107,7 +107,7 @@ def _hashed(rows: DataFrame, lengths: list[int], only: bool, bits=None) -> DataF
                         )
 
     schema = "id long, text_hash long, hash long, place int, words binary"
-    return rows.select("id", "text", "text_hash").mapInArrow(hashed, schema)
+    return rows.select("id", "text", "text_hash").mapInArrow(lean(hashed), schema)
 
 
 def _rows(df: DataFrame, identity: str) -> DataFrame:

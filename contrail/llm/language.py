@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pyspark.sql.types import DoubleType, MapType, StringType
 
-from contrail.llm.common import documents, join_checked, ship, small_batches, stored
+from contrail.llm.common import documents, join_checked, lean, ship, small_batches, stored
 from contrail.llm.words import PIECE, chunks, utf8
 
 GRAM, BUCKETS = 4, 1 << 16
@@ -119,7 +119,7 @@ def train(labelled: DataFrame) -> Model:
             columns = [pa.array([language] * len(at)), pa.array(at.astype(np.int32)), pa.array(row[at])]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "n"])
 
-    counted = some.select(padded("text").alias("text"), "lang").mapInArrow(count, "lang string, bucket int, n long")
+    counted = some.select(padded("text").alias("text"), "lang").mapInArrow(lean(count), "lang string, bucket int, n long")
     found = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     docs = {r["lang"]: r["docs"] for r in sizes.collect()}
     languages = sorted(docs)
@@ -308,7 +308,7 @@ def identified(docs: DataFrame, model: Model, keep: list[str] | None = None) ->
             columns.append(pa.array(sets, pa.map_(pa.string(), pa.float64())))
             yield pa.RecordBatch.from_arrays(columns, ["row", "lang_pred", "score", "languages"])
 
-    return ready.mapInArrow(predict, schema)
+    return ready.mapInArrow(lean(predict), schema)
 
 
 def held_out(doc_id: str, of: int, remainder: int) -> Column:

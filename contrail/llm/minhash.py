@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from contrail.llm.common import ROW_KEY, components, documents, join_checked, keyed, row_key, ship, small_batches, stored, unkeyed
+from contrail.llm.common import ROW_KEY, components, documents, join_checked, keyed, lean, row_key, ship, small_batches, stored, unkeyed
 from contrail.llm.words import chunks, mix, shingle_set, utf8, word_hashes
 
 WORDS, PERCENT = 5, 75
@@ -98,7 +98,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     names = ["doc_id", "text_hash", "n_shingles", "f0", "f1", *SIGNATURE, *SKETCH]
     rows = docs.select(F.col("`doc_id`").cast("long").alias("doc_id"), F.xxhash64("`text`").alias("text_hash"), "`text`")
-    return rows.mapInArrow(sign, ", ".join(f"{c} long" for c in names))
+    return rows.mapInArrow(lean(sign), ", ".join(f"{c} long" for c in names))
 
 
 def _symbol(i: int) -> Column:
@@ -196,16 +196,20 @@ def _sketches_allow() -> Column:
     """Whether the sketches of sides a and b differ in as few places as those of similar sets do.
 
     Of two sets of the least similarity a seventh of the shingles differ, and each of these changes one parity.
+    As it has lambdas, Spark cuts a join's condition into small methods. In one method with the loop over the pairs the
+    longs of both sides cost the JVM's compiler 600 MB of an executor, outside the heap.
     """
-    differing = sum((F.bit_count(F.col(f"a{z}").bitwiseXOR(F.col(f"b{z}"))) for z in SKETCH), F.lit(0))
+    odd = F.zip_with("asketch", "bsketch", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    differing = F.aggregate(odd, F.lit(0), lambda total, n: total + n)
     share = (100 - PERCENT) / (100 + PERCENT)
     return differing <= F.least(*((F.col("an") + F.col("bn")) * (slope * share) + start + 1e-6 for slope, start in _most_differing()))
 
 
 def _sided(classes: DataFrame, side: str, *more: str | Column) -> DataFrame:
     # None is null; that it says so keeps the generated code of a join short enough to be compiled.
-    columns = [F.coalesce(c, F.lit(0)).alias(side + name) for c, name in (("n_shingles", "n"), *((s, s) for s in SIGNATURE + SKETCH))]
-    return classes.select(F.col("node").alias(side), *columns, *more)
+    columns = [F.coalesce(c, F.lit(0)).alias(side + name) for c, name in (("n_shingles", "n"), *((s, s) for s in SIGNATURE))]
+    sketch = F.array(*(F.coalesce(z, F.lit(0)) for z in SKETCH)).alias(f"{side}sketch")
+    return classes.select(F.col("node").alias(side), *columns, sketch, *more)
 
 
 def _near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -280,10 +284,10 @@ def confirmed(docs: DataFrame, pairs: DataFrame, blocks: DataFrame) -> DataFrame
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*links)], ["a", "b"])
 
-    sets = texts.select("node", "text", "place", "f0").mapInArrow(shingles, "place long, a long, b long, shingles binary")
+    sets = texts.select("node", "text", "place", "f0").mapInArrow(lean(shingles), "place long, a long, b long, shingles binary")
     rows = sets.unionByName(placed.select("place", "a", "b", F.lit(None).cast("binary").alias("shingles")))
     rows = rows.repartition("place").sortWithinPartitions("place", F.col("b").asc_nulls_first())
-    return rows.mapInArrow(compare, "a long, b long")
+    return rows.mapInArrow(lean(compare), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

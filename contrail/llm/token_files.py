@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from contrail.llm.common import documents, ship, stored
+from contrail.llm.common import documents, lean, ship, stored
 from contrail.llm.words import utf8
 from contrail.session import shared_folder
 
@@ -317,10 +317,10 @@ def write_token_files(
                 [pa.array(v, t) for v, t in zip(zip(*rows), types)], ["shard", "path", "n_docs", "n_ids"]
             )
 
-    ids = rows.mapInArrow(encoded, "shard int, doc_id long, head string, hash long, ids binary")
+    ids = rows.mapInArrow(lean(encoded), "shard int, doc_id long, head string, hash long, ids binary")
     order = ["shard", F.col("doc_id").asc_nulls_first(), "head", "hash"]
     dealt = ids.repartition(parts, "shard").sortWithinPartitions(*order).select("shard", "doc_id", "ids")
-    return stored(dealt.mapInArrow(write, MANIFEST), "manifest")
+    return stored(dealt.mapInArrow(lean(write), MANIFEST), "manifest")
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
@@ -354,7 +354,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                 )
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long, shard int, place long"
-    return shards.repartition(parts, "shard").mapInArrow(read, schema)
+    return shards.repartition(parts, "shard").mapInArrow(lean(read), schema)
 
 
 def token_table(docs: DataFrame, tokenizer_path: str | None = None, end_id: int = 2) -> DataFrame:

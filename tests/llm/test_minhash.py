@@ -137,6 +137,22 @@ def test_a_pair_of_many_keys_is_met_once(spark):
     assert met.where(minhash._first_choice() & minhash._first_chunk()).count() == 1
 
 
+def test_compared_pairs_are_not_one_large_method(spark):
+    signed = minhash.signatures(documents(spark, [(0, "a b c d e f", "en", "s")])).withColumn("node", F.col("doc_id"))
+    pairs = spark.range(1).select(F.col("id").alias("a"), F.col("id").alias("b"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near = minhash._near(pairs, signed)
+        assert near.count() == 1
+        near.collect()
+        plan = near._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    joins = [line.strip(" :+-") for line in plan.split("\n") if "SortMergeJoin" in line and "aggregate(" in line]
+    assert len(joins) == 1 and joins[0].startswith("SortMergeJoin")  # a star before it says that it is generated whole
+
+
 def test_signatures_agree_as_sets_do():
     generator = np.random.default_rng(4)
     one = generator.integers(1, 2**63, 4000, dtype=np.uint64)
