@@ -34,6 +34,7 @@ from contrail.llm.words import LETTERED, chunks, sequence_hash, utf8, word_hashe
 WINDOW, SUBSTITUTED, SHORTEST = 12, 2, 5
 BLOCKS = 2 * SUBSTITUTED
 PIECE = 1_000  # items and places of one window that meet its hits in one place
+AT_ONCE = 1 << 19  # bytes of texts hashed together, which bounds a Python worker's temporary arrays
 BIT_SET = 24  # 2 ** 24 bits, two for each hash
 
 Mask = tuple[int, list[int]]  # words in the window, places that are kept
@@ -74,7 +75,7 @@ def _hashed(rows: DataFrame, lengths: list[int], only: bool, bits=None) -> DataF
         known = None if bits is None else np.unpackbits(bits.value.view(np.uint8), bitorder="little").view(bool)
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            for first, last in chunks(offsets):
+            for first, last in chunks(offsets, AT_ONCE):
                 part = offsets[first : last + 1]
                 words, at = word_hashes(data[part[0] : part[-1]], part - part[0], LETTERED)
                 for number, mask in enumerate(chosen):

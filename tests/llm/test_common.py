@@ -59,3 +59,17 @@ def test_small_batches_leave_a_choice_of_the_session(spark):
             assert spark.conf.get(name) == wanted
     finally:
         spark.conf.set(name, before)
+
+
+def test_a_lean_function_gives_its_batches_and_returns_memory(monkeypatch):
+    pool = common.pa.default_memory_pool()
+    released, batches = [], [common.pa.record_batch({"a": [i]}) for i in range(3)]
+
+    def counted(given):
+        for batch in given:
+            assert not released
+            yield batch
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: released.append(1) or pool)
+    assert list(common.lean(counted)(iter(batches))) == batches
+    assert released == [1]
